@@ -169,13 +169,18 @@ def key_terms(col: Column | str, generic: list[str] = fixed.GENERIC_WORDS) -> Co
     return F.when(F.size(key) > 0, key).otherwise(bare)
 
 
-def relevance_score(terms: Column, title: Column, abstract: Column, keywords: Column) -> Column:
-    """Share of key terms found in an article, as a substring or by a four-letter word prefix."""
-    full = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.when(F.length(abstract) > 0, abstract), keywords))
-    text_words = words(full)
-    hit = lambda t: full.contains(t) | (
-        (F.length(t) >= 5) & F.exists(text_words, lambda w: w.startswith(F.left(t, F.lit(4))))
-    )
+def search_body(title: Column, abstract: Column, keywords: Column) -> Column:
+    """Title, abstract and keywords as one lower-case line, each word behind a space."""
+    full = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.when(F.length(abstract) > 0, abstract), keywords)
+    return F.concat(F.lit(" "), squeeze(F.lower(full)))
+
+
+def relevance_score(terms: Column, body: Column) -> Column:
+    """Share of key terms found in a ``search_body`` column, as a substring or, from five letters
+    on, by a word starting with the first four. Keep ``body`` a column of its own: inside the
+    lambda an expression would be evaluated again for every term."""
+    prefix = lambda t: F.concat(F.lit(" "), F.left(t, F.lit(4)))
+    hit = lambda t: body.contains(t) | ((F.length(t) >= 5) & body.contains(prefix(t)))
     return F.when(F.size(terms) == 0, F.lit(1.0)).otherwise(F.size(F.filter(terms, hit)) / F.size(terms))
 
 

@@ -13,8 +13,10 @@ from scholia.operators.skew import join_checked, top_k
 
 @dataclass
 class Bm25Index:
-    """``postings(chunk_id, seq, dl, term, tf)``, ``terms(term, df, idf)``, ``corpus(n, avgdl)``."""
+    """``ids(chunk_id, seq)``, ``postings(seq, dl, term, tf)``, ``terms(term, df, idf)`` and the
+    one-row ``corpus(n, avgdl)``. Chunks are known by their number here; names come last."""
 
+    ids: DataFrame
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
@@ -22,40 +24,48 @@ class Bm25Index:
     b: float = fixed.BM25_B
 
 
+def exploded(df: DataFrame, keep: list[str], array: str, name: str) -> DataFrame:
+    """One row per element. The outer form keeps Spark from evaluating the array a second time in
+    an inferred filter."""
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
 def bm25_index(
     chunks: DataFrame, text: str = "text", *,
     k1: float = fixed.BM25_K1, b: float = fixed.BM25_B, epsilon: float = fixed.BM25_EPSILON,
 ) -> Bm25Index:
-    """Index tables of a chunk table (``chunk_id``, ``seq``, text).
+    """Index tables of a chunk table (``chunk_id``, unique ``seq``, text).
 
     Rows are placed by chunk once; counting term frequencies and later summing scores per chunk
-    then need no further shuffle. Document frequencies are pre-aggregated before their shuffle, so
-    a term that occurs everywhere costs one row per task.
+    then need no further shuffle, and the statistics read the same exchange. Document frequencies
+    are pre-aggregated before their shuffle, so a term that occurs everywhere costs one row per
+    task.
     """
-    tokens = chunks.select("chunk_id", "seq", tokenize(text).alias("tokens")).withColumn("dl", F.size("tokens").cast("bigint"))
-    corpus = tokens.agg(F.count("*").alias("n"), (F.sum("dl") / F.count("*")).alias("avgdl"))
-    placed = chunks.select("chunk_id", "seq", F.col(text).alias("__text")).repartition("chunk_id")
-    placed = placed.select("chunk_id", "seq", tokenize("__text").alias("tokens"))
-    postings = (
-        placed.select("chunk_id", "seq", F.size("tokens").cast("bigint").alias("dl"), F.explode("tokens").alias("term"))
-        .groupBy("chunk_id", "seq", "dl", "term").agg(F.count("*").alias("tf"))
-    )
+    placed = chunks.select("seq", tokenize(text).alias("tokens")).repartition("seq")
+    placed = placed.withColumn("dl", F.size("tokens").cast("bigint"))
+    corpus = placed.agg(F.count("*").alias("n"), (F.sum("dl") / F.count("*")).alias("avgdl"))
+    postings = exploded(placed, ["seq", "dl"], "tokens", "term").groupBy("seq", "dl", "term").agg(F.count("*").alias("tf"))
+    terms = term_stats(postings, corpus, epsilon)
+    return Bm25Index(chunks.select("chunk_id", "seq"), postings, terms, corpus, k1, b)
+
+
+def term_stats(postings: DataFrame, corpus: DataFrame, epsilon: float = fixed.BM25_EPSILON) -> DataFrame:
+    """Document frequency and idf; a negative idf becomes ``epsilon`` times the mean idf."""
     df = postings.groupBy("term").agg(F.count("*").alias("df"))
     n = corpus.select(F.col("n").cast("double")).scalar()
     raw = df.withColumn("raw", F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     floor = raw.agg((F.avg("raw") * epsilon).alias("floor")).scalar()
-    terms = raw.select("term", "df", F.when(F.col("raw") < 0, floor).otherwise(F.col("raw")).alias("idf"))
-    return Bm25Index(postings, terms, corpus, k1, b)
+    return raw.select("term", "df", F.when(F.col("raw") < 0, floor).otherwise(F.col("raw")).alias("idf"))
 
 
 def query_terms(queries: DataFrame, text: str = "question") -> DataFrame:
     """Terms of each question with their number of occurrences (repeats count)."""
-    terms = queries.select("query_id", F.explode(tokenize(text)).alias("term"))
+    terms = exploded(queries.select("query_id", tokenize(text).alias("tokens")), ["query_id"], "tokens", "term")
     return terms.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
 def bm25_scores(index: Bm25Index, queries: DataFrame, text: str = "question") -> DataFrame:
-    """Score of every (question, chunk) pair with a term in common.
+    """Score of every (question, chunk) pair with a term in common: ``query_id, seq, score``.
 
     The weighted question terms go to the postings (counted first; a larger batch takes a join
     salted by chunk, because a frequent term may hold a large part of the postings).
@@ -64,15 +74,15 @@ def bm25_scores(index: Bm25Index, queries: DataFrame, text: str = "question") ->
     weights = join_checked(index.terms, wanted, ["term"]).select(
         "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")
     )
-    hits = join_checked(index.postings, weights, ["term"], salt=["chunk_id"], bound=wanted)
+    hits = join_checked(index.postings, weights, ["term"], salt=["seq"], bound=wanted)
     avgdl = index.corpus.select("avgdl").scalar()
     tf = F.col("tf")
     length_norm = index.k1 * (1 - index.b + index.b * F.col("dl") / avgdl)
     part = F.col("weight") * tf * (index.k1 + 1) / (tf + length_norm)
-    return hits.groupBy("query_id", "chunk_id", "seq").agg(F.round(F.sum(part), 9).alias("score"))
+    return hits.groupBy("query_id", "seq").agg(F.round(F.sum(part), 9).alias("score"))
 
 
 def bm25_search(index: Bm25Index, queries: DataFrame, k: int = 20, text: str = "question") -> DataFrame:
     """The ``k`` best chunks per question; those with no positive score are dropped afterwards."""
-    scores = bm25_scores(index, queries, text)
-    return top_k(scores, ["query_id"], [F.desc("score"), F.asc("seq")], k).where(F.col("score") > 0)
+    hits = top_k(bm25_scores(index, queries, text), ["query_id"], [F.desc("score"), F.asc("seq")], k)
+    return hits.where(F.col("score") > 0).join(index.ids, "seq").select("query_id", "chunk_id", "seq", "score", "rank")

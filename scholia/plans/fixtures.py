@@ -24,8 +24,8 @@ def chunks(t: Tables) -> DataFrame:
     d = docs(t).select("doc_id", "paper_id", "lang", "source", kept.alias("ls"))
     return d.select(
         "doc_id", "paper_id", "lang", "source", F.size("ls").cast("bigint").alias("total_chunks"),
-        F.posexplode("ls").alias("i", "text"),
-    ).select(
+        F.posexplode_outer("ls").alias("i", "text"),
+    ).where(F.col("i").isNotNull()).select(
         "doc_id", "paper_id", "lang", "source", "text", "total_chunks",
         F.col("i").cast("bigint").alias("chunk_index"),
         F.format_string("%s_chunk_%03d", "paper_id", "i").alias("chunk_id"),
@@ -37,7 +37,7 @@ def chunks(t: Tables) -> DataFrame:
 
 def species_base(t: Tables) -> DataFrame:
     """One binomial per question: its first two words."""
-    w = F.regexp_extract_all("text", F.lit("[A-Za-zÀ-ÿ]+"), F.lit(0))
+    w = F.regexp_extract_all(F.regexp_replace("text", "ß", "ss"), F.lit("[A-Za-zÀ-ÿ]+"), F.lit(0))
     return t.benchmark.select(
         "item_id", F.concat_ws(" ", F.initcap(F.get(w, 0)), F.lower(F.get(w, 1))).alias("species")
     )
@@ -52,7 +52,8 @@ def species(t: Tables) -> DataFrame:
         F.concat(genus, F.lit(" sp.")), F.concat(genus, F.lit("/"), epithet),
     )
     return s.select("item_id", F.posexplode(variants).alias("variant", "species")).select(
-        (F.col("item_id") * 5 + F.col("variant")).alias("pos"), "species"
+        (F.col("item_id") * 5 + F.col("variant")).alias("pos"), "species",
+        F.get(F.lit(["plain", "upper", "underscore", "open", "hybrid"]), F.col("variant")).alias("kind"),
     )
 
 

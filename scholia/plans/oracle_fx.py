@@ -16,9 +16,9 @@ FROM (SELECT doc_id, paper_id, lang, source, len(ls)::BIGINT AS total_chunks, un
              (generate_subscripts(ls, 1) - 1)::BIGINT AS i FROM chunk_lists)""",
     "species_base": r"""
 SELECT item_id, upper(left(lower(w[1]), 1)) || substr(lower(w[1]), 2) || ' ' || lower(w[2]) AS species
-FROM (SELECT item_id, regexp_extract_all(text, '[A-Za-zÀ-ÿ]+') AS w FROM benchmark)""",
+FROM (SELECT item_id, regexp_extract_all(replace(text, 'ß', 'ss'), '[A-Za-zÀ-ÿ]+') AS w FROM benchmark)""",
     "species": r"""
-SELECT item_id * 5 + v AS pos,
+SELECT item_id * 5 + v AS pos, (['plain', 'upper', 'underscore', 'open', 'hybrid'])[v + 1] AS kind,
        CASE v WHEN 0 THEN species WHEN 1 THEN upper(species) WHEN 2 THEN replace(species, ' ', '_')
               WHEN 3 THEN split_part(species, ' ', 1) || ' sp.'
               ELSE split_part(species, ' ', 1) || '/' || split_part(species, ' ', 2) END AS species

@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scholia.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Tables with long texts or vectors and the columns to spread them by when their files are few.
+WIDE_ROWS = {
+    "documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"], "embeddings": ["vec_id"],
+}
+
+
 class Tables:
     """Lazy access to the parquet tables of one data directory: ``t.documents``."""
 
@@ -20,7 +28,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return spread(df, *WIDE_ROWS[name]) if name in WIDE_ROWS else df
 
 
 def query(name: str, sql: str | None = None):
