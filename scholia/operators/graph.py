@@ -1,6 +1,356 @@
-"""Knowledge graph."""
-from pyspark.sql import functions as F
+"""Knowledge graph: extraction answers to entities and relations, search and neighbourhoods.
 
+A graph is a set of long tables. Aliases, mentions, properties and evidence of an entity are rows,
+never lists, so an entity mentioned in a third of all chunks is no special case.
+"""
 
-def extraction_prompt():
-    return F.lit("")
+from __future__ import annotations
+
+from dataclasses import dataclass, fields
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from scholia import fixed
+from scholia.functions.ids import entity_id
+from scholia.functions.records import clamp_confidence, edge_width, node_size
+from scholia.functions.text import candidate_phrases, strip
+from scholia.operators.bm25 import exploded
+from scholia.operators.skew import first_by, is_small, join_checked, top_k
+from scholia.session import cut_lineage
+
+EXTRACTION = (
+    "entities array<struct<name:string,type:string,aliases:array<string>,properties:map<string,string>>>, "
+    "relations array<struct<subject:string,relation:string,object:string,confidence:double,context:string>>"
+)
+
+
+@dataclass
+class Graph:
+    """``entities(entity_id, entity_type, name)``, ``aliases(entity_id, alias)``,
+    ``properties(entity_id, key, value)``, ``mentions(entity_id, chunk_id, paper_id)``,
+    ``relations(relation_id, subject_id, relation_type, object_id, confidence, snippet)``,
+    ``evidence(relation_id, chunk_id, paper_id)``, ``processed(chunk_id)``."""
+
+    entities: DataFrame
+    aliases: DataFrame
+    properties: DataFrame
+    mentions: DataFrame
+    relations: DataFrame
+    evidence: DataFrame
+    processed: DataFrame
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
+
+# ---- from answers to tables ----------------------------------------------------------------------
+
+
+def extraction_prompt() -> Column:
+    """Header of what is known about a chunk, then its text."""
+    authors = F.array_join(F.slice("authors", 1, 3), ", ")
+    names = F.when(F.size("authors") > 3, F.concat(authors, F.lit(" et al."))).when(F.size("authors") > 0, authors)
+    line = lambda label, value: F.concat(F.lit(f"{label}: "), value)
+    header = F.concat_ws(
+        "\n", line("Paper", F.nullif(F.col("title"), F.lit(""))), line("Year", F.nullif(F.col("year"), F.lit(0)).cast("string")),
+        line("Authors", names), line("Page", F.col("page_number").cast("string")),
+    )
+    return F.concat(header, F.lit("\n\nTEXT:\n"), F.col("text"))
+
+
+def parse_extraction(raw: Column | str) -> Column:
+    """Answer to a struct of entities and relations; fences are removed, anything that is not one
+    JSON object gives empty lists."""
+    c = F.col(raw) if isinstance(raw, str) else raw
+    open_fence = F.regexp_replace(F.regexp_replace(c, r"^```[^\n]*\n?", ""), r"\n[ \t]*```\s*$", "")
+    body = F.when(c.startswith("```"), open_fence).otherwise(c)
+    # JSON readers ignore what follows the first value; inside brackets trailing text is an error
+    listed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    one_object = F.schema_of_variant(listed).startswith("ARRAY<OBJECT") & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.when(one_object, F.from_json(body, EXTRACTION))
+
+
+def raw_entities(extractions: DataFrame) -> DataFrame:
+    """Entities of all answers with their ids; blank names and unknown types are dropped.
+
+    ``extractions(chunk_id, paper_id, ord, raw)``; ``ord`` is the ingest order.
+    """
+    parsed = extractions.select("chunk_id", "paper_id", "ord", parse_extraction("raw")["entities"].alias("e"))
+    rows = parsed.select("chunk_id", "paper_id", "ord", F.posexplode_outer("e").alias("pos", "x")).where(F.col("x").isNotNull())
+    rows = rows.select("chunk_id", "paper_id", "ord", "pos", strip("x.name").alias("name"), strip("x.type").alias("entity_type"), F.col("x.aliases").alias("aliases"), F.col("x.properties").alias("properties"))
+    rows = rows.where((F.length("name") > 0) & F.col("entity_type").isin(*fixed.ENTITY_TYPES))
+    others = F.filter(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: a != F.col("name"))
+    return rows.withColumn("entity_id", entity_id("entity_type", "name")).withColumn("aliases", others)
+
+
+def name_map(entities: DataFrame) -> DataFrame:
+    """Lower-case name or alias to entity id within a chunk; the later entry wins."""
+    names = F.concat(F.array("name"), F.col("aliases"))
+    rows = entities.select("chunk_id", "entity_id", "pos", F.posexplode(names).alias("sub", "key"))
+    return rows.groupBy("chunk_id", F.lower("key").alias("key")).agg(F.max_by("entity_id", F.struct("pos", "sub")).alias("entity_id"))
+
+
+def raw_relations(extractions: DataFrame, entities: DataFrame) -> DataFrame:
+    """Relations of all answers with both ends resolved inside their chunk; others are dropped."""
+    parsed = extractions.select("chunk_id", "paper_id", "ord", parse_extraction("raw")["relations"].alias("r"))
+    rows = parsed.select("chunk_id", "paper_id", "ord", F.posexplode_outer("r").alias("pos", "x")).where(F.col("x").isNotNull())
+    rows = rows.select(
+        "chunk_id", "paper_id", "ord", "pos", F.lower(strip("x.subject")).alias("skey"), F.lower(strip("x.object")).alias("okey"),
+        strip("x.relation").alias("relation_type"), clamp_confidence("x.confidence").alias("confidence"),
+        F.left(F.coalesce("x.context", F.lit("")), F.lit(200)).alias("snippet"),
+    ).where(F.col("relation_type").isin(*fixed.RELATION_TYPES))
+    names = name_map(entities)
+    end = lambda key, out: names.select("chunk_id", F.col("key").alias(key), F.col("entity_id").alias(out))
+    rows = rows.join(end("skey", "subject_id"), ["chunk_id", "skey"]).join(end("okey", "object_id"), ["chunk_id", "okey"])
+    return rows.drop("skey", "okey").withColumn("relation_id", F.concat_ws("::", "subject_id", "relation_type", "object_id"))
+
+
+def merge_entities(raw: DataFrame) -> dict[str, DataFrame]:
+    """First name and type, all aliases and mentions, last value of each property per entity."""
+    order = [F.col("ord"), F.col("pos")]
+    props = raw.select("entity_id", "ord", "pos", F.explode_outer("properties").alias("key", "value")).where(F.col("key").isNotNull())
+    return {
+        "entities": first_by(raw, ["entity_id"], order, ["entity_id", "entity_type", "name"]),
+        "aliases": exploded(raw, ["entity_id"], "aliases", "alias").distinct(),
+        "properties": props.groupBy("entity_id", "key").agg(F.max_by("value", F.struct("ord", "pos")).alias("value")),
+        "mentions": raw.select("entity_id", "chunk_id", "paper_id").distinct(),
+    }
+
+
+def merge_relations(raw: DataFrame) -> dict[str, DataFrame]:
+    """First confidence and snippet, all evidence per (subject, type, object)."""
+    cols = ["relation_id", "subject_id", "relation_type", "object_id", "confidence", "snippet"]
+    return {
+        "relations": first_by(raw, ["relation_id"], [F.col("ord"), F.col("pos")], cols),
+        "evidence": raw.select("relation_id", "chunk_id", "paper_id").distinct(),
+    }
+
+
+def build_graph(extractions: DataFrame) -> Graph:
+    """All answers to one graph."""
+    entities = raw_entities(extractions)
+    return Graph(
+        **merge_entities(entities), **merge_relations(raw_relations(extractions, entities)),
+        processed=extractions.select("chunk_id").distinct(),
+    )
+
+
+def merge_graphs(stored: Graph, new: Graph) -> Graph:
+    """Stored rows keep their name, type, confidence and snippet; new properties overwrite."""
+    both = {k: stored.tables()[k].withColumn("__age", F.lit(0)).unionByName(new.tables()[k].withColumn("__age", F.lit(1))) for k in stored.tables()}
+    pick = lambda k, keys, order: first_by(both[k], keys, [order]).drop("__age")
+    union = lambda k: both[k].drop("__age").distinct()
+    return Graph(
+        entities=pick("entities", ["entity_id"], F.col("__age")), aliases=union("aliases"),
+        properties=pick("properties", ["entity_id", "key"], -F.col("__age")), mentions=union("mentions"),
+        relations=pick("relations", ["relation_id"], F.col("__age")), evidence=union("evidence"), processed=union("processed"),
+    )
+
+
+def update_graph(stored: Graph, extractions: DataFrame) -> Graph:
+    """Add the answers of chunks that were not processed before."""
+    return merge_graphs(stored, build_graph(extractions.join(stored.processed, "chunk_id", "left_anti")))
+
+
+# ---- structure -----------------------------------------------------------------------------------
+
+
+def graph_stats(graph: Graph) -> DataFrame:
+    """Totals, counts per entity and relation type, papers and chunks covered."""
+    one = lambda df, kind: df.select(F.lit(kind).alias("kind"), "item", "n")
+    count = lambda df, by: df.groupBy(F.col(by).alias("item")).agg(F.count("*").alias("n"))
+    total = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("item"), "n")
+    return (
+        one(total(graph.entities, "entities"), "total").union(one(total(graph.relations, "relations"), "total"))
+        .union(one(total(graph.mentions.select("paper_id").distinct(), "papers"), "total"))
+        .union(one(total(graph.processed, "chunks"), "total"))
+        .union(one(count(graph.entities, "entity_type"), "entity_type")).union(one(count(graph.relations, "relation_type"), "relation_type"))
+    )
+
+
+def degree(relations: DataFrame, collapse: bool = True) -> DataFrame:
+    """Edges per node; parallel edges count once with ``collapse``, a loop counts twice."""
+    edges = relations.select("subject_id", "object_id")
+    edges = edges.distinct() if collapse else edges
+    ends = edges.select(F.explode(F.array("subject_id", "object_id")).alias("entity_id"))
+    return ends.groupBy("entity_id").agg(F.count("*").alias("degree"))
+
+
+def entity_relevance(entities: DataFrame, relations: DataFrame) -> DataFrame:
+    """Degree over the largest degree, 0 for unconnected entities."""
+    d = degree(relations)
+    top = d.agg(F.max("degree")).scalar()
+    out = entities.select("entity_id").join(d, "entity_id", "left")
+    return out.select("entity_id", F.coalesce("degree", F.lit(0)).alias("degree")).withColumn(
+        "relevance", F.when(top > 0, F.col("degree") / top).otherwise(F.lit(0.0))
+    )
+
+
+def induced_edges(relations: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Relations with both ends among the nodes."""
+    side = lambda c: nodes.select(F.col("entity_id").alias(c))
+    return relations.join(side("subject_id"), "subject_id", "left_semi").join(side("object_id"), "object_id", "left_semi")
+
+
+def select_subgraph(
+    entities: DataFrame, relations: DataFrame, top: int = 100, types: list[str] | None = None, mentions: DataFrame | None = None, paper: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The ``top`` best connected entities (of some types, of one paper) and the edges among them."""
+    nodes = entities.where(F.col("entity_type").isin(*types)) if types else entities
+    if paper is not None:
+        nodes = nodes.join(mentions.where(F.col("paper_id") == paper).select("entity_id").distinct(), "entity_id", "left_semi")
+    ranked = nodes.join(degree(relations, collapse=False), "entity_id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    chosen = ranked.orderBy(F.desc("degree"), F.asc("entity_id")).limit(top)
+    return chosen, induced_edges(relations, chosen)
+
+
+def display_attrs(entities: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Size and label of nodes, width of edges."""
+    d = F.coalesce("degree", F.lit(0))
+    nodes = entities.join(degree(relations, collapse=False), "entity_id", "left").select(
+        "entity_id", F.left("name", F.lit(30)).alias("label"), d.alias("degree"), node_size(d).alias("size")
+    )
+    return nodes, relations.select("relation_id", "relation_type", edge_width(F.col("confidence")).alias("width"))
+
+
+def undirected(relations: DataFrame) -> DataFrame:
+    ends = F.array(F.struct(F.col("subject_id").alias("node"), F.col("object_id").alias("next")), F.struct(F.col("object_id").alias("node"), F.col("subject_id").alias("next")))
+    return relations.select(F.explode(ends).alias("x")).select("x.*").distinct()
+
+
+def expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFrame:
+    """One hop: neighbours of ``frontier(seed, node)`` that were not visited from the same seed.
+
+    The frontier goes to the edges when it is small; else edges are salted by their far end, so the
+    edges of a hub are shared between tasks.
+    """
+    step = join_checked(edges, frontier, ["node"], salt=["next"]).select("seed", F.col("next").alias("node")).distinct()
+    return step.join(visited, ["seed", "node"], "left_anti")
+
+
+def neighborhood(relations: DataFrame, seeds: DataFrame, hops: int = 1) -> DataFrame:
+    """Breadth-first search from every seed at once, edges taken both ways: ``seed, node, hop``.
+
+    Each hop is materialised through a checkpoint, so the plan stays short.
+    """
+    edges = undirected(relations)
+    frontier = seeds.select(F.col("entity_id").alias("seed"), F.col("entity_id").alias("node")).distinct()
+    visited = frontier.withColumn("hop", F.lit(0))
+    for hop in range(1, hops + 1):
+        frontier = cut_lineage(expand(frontier, edges, visited.select("seed", "node")))
+        visited = visited.unionByName(frontier.withColumn("hop", F.lit(hop)))
+    return visited
+
+
+def neighborhood_relations(relations: DataFrame, visited: DataFrame) -> DataFrame:
+    """Relations inside the neighbourhood of each seed."""
+    side = lambda c: visited.select("seed", F.col("node").alias(c))
+    first = join_checked(relations, side("subject_id"), ["subject_id"], salt=["relation_id"])
+    return first.join(side("object_id"), ["seed", "object_id"])
+
+
+def entity_papers(mentions: DataFrame, entities: DataFrame | None = None) -> DataFrame:
+    m = mentions.select("entity_id", "paper_id").distinct()
+    return m if entities is None else m.join(entities.select("entity_id").distinct(), "entity_id", "left_semi")
+
+
+def paper_entities(mentions: DataFrame, entities: DataFrame) -> DataFrame:
+    return mentions.select("paper_id", "entity_id").distinct().join(entities, "entity_id")
+
+
+# ---- search --------------------------------------------------------------------------------------
+
+
+def names_of(entities: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Searchable names: the name (``pos`` −1) and the aliases ``(entity_id, pos, alias)``."""
+    main = entities.select("entity_id", F.lit(-1).alias("pos"), F.lower("name").alias("text"))
+    return main.unionByName(aliases.select("entity_id", F.col("pos").cast("int"), F.lower("alias").alias("text")))
+
+
+def grams(text: Column, size: int) -> Column:
+    n = F.length(text)
+    all_grams = F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: F.substring(text, i, F.lit(size)))
+    return F.when(n >= size, F.array_distinct(all_grams))
+
+
+def search_entities(
+    terms: DataFrame, entities: DataFrame, aliases: DataFrame, degrees: DataFrame, types: list[str] | None = None, k: int = 5,
+) -> DataFrame:
+    """Best ``k`` entities for each of ``terms(term_id, term)`` by name: equal 1.0, contained 0.8,
+    else the first alias that is equal 0.9 or contained in 0.7; a hundredth per edge on top.
+
+    "Contains" becomes an equi-join: a name that contains the term contains all its three-letter
+    pieces, so names are listed under their pieces and a term looks up its rarest piece only. The
+    hits are checked in full.
+    """
+    nodes = entities.where(F.col("entity_type").isin(*types)) if types else entities
+    names = names_of(nodes, aliases.join(nodes.select("entity_id"), "entity_id", "left_semi"))
+    t = terms.withColumn("term", F.lower("term")).where(F.length("term") > 0)
+    piece = lambda c: F.coalesce(grams(c, 3), F.array(F.lit(None).cast("string")))
+    listed = exploded(names.select("entity_id", "pos", "text", grams(F.col("text"), 3).alias("g")), ["entity_id", "pos", "text"], "g", "gram")
+    short_terms = t.where(F.length("term") < 3)
+    rarity = listed.groupBy("gram").agg(F.count("*").alias("df"))
+    pieces = exploded(t.where(F.length("term") >= 3).select("term", piece(F.col("term")).alias("g")).distinct(), ["term"], "g", "gram")
+    rare = join_checked(rarity, pieces, ["gram"]).groupBy("term").agg(F.min_by("gram", F.struct("df", "gram")).alias("gram"))
+    hits = join_checked(listed, rare, ["gram"], salt=["entity_id", "pos"], bound=pieces).where(F.col("text").contains(F.col("term")))
+    hits = hits.select("entity_id", "pos", "text", "term")
+    if not short_terms.isEmpty():
+        tiny = names.select("entity_id", "pos", "text", F.array_distinct(F.concat(F.coalesce(grams(F.col("text"), 1), F.array().cast("array<string>")), F.coalesce(grams(F.col("text"), 2), F.array().cast("array<string>")))).alias("g"))
+        tiny = exploded(tiny, ["entity_id", "pos", "text"], "g", "term")
+        hits = hits.unionByName(join_checked(tiny, short_terms.select("term").distinct(), ["term"], salt=["entity_id", "pos"]))
+    equal = F.col("text") == F.col("term")
+    by_name = F.max(F.when(F.col("pos") < 0, F.when(equal, 1.0).otherwise(0.8)))
+    by_alias = F.min_by(F.when(equal, 0.9).otherwise(0.7), F.when(F.col("pos") >= 0, F.col("pos")))
+    best = hits.groupBy("term", "entity_id").agg(F.coalesce(by_name, by_alias).alias("match"))
+    best = best.join(degrees, "entity_id", "left").withColumn("score", F.round(F.col("match") + 0.01 * F.coalesce("degree", F.lit(0)), 6))
+    top = top_k(best, ["term"], [F.desc("score"), F.asc("entity_id")], k).select("term", "entity_id", "score", "rank")
+    return t.join(top, "term")
+
+
+def link_questions(questions: DataFrame, entities: DataFrame, aliases: DataFrame, degrees: DataFrame, most: int = 3) -> DataFrame:
+    """Entities named in each question: phrases in order, the best entity of each, first three."""
+    phrases = questions.select("query_id", F.posexplode(candidate_phrases("question")).alias("pos", "term"))
+    distinct = phrases.select(F.lower("term").alias("term")).distinct().withColumn("term_id", F.col("term"))
+    found = search_entities(distinct, entities, aliases, degrees, k=1).select("term", "entity_id")
+    per = phrases.withColumn("term", F.lower("term")).join(found, "term").groupBy("query_id", "entity_id").agg(F.min("pos").alias("pos"))
+    return top_k(per, ["query_id"], ["pos"], most).select("query_id", "entity_id", "rank")
+
+
+def entity_context(seeds: DataFrame, entities: DataFrame, mentions: DataFrame, relations: DataFrame, hops: int = 1) -> DataFrame:
+    """Lines describing each seed entity for a prompt: ``seed, part, pos, line``.
+
+    A head line, one line per paper that mentions it, one line per relation of its neighbourhood.
+    Rows instead of one text per entity, because a hub has any number of relations.
+    """
+    s = seeds.select(F.col("entity_id").alias("seed")).distinct()
+    head = s.join(entities, F.col("seed") == F.col("entity_id")).select(
+        "seed", F.lit(0).alias("part"), F.lit("").alias("pos"), F.format_string("### Entidad: %s (%s)", "name", "entity_type").alias("line")
+    )
+    papers = join_checked(mentions.withColumnRenamed("entity_id", "seed").select("seed", "paper_id").distinct(), s, ["seed"], "left_semi").select(
+        "seed", F.lit(1).alias("part"), F.col("paper_id").alias("pos"), F.concat(F.lit("Mencionada en: "), "paper_id").alias("line")
+    )
+    inside = neighborhood_relations(relations, neighborhood(relations, seeds, hops))
+    named = inside.join(entities.select(F.col("entity_id").alias("object_id"), F.col("name").alias("object_name")), "object_id", "left")
+    shown = F.when(F.col("object_id") == F.col("seed"), F.col("object_id")).otherwise(F.coalesce("object_name", F.col("object_id")))
+    lines = named.select(
+        "seed", F.lit(2).alias("part"), F.col("relation_id").alias("pos"),
+        F.format_string("  - [%s] %s (%s)  [conf=%.2f]", F.col("relation_type"), shown, F.initcap(F.substring_index("object_id", "::", 1)), F.col("confidence")).alias("line"),
+    )
+    return head.unionByName(papers).unionByName(lines)
+
+
+def graph_search(
+    questions: DataFrame, entities: DataFrame, aliases: DataFrame, mentions: DataFrame, relations: DataFrame, hits: DataFrame, hops: int = 1,
+) -> DataFrame:
+    """Prompt lines per question: the linked entities with their neighbourhood, then the chunks."""
+    # at most three rows per question, read four times below
+    linked = cut_lineage(link_questions(questions, entities, aliases, degree(relations)))
+    lines = entity_context(linked.select("entity_id"), entities, mentions, relations, hops)
+    graph_part = lines.join(linked.withColumnRenamed("entity_id", "seed"), "seed").select(
+        "query_id", F.lit("graph").alias("section"), "rank", "part", "pos", "line"
+    )
+    text_part = hits.select(
+        "query_id", F.lit("chunks").alias("section"), "rank", F.lit(0).alias("part"), F.col("chunk_id").alias("pos"),
+        F.format_string("### Fragmento %d [score=%.3f]", "rank", "score").alias("line"),
+    )
+    return graph_part.unionByName(text_part)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
 
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+
+from scholia.functions.ids import chunk_id
 from scholia.functions.text import clean_page_text, strip
-from scholia.operators.skew import first_by, running_total
+from scholia.operators.skew import first_by, numbered, running_total
 
 
 def filter_pages(pages: DataFrame, least: int = 50) -> tuple[DataFrame, DataFrame]:
@@ -84,9 +88,6 @@ def strip_repeated_lines(pages: DataFrame, least: int = 50) -> DataFrame:
 
 def number_chunks(chunks: DataFrame, pos: str = "pos") -> DataFrame:
     """Index, total and id of the chunks of each document after filtering, in blocks of ``pos``."""
-    from scholia.functions.ids import chunk_id
-    from scholia.operators.skew import numbered
-
     totals = chunks.groupBy("paper_id").agg(F.count("*").alias("total_chunks"))
     out = numbered(chunks, ["paper_id"], pos, "chunk_index").join(totals, "paper_id")
     return out.withColumn("chunk_id", chunk_id("paper_id", "chunk_index"))
@@ -103,25 +104,29 @@ def contextualize(chunks: DataFrame, chars: int = 250) -> DataFrame:
     ).drop("__h")
 
 
+def split_markdown(text: str) -> list[tuple[int, str]]:
+    """Page numbers and texts of one Markdown document."""
+    pages, page = {1: []}, 1
+    for line in text.split("\n"):
+        named = re.match(r"#+\s+Page\s+(\d+)", line, re.IGNORECASE)
+        if re.fullmatch(r"[-*]{3,}", line.strip()):
+            page += 1
+            pages[page] = []
+        elif named:
+            page = int(named.group(1))
+            pages.setdefault(page, [])
+        else:
+            pages[page].append(line)
+    return [(number, "\n".join(lines).strip()) for number, lines in sorted(pages.items())]
+
+
 def markdown_pages(docs: DataFrame, text: str = "text") -> DataFrame:
     """Pages of Markdown text: a rule of dashes or stars starts the next page, a ``# Page n``
-    heading names it; a page named again goes on.
+    heading names it; a page named again goes on. Arrow batches, no shuffle."""
 
-    All inside the row: the running page number is folded over the lines of one document.
-    """
-    lines = F.split(F.col(text), "\n")
-    rule = lambda x: strip(x).rlike(r"^[-*]{3,}$")
-    heading = lambda x: x.rlike(r"(?i)^#+\s+Page\s+[0-9]+")
-    start = F.struct(F.lit(1).cast("bigint").alias("page"), F.array().cast("array<struct<page:bigint,line:string>>").alias("out"))
-
-    def step(acc, x):
-        page = F.when(rule(x), acc["page"] + 1).when(heading(x), F.regexp_extract(x, "[0-9]+", 0).try_cast("bigint")).otherwise(acc["page"])
-        line = F.when(rule(x) | heading(x), F.lit(None).cast("string")).otherwise(x)
-        return F.struct(page.alias("page"), F.concat(acc["out"], F.array(F.struct(page.alias("page"), line.alias("line")))).alias("out"))
-
-    folded = F.aggregate(lines, start, step, lambda acc: F.concat(F.array(F.struct(F.lit(1).cast("bigint").alias("page"), F.lit(None).cast("string").alias("line"))), acc["out"]))
-    d = docs.select("paper_id", folded.alias("f"))
-    numbers = F.array_sort(F.array_distinct(F.transform("f", lambda x: x["page"])))
-    d = d.withColumn("page_number", F.explode(numbers))
-    own = F.transform(F.filter("f", lambda x: (x["page"] == F.col("page_number")) & x["line"].isNotNull()), lambda x: x["line"])
-    return d.select("paper_id", "page_number", strip(F.array_join(own, "\n")).alias("text"))
+    def run(batches):
+        for pdf in batches:
+            rows = [(p, n, t) for p, body in zip(pdf["paper_id"], pdf["text"]) for n, t in split_markdown(body or "")]
+            yield pd.DataFrame(rows, columns=["paper_id", "page_number", "text"])
+
+    return docs.select("paper_id", F.col(text).alias("text")).mapInPandas(run, "paper_id string, page_number bigint, text string")

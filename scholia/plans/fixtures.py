@@ -225,7 +225,7 @@ def extractions(t: Tables) -> DataFrame:
         F.concat("p_name", F.lit(" "), F.col("l_partkey").cast("string")).alias("name"),
         F.when(F.col("l_partkey") % 7 == 0, "Unknown").otherwise("Species").alias("type"),
         F.array(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("aliases"),
-        F.create_map(F.lit("kind"), F.col("p_type")).alias("properties"),
+        F.struct(F.col("p_type").alias("kind")).alias("properties"),
     )
     rel = F.struct(
         F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias("subject"),
@@ -243,7 +243,7 @@ def extractions(t: Tables) -> DataFrame:
         F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias("name"),
         F.lit("Author").alias("type"),
         F.array(F.concat(F.lit("C"), F.col("o_custkey").cast("string"))).alias("aliases"),
-        F.create_map(F.lit("kind"), F.lit("customer")).alias("properties"),
+        F.struct(F.lit("customer").alias("kind")).alias("properties"),
     )
     body = F.to_json(F.struct(F.concat(F.array(customer), F.col("parts")).alias("entities"), F.col("rels").alias("relations")))
     raw = (
