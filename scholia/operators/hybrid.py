@@ -183,10 +183,10 @@ def low_quality(hits: DataFrame, queries: DataFrame, requested: bool = False) ->
     )
 
 
-def retrieval_probe(hits: DataFrame, expected: DataFrame, k: int = fixed.TOP_K) -> DataFrame:
+def retrieval_probe(hits: DataFrame, expected: DataFrame, channels: list[str], k: int = fixed.TOP_K) -> DataFrame:
     """Rank of the expected chunk per question and channel, and whether it is in the top ``k``."""
     match = hits.join(expected, ["query_id", "chunk_id"]).groupBy("channel", "query_id").agg(F.min("rank").alias("rank"))
-    grid = hits.select("channel").distinct().withColumn("__j", F.lit(1)).join(expected.withColumn("__j", F.lit(1)), "__j").drop("__j")
+    grid = expected.withColumn("channel", F.explode(F.lit(channels)))
     return grid.join(match, ["channel", "query_id"], "left").withColumn("found", F.coalesce(F.col("rank") <= k, F.lit(False)))
 
 

@@ -153,6 +153,30 @@ NEEDS: dict[str, list[str]] = {
 }
 
 
+def bm25(prefix: str, source: str, queries: str = "questions") -> dict[str, str]:
+    """Keyword ranking over another chunk expression: ``{prefix}_ranked``."""
+    p = prefix
+    return {
+        f"{p}_tok": f"SELECT seq, chunk_id, regexp_extract_all(lower(text), '[a-zA-Záéíóúñüà-ÿ0-9]+') AS toks FROM {source}",
+        f"{p}_corpus": f"SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM {p}_tok",
+        f"{p}_post": f"SELECT seq, chunk_id, dl, term, count(*) AS tf FROM (SELECT seq, chunk_id, len(toks) AS dl, unnest(toks) AS term FROM {p}_tok) GROUP BY ALL",
+        f"{p}_raw": f"SELECT term, ln(any_value(n) - count(*) + 0.5) - ln(count(*) + 0.5) AS raw FROM {p}_post, {p}_corpus GROUP BY term",
+        f"{p}_idf": f"SELECT term, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM {p}_raw) ELSE raw END AS idf FROM {p}_raw",
+        f"{p}_qt": f"SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, unnest(regexp_extract_all(lower(question), '[a-zA-Záéíóúñüà-ÿ0-9]+')) AS term FROM {queries}) GROUP BY ALL",
+        f"{p}_scores": f"""SELECT query_id, chunk_id, seq, round(sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 9) AS score
+            FROM {p}_qt JOIN {p}_post USING (term) JOIN {p}_idf USING (term), {p}_corpus GROUP BY query_id, chunk_id, seq""",
+        f"{p}_ranked": f"SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, seq) AS rank FROM {p}_scores",
+    }
+
+
+def vector(prefix: str, source: str, queries: str = "question_vectors") -> dict[str, str]:
+    """Vector ranking over a chunk expression: ``{prefix}_ranked``."""
+    return {
+        f"{prefix}_ranked": f"""SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, seq) AS rank FROM (
+            SELECT query_id, chunk_id, seq, round((list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) + 1) / 2, 9) AS score FROM {queries} q, {source} v)""",
+    }
+
+
 def fx(names: str, body: str, **extra: str) -> str:
     """``body`` behind the named expressions (and what they need) plus further ones."""
     order: list[str] = []
