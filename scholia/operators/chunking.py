@@ -6,6 +6,7 @@ one document, Spark does the rest.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -41,19 +42,20 @@ def cut_point(text: str, target: int, reach: int, on_paragraph: bool) -> int:
 
 
 def sliding_windows(
-    pieces: Iterable[str], size: int, overlap: int, least: int, on_paragraph: bool
+    pieces: Iterable[str], size: int, overlap: int, least: int, on_paragraph: bool, trim: bool = False
 ) -> Iterator[tuple[int, int, str]]:
     """``(start, end, text)`` of the windows over a document that arrives in pieces.
 
     Only the text a window can still touch is kept, so memory does not grow with the document. A
-    window is final once solid text lies beyond everything its cut may look at.
+    window is final once solid text lies beyond everything its cut may look at. ``trim`` ignores
+    white space at the end of the document.
     """
     buf, base, start = "", 0, 0
 
     def advance(total: int | None) -> Iterator[tuple[int, int, str]]:
         nonlocal start
         solid = base + len(buf.rstrip())
-        while start < solid if total is not None else start + size + overlap // 2 < solid:
+        while start < total if total is not None else start + size + overlap // 2 < solid:
             end = start + size
             if total is not None and end >= total:
                 end = total
@@ -75,7 +77,7 @@ def sliding_windows(
         yield from advance(None)
         keep = max(0, start - overlap - base)
         buf, base = buf[keep:], base + keep
-    total = base + len(buf.rstrip())
+    total = base + len(buf.rstrip() if trim else buf)
     if total >= least:
         yield from advance(total)
 
@@ -115,11 +117,9 @@ def chunk_pages(pages: DataFrame, size: int = 2000, overlap: int = 200, least: i
             for pdf in batches:
                 yield from zip(pdf["paper_id"], pdf["text"])
 
-        import itertools
-
         out = []
         for pid, group in itertools.groupby(rows(), key=lambda r: r[0]):
-            windows = sliding_windows((text + "\n\n" for _, text in group), size, overlap, least, on_paragraph)
+            windows = sliding_windows((text + "\n\n" for _, text in group), size, overlap, least, on_paragraph, trim=True)
             for i, window in enumerate(windows):
                 out.append((pid, i, *window))
                 if len(out) >= 1000:
