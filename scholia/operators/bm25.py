@@ -13,7 +13,7 @@ from scholia.operators.skew import join_checked, top_k
 
 @dataclass
 class Bm25Index:
-    """``ids(chunk_id, seq)``, ``postings(seq, dl, term, tf)``, ``terms(term, df, idf)`` and the
+    """``ids(chunk_id, seq, dl)``, ``postings(seq, dl, term, tf)``, ``terms(term, df, idf)`` and the
     one-row ``corpus(n, avgdl)``. Chunks are known by their number here; names come last."""
 
     ids: DataFrame
@@ -43,10 +43,15 @@ def bm25_index(
     """
     placed = chunks.select("seq", tokenize(text).alias("tokens")).repartition("seq")
     placed = placed.withColumn("dl", F.size("tokens").cast("bigint"))
-    corpus = placed.agg(F.count("*").alias("n"), (F.sum("dl") / F.count("*")).alias("avgdl"))
+    corpus = corpus_stats(placed)
     postings = exploded(placed, ["seq", "dl"], "tokens", "term").groupBy("seq", "dl", "term").agg(F.count("*").alias("tf"))
     terms = term_stats(postings, corpus, epsilon)
-    return Bm25Index(chunks.select("chunk_id", "seq"), postings, terms, corpus, k1, b)
+    ids = chunks.select("chunk_id", "seq", F.size(tokenize(text)).cast("bigint").alias("dl"))
+    return Bm25Index(ids, postings, terms, corpus, k1, b)
+
+
+def corpus_stats(lengths: DataFrame) -> DataFrame:
+    return lengths.agg(F.count("*").alias("n"), (F.sum("dl") / F.count("*")).alias("avgdl"))
 
 
 def term_stats(postings: DataFrame, corpus: DataFrame, epsilon: float = fixed.BM25_EPSILON) -> DataFrame:
@@ -85,4 +90,4 @@ def bm25_scores(index: Bm25Index, queries: DataFrame, text: str = "question") ->
 def bm25_search(index: Bm25Index, queries: DataFrame, k: int = 20, text: str = "question") -> DataFrame:
     """The ``k`` best chunks per question; those with no positive score are dropped afterwards."""
     hits = top_k(bm25_scores(index, queries, text), ["query_id"], [F.desc("score"), F.asc("seq")], k)
-    return hits.where(F.col("score") > 0).join(index.ids, "seq").select("query_id", "chunk_id", "seq", "score", "rank")
+    return hits.where(F.col("score") > 0).join(index.ids.select("seq", "chunk_id"), "seq").select("query_id", "chunk_id", "seq", "score", "rank")

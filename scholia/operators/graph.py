@@ -127,10 +127,11 @@ def merge_relations(raw: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_graph(extractions: DataFrame) -> Graph:
-    """All answers to one graph."""
-    entities = raw_entities(extractions)
+    """All answers to one graph. The parsed rows feed seven tables, so they are written once."""
+    entities = cut_lineage(raw_entities(extractions))
+    relations = cut_lineage(raw_relations(extractions, entities))
     return Graph(
-        **merge_entities(entities), **merge_relations(raw_relations(extractions, entities)),
+        **merge_entities(entities), **merge_relations(relations),
         processed=extractions.select("chunk_id").distinct(),
     )
 

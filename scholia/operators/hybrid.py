@@ -16,6 +16,7 @@ from scholia.functions.text import first_doi, table_score
 from scholia.operators.bm25 import Bm25Index, bm25_search
 from scholia.operators.skew import join_checked, top_k
 from scholia.operators.vector import min_score, vector_search
+from scholia.session import cut_lineage
 
 
 def normalize_scores(hits: DataFrame, score: str = "score") -> DataFrame:
@@ -44,9 +45,10 @@ def rrf_fuse(lists: list[DataFrame], weights: list[float], k0: int = fixed.RRF_K
 def hydrate(hits: DataFrame, chunks: DataFrame) -> DataFrame:
     """Fetch the chunk records of the hits; ids without a record disappear.
 
-    The corpus stays in place: the few hit ids travel to it (after a count), or the join is
-    salted by chunk.
+    The hits (a few rows per question) are written once, counted, and travel to the corpus, which
+    stays in place; beyond the bound both sides are joined by id.
     """
+    hits = cut_lineage(hits)
     extra = [c for c in chunks.columns if c not in hits.columns or c == "chunk_id"]
     return join_checked(chunks.select(*extra), hits, ["chunk_id"]).select(
         *hits.columns, *[c for c in extra if c != "chunk_id"]
@@ -104,13 +106,18 @@ def hybrid_search(
     lists, weights = [semantic, keyword], [fixed.SEMANTIC_WEIGHT, fixed.KEYWORD_WEIGHT]
     tables = None
     if table_chunks is not None:
-        tables = table_channel(
-            bm25_search(table_index, queries, fixed.TABLE_CANDIDATES),
-            vector_search(table_chunks, queries, fixed.TABLE_CANDIDATES),
+        # at most 80 rows per question, read by the fusion and by the reserved slots
+        tables = cut_lineage(
+            table_channel(
+                bm25_search(table_index, queries, fixed.TABLE_CANDIDATES),
+                vector_search(table_chunks, queries, fixed.TABLE_CANDIDATES),
+            )
         )
         lists.append(tables)
         weights.append(fixed.TABLE_WEIGHT)
     fused = min_score(rrf_fuse(lists, weights), least)
+    if tables is not None:
+        fused = cut_lineage(fused)
     if tables is None:
         return fused.where(F.col("rank") <= k).withColumn("reserved", F.lit(False)).withColumnRenamed("rank", "fused_rank").withColumn("rank", F.col("fused_rank"))
     return reserve_slots(fused, tables, k)

@@ -89,8 +89,8 @@ def join_checked(
         return big.join(F.broadcast(small), on, how)
     if not salt:
         return big.join(small, on, how)
-    left = big.withColumn("__salt", F.pmod(F.xxhash64(*salt), F.lit(salts)))
-    right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    left = big.withColumn("__salt", F.pmod(F.xxhash64(*salt), F.lit(salts)).cast("int"))
+    right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 

@@ -97,7 +97,7 @@ HYBRID = {"marked": MARKED, **vector("v", "marked"), **bm25("k", "marked", "ques
 
 @query("r03_rrf_fuse", sql("hybrid_chunks question_vectors", "SELECT query_id, chunk_id, rank, round(score, 6)::DOUBLE AS score FROM fused", **HYBRID, fused=RRF.format(lists=TWO_LISTS)))
 def r03(t: Tables) -> DataFrame:
-    c, q = marked_hybrid(t), fx.question_vectors(t)
+    c, q = cut_lineage(marked_hybrid(t)), fx.question_vectors(t)
     fused = H.rrf_fuse([vector_search(c, q, 30), bm25_search(bm25_index(c), q, 30)], [0.6, 0.4])
     return ranked(fused, "query_id", "chunk_id", "rank", "score")
 
@@ -117,20 +117,20 @@ CHANNEL = {
 
 
 def channel(t: Tables, c: DataFrame, q: DataFrame) -> DataFrame:
-    tables = H.filter_table_chunks(c)
+    tables = cut_lineage(H.filter_table_chunks(c))
     return H.table_channel(bm25_search(bm25_index(tables), q, 80), vector_search(tables, q, 80))
 
 
 @query("r04_table_channel", sql("hybrid_chunks question_vectors", "SELECT query_id, chunk_id, rank, round(bm25, 6) AS bm25, round(inner_score, 9) AS inner_score FROM channel", marked=MARKED, **CHANNEL))
 def r04(t: Tables) -> DataFrame:
-    out = channel(t, marked_hybrid(t), fx.question_vectors(t))
+    out = channel(t, cut_lineage(marked_hybrid(t)), fx.question_vectors(t))
     return out.select("query_id", "chunk_id", F.col("rank").cast("bigint").alias("rank"), F.round("bm25", 6).alias("bm25"), F.round("inner_score", 9).alias("inner_score"))
 
 
 @query("j10_semantic_gate", sql("hybrid_chunks question_vectors", """
 SELECT s.query_id, s.chunk_id, s.rank FROM tv_ranked s SEMI JOIN (SELECT query_id, chunk_id FROM tk_ranked WHERE rank <= 80 AND score >= 5) g ON s.query_id = g.query_id AND s.chunk_id = g.chunk_id WHERE s.rank <= 80""", marked=MARKED, **CHANNEL))
 def j10(t: Tables) -> DataFrame:
-    tables, q = H.filter_table_chunks(marked_hybrid(t)), fx.question_vectors(t)
+    tables, q = cut_lineage(H.filter_table_chunks(marked_hybrid(t))), fx.question_vectors(t)
     gate = min_score(bm25_search(bm25_index(tables), q, 80), 5.0)
     return ranked(vector_search(tables, q, 80).join(gate, ["query_id", "chunk_id"], "left_semi"), "query_id", "chunk_id", "rank")
 
@@ -144,15 +144,15 @@ FULL = {**HYBRID, **CHANNEL, "fused": RRF.format(lists=THREE_LISTS), "slotted":
 
 @query("r05_reserve_slots", sql("hybrid_chunks question_vectors", "SELECT query_id, chunk_id, final_rank AS rank, reserved, round(score, 6)::DOUBLE AS score FROM slotted WHERE final_rank <= 8", **FULL))
 def r05(t: Tables) -> DataFrame:
-    c, q = marked_hybrid(t), fx.question_vectors(t)
+    c, q = cut_lineage(marked_hybrid(t)), fx.question_vectors(t)
     tables = cut_lineage(channel(t, c, q))
-    fused = H.rrf_fuse([vector_search(c, q, 30), bm25_search(bm25_index(c), q, 30), tables], [0.6, 0.4, 0.5])
+    fused = cut_lineage(H.rrf_fuse([vector_search(c, q, 30), bm25_search(bm25_index(c), q, 30), tables], [0.6, 0.4, 0.5]))
     return ranked(H.reserve_slots(fused, tables, 8), "query_id", "chunk_id", "rank", "reserved", "score")
 
 
 def hybrid_hits(t: Tables) -> DataFrame:
-    c, q = marked_hybrid(t), fx.question_vectors(t)
-    tables = H.filter_table_chunks(c)
+    c, q = cut_lineage(marked_hybrid(t)), fx.question_vectors(t)
+    tables = cut_lineage(H.filter_table_chunks(c))
     return H.hybrid_search(c, bm25_index(c), q, table_chunks=tables, table_index=bm25_index(tables))
 
 
@@ -235,7 +235,7 @@ LEFT JOIN (SELECT 'keyword' AS channel, query_id, chunk_id, rank FROM k_ranked W
     **HYBRID))
 def r10(t: Tables) -> DataFrame:
     """The expected chunk of a question is the first one that carries the question's own vector."""
-    c, q = marked_hybrid(t), fx.question_vectors(t)
+    c, q = cut_lineage(marked_hybrid(t)), fx.question_vectors(t)
     n = t.embeddings.agg(F.count("*")).scalar()
     own = c.select("chunk_id", "seq", F.pmod("seq", n).alias("query_id")).join(q.select("query_id"), "query_id")
     expected = own.groupBy("query_id").agg(F.min_by("chunk_id", "seq").alias("chunk_id"))
@@ -247,7 +247,7 @@ def r10(t: Tables) -> DataFrame:
 @query("r10_table_contamination", sql("hybrid_chunks question_vectors", f"""
 SELECT query_id, sum(CASE WHEN {TABLE_SCORE} >= 1 THEN 1 ELSE 0 END)::BIGINT AS table_hits, count(*) AS n_hits FROM v_ranked JOIN marked USING (chunk_id) WHERE rank <= 8 GROUP BY query_id""", **HYBRID))
 def r10_tables(t: Tables) -> DataFrame:
-    c = marked_hybrid(t)
+    c = cut_lineage(marked_hybrid(t))
     return H.table_contamination(H.hydrate(vector_search(c, fx.question_vectors(t), 8), c.select("chunk_id", "text")))
 
 

@@ -52,9 +52,14 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise reliably, so an iteration survives the loss of an executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a table to the shared folder and read it back.
+
+    An iteration then starts from files every executor can read, so it survives the loss of any of
+    them, its plan stays short, and later readers prune columns.
+    """
+    path = work_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parallelism(spark: SparkSession) -> int:

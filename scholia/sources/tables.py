@@ -6,7 +6,7 @@ from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholia.operators.bm25 import Bm25Index
+from scholia.operators.bm25 import Bm25Index, corpus_stats, term_stats
 from scholia.operators.graph import Graph
 
 
@@ -25,9 +25,12 @@ def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def write_postings(index: Bm25Index, path: str) -> None:
     """Index tables. Postings are laid out by (term, chunk): a lookup reads few row groups, and a
     term found everywhere is spread over files instead of filling one."""
+    read = index.postings.sparkSession.read.parquet
+    index.ids.write.mode("overwrite").parquet(f"{path}/ids")
     index.postings.repartitionByRange("term", "seq").sortWithinPartitions("term", "seq").write.mode("overwrite").parquet(f"{path}/postings")
-    for name in ("ids", "terms", "corpus"):
-        getattr(index, name).write.mode("overwrite").parquet(f"{path}/{name}")
+    corpus_stats(read(f"{path}/ids")).write.mode("overwrite").parquet(f"{path}/corpus")
+    # statistics come from the written tables: the texts are tokenised twice, not four times
+    term_stats(read(f"{path}/postings"), read(f"{path}/corpus")).write.mode("overwrite").parquet(f"{path}/terms")
 
 
 def read_postings(spark: SparkSession, path: str, terms: list[str] | None = None) -> Bm25Index:

@@ -83,6 +83,7 @@ def progress_metrics(events: DataFrame, total: int | None = None, pos: str = "ev
 
     ``pos`` is the integer order of events; running totals go in blocks, not through one window.
     """
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     first = events.agg(F.min(ts)).scalar()
     n = F.lit(total) if total is not None else events.agg(F.count("*")).scalar()
     e = running_total(events, [], pos, F.lit(1).cast("bigint"), "before")
