@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from scholia import fixed
 from scholia.functions.text import tokenize
 from scholia.operators.skew import join_checked, top_k
+from scholia.operators.vector import HITS, TopK
+
+QUESTIONS_PER_SCAN = 2000
+SCORE_CELLS = 4_000_000
 
 
 @dataclass
 class Bm25Index:
-    """``ids(chunk_id, seq, dl)``, ``postings(seq, dl, term, tf)``, ``terms(term, df, idf)`` and the
-    one-row ``corpus(n, avgdl)``. Chunks are known by their number here; names come last."""
+    """``terms(term, df, idf)`` and the one-row ``corpus(n, avgdl)`` over ``bags(chunk_id, seq,
+    tokens)`` (one row per chunk), or over the inverted form ``ids(chunk_id, seq, dl)`` and
+    ``postings(seq, dl, term, tf)`` (what is saved and loaded)."""
 
     ids: DataFrame
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
+    bags: DataFrame | None = None
     k1: float = fixed.BM25_K1
     b: float = fixed.BM25_B
 
@@ -34,20 +45,21 @@ def bm25_index(
     chunks: DataFrame, text: str = "text", *,
     k1: float = fixed.BM25_K1, b: float = fixed.BM25_B, epsilon: float = fixed.BM25_EPSILON,
 ) -> Bm25Index:
-    """Index tables of a chunk table (``chunk_id``, unique ``seq``, text).
+    """Index of a chunk table (``chunk_id``, unique ``seq``, text), all lazy.
 
-    Rows are placed by chunk once; counting term frequencies and later summing scores per chunk
-    then need no further shuffle, and the statistics read the same exchange. Document frequencies
-    are pre-aggregated before their shuffle, so a term that occurs everywhere costs one row per
-    task.
+    The statistics take one scan: each chunk counts its distinct terms, and a null term stands for
+    the chunk itself, so document frequencies, corpus size and total length come out of the same
+    pre-aggregated count. No text is shuffled; a term that occurs everywhere costs a row per task.
     """
-    placed = chunks.select("seq", tokenize(text).alias("tokens")).repartition("seq")
-    placed = placed.withColumn("dl", F.size("tokens").cast("bigint"))
-    corpus = corpus_stats(placed)
+    bags = chunks.select("chunk_id", "seq", tokenize(text).alias("tokens"))
+    sized = bags.withColumn("dl", F.size("tokens").cast("bigint"))
+    per_chunk = F.concat(F.array_distinct("tokens"), F.array(F.lit(None).cast("string")))
+    counts = sized.select("dl", F.explode_outer(per_chunk).alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("dl").alias("length"))
+    corpus = counts.where(F.col("term").isNull()).agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n"), (F.sum("length") / F.sum("df")).alias("avgdl"))
+    terms = term_idf(counts.where(F.col("term").isNotNull()).select("term", "df"), corpus, epsilon)
+    placed = sized.repartition("seq")
     postings = exploded(placed, ["seq", "dl"], "tokens", "term").groupBy("seq", "dl", "term").agg(F.count("*").alias("tf"))
-    terms = term_stats(postings, corpus, epsilon)
-    ids = chunks.select("chunk_id", "seq", F.size(tokenize(text)).cast("bigint").alias("dl"))
-    return Bm25Index(ids, postings, terms, corpus, k1, b)
+    return Bm25Index(sized.select("chunk_id", "seq", "dl"), postings, terms, corpus, bags, k1, b)
 
 
 def corpus_stats(lengths: DataFrame) -> DataFrame:
@@ -55,8 +67,11 @@ def corpus_stats(lengths: DataFrame) -> DataFrame:
 
 
 def term_stats(postings: DataFrame, corpus: DataFrame, epsilon: float = fixed.BM25_EPSILON) -> DataFrame:
-    """Document frequency and idf; a negative idf becomes ``epsilon`` times the mean idf."""
-    df = postings.groupBy("term").agg(F.count("*").alias("df"))
+    return term_idf(postings.groupBy("term").agg(F.count("*").alias("df")), corpus, epsilon)
+
+
+def term_idf(df: DataFrame, corpus: DataFrame, epsilon: float) -> DataFrame:
+    """Inverse document frequency; a negative one becomes ``epsilon`` times the mean."""
     n = corpus.select(F.col("n").cast("double")).scalar()
     raw = df.withColumn("raw", F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     floor = raw.agg((F.avg("raw") * epsilon).alias("floor")).scalar()
@@ -87,7 +102,63 @@ def bm25_scores(index: Bm25Index, queries: DataFrame, text: str = "question") ->
     return hits.groupBy("query_id", "seq").agg(F.round(F.sum(part), 9).alias("score"))
 
 
-def bm25_search(index: Bm25Index, queries: DataFrame, k: int = 20, text: str = "question") -> DataFrame:
-    """The ``k`` best chunks per question; those with no positive score are dropped afterwards."""
+def _score_task(block, k: int, k1: float, b: float, avgdl: float):
+    """Token lists in, the task's own top k per question out: a sparse product per batch."""
+
+    def run(batches):
+        qids, vocabulary, first, question, weight = block.value
+        top = TopK(k)
+        step = max(1, SCORE_CELLS // max(1, len(qids)))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                lists = batch.column("tokens")
+                length = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+                term = pc.index_in(lists.flatten(), vocabulary).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+                chunk = np.repeat(np.arange(len(length)), length)[term >= 0]
+                key, tf = np.unique(chunk * len(vocabulary) + term[term >= 0], return_counts=True)
+                chunk, term = np.divmod(key, max(1, len(vocabulary)))
+                impact = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[chunk] / avgdl))
+                fan = first[term + 1] - first[term]
+                place = np.repeat(first[term] - np.r_[0, np.cumsum(fan)[:-1]], fan) + np.arange(fan.sum()) if len(fan) else np.zeros(0, np.int64)
+                cell = question[place] * len(length) + np.repeat(chunk, fan)
+                scores = np.bincount(cell, weight[place] * np.repeat(impact, fan), len(qids) * len(length))
+                scores = np.round(scores.reshape(len(qids), len(length)), 9)
+                top.add(scores, batch.column("seq").to_numpy(zero_copy_only=False), batch.column("chunk_id"), above=0.0)
+        yield from top.batches(qids)
+
+    return run
+
+
+def _scan_search(index: Bm25Index, queries: DataFrame, k: int, text: str, per_scan: int) -> DataFrame:
+    """Score all chunks where they lie; only k rows per question and task are shuffled."""
+    spark = queries.sparkSession
+    wanted = query_terms(queries, text)
+    n_blocks = max(1, math.ceil(queries.select("query_id").distinct().count() / per_scan))
+    avgdl = float(index.corpus.first()["avgdl"] or 1.0)
+    corpus = index.bags.select("chunk_id", F.col("seq").cast("bigint").alias("seq"), "tokens")
+    found = []
+    for number in range(n_blocks):
+        part = wanted if n_blocks == 1 else wanted.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == number)
+        table = join_checked(index.terms, part, ["term"]).select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")).toArrow()
+        qids, question = np.unique(table.column("query_id").to_numpy(), return_inverse=True)
+        coded = table.column("term").combine_chunks().dictionary_encode()
+        term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.argsort(term, kind="stable")
+        first = np.searchsorted(term[order], np.arange(len(coded.dictionary) + 1))
+        block = (qids.astype(np.int64), coded.dictionary, first, question[order], table.column("weight").to_numpy()[order])
+        found.append(corpus.mapInArrow(_score_task(spark.sparkContext.broadcast(block), k, index.k1, index.b, avgdl), HITS))
+    return top_k(reduce(DataFrame.unionByName, found), ["query_id"], [F.desc("score"), F.asc("seq")], k)
+
+
+def bm25_search(index: Bm25Index, queries: DataFrame, k: int = 20, text: str = "question", per_scan: int = QUESTIONS_PER_SCAN) -> DataFrame:
+    """The ``k`` best chunks per question, none without a positive score.
+
+    Over token lists every task multiplies its chunks with the weighted questions (sent in blocks
+    of at most ``per_scan`` questions) and keeps its own k best; no (question, chunk) table exists.
+    Over saved postings the question terms are joined to the postings.
+    """
+    if index.bags is not None:
+        return _scan_search(index, queries, k, text, per_scan)
     hits = top_k(bm25_scores(index, queries, text), ["query_id"], [F.desc("score"), F.asc("seq")], k)
     return hits.where(F.col("score") > 0).join(index.ids.select("seq", "chunk_id"), "seq").select("query_id", "chunk_id", "seq", "score", "rank")

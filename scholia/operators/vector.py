@@ -35,38 +35,51 @@ def _best(rows, scores, seqs, ids, k):
     return rows[keep], scores[keep], seqs[keep], ids[keep]
 
 
+class TopK:
+    """The k best (chunk, score) per question over the batches one task has seen."""
+
+    def __init__(self, k: int):
+        self.k, self.state = k, None
+
+    def add(self, scores: np.ndarray, seq: np.ndarray, ids: pa.Array, above: float = -np.inf) -> None:
+        """``scores`` has one row per question and one column per chunk."""
+        wanted = scores > above
+        if scores.shape[1] > self.k:
+            wanted &= scores >= -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1 : self.k]
+        rows, cols = np.nonzero(wanted)
+        names = np.asarray(ids.to_pylist(), dtype=object)
+        new = (rows, scores[rows, cols], seq[cols], names[cols])
+        if self.state is not None:
+            new = tuple(np.concatenate(pair) for pair in zip(self.state, new))
+        self.state = _best(*new, self.k)
+
+    def batches(self, qids: np.ndarray):
+        if self.state is not None and len(self.state[0]):
+            rows, scores, seqs, ids = self.state
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "query_id": pa.array(qids[rows], pa.int64()), "chunk_id": pa.array(ids.tolist(), pa.string()),
+                    "seq": pa.array(seqs, pa.int64()), "score": pa.array(scores, pa.float64()),
+                }
+            )
+
+
+HITS = "query_id bigint, chunk_id string, seq bigint, score double"
+
+
 def _search_task(query_block, k, metric):
     """Arrow batches in, the task's own top k per question out."""
 
     def run(batches):
         qids, q = query_block.value
-        state = None
+        top = TopK(k)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            m = to_matrix(batch.column("embedding"))
-            cos = q @ m.T
+            cos = q @ to_matrix(batch.column("embedding")).T
             sim = (cos + 1.0) / 2.0 if metric == "cosine" else 1.0 / (1.0 + (2.0 - 2.0 * cos))
-            sim = np.round(sim, 9)
-            if sim.shape[1] > k:
-                edge = -np.partition(-sim, k - 1, axis=1)[:, k - 1 : k]
-                rows, cols = np.nonzero(sim >= edge)
-            else:
-                rows, cols = np.nonzero(np.ones_like(sim, dtype=bool))
-            seq = batch.column("seq").to_numpy(zero_copy_only=False)
-            ids = np.asarray(batch.column("chunk_id").to_pylist(), dtype=object)
-            new = (rows, sim[rows, cols], seq[cols], ids[cols])
-            if state is not None:
-                new = tuple(np.concatenate(pair) for pair in zip(state, new))
-            state = _best(*new, k)
-        if state is not None:
-            rows, scores, seqs, ids = state
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "query_id": pa.array(qids[rows], pa.int64()), "chunk_id": pa.array(ids.tolist(), pa.string()),
-                    "seq": pa.array(seqs, pa.int64()), "score": pa.array(scores, pa.float64()),
-                }
-            )
+            top.add(np.round(sim, 9), batch.column("seq").to_numpy(zero_copy_only=False), batch.column("chunk_id"))
+        yield from top.batches(qids)
 
     return run
 
@@ -96,11 +109,7 @@ def vector_search(
             continue
         qids = table.column("query_id").to_numpy().astype(np.int64)
         matrix = spark.sparkContext.broadcast((qids, to_matrix(table.column("embedding"))))
-        found.append(
-            corpus.mapInArrow(
-                _search_task(matrix, k, metric), "query_id bigint, chunk_id string, seq bigint, score double"
-            )
-        )
+        found.append(corpus.mapInArrow(_search_task(matrix, k, metric), HITS))
     if not found:
         return corpus.limit(0).select(
             F.lit(0).cast("bigint").alias("query_id"), "chunk_id", "seq", F.lit(0.0).alias("score"), F.lit(0).alias("rank")
