@@ -15,6 +15,7 @@ from scholia import fixed
 from scholia.functions.text import tokenize
 from scholia.operators.skew import join_checked, top_k
 from scholia.operators.vector import HITS, TopK
+from scholia.session import cut_lineage
 
 QUESTIONS_PER_SCAN = 2000
 SCORE_CELLS = 4_000_000
@@ -45,9 +46,9 @@ def bm25_index(
     chunks: DataFrame, text: str = "text", *,
     k1: float = fixed.BM25_K1, b: float = fixed.BM25_B, epsilon: float = fixed.BM25_EPSILON,
 ) -> Bm25Index:
-    """Index of a chunk table (``chunk_id``, unique ``seq``, text), all lazy.
+    """Index of a chunk table (``chunk_id``, unique ``seq``, text).
 
-    The statistics take one scan: each chunk counts its distinct terms, and a null term stands for
+    The statistics take one scan and are written at once (one row per distinct term): each chunk counts its distinct terms, and a null term stands for
     the chunk itself, so document frequencies, corpus size and total length come out of the same
     pre-aggregated count. No text is shuffled; a term that occurs everywhere costs a row per task.
     """
@@ -55,6 +56,7 @@ def bm25_index(
     sized = bags.withColumn("dl", F.size("tokens").cast("bigint"))
     per_chunk = F.concat(F.array_distinct("tokens"), F.array(F.lit(None).cast("string")))
     counts = sized.select("dl", F.explode_outer(per_chunk).alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("dl").alias("length"))
+    counts = cut_lineage(counts)
     corpus = counts.where(F.col("term").isNull()).agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n"), (F.sum("length") / F.sum("df")).alias("avgdl"))
     terms = term_idf(counts.where(F.col("term").isNotNull()).select("term", "df"), corpus, epsilon)
     placed = sized.repartition("seq")
