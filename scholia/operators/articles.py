@@ -5,14 +5,14 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from scholia import fixed
 from scholia.functions import records as R
 from scholia.functions.ids import safe_species
 from scholia.functions.text import normalize_title, squeeze, strip
-from scholia.operators.skew import count_distinct_by, first_by, numbered, top_k
+from scholia.operators.skew import first_by, numbered, top_k
 from scholia.session import spread
 
 # ---- filters ---------------------------------------------------------------------------------

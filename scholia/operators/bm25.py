@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 

@@ -20,8 +20,10 @@ from pyspark.sql.functions import pandas_udf
 from scholia.functions.ids import chunk_id
 from scholia.functions.text import strip
 from scholia.functions.vectors import dot, norm
-from scholia.operators.pages import assign_pages, page_offsets
+from scholia.operators.articles import enrich_chunks, pending
+from scholia.operators.pages import assign_pages, clean_pages, page_offsets, strip_repeated_lines
 from scholia.operators.skew import numbered
+from scholia.session import cut_lineage
 
 CHUNK = "paper_id string, chunk_index bigint, char_start bigint, char_end bigint, text string"
 
@@ -349,16 +351,14 @@ def index_documents(
     docs: DataFrame, registry: DataFrame | None = None, done: DataFrame | None = None, *, extractor=text_pages, encoder=None, size: int = 2000, overlap: int = 200, least: int = 100,
     least_page: int = 50,
 ) -> tuple[DataFrame, DataFrame]:
-    """The whole build from binary documents to embedded chunks, as one lazy plan, and its failures.
+    """The whole build from binary documents to embedded chunks, and its failures.
 
     Skips documents already indexed, extracts and cleans pages, removes running lines, cuts windows,
     adds bibliographic fields, embeds. Chunks are numbered by :func:`scholia.operators.index.assign_seq`.
+    Extraction is the costly step and its pages are read several times, so they are written once.
     """
-    from scholia.operators.articles import enrich_chunks, pending
-    from scholia.operators.pages import clean_pages, strip_repeated_lines
-
     todo = docs if done is None else pending(docs, done, "paper_id")
-    extracted = extract_pages(todo, extractor)
+    extracted = cut_lineage(extract_pages(todo, extractor))
     pages = clean_pages(extracted.where(F.col("error").isNull()).drop("error"), least_page)
     chunks = chunk_pages(strip_repeated_lines(pages, least_page), size, overlap, least)
     if registry is not None:

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from scholia import fixed
 from scholia.functions.ids import entity_id
 from scholia.functions.records import clamp_confidence, edge_width, node_size
 from scholia.functions.text import candidate_phrases, strip
 from scholia.operators.bm25 import exploded
-from scholia.operators.skew import first_by, is_small, join_checked, top_k
+from scholia.operators.skew import first_by, join_checked, top_k
 from scholia.session import cut_lineage
 
 EXTRACTION = (
@@ -285,7 +285,8 @@ def search_entities(
     hits are checked in full.
     """
     nodes = entities.where(F.col("entity_type").isin(*types)) if types else entities
-    names = names_of(nodes, aliases.join(nodes.select("entity_id"), "entity_id", "left_semi"))
+    kept = aliases.join(nodes.select("entity_id"), "entity_id", "left_semi") if types else aliases
+    names = names_of(nodes, kept)
     t = terms.withColumn("term", F.lower("term")).where(F.length("term") > 0)
     piece = lambda c: F.coalesce(grams(c, 3), F.array(F.lit(None).cast("string")))
     listed = exploded(names.select("entity_id", "pos", "text", grams(F.col("text"), 3).alias("g")), ["entity_id", "pos", "text"], "g", "gram")

@@ -92,10 +92,3 @@ def join_checked(
     left = big.withColumn("__salt", F.pmod(F.xxhash64(*salt), F.lit(salts)).cast("int"))
     right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "__salt"], how).drop("__salt")
-
-
-def count_distinct_by(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Distinct values per key in two aggregations: first by (key, value), then by key."""
-    distinct = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
-    count = F.count("*").alias(out)
-    return distinct.groupBy(*keys).agg(count) if keys else distinct.agg(count)

@@ -9,7 +9,7 @@ from scholia.functions.ids import progress_key
 from scholia.operators import articles as A
 from scholia.plans import fixtures as fx
 from scholia.plans.oracle_fx import fx as sql
-from scholia.plans.q_text import KEY_TERMS_SQL, RELEVANCE_SQL
+from scholia.plans.q_text import RELEVANCE_SQL
 from scholia.registry import Tables, query
 
 RELEVANT = """(source NOT IN ('CrossRef', 'ArXiv') OR (contains(lower(title), lower(split_part(species, ' ', 1)))

@@ -144,7 +144,6 @@ SELECT term_id, entity_id, round(CASE WHEN lower(name) = term THEN 1.0 WHEN cont
    WHEN contains(lower(aliases[1]), term) THEN CASE WHEN lower(aliases[1]) = term THEN 0.9 ELSE 0.7 END
    WHEN contains(lower(aliases[2]), term) THEN CASE WHEN lower(aliases[2]) = term THEN 0.9 ELSE 0.7 END END + 0.01 * coalesce(degree, 0), 6)::DOUBLE AS score
 FROM terms, entities LEFT JOIN d USING (entity_id)"""
-NAMED_TERMS = "SELECT 'n' || n_nationkey AS term_id, lower(n_name) AS term FROM nation UNION ALL SELECT 'p' || p_partkey, 'species ' || p_partkey FROM part UNION ALL SELECT DISTINCT 'b' || p_brand, lower(p_name) FROM part WHERE false"
 
 
 @query("g02_search_entities", sql("entities relations", """

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from scholia.operators import articles as A, chunking as C, pages as P, stats as S
-from scholia.operators.index import assign_seq
 from scholia.plans import fixtures as fx
 from scholia.plans.oracle_fx import fx as sql
-from scholia.plans.q_articles import registry
 from scholia.plans.q_stats import rounded
 from scholia.registry import Tables, query
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from scholia import fixed
-from scholia.operators import articles as A, pages as P, stats as S
+from scholia.operators import pages as P, stats as S
 from scholia.operators.bm25 import bm25_index
 from scholia.operators.hybrid import filter_table_chunks
 from scholia.plans import fixtures as fx

@@ -31,7 +31,8 @@ def build_session(app: str = "scholia", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (a test on one machine) a scratch folder is made and set.
+    Only in local mode (tests) a scratch folder is made and set where none is named; on a cluster a
+    machine-local folder would be useless to the other machines, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -39,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="scholia-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():

@@ -44,9 +44,10 @@ def ingest_stream(
     def step(batch: DataFrame, epoch: int) -> None:
         done = _batches(batch.sparkSession, f"{sink}/done", "paper_id string", epoch)
         fresh = batch.join(done, "paper_id", "left_anti")
-        fresh = first_by(fresh, ["paper_id"], [F.xxhash64("text")])
+        fresh = first_by(fresh, ["paper_id"], [F.xxhash64("text")]).persist()
         work(fresh).write.mode("overwrite").parquet(f"{sink}/chunks/batch={epoch}")
         fresh.select("paper_id").write.mode("overwrite").parquet(f"{sink}/done/batch={epoch}")
+        fresh.unpersist()
 
     reader = spark.readStream.schema(schema)
     if files_per_batch:
