@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 SMALL_ROWS = 200_000
+HOT_ROWS = 1_000_000
 
 
 def first_by(df: DataFrame, keys: list, order: list, cols: list[str] | None = None) -> DataFrame:
@@ -76,19 +77,24 @@ def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
 def join_checked(
     big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", *,
     rows: int = SMALL_ROWS, salt: list[str] | None = None, salts: int = 32,
-    bound: DataFrame | None = None,
+    bound: DataFrame | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join that ships ``small`` to every task only after counting it.
 
-    Above the bound the big side is salted by ``salt`` columns and the other side is repeated once
-    per salt, so a hot join key is spread over ``salts`` tasks. Works for inner, left, semi and
-    anti joins, where every row of ``big`` meets all its partners in its own salt. ``bound`` is a
-    table that is cheap to count and has at least as many rows as ``small``.
+    Above the bound, keys with more than ``hot_rows`` rows on the big side are salted by the ``salt``
+    columns and their partners repeated once per salt, so a hot key is spread over ``salts`` tasks;
+    all other keys are joined as they are. Works for inner, left, semi and anti joins, where every
+    row of ``big`` meets all its partners in its own salt. ``bound`` is a table that is cheap to
+    count and has at least as many rows as ``small``.
     """
     if is_small(small if bound is None else bound, rows):
         return big.join(F.broadcast(small), on, how)
     if not salt:
         return big.join(small, on, how)
-    left = big.withColumn("__salt", F.pmod(F.xxhash64(*salt), F.lit(salts)).cast("int"))
-    right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # a key needs more than hot_rows rows to be here, so this list is rows / hot_rows long at most
+    hot = big.groupBy(*on).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows).select(*on, F.lit(salts).alias("__n"))
+    own = F.when(F.col("__n").isNotNull(), F.pmod(F.xxhash64(*salt), F.col("__n"))).otherwise(F.lit(0)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__n") - 1, F.lit(0))))
+    left = big.join(F.broadcast(hot), on, "left").withColumn("__salt", own).drop("__n")
+    right = small.join(F.broadcast(hot), on, "left").withColumn("__salt", every).drop("__n")
     return left.join(right, [*on, "__salt"], how).drop("__salt")

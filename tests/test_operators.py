@@ -110,8 +110,11 @@ def test_running_total_matches_cumsum_over_many_blocks(spark):
 def test_salted_join_equals_plain_join(spark, how):
     big = spark.createDataFrame([("hot" if i % 3 else f"k{i % 11}", i) for i in range(200)], "k string, i int")
     small = spark.createDataFrame([("hot", 1), ("k0", 2), ("k0", 3), ("none", 4)], "k string, j int")
-    got = K.join_checked(big, small, ["k"], how, rows=1, salt=["i"], salts=4)
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, big.join(small, ["k"], how).collect()), key=repr)
+    want = sorted(map(tuple, big.join(small, ["k"], how).collect()), key=repr)
+    for hot_rows in (0, 50, 1000):
+        got = K.join_checked(big, small, ["k"], how, rows=1, salt=["i"], salts=4, hot_rows=hot_rows)
+        assert got.columns == big.join(small, ["k"], how).columns
+        assert sorted(map(tuple, got.collect()), key=repr) == want
 
 
 def test_first_by_takes_first_on_null_and_ties(spark):
