@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from scholia.llm.common import id_and_text, query, table
+from scholia.session import cut_lineage
 
 # How licences are stated, by family.
 TEMPLATES = {
@@ -59,12 +60,13 @@ def words_of(paragraph: Column) -> Column:
 
 def grams_of(words: Column) -> Column:
     """Distinct words, pairs and triples of neighbours; a null word list has none."""
-    out = [words]
-    for k in (2, 3):
+
+    def neighbours(k: int) -> Column:
         start = F.sequence(F.lit(1), F.greatest(F.size(words) - (k - 1), F.lit(1)))
-        some = F.transform(start, lambda i, k=k: F.array_join(F.slice(words, i, F.lit(k)), " "))
-        out.append(F.when(F.size(words) >= k, some).otherwise(F.array().cast("array<string>")))
-    return F.array_distinct(F.concat(*out))
+        some = F.transform(start, lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
+        return F.when(F.size(words) >= k, some).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(words, neighbours(2), neighbours(3)))
 
 
 def plain_words(text: str) -> list[str]:
@@ -77,11 +79,16 @@ def plain_grams(words: list[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """One sparse weight table a family, its constant, and the probability from which it is believed."""
+    """One sparse weight table a family, its constant, and the probability from which it is believed.
+
+    ``marks`` are words one of which a paragraph must have: of the other words no n-grams together lift any
+    family to one half.
+    """
 
     weights: dict[str, dict[str, float]]
     constant: dict[str, float]
     threshold: dict[str, float]
+    marks: tuple[str, ...] = ()
 
 
 def train(negatives: list[list[str]], s: Settings = Settings()) -> Model:
@@ -134,10 +141,26 @@ def train(negatives: list[list[str]], s: Settings = Settings()) -> Model:
         mine, other = p[y[out][:, i] > 0, i], p[y[out][:, i] == 0, i]
         threshold[f] = float(max(0.5, min(np.quantile(mine, 1 - s.sure), 0.95), other.max() + 1e-6 if len(other) and other.max() < 0.95 else 0.5))
     grams = list(vocab)
-    return Model(
-        {f: {grams[j]: float(w[j, i]) for j in np.flatnonzero(w[:, i])} for i, f in enumerate(names)},
-        {f: float(b[i]) for i, f in enumerate(names)}, threshold,
-    )
+    weights = {f: {grams[j]: float(w[j, i]) for j in np.flatnonzero(w[:, i])} for i, f in enumerate(names)}
+    constant = {f: float(b[i]) for i, f in enumerate(names)}
+    return Model(weights, constant, threshold, marks(weights, constant, negatives))
+
+
+def marks(weights: dict[str, dict[str, float]], constant: dict[str, float], negatives: list[list[str]]) -> tuple[str, ...]:
+    """Words to look for. The words most frequent in the negatives are passed over, as many as leave every
+    family under one half in a paragraph that has all n-grams of them."""
+    up = {f: [(set(g.split(" ")), x) for g, x in ws.items() if x > 0] for f, ws in weights.items()}
+    words = {w for gs in up.values() for g, _ in gs for w in g}
+    seen = dict.fromkeys(words, 0)
+    for n in negatives:
+        for w in set(n) & words:
+            seen[w] += 1
+    passed: set[str] = set()
+    for word in sorted(words, key=lambda w: (-seen[w], w)):
+        more = passed | {word}
+        if all(constant[f] + sum(x for g, x in gs if g <= more) < 0 for f, gs in up.items()):
+            passed = more
+    return tuple(sorted(words - passed))
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -158,43 +181,48 @@ def negative_words(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_co
     return [r.w for r in picked.select(F.slice(words_of(F.col("p")), 1, 60).alias("w")).collect()]
 
 
-def number_map(values: dict[str, float]) -> Column:
-    pairs = [F.lit(x) for kv in sorted(values.items()) for x in kv]
-    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
+def weight_table(spark: SparkSession, model: Model) -> DataFrame:
+    """``gram, w``: a row per n-gram with its weight for each family; a few hundred rows."""
+    grams = sorted({g for ws in model.weights.values() for g in ws})
+    lines = [g + "\t" + ",".join(repr(ws.get(g, 0.0)) for ws in model.weights.values()) for g in grams]
+    rows = spark.range(1).select(F.explode(F.split(F.lit("\n".join(lines)), "\n")).alias("x"))
+    return rows.select(F.split_part("x", F.lit("\t"), F.lit(1)).alias("gram"), F.split(F.split_part("x", F.lit("\t"), F.lit(2)), ",").cast("array<double>").alias("w"))
 
 
 def licences(docs: DataFrame, model: Model, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per paragraph that reads like a licence statement:
     ``doc_id, line, family, probability, template_share, confirmed, paragraph``.
 
-    A paragraph (a line of the text; lines count from 0) is looked at when it has a word from which some
-    family's weighted n-gram starts and at least one family's probability reaches one half. Its family is
-    the most probable one, "unknown" if that doesn't reach the family's threshold. ``template_share`` is
-    the largest part of a template's n-grams, of the predicted family, that the paragraph has; from
-    ``alike`` on the prediction is confirmed. Null and empty texts have no rows, nor has an empty table;
-    ids may be null or repeat (repeated rows are reported again); other columns aren't read. Long texts
-    are read whole.
+    A paragraph (a line of the text; lines count from 0) is reported if some family's probability reaches
+    one half. Its family is the most probable one, "unknown" if that doesn't reach the family's threshold.
+    ``template_share`` is the largest part of a template's n-grams, of the predicted family, that the
+    paragraph has; from ``alike`` on the prediction is confirmed. Null and empty texts have no rows, nor has
+    an empty table; ids may be null or repeat (repeated rows are reported again); other columns aren't read.
+    Long texts are read whole.
+
+    Paragraphs without a mark (``Model.marks``) can't be reported; the others are written, their n-grams
+    meet the weights (a table of a few hundred rows, sent to the tasks) and are summed by paragraph.
     """
-    # Without a word that raises some family the probabilities are those of an empty paragraph or less.
-    needed = sorted({w for ws in model.weights.values() for g, x in ws.items() if x > 0 for w in g.split(" ")[:1]})
     p = paragraphs(docs, id_col, text_col).withColumn("words", words_of(F.col("paragraph")))
-    p = p.where(F.arrays_overlap("words", F.array(*map(F.lit, needed)).cast("array<string>"))).withColumn("grams", grams_of(F.col("words")))
-    vocab = sorted({g for ws in model.weights.values() for g in ws})
-    p = p.withColumn("known", F.array_intersect("grams", F.array(*map(F.lit, vocab)).cast("array<string>")))
-    fields = []
-    for f, ws in model.weights.items():
-        table_ = number_map(ws)
-        z = F.aggregate("known", F.lit(model.constant[f]), lambda a, g, t=table_: a + F.coalesce(F.element_at(t, g), F.lit(0.0)))
-        fields.append(F.struct((1 / (1 + F.exp(-z))).alias("probability"), F.lit(f).alias("family"), F.lit(model.threshold[f]).alias("threshold")))
-    p = p.withColumn("best", F.array_max(F.array(*fields))).where("best.probability >= 0.5")
-    shares = F.create_map(*[
-        x for f, ts in TEMPLATES.items() for x in (F.lit(f), F.greatest(*[share(F.col("grams"), t) for t in ts], F.lit(0.0)))
-    ])
-    p = p.withColumn("template_share", F.element_at(shares, F.col("best.family")))
-    believed = F.col("best.probability") >= F.col("best.threshold")
+    p = p.where(F.arrays_overlap("words", F.array(*map(F.lit, model.marks)).cast("array<string>")))
+    p = cut_lineage(p.withColumn("nth", F.monotonically_increasing_id())).withColumn("grams", grams_of(F.col("words")))
+    met = p.select("nth", F.explode("grams").alias("gram")).join(F.broadcast(weight_table(docs.sparkSession, model)), "gram")
+    families = list(model.weights)
+    sums = met.groupBy("nth").agg(*[F.round(F.sum(F.get("w", F.lit(i))), 9).alias(f"z{i}") for i in range(len(families))])
+    best = F.array_max(F.array(*[
+        F.struct((1 / (1 + F.exp(-(F.col(f"z{i}") + model.constant[f])))).alias("probability"), F.lit(f).alias("family"), F.lit(model.threshold[f]).alias("threshold"))
+        for i, f in enumerate(families)
+    ]))
+    p = p.join(sums, "nth").withColumn("best", best).where("best.probability >= 0.5")
+    p = p.select("doc_id", "line", "paragraph", "grams", "best.*")
+    shares = F.lit(0.0)
+    for f, ts in TEMPLATES.items():
+        shares = F.when(F.col("family") == f, F.greatest(*[share(F.col("grams"), t) for t in ts], F.lit(0.0))).otherwise(shares)
+    p = p.withColumn("template_share", shares)
+    believed = F.col("probability") >= F.col("threshold")
     return p.select(
-        "doc_id", F.col("line").cast("bigint").alias("line"), F.when(believed, F.col("best.family")).otherwise("unknown").alias("family"),
-        F.col("best.probability").alias("probability"), "template_share", (believed & (F.col("template_share") >= s.alike)).alias("confirmed"), "paragraph",
+        "doc_id", F.col("line").cast("bigint").alias("line"), F.when(believed, F.col("family")).otherwise("unknown").alias("family"),
+        "probability", "template_share", (believed & (F.col("template_share") >= s.alike)).alias("confirmed"), "paragraph",
     )
 
 

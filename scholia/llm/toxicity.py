@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scholia.llm.common import id_and_text, query, table
 
 WORD = re.compile(r"[^\W_]+")
+STEMS = (4, 5, 6, 7)  # letters of the beginnings
 BITS = 20  # features are hashed into 2**BITS weights
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -22,32 +23,50 @@ MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B1
 class Settings:
     """FTRL-proximal: per-coordinate rate ``alpha / (beta + sqrt(sum of squared gradients))``, penalties, passes."""
 
-    alpha: float = 0.15
+    alpha: float = 0.5
     beta: float = 1.0
-    l1: float = 2.0
-    l2: float = 0.5
+    l1: float = 10.0  # above what the passes over one document can add up to, so none is learnt by heart
+    l2: float = 0.1
     passes: int = 4
     rows: int = 20_000  # labelled rows learnt from, at most; chosen by a hash of the id
     seed: int = 7
 
 
 class Words(dict):
-    """Hash of a word, remembered; emptied when it grows large."""
+    """The number of a word, and by number the hashes of the word and of its first letters.
+
+    Beginnings stand for the word's forms: a text may hold a form that no labelled text had. Forgets
+    everything when it has grown large.
+    """
+
+    KEEP = 200_000
+
+    def __init__(self):
+        super().__init__()
+        self.hashes = np.zeros((1024, 1 + len(STEMS)), np.uint64)
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode())
-        return value
+        i = self[word] = len(self)
+        if i >= len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+        self.hashes[i, 0] = xxhash.xxh64_intdigest(word)
+        for j, k in enumerate(STEMS, 1):  # a shorter word has no such beginning
+            self.hashes[i, j] = xxhash.xxh64_intdigest(word[:k], seed=k) if len(word) >= k else 0
+        return i
 
 
 def features(text: str, words: Words) -> np.ndarray:
-    """Buckets of the words, the pairs of neighbours and the pairs with one word between; repeats kept."""
+    """Buckets of the words and their beginnings, the pairs of neighbours and the pairs with one word
+    between; repeats kept."""
     found = WORD.findall(text.lower())
     if not found:
         return np.empty(0, np.int64)
-    h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-    grams = [h * MIX[0]]
+    if len(words) > words.KEEP:
+        words.clear()
+    number = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+    h = words.hashes[number, 0]
+    stems = words.hashes[np.unique(number), 1:].ravel()
+    grams = [h * MIX[0], stems[stems != 0] * MIX[1]]
     for gap in (1, 2):
         if len(h) > gap:
             grams.append((h[:-gap] * MIX[gap]) ^ ((h[gap:] + np.uint64(gap)) * MIX[0]))
