@@ -20,23 +20,25 @@ REGION_TERMS = [
 ]
 
 # Words that say nothing about the subject of a question.
-GENERIC_WORDS = """
-a an the in of on at to for by and or but with from into over under
-is are was were be been using based
-study review analysis model modeling modelling method approach system data result results
-performance evaluation assessment detection classification estimation prediction predicting
-forecast forecasting machine learning deep neural network algorithm framework technique
-novel new improved efficient robust accurate high low large small multiple various
-applied application applications toward towards
-""".split()
+GENERIC_WORDS = [
+    "a", "an", "the", "in", "of", "on", "at", "to", "for", "by", "and", "or", "but", "with", "from", "into",
+    "over", "under", "is", "are", "was", "were", "be", "been", "using", "based", "study", "review",
+    "analysis", "model", "modeling", "modelling", "method", "approach", "system", "data", "result", "results",
+    "performance", "evaluation", "assessment", "detection", "classification", "estimation", "prediction",
+    "predicting", "forecast", "forecasting", "machine", "learning", "deep", "neural", "network", "algorithm",
+    "framework", "technique", "novel", "new", "improved", "efficient", "robust", "accurate", "high", "low",
+    "large", "small", "multiple", "various", "applied", "application", "applications", "toward", "towards",
+]
 
 # English stop words for embedding text.
-STOP_WORDS = """
-a an and are as at be by for from has he in is it its of on or that the to was will with this
-but can could do does did have had if me my not she so than them these they we what when where
-which who why you your how about between into through during before after above below up down
-out off over under again further then once
-""".split()
+STOP_WORDS = [
+    "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in", "is", "it", "its",
+    "of", "on", "or", "that", "the", "to", "was", "will", "with", "this", "but", "can", "could", "do", "does",
+    "did", "have", "had", "if", "me", "my", "not", "she", "so", "than", "them", "these", "they", "we", "what",
+    "when", "where", "which", "who", "why", "you", "your", "how", "about", "between", "into", "through",
+    "during", "before", "after", "above", "below", "up", "down", "out", "off", "over", "under", "again",
+    "further", "then", "once",
+]
 
 # Knowledge-graph vocabulary.
 ENTITY_TYPES = ["Species", "Method", "Location", "Concept", "Author", "Paper"]
@@ -66,6 +68,7 @@ NO_DATA = "sin datos"
 CONTEXT_TITLE = "## Fragmentos de papers científicos relevantes\n"
 CONTEXT_EMPTY = "No se encontraron fragmentos relevantes en el índice."
 UNKNOWN_AUTHORS = "Autores desconocidos"
+RELATIONS_TITLE = "Relaciones:"
 GRAPH_TITLE = "## Grafo de conocimiento\n"
 GRAPH_FRAGMENTS_TITLE = "## Fragmentos de papers científicos\n"
 

@@ -13,7 +13,6 @@ from scholia.functions import records as R
 from scholia.functions.ids import safe_species
 from scholia.functions.text import normalize_title, squeeze, strip
 from scholia.operators.skew import first_by, numbered, top_k
-from scholia.session import spread
 
 # ---- filters ---------------------------------------------------------------------------------
 
@@ -186,7 +185,18 @@ def head_fraction(df: DataFrame, p: float, pos: str = "pos") -> DataFrame:
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by the hash of their key: repeatable, a top-n without a full sort."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    order = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return df.orderBy(order, F.col(key)).limit(n)
+
+
+def distinct_sorted(df: DataFrame, *cols: str) -> DataFrame:
+    """Distinct values of some columns in their order."""
+    return df.select(*cols).distinct().orderBy(*cols)
+
+
+def distinct_species(df: DataFrame, column: str = "species") -> DataFrame:
+    """Names without white space around them; blanks are none."""
+    return df.select(strip(column).alias(column)).where(F.col(column) != "").distinct()
 
 
 def top_groups(df: DataFrame, by: str, n: int = 20) -> DataFrame:
@@ -360,8 +370,8 @@ def best_candidate(scored: DataFrame, key: str, least: float = 0.78) -> DataFram
 def link_titles(failed: DataFrame, candidates: DataFrame, key: str = "row_id", least: float = 0.78) -> DataFrame:
     """Score the candidates found for each failed row and keep the best.
 
-    Pairs exist only between a row and its own candidates (equal ``key``); they are spread over the
-    tasks before the Python scoring, and the best one is found by a pre-aggregating reduction.
+    Pairs exist only between a row and its own candidates (equal ``key``); they are dealt anew, by row and
+    candidate, before the Python scoring, so a row with very many candidates is shared between tasks.
     """
-    pairs = failed.join(candidates, key)
-    return best_candidate(title_similarity(spread(pairs)), key, least)
+    pairs = failed.join(candidates, key).repartition(F.col(key), F.col("pos"))
+    return best_candidate(title_similarity(pairs), key, least)

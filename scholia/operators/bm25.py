@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from scholia import fixed
 from scholia.functions.text import tokenize
-from scholia.operators.skew import join_checked, top_k
-from scholia.operators.vector import HITS, TopK
+from scholia.operators.skew import top_k
+from scholia.operators.vector import TopK, hits_schema
 from scholia.session import cut_lineage
 
 QUESTIONS_PER_SCAN = 2000
@@ -22,18 +22,25 @@ SCORE_CELLS = 4_000_000
 
 @dataclass
 class Bm25Index:
-    """``terms(term, df, idf)`` and the one-row ``corpus(n, avgdl)`` over ``bags(chunk_id, seq,
-    tokens)`` (one row per chunk), or over the inverted form ``ids(chunk_id, seq, dl)`` and
-    ``postings(seq, dl, term, tf)`` (what is saved and loaded)."""
+    """``bags(chunk_id, seq, tokens)`` (one row per chunk), ``terms(term, df, idf)`` and the one-row
+    ``corpus(n, avgdl)``. All searches score the bags where they lie; ``postings`` is their inverted form."""
 
-    ids: DataFrame
-    postings: DataFrame
+    bags: DataFrame
     terms: DataFrame
     corpus: DataFrame
-    bags: DataFrame | None = None
     k1: float = fixed.BM25_K1
     b: float = fixed.BM25_B
 
+    @property
+    def postings(self) -> DataFrame:
+        """``seq, dl, term, tf``, counted within each chunk."""
+        rows = self.bags.select("seq", F.array_sort("tokens").alias("t"), F.size("tokens").alias("n")).where("n > 0")
+        # where runs of one term begin, and where the next one does
+        runs = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i == 0) | (F.get("t", i) != F.get("t", i - 1)))
+        rows = rows.select("seq", "t", "n", runs.alias("a")).withColumn("b", F.concat(F.slice("a", 2, 1 << 30), F.array("n")))
+        x = F.transform(F.arrays_zip("a", "b"), lambda r: F.struct(F.get("t", r["a"]).alias("term"), (r["b"] - r["a"]).cast("bigint").alias("tf")))
+        return exploded(rows.select("seq", F.col("n").cast("bigint").alias("dl"), x.alias("x")), ["seq", "dl"], "x", "y").select("seq", "dl", "y.term", "y.tf")
+
 
 def exploded(df: DataFrame, keep: list[str], array: str, name: str) -> DataFrame:
     """One row per element. The outer form keeps Spark from evaluating the array a second time in
@@ -58,17 +65,7 @@ def bm25_index(
     counts = cut_lineage(counts)
     corpus = counts.where(F.col("term").isNull()).agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n"), (F.sum("length") / F.sum("df")).alias("avgdl"))
     terms = term_idf(counts.where(F.col("term").isNotNull()).select("term", "df"), corpus, epsilon)
-    placed = sized.repartition("seq")
-    postings = exploded(placed, ["seq", "dl"], "tokens", "term").groupBy("seq", "dl", "term").agg(F.count("*").alias("tf"))
-    return Bm25Index(sized.select("chunk_id", "seq", "dl"), postings, terms, corpus, bags, k1, b)
-
-
-def corpus_stats(lengths: DataFrame) -> DataFrame:
-    return lengths.agg(F.count("*").alias("n"), (F.sum("dl") / F.count("*")).alias("avgdl"))
-
-
-def term_stats(postings: DataFrame, corpus: DataFrame, epsilon: float = fixed.BM25_EPSILON) -> DataFrame:
-    return term_idf(postings.groupBy("term").agg(F.count("*").alias("df")), corpus, epsilon)
+    return Bm25Index(bags, terms, corpus, k1, b)
 
 
 def term_idf(df: DataFrame, corpus: DataFrame, epsilon: float) -> DataFrame:
@@ -85,24 +82,6 @@ def query_terms(queries: DataFrame, text: str = "question") -> DataFrame:
     return terms.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
-def bm25_scores(index: Bm25Index, queries: DataFrame, text: str = "question") -> DataFrame:
-    """Score of every (question, chunk) pair with a term in common: ``query_id, seq, score``.
-
-    The weighted question terms go to the postings (counted first; a larger batch takes a join
-    salted by chunk, because a frequent term may hold a large part of the postings).
-    """
-    wanted = query_terms(queries, text)
-    weights = join_checked(index.terms, wanted, ["term"]).select(
-        "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")
-    )
-    hits = join_checked(index.postings, weights, ["term"], salt=["seq"], bound=wanted)
-    avgdl = index.corpus.select("avgdl").scalar()
-    tf = F.col("tf")
-    length_norm = index.k1 * (1 - index.b + index.b * F.col("dl") / avgdl)
-    part = F.col("weight") * tf * (index.k1 + 1) / (tf + length_norm)
-    return hits.groupBy("query_id", "seq").agg(F.round(F.sum(part), 9).alias("score"))
-
-
 def _score_task(block, k: int, k1: float, b: float, avgdl: float):
     """Token lists in, the task's own top k per question out: a sparse product per batch."""
 
@@ -141,25 +120,22 @@ def _scan_search(index: Bm25Index, queries: DataFrame, k: int, text: str, per_sc
     found = []
     for number in range(n_blocks):
         part = wanted if n_blocks == 1 else wanted.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == number)
-        table = join_checked(index.terms, part, ["term"]).select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")).toArrow()
-        qids, question = np.unique(table.column("query_id").to_numpy(), return_inverse=True)
+        table = index.terms.join(part, "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")).toArrow()
+        asked = table.column("query_id").combine_chunks().dictionary_encode()
+        question = asked.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         coded = table.column("term").combine_chunks().dictionary_encode()
         term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         order = np.argsort(term, kind="stable")
         first = np.searchsorted(term[order], np.arange(len(coded.dictionary) + 1))
-        block = (qids.astype(np.int64), coded.dictionary, first, question[order], table.column("weight").to_numpy()[order])
-        found.append(corpus.mapInArrow(_score_task(spark.sparkContext.broadcast(block), k, index.k1, index.b, avgdl), HITS))
+        block = (asked.dictionary, coded.dictionary, first, question[order], table.column("weight").to_numpy()[order])
+        found.append(corpus.mapInArrow(_score_task(spark.sparkContext.broadcast(block), k, index.k1, index.b, avgdl), hits_schema(queries)))
     return top_k(reduce(DataFrame.unionByName, found), ["query_id"], [F.desc("score"), F.asc("seq")], k)
 
 
 def bm25_search(index: Bm25Index, queries: DataFrame, k: int = 20, text: str = "question", per_scan: int = QUESTIONS_PER_SCAN) -> DataFrame:
     """The ``k`` best chunks per question, none without a positive score.
 
-    Over token lists every task multiplies its chunks with the weighted questions (sent in blocks
-    of at most ``per_scan`` questions) and keeps its own k best; no (question, chunk) table exists.
-    Over saved postings the question terms are joined to the postings.
+    Every task multiplies its chunks with the weighted questions (sent in blocks of at most ``per_scan``
+    questions) and keeps its own k best; no (question, chunk) table exists, for a saved index neither.
     """
-    if index.bags is not None:
-        return _scan_search(index, queries, k, text, per_scan)
-    hits = top_k(bm25_scores(index, queries, text), ["query_id"], [F.desc("score"), F.asc("seq")], k)
-    return hits.where(F.col("score") > 0).join(index.ids.select("seq", "chunk_id"), "seq").select("query_id", "chunk_id", "seq", "score", "rank")
+    return _scan_search(index, queries, k, text, per_scan)

@@ -6,6 +6,7 @@ one document, Spark does the rest.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import re
 import zlib
@@ -21,6 +22,7 @@ from scholia.functions.ids import chunk_id
 from scholia.functions.text import strip
 from scholia.functions.vectors import dot, norm
 from scholia.operators.articles import enrich_chunks, pending
+from scholia.operators.index import next_seq
 from scholia.operators.pages import assign_pages, clean_pages, page_offsets, strip_repeated_lines
 from scholia.operators.skew import numbered
 from scholia.session import cut_lineage
@@ -29,18 +31,27 @@ CHUNK = "paper_id string, chunk_index bigint, char_start bigint, char_end bigint
 
 # ---- sliding window ------------------------------------------------------------------------------
 
-_LAST_SENTENCE_END = re.compile(r"(?s).*[.!?]\s")
+# Where a window may end, best first: behind a blank line, a sentence, a space. Length of each mark.
+PLACES = ((re.compile(r"\n(?=\n)"), 2), (re.compile(r"[.!?](?=\s)"), 2), (re.compile(" "), 1))
+SOLID = re.compile(r"[^ \n\t]")
 
 
-def cut_point(text: str, target: int, reach: int, on_paragraph: bool) -> int:
-    """Best end near ``target``: behind a blank line, else a sentence, else a space."""
-    lo, hi = max(0, target - reach), min(len(text), target + reach // 2)
-    if on_paragraph and (at := text.rfind("\n\n", lo, hi)) >= 0:
-        return at + 2
-    if sentence := _LAST_SENTENCE_END.match(text, lo, hi):
-        return sentence.end()
-    at = text.rfind(" ", lo, hi)
-    return at + 1 if at >= 0 else target
+class Cuts:
+    """All places of one text where a window may end, found in one scan a kind."""
+
+    def __init__(self, text: str, on_paragraph: bool):
+        kinds = PLACES if on_paragraph else PLACES[1:]
+        self.text = text
+        self.places = [([m.start() + width for m in mark.finditer(text)], width) for mark, width in kinds]
+
+    def near(self, target: int, reach: int) -> int:
+        """The last place of the best kind from ``reach`` before ``target`` to half of it behind, else ``target``."""
+        lo, hi = max(0, target - reach), min(len(self.text), target + reach // 2)
+        for ends, width in self.places:
+            k = bisect.bisect_right(ends, hi)
+            if k and ends[k - 1] - width >= lo:
+                return ends[k - 1]
+        return target
 
 
 def sliding_windows(
@@ -55,24 +66,26 @@ def sliding_windows(
     buf, base, start = "", 0, 0
 
     def advance(total: int | None) -> Iterator[tuple[int, int, str]]:
+        """The windows that are final; all of them once the length of the document is known."""
         nonlocal start
-        solid = base + len(buf.rstrip())
-        while start < total if total is not None else start + size + overlap // 2 < solid:
-            end = start + size
-            if total is not None and end >= total:
-                end = total
-            else:
-                end = base + cut_point(buf if total is None else buf[: total - base], end - base, overlap, on_paragraph)
-            body = buf[start - base : end - base].strip()
-            if len(body) >= least:
+        cuts = Cuts(buf if total is None else buf[: total - base], on_paragraph)
+        ahead = size if total is not None else size + overlap // 2 + 1
+        limit = total if total is not None else base + len(buf.rstrip())
+        while start + ahead <= limit and not (total is not None and start + size >= total):
+            end = base + cuts.near(start + size - base, overlap)
+            if len(body := buf[start - base : end - base].strip()) >= least:
                 yield start, end, body
-            if total is not None and end >= total:
+            if end == total:
                 start = total
-                return
-            following = end - overlap
-            while following < end and buf[following - base] in " \n\t":
-                following += 1
-            start = max(following, start + 1)
+            elif end < overlap:  # the overlap would reach beyond the beginning
+                start += 1
+            else:
+                again = SOLID.search(buf, end - overlap - base, end - base)
+                start = max(start + 1, base + again.start() if again else end)
+        if total is not None and start < total:
+            if len(body := buf[start - base : total - base].strip()) >= least:
+                yield start, total, body
+            start = total
 
     for piece in pieces:
         buf += piece
@@ -144,23 +157,16 @@ SENTENCE_END = re.compile(r"(?<!\.\s)(?<!\betal)(?<!\be\.g)(?<!\bi\.e)(?<!\bvs)(
 def sentences(text: str, cap: int) -> list[tuple[int, int, str, bool]]:
     """``(start, end, text, table_like)``; longer than ``cap`` means text without punctuation, which
     is cut at the last space in the second half of the allowed length."""
-    ends = [m.start(1) + 1 for m in SENTENCE_END.finditer(text)] + [len(text)]
-    out, start = [], 0
-    for end in ends:
+    # A piece is the rest if it fits, else as much as ends before a space past the half, else ``cap`` characters.
+    lots = re.compile(rf"(?s)(.{{1,{cap}}}\Z|.{{{int(cap * 0.5) + 1},{max(cap - 1, int(cap * 0.5) + 1)}}}(?= )|.{{1,{cap}}}) *")
+    marks = [m.end(1) for m in SENTENCE_END.finditer(text)]
+    out = []
+    for start, end in zip([0, *(e + 1 for e in marks)], [*marks, len(text)]):
         body = text[start:end].strip()
-        if len(body) <= cap:
-            if body:
-                out.append((start, end, body, False))
-        else:
-            at = 0
-            while at < len(body):
-                stop = min(at + cap, len(body))
-                if stop < len(body) and (space := body.rfind(" ", at, stop)) > at + int(cap * 0.5):
-                    stop = space
-                if piece := body[at:stop].strip():
-                    out.append((start + at, start + stop, piece, True))
-                at = stop + len(body[stop:]) - len(body[stop:].lstrip(" "))
-        start = end + 1
+        if len(body) > cap:
+            out += [(start + m.start(1), start + m.end(1), m[1].strip(), True) for m in lots.finditer(body) if m[1].strip()]
+        elif body:
+            out.append((start, end, body, False))
     return out
 
 
@@ -192,25 +198,26 @@ def semantic_breaks(vectors: DataFrame, threshold: float = 0.15, by: str = "pape
 def group_sentences(parts: list, breaks: np.ndarray, least: int, most: int) -> list[tuple[int, int, str]]:
     """Sentences to chunks: closed at a break once ``least`` is reached, before ``most`` overflows,
     and always between table-like text and prose; a short rest joins the chunk before it."""
-    groups: list[list[int]] = []
-    current: list[int] = []
-    length = 0
-    for i, (_, _, body, table) in enumerate(parts):
-        if current and (parts[current[-1]][3] != table or (length >= least and length + len(body) + 1 > most)):
-            groups.append(current)
-            current, length = [], 0
-        current.append(i)
-        length += len(body) + 1
-        if length >= most or (length >= least and i < len(breaks) and breaks[i]):
-            groups.append(current)
-            current, length = [], 0
-    if current:
-        same_kind = groups and parts[groups[-1][-1]][3] == parts[current[-1]][3]
-        if same_kind and length < least:
-            groups[-1] += current
-        else:
-            groups.append(current)
-    return [(parts[g[0]][0], parts[g[-1]][1], " ".join(parts[i][2] for i in g).strip()) for g in groups]
+    n = len(parts)
+    if not n:
+        return []
+    kind = np.array([p[3] for p in parts])
+    before = np.concatenate([[0], np.cumsum([len(p[2]) + 1 for p in parts])])  # characters before each sentence
+    kind_ends = np.append(np.flatnonzero(kind[1:] != kind[:-1]) + 1, n)
+    break_ends = np.flatnonzero(breaks) + 1
+    ends, first = [], 0
+    while first < n:
+        enough = np.searchsorted(before, before[first] + least)  # the first end with ``least`` characters
+        full = np.searchsorted(before, before[first] + most)  # the first end with ``most``
+        if full <= n and before[full] > before[first] + most and full - 1 >= max(enough, first + 1):
+            full -= 1  # the last sentence would overflow a chunk that is long enough without it
+        turn = np.searchsorted(break_ends, max(enough, first + 1))
+        candidates = [n, full, kind_ends[np.searchsorted(kind_ends, first, side="right")], *break_ends[turn : turn + 1]]
+        first = int(min(candidates))
+        ends.append(first)
+    if len(ends) > 1 and before[n] - before[ends[-2]] < least and kind[ends[-2] - 1] == kind[n - 1]:
+        del ends[-2]
+    return [(parts[a][0], parts[b - 1][1], " ".join(p[2] for p in parts[a:b]).strip()) for a, b in zip([0, *ends], ends)]
 
 
 def chunk_semantic(
@@ -350,12 +357,15 @@ def extract_pages(docs: DataFrame, extractor: Callable[[bytes], list[tuple[int,
 def index_documents(
     docs: DataFrame, registry: DataFrame | None = None, done: DataFrame | None = None, *, extractor=text_pages, encoder=None, size: int = 2000, overlap: int = 200, least: int = 100,
     least_page: int = 50,
-) -> tuple[DataFrame, DataFrame]:
-    """The whole build from binary documents to embedded chunks, and its failures.
-
-    Skips documents already indexed, extracts and cleans pages, removes running lines, cuts windows,
-    adds bibliographic fields, embeds. Chunks are numbered by :func:`scholia.operators.index.assign_seq`.
-    Extraction is the costly step and its pages are read several times, so they are written once.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The whole build from binary documents to searchable chunks: chunks, failures, run summary.
+
+    Skips documents already indexed (``done(paper_id, seq)``, or only ``paper_id`` for an index that isn't
+    numbered), extracts and cleans pages, removes running lines, cuts windows, adds bibliographic fields,
+    embeds, and numbers the chunks by document and place after those that are indexed: ``seq`` and
+    ``total_chunks`` are what the searches and ``write_index`` need. Extraction and embedding are the
+    costly steps and their results are read several times, so they are written once. The summary has one
+    row: documents ``processed``, ``skipped`` and ``failed``, and ``chunks``.
     """
     todo = docs if done is None else pending(docs, done, "paper_id")
     extracted = cut_lineage(extract_pages(todo, extractor))
@@ -366,7 +376,19 @@ def index_documents(
     errors = extracted.where(F.col("error").isNotNull()).select("paper_id", F.col("error").alias("reason"))
     empty = todo.select("paper_id").join(pages.select("paper_id").distinct(), "paper_id", "left_anti")
     empty = empty.join(errors.select("paper_id"), "paper_id", "left_anti").select("paper_id", F.lit("no usable page").alias("reason"))
-    return embed(chunks, encoder=encoder), errors.unionByName(empty)
+    failed = errors.unionByName(empty)
+    embedded = embed(chunks, encoder=encoder)
+    # by document and place: documents in order of their ids, a range of the sorted rows a task
+    embedded = embedded.withColumn("__o", F.struct("paper_id", "chunk_index"))
+    placed = numbered(embedded, [], "__o", "__n").drop("__o")
+    after = next_seq(done) if done is not None and "seq" in done.columns else F.lit(0).cast("bigint")
+    totals = placed.groupBy("paper_id").agg(F.count("*").alias("total_chunks"))
+    placed = placed.withColumn("seq", F.col("__n") + after).drop("__n").join(totals, "paper_id")
+    count = lambda df: df.agg(F.count("*")).scalar()
+    summary = placed.agg(F.count("*").alias("chunks"), F.count_distinct("paper_id").alias("processed")).select(
+        "processed", (count(docs) - count(todo)).alias("skipped"), count(failed.select("paper_id").distinct()).alias("failed"), "chunks"
+    )
+    return placed, failed, summary
 
 
 # ---- front matter --------------------------------------------------------------------------------

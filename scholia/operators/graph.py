@@ -15,18 +15,20 @@ from scholia.functions.ids import entity_id
 from scholia.functions.records import clamp_confidence, edge_width, node_size
 from scholia.functions.text import candidate_phrases, strip
 from scholia.operators.bm25 import exploded
-from scholia.operators.skew import first_by, join_checked, top_k
+from scholia.operators.hybrid import author_line
+from scholia.operators.skew import first_by, top_k
 from scholia.session import cut_lineage
 
 EXTRACTION = (
     "entities array<struct<name:string,type:string,aliases:array<string>,properties:map<string,string>>>, "
-    "relations array<struct<subject:string,relation:string,object:string,confidence:double,context:string>>"
+    "relations array<struct<subject:string,relation:string,object:string,confidence:string,context:string>>"
 )
 
 
 @dataclass
 class Graph:
-    """``entities(entity_id, entity_type, name)``, ``aliases(entity_id, alias)``,
+    """``entities(entity_id, entity_type, name)``, ``aliases(entity_id, alias, place)`` (``place``, an array of
+    numbers, orders the aliases of an entity by first appearance),
     ``properties(entity_id, key, value)``, ``mentions(entity_id, chunk_id, paper_id)``,
     ``relations(relation_id, subject_id, relation_type, object_id, confidence, snippet)``,
     ``evidence(relation_id, chunk_id, paper_id)``, ``processed(chunk_id)``."""
@@ -96,7 +98,7 @@ def raw_relations(extractions: DataFrame, entities: DataFrame) -> DataFrame:
     rows = parsed.select("chunk_id", "paper_id", "ord", F.posexplode_outer("r").alias("pos", "x")).where(F.col("x").isNotNull())
     rows = rows.select(
         "chunk_id", "paper_id", "ord", "pos", F.lower(strip("x.subject")).alias("skey"), F.lower(strip("x.object")).alias("okey"),
-        strip("x.relation").alias("relation_type"), clamp_confidence("x.confidence").alias("confidence"),
+        strip("x.relation").alias("relation_type"), clamp_confidence(F.col("x.confidence").try_cast("double")).alias("confidence"),
         F.left(F.coalesce("x.context", F.lit("")), F.lit(200)).alias("snippet"),
     ).where(F.col("relation_type").isin(*fixed.RELATION_TYPES))
     names = name_map(entities)
@@ -108,10 +110,12 @@ def raw_relations(extractions: DataFrame, entities: DataFrame) -> DataFrame:
 def merge_entities(raw: DataFrame) -> dict[str, DataFrame]:
     """First name and type, all aliases and mentions, last value of each property per entity."""
     order = [F.col("ord"), F.col("pos")]
+    listed = raw.select("entity_id", "ord", "pos", F.posexplode_outer("aliases").alias("sub", "alias")).where(F.col("alias").isNotNull())
+    listed = listed.select("entity_id", "alias", F.array(*[F.col(c).cast("bigint") for c in ("ord", "pos", "sub")]).alias("place"))
     props = raw.select("entity_id", "ord", "pos", F.explode_outer("properties").alias("key", "value")).where(F.col("key").isNotNull())
     return {
         "entities": first_by(raw, ["entity_id"], order, ["entity_id", "entity_type", "name"]),
-        "aliases": exploded(raw, ["entity_id"], "aliases", "alias").distinct(),
+        "aliases": listed.groupBy("entity_id", "alias").agg(F.min("place").alias("place")),
         "properties": props.groupBy("entity_id", "key").agg(F.max_by("value", F.struct("ord", "pos")).alias("value")),
         "mentions": raw.select("entity_id", "chunk_id", "paper_id").distinct(),
     }
@@ -141,8 +145,13 @@ def merge_graphs(stored: Graph, new: Graph) -> Graph:
     both = {k: stored.tables()[k].withColumn("__age", F.lit(0)).unionByName(new.tables()[k].withColumn("__age", F.lit(1))) for k in stored.tables()}
     pick = lambda k, keys, order: first_by(both[k], keys, [order]).drop("__age")
     union = lambda k: both[k].drop("__age").distinct()
+    # aliases that come new stand behind all stored ones, whatever order their batch counts in
+    last, first = (t.aliases.agg(f(F.get("place", F.lit(0)))).scalar() for t, f in ((stored, F.max), (new, F.min)))
+    behind = F.greatest(F.lit(0), F.coalesce(last + 1 - first, F.lit(0)))
+    place = F.when(F.col("__age") == 0, F.col("place")).otherwise(F.concat(F.array(F.get("place", F.lit(0)) + behind), F.slice("place", 2, 1 << 30)))
+    aliases = both["aliases"].withColumn("place", place).groupBy("entity_id", "alias").agg(F.min("place").alias("place"))
     return Graph(
-        entities=pick("entities", ["entity_id"], F.col("__age")), aliases=union("aliases"),
+        entities=pick("entities", ["entity_id"], F.col("__age")), aliases=aliases,
         properties=pick("properties", ["entity_id", "key"], -F.col("__age")), mentions=union("mentions"),
         relations=pick("relations", ["relation_id"], F.col("__age")), evidence=union("evidence"), processed=union("processed"),
     )
@@ -222,10 +231,10 @@ def undirected(relations: DataFrame) -> DataFrame:
 def expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFrame:
     """One hop: neighbours of ``frontier(seed, node)`` that were not visited from the same seed.
 
-    The frontier goes to the edges when it is small; else edges are salted by their far end, so the
-    edges of a hub are shared between tasks.
+    Edges and frontier are written tables: adaptive execution sends the frontier to the edges if it
+    turns out small, and splits the edges of a hub otherwise.
     """
-    step = join_checked(edges, frontier, ["node"], salt=["next"]).select("seed", F.col("next").alias("node")).distinct()
+    step = edges.join(frontier, "node").select("seed", F.col("next").alias("node")).distinct()
     return step.join(visited, ["seed", "node"], "left_anti")
 
 
@@ -234,7 +243,7 @@ def neighborhood(relations: DataFrame, seeds: DataFrame, hops: int = 1) -> DataF
 
     Each hop is materialised through a checkpoint, so the plan stays short.
     """
-    edges = undirected(relations)
+    edges = cut_lineage(undirected(relations))
     frontier = seeds.select(F.col("entity_id").alias("seed"), F.col("entity_id").alias("node")).distinct()
     visited = frontier.withColumn("hop", F.lit(0))
     for hop in range(1, hops + 1):
@@ -246,7 +255,7 @@ def neighborhood(relations: DataFrame, seeds: DataFrame, hops: int = 1) -> DataF
 def neighborhood_relations(relations: DataFrame, visited: DataFrame) -> DataFrame:
     """Relations inside the neighbourhood of each seed."""
     side = lambda c: visited.select("seed", F.col("node").alias(c))
-    first = join_checked(relations, side("subject_id"), ["subject_id"], salt=["relation_id"])
+    first = relations.join(side("subject_id"), "subject_id")
     return first.join(side("object_id"), ["seed", "object_id"])
 
 
@@ -263,9 +272,9 @@ def paper_entities(mentions: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def names_of(entities: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Searchable names: the name (``pos`` −1) and the aliases ``(entity_id, pos, alias)``."""
-    main = entities.select("entity_id", F.lit(-1).alias("pos"), F.lower("name").alias("text"))
-    return main.unionByName(aliases.select("entity_id", F.col("pos").cast("int"), F.lower("alias").alias("text")))
+    """Searchable names: the name (without a ``place``) and the aliases ``(entity_id, place, alias)``."""
+    main = entities.select("entity_id", F.lit(None).cast("array<bigint>").alias("place"), F.lower("name").alias("text"))
+    return main.unionByName(aliases.select("entity_id", "place", F.lower("alias").alias("text")))
 
 
 def grams(text: Column, size: int) -> Column:
@@ -289,20 +298,23 @@ def search_entities(
     names = names_of(nodes, kept)
     t = terms.withColumn("term", F.lower("term")).where(F.length("term") > 0)
     piece = lambda c: F.coalesce(grams(c, 3), F.array(F.lit(None).cast("string")))
-    listed = exploded(names.select("entity_id", "pos", "text", grams(F.col("text"), 3).alias("g")), ["entity_id", "pos", "text"], "g", "gram")
     short_terms = t.where(F.length("term") < 3)
-    rarity = listed.groupBy("gram").agg(F.count("*").alias("df"))
     pieces = exploded(t.where(F.length("term") >= 3).select("term", piece(F.col("term")).alias("g")).distinct(), ["term"], "g", "gram")
-    rare = join_checked(rarity, pieces, ["gram"]).groupBy("term").agg(F.min_by("gram", F.struct("df", "gram")).alias("gram"))
-    hits = join_checked(listed, rare, ["gram"], salt=["entity_id", "pos"], bound=pieces).where(F.col("text").contains(F.col("term")))
-    hits = hits.select("entity_id", "pos", "text", "term")
+    pieces = cut_lineage(pieces)
+    # Names are listed under the pieces that some term has; the list is written, as it is read twice.
+    listed = exploded(names.select("entity_id", "place", "text", grams(F.col("text"), 3).alias("g")), ["entity_id", "place", "text"], "g", "gram")
+    listed = cut_lineage(listed.join(pieces.select("gram").distinct(), "gram", "left_semi"))
+    rarity = listed.groupBy("gram").agg(F.count("*").alias("df"))
+    rare = pieces.join(rarity, "gram", "left").groupBy("term").agg(F.min_by("gram", F.struct(F.coalesce("df", F.lit(0)), "gram")).alias("gram"))
+    hits = listed.join(rare, "gram").where(F.col("text").contains(F.col("term")))
+    hits = hits.select("entity_id", "place", "text", "term")
     if not short_terms.isEmpty():
-        tiny = names.select("entity_id", "pos", "text", F.array_distinct(F.concat(F.coalesce(grams(F.col("text"), 1), F.array().cast("array<string>")), F.coalesce(grams(F.col("text"), 2), F.array().cast("array<string>")))).alias("g"))
-        tiny = exploded(tiny, ["entity_id", "pos", "text"], "g", "term")
-        hits = hits.unionByName(join_checked(tiny, short_terms.select("term").distinct(), ["term"], salt=["entity_id", "pos"]))
+        tiny = names.select("entity_id", "place", "text", F.array_distinct(F.concat(F.coalesce(grams(F.col("text"), 1), F.array().cast("array<string>")), F.coalesce(grams(F.col("text"), 2), F.array().cast("array<string>")))).alias("g"))
+        tiny = exploded(tiny, ["entity_id", "place", "text"], "g", "term")
+        hits = hits.unionByName(tiny.join(short_terms.select("term").distinct(), "term"))
     equal = F.col("text") == F.col("term")
-    by_name = F.max(F.when(F.col("pos") < 0, F.when(equal, 1.0).otherwise(0.8)))
-    by_alias = F.min_by(F.when(equal, 0.9).otherwise(0.7), F.when(F.col("pos") >= 0, F.col("pos")))
+    by_name = F.max(F.when(F.col("place").isNull(), F.when(equal, 1.0).otherwise(0.8)))
+    by_alias = F.min_by(F.when(equal, 0.9).otherwise(0.7), F.col("place"))
     best = hits.groupBy("term", "entity_id").agg(F.coalesce(by_name, by_alias).alias("match"))
     best = best.join(degrees, "entity_id", "left").withColumn("score", F.round(F.col("match") + 0.01 * F.coalesce("degree", F.lit(0)), 6))
     top = top_k(best, ["term"], [F.desc("score"), F.asc("entity_id")], k).select("term", "entity_id", "score", "rank")
@@ -321,38 +333,54 @@ def link_questions(questions: DataFrame, entities: DataFrame, aliases: DataFrame
 def entity_context(seeds: DataFrame, entities: DataFrame, mentions: DataFrame, relations: DataFrame, hops: int = 1) -> DataFrame:
     """Lines describing each seed entity for a prompt: ``seed, part, pos, line``.
 
-    A head line, one line per paper that mentions it, one line per relation of its neighbourhood.
+    A head line, one line per paper that mentions it, a heading for the relations of its neighbourhood if
+    there are any, and one line for each.
     Rows instead of one text per entity, because a hub has any number of relations.
     """
     s = seeds.select(F.col("entity_id").alias("seed")).distinct()
     head = s.join(entities, F.col("seed") == F.col("entity_id")).select(
         "seed", F.lit(0).alias("part"), F.lit("").alias("pos"), F.format_string("### Entidad: %s (%s)", "name", "entity_type").alias("line")
     )
-    papers = join_checked(mentions.withColumnRenamed("entity_id", "seed").select("seed", "paper_id").distinct(), s, ["seed"], "left_semi").select(
+    papers = mentions.withColumnRenamed("entity_id", "seed").select("seed", "paper_id").distinct().join(s, "seed", "left_semi").select(
         "seed", F.lit(1).alias("part"), F.col("paper_id").alias("pos"), F.concat(F.lit("Mencionada en: "), "paper_id").alias("line")
     )
     inside = neighborhood_relations(relations, neighborhood(relations, seeds, hops))
     named = inside.join(entities.select(F.col("entity_id").alias("object_id"), F.col("name").alias("object_name")), "object_id", "left")
     shown = F.when(F.col("object_id") == F.col("seed"), F.col("object_id")).otherwise(F.coalesce("object_name", F.col("object_id")))
     lines = named.select(
-        "seed", F.lit(2).alias("part"), F.col("relation_id").alias("pos"),
+        "seed", F.lit(3).alias("part"), F.col("relation_id").alias("pos"),
         F.format_string("  - [%s] %s (%s)  [conf=%.2f]", F.col("relation_type"), shown, F.initcap(F.substring_index("object_id", "::", 1)), F.col("confidence")).alias("line"),
     )
-    return head.unionByName(papers).unionByName(lines)
+    heading = inside.select("seed").distinct().select("seed", F.lit(2).alias("part"), F.lit("").alias("pos"), F.lit(fixed.RELATIONS_TITLE).alias("line"))
+    return head.unionByName(papers).unionByName(heading).unionByName(lines)
 
 
 def graph_search(
     questions: DataFrame, entities: DataFrame, aliases: DataFrame, mentions: DataFrame, relations: DataFrame, hits: DataFrame, hops: int = 1,
 ) -> DataFrame:
-    """Prompt lines per question: the linked entities with their neighbourhood, then the chunks."""
+    """Prompt lines per question, in order of ``section`` (graph, then chunks), ``rank, part, pos``.
+
+    The linked entities with their neighbourhood under a title, then the hits (with ``text, title, year,
+    authors, page_number, paper_id``) under theirs: score and page, source, text; a question without hits
+    gets the fallback line.
+    """
     # at most three rows per question, read four times below
     linked = cut_lineage(link_questions(questions, entities, aliases, degree(relations)))
     lines = entity_context(linked.select("entity_id"), entities, mentions, relations, hops)
+    row = lambda section, rank, part, line: (F.lit(section).alias("section"), rank.alias("rank"), F.lit(part).alias("part"), F.lit("").alias("pos"), line.alias("line"))
+    graph_title = linked.select("query_id").distinct().select("query_id", *row("graph", F.lit(0), 0, F.lit(fixed.GRAPH_TITLE)))
     graph_part = lines.join(linked.withColumnRenamed("entity_id", "seed"), "seed").select(
         "query_id", F.lit("graph").alias("section"), "rank", "part", "pos", "line"
     )
-    text_part = hits.select(
-        "query_id", F.lit("chunks").alias("section"), "rank", F.lit(0).alias("part"), F.col("chunk_id").alias("pos"),
-        F.format_string("### Fragmento %d [score=%.3f]", "rank", "score").alias("line"),
+    found = hits.groupBy("query_id").agg(F.count("*").alias("n"))
+    first = F.when(F.col("n") > 0, fixed.GRAPH_FRAGMENTS_TITLE).otherwise(fixed.CONTEXT_EMPTY)
+    text_title = questions.select("query_id").join(found, "query_id", "left").select("query_id", *row("chunks", F.lit(0), 0, first))
+    year = F.when(F.coalesce("year", F.lit(0)) == 0, F.lit("N/A")).otherwise(F.col("year").cast("string"))
+    source = F.format_string("**Fuente:** %s (%s) — %s", F.coalesce(F.nullif(F.col("title"), F.lit("")), F.col("paper_id")), year, author_line(F.col("authors")))
+    texts = F.array(
+        F.struct(F.lit(0).alias("part"), F.format_string("### Fragmento %d [score=%.3f, p.%d]", "rank", "score", "page_number").alias("line")),
+        F.struct(F.lit(1).alias("part"), source.alias("line")), F.struct(F.lit(2).alias("part"), F.col("text").alias("line")),
     )
-    return graph_part.unionByName(text_part)
+    text_part = hits.select("query_id", F.lit("chunks").alias("section"), "rank", F.col("chunk_id").alias("pos"), F.explode(texts).alias("x"))
+    text_part = text_part.select("query_id", "section", "rank", "x.part", "pos", "x.line")
+    return graph_title.unionByName(graph_part).unionByName(text_title).unionByName(text_part)

@@ -14,7 +14,7 @@ from scholia import fixed
 from scholia.functions.records import doi_url, first_full, rerank_bonus
 from scholia.functions.text import first_doi, table_score
 from scholia.operators.bm25 import Bm25Index, bm25_search
-from scholia.operators.skew import join_checked, top_k
+from scholia.operators.skew import top_k
 from scholia.operators.vector import min_score, vector_search
 from scholia.session import cut_lineage
 
@@ -45,12 +45,12 @@ def rrf_fuse(lists: list[DataFrame], weights: list[float], k0: int = fixed.RRF_K
 def hydrate(hits: DataFrame, chunks: DataFrame) -> DataFrame:
     """Fetch the chunk records of the hits; ids without a record disappear.
 
-    The hits (a few rows per question) are written once, counted, and travel to the corpus, which
-    stays in place; beyond the bound both sides are joined by id.
+    The hits (a few rows per question) are written once, so Spark knows their size: few of them travel to
+    the corpus, which stays in place; many are joined by id.
     """
     hits = cut_lineage(hits)
     extra = [c for c in chunks.columns if c not in hits.columns or c == "chunk_id"]
-    return join_checked(chunks.select(*extra), hits, ["chunk_id"]).select(
+    return chunks.select(*extra).join(hits, "chunk_id").select(
         *hits.columns, *[c for c in extra if c != "chunk_id"]
     )
 
@@ -123,6 +123,11 @@ def hybrid_search(
     return reserve_slots(fused, tables, k)
 
 
+def semantic_gate(semantic: DataFrame, keyword: DataFrame, least: float = fixed.TABLE_MIN_BM25) -> DataFrame:
+    """Semantic hits that the keyword search of the same question finds too, with a sufficient score."""
+    return semantic.join(min_score(keyword, least), ["query_id", "chunk_id"], "left_semi")
+
+
 def diversify(hits: DataFrame, k: int = 5, paper: str = "source_pdf", score: str = "score") -> DataFrame:
     """First hit of each document in score order, then the first ``k`` documents."""
     order = [F.desc(score), F.asc("seq")]

@@ -18,6 +18,8 @@ def unpivot_table(
 ) -> DataFrame:
     """One row per measured value of a study table keyed by ``SpecCode`` and ``ord``.
 
+    ``Country`` and ``DataRef`` (the number of the reference) are taken where the table has them.
+
     Values that are missing or a sentinel disappear; zero is a value, unless ``legacy_zero`` asks
     for the old reading in which a zero of a mixed-case column was lost.
     """
@@ -26,14 +28,16 @@ def unpivot_table(
         return F.nullif(v, F.lit(0.0)) if legacy_zero and col != col.lower() else v
 
     null = F.lit(None).cast("string")
+    country = F.col("Country").cast("string") if "Country" in table.columns else null
+    reference = R.safe_int("DataRef") if "DataRef" in table.columns else F.lit(None).cast("bigint")
     facts = F.array(*[F.struct(F.lit(p).alias("parameter"), value(c).alias("value"), F.lit(u).alias("unit"), F.lit(i).alias("rank")) for i, (c, p, u) in enumerate(columns)])
     long = table.select(
         "SpecCode", F.lit(source).alias("src"), "ord", F.coalesce(method, null).alias("method") if method is not None else null.alias("method"),
         (F.col(locality) if locality else null).alias("locality"), (R.normalize_sex(sex) if sex else null).alias("sex"),
-        (R.safe_int(n) if n else F.lit(None).cast("bigint")).alias("n_samples"), F.explode(facts).alias("x"),
+        (R.safe_int(n) if n else F.lit(None).cast("bigint")).alias("n_samples"), country.alias("country"), reference.alias("data_ref"), F.explode(facts).alias("x"),
     )
     return long.where(F.col("x.value").isNotNull()).select(
-        "SpecCode", "src", F.struct("ord", F.col("x.rank")).alias("pos"), "x.parameter", "x.value", "x.unit", "method", "locality", "sex", "n_samples"
+        "SpecCode", "src", F.struct("ord", F.col("x.rank")).alias("pos"), "x.parameter", "x.value", "x.unit", "method", "locality", "country", "sex", "n_samples", "data_ref"
     ).withColumn("source_db", F.lit("fishbase")).withColumn("confidence", F.lit("curated"))
 
 
@@ -70,12 +74,17 @@ def best_parameter(params: DataFrame, by: list[str] | None = None) -> DataFrame:
     return first_by(params, by, [negative, F.col("src_rank"), F.col("pos")])
 
 
-def parameter_summary(params: DataFrame, required: list[str] = fixed.REQUIRED_PARAMETERS, by: str = "SpecCode") -> DataFrame:
-    """One row per species: value, unit, source and confidence of each required parameter."""
+def parameter_summary(params: DataFrame, required: list[str] = fixed.REQUIRED_PARAMETERS, by: str = "SpecCode", species: DataFrame | None = None) -> DataFrame:
+    """One row per species: value, unit, source and confidence of each required parameter.
+
+    ``species`` names them all, with those that have no fact; without it only species with facts are known.
+    """
     best = best_parameter(params, [by, "parameter"])
     wide = best.groupBy(by).pivot("parameter", list(required)).agg(
         F.first("value").alias("value"), F.first("unit").alias("unit"), F.first("source_db").alias("source"), F.first("confidence").alias("confidence")
     )
+    if species is not None:
+        wide = species.select(by).distinct().join(wide, by, "left")
     cols = [F.col(by)]
     for p in required:
         cols += [F.col(f"{p}_value").alias(p), F.col(f"{p}_unit"), F.col(f"{p}_source"), F.coalesce(F.col(f"{p}_confidence"), F.lit(fixed.NO_DATA)).alias(f"{p}_confidence")]
@@ -95,8 +104,24 @@ def resolve_species(names: DataFrame, species: DataFrame, name: str = "name") ->
     return out.withColumn("SpecCode", F.when(F.col("__e").isNull(), F.col("code1")).otherwise(F.col("code2"))).drop("__g", "__e", "code1", "code2")
 
 
-def enrich_with_parameters(questions: DataFrame, species: DataFrame, params: DataFrame, most: int = 2) -> DataFrame:
-    """The first of at most ``most`` species named in each question that has parameters."""
+def habitat_flags(resolved: DataFrame, habitats: DataFrame) -> DataFrame:
+    """Species records with the flags ``fresh``, ``salt`` and ``brack`` of ``habitats(SpecCode, Fresh, Saltwater,
+    Brack)``: set by any number but 0 (the source writes 1 or -1). Where nothing is known a species lives in salt
+    water; a name without a species nowhere."""
+    names = {"fresh": "Fresh", "salt": "Saltwater", "brack": "Brack"}
+    flag = lambda c: F.col(c).cast("string").try_cast("int") != 0
+    own = habitats.groupBy("SpecCode").agg(*[F.bool_or(flag(c)).alias(n) for n, c in names.items()])
+    out = resolved.join(own, "SpecCode", "left")
+    return out.withColumns({n: F.coalesce(n, F.col("SpecCode").isNotNull() if n == "salt" else F.lit(False)) for n in names})
+
+
+def enrich_with_parameters(questions: DataFrame, species: DataFrame, params: DataFrame, most: int = 2, ecosystem: str | None = None) -> DataFrame:
+    """The first of at most ``most`` species named in each question that has parameters.
+
+    ``ecosystem`` counts the facts of that region only, for each study table that has any (``filter_ecosystem``).
+    """
+    if ecosystem is not None:
+        params = filter_ecosystem(params, ecosystem)
     named = F.slice(extract_binomials("question"), 1, most)
     q = questions.select("query_id", F.posexplode(named).alias("pos", "name"))
     counts = params.groupBy("SpecCode").agg(F.count("*").alias("n_parameters"))

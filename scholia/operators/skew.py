@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-SMALL_ROWS = 200_000
-HOT_ROWS = 1_000_000
+from scholia.session import cut_lineage
 
 
 def first_by(df: DataFrame, keys: list, order: list, cols: list[str] | None = None) -> DataFrame:
     """One row per key, the first by ``order``.
 
-    An aggregate, not a window: every map task reduces its share of a hot key to one row before
-    the shuffle.
+    ``row_number() = 1`` is planned with a group limit on the map side: every task sends one row of
+    a hot key.
     """
-    cols = cols or df.columns
-    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    named = [k.alias(f"__k{i}") for i, k in enumerate(keys)]
-    best = F.min_by(F.struct(*cols), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
-    return df.groupBy(*named).agg(best.alias("__r")).select("__r.*")
+    w = W.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__first", F.row_number().over(w)).where(F.col("__first") == 1).select(*(cols or df.columns))
 
 
 def top_k(df: DataFrame, keys: list, order: list, k: int, rank: str = "rank") -> DataFrame:
@@ -39,8 +36,11 @@ def running_total(
 
     Two levels: rows are summed inside blocks of ``block`` positions, block totals are summed per
     key, and both are added. No task ever holds more than one block of a key, however large the
-    key is; blocks come from the data, so a recomputed task gives the same numbers.
+    key is; blocks come from the data, so a recomputed task gives the same numbers. Without keys the
+    blocks are the ranges of a distributed sort (``total_in_order``).
     """
+    if not keys:
+        return total_in_order(df, pos, value, out)
     b = df.withColumn("__b", F.floor(F.col(pos) / block)).withColumn("__v", value)
     totals = b.groupBy(*keys, "__b").agg(F.sum("__v").alias("__t"))
     # second level: the totals of one key, again in blocks, so this window stays short as well
@@ -48,7 +48,7 @@ def running_total(
     inner = W.partitionBy(*keys, "__c").orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
     totals = totals.withColumn("__before", F.coalesce(F.sum("__t").over(inner), F.lit(0)))
     coarse = totals.groupBy(*keys, "__c").agg(F.sum("__t").alias("__ct"))
-    outer = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy("__c")
+    outer = W.partitionBy(*keys).orderBy("__c")
     coarse = coarse.withColumn(
         "__cbefore", F.coalesce(F.sum("__ct").over(outer.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ).drop("__ct")
@@ -64,37 +64,27 @@ def running_total(
     )
 
 
-def numbered(df: DataFrame, keys: list[str], pos: str, out: str, block: int = 4096) -> DataFrame:
-    """0-based dense row number per key by the unique integer ``pos``, without one big window."""
-    return running_total(df, keys, pos, F.lit(1).cast("bigint"), out, block)
-
-
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """True when the table has at most ``rows`` rows; reads no more than that many."""
-    return df.limit(rows + 1).count() <= rows
+def total_in_order(df: DataFrame, pos: str, value: Column, out: str) -> DataFrame:
+    """Exclusive running sum over all rows in the order of ``pos``.
 
+    The rows are dealt into ranges of ``pos`` and written with the number of their range; one total a
+    range comes to the driver and gives each range its start. Runs two jobs at once, reads the input
+    once, and a task holds one range.
+    """
+    placed = df.withColumn("__v", value).repartitionByRange(F.col(pos)).withColumn("__range", F.spark_partition_id())
+    placed = cut_lineage(placed)
+    sums = sorted((r["__range"], r["__t"]) for r in placed.groupBy("__range").agg(F.sum("__v").alias("__t")).collect())
+    starts = list(zip([p for p, _ in sums], accumulate([0, *(t for _, t in sums)])))
+    starts = df.sparkSession.createDataFrame(starts, "__range int, __s bigint")  # one row a partition
+    within = W.partitionBy("__range").orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
+    return (
+        placed.withColumn("__w", F.coalesce(F.sum("__v").over(within), F.lit(0)))
+        .join(F.broadcast(starts), "__range")
+        .withColumn(out, F.col("__w") + F.col("__s"))
+        .drop("__range", "__v", "__w", "__s")
+    )
 
-def join_checked(
-    big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", *,
-    rows: int = SMALL_ROWS, salt: list[str] | None = None, salts: int = 32,
-    bound: DataFrame | None = None, hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join that ships ``small`` to every task only after counting it.
 
-    Above the bound, keys with more than ``hot_rows`` rows on the big side are salted by the ``salt``
-    columns and their partners repeated once per salt, so a hot key is spread over ``salts`` tasks;
-    all other keys are joined as they are. Works for inner, left, semi and anti joins, where every
-    row of ``big`` meets all its partners in its own salt. ``bound`` is a table that is cheap to
-    count and has at least as many rows as ``small``.
-    """
-    if is_small(small if bound is None else bound, rows):
-        return big.join(F.broadcast(small), on, how)
-    if not salt:
-        return big.join(small, on, how)
-    # a key needs more than hot_rows rows to be here, so this list is rows / hot_rows long at most
-    hot = big.groupBy(*on).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows).select(*on, F.lit(salts).alias("__n"))
-    own = F.when(F.col("__n").isNotNull(), F.pmod(F.xxhash64(*salt), F.col("__n"))).otherwise(F.lit(0)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__n") - 1, F.lit(0))))
-    left = big.join(F.broadcast(hot), on, "left").withColumn("__salt", own).drop("__n")
-    right = small.join(F.broadcast(hot), on, "left").withColumn("__salt", every).drop("__n")
-    return left.join(right, [*on, "__salt"], how).drop("__salt")
+def numbered(df: DataFrame, keys: list[str], pos: str, out: str, block: int = 4096) -> DataFrame:
+    """0-based dense row number per key by the unique integer ``pos``, without one big window."""
+    return running_total(df, keys, pos, F.lit(1).cast("bigint"), out, block)

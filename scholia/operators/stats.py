@@ -196,27 +196,36 @@ def query_metrics(runs: DataFrame) -> DataFrame:
     return base.withColumn("median_seconds", upper_median(good, "seconds").scalar()).withColumn("species_coverage_pct", covered.scalar())
 
 
-def upper_median(df: DataFrame, value: str, accuracy: int = 100_000) -> DataFrame:
-    """Element ``n div 2`` of the ordered values, exactly, without sorting or holding all of them.
+def upper_median(df: DataFrame, value: str, accuracy: int = 100_000, few: int = 100_000) -> DataFrame:
+    """Element ``n div 2`` of the ordered values, exactly, without sorting all of them.
 
-    Approximate quantiles bracket the middle; only values inside the bracket (a share of about
-    ``8 / accuracy``) are counted per value and ranked behind the exact number of smaller ones.
+    Approximate quantiles bracket the middle, again and again within the bracket, until it holds
+    ``few`` values at most or one value only; those few are sorted in one row.
     """
     v = df.where(F.col(value).isNotNull()).select(value)
-    n = v.count()
-    if not n:
+    place = v.count() // 2
+    if v.isEmpty():
         return v.agg(F.max(value).alias(value))
-    eps = 4.0 / accuracy + 1.0 / n
-    low, high = v.agg(F.percentile_approx(value, [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy)).first()[0]
-    below = v.where(F.col(value) < low).agg(F.count("*")).scalar()
-    near = v.where(F.col(value).between(low, high)).groupBy(value).agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(W.orderBy(value)) + below
-    return near.withColumn("upto", upto).where(F.col("upto") > n // 2).agg(F.min(value).alias(value))
+    while (n := v.count()) > few:
+        eps = 4.0 / accuracy + 1.0 / n
+        middle = (place + 0.5) / n
+        low, high = v.agg(F.percentile_approx(value, [max(0.0, middle - eps), min(1.0, middle + eps)], accuracy)).first()[0]
+        below, low_n = v.agg(F.count_if(F.col(value) < low), F.count_if(F.col(value) == low)).first()
+        if below <= place < below + low_n:  # also ends brackets that can't get any smaller
+            return v.where(F.col(value) == low).agg(F.max(value).alias(value))
+        v, place = v.where(F.col(value).between(low, high)), place - below
+    return v.agg(F.get(F.sort_array(F.collect_list(value)), F.lit(place).cast("int")).alias(value))
 
 
-def parameter_gaps(params: DataFrame, required: list[str] = fixed.REQUIRED_PARAMETERS) -> DataFrame:
-    """Per species the parameters present and the required ones without any record."""
+def parameter_gaps(params: DataFrame, required: list[str] = fixed.REQUIRED_PARAMETERS, species: DataFrame | None = None) -> DataFrame:
+    """Per species the parameters present and the required ones without any record.
+
+    ``species`` names all of them: one without any record lacks everything.
+    """
     present = params.groupBy("species").agg(F.array_sort(F.collect_set("parameter")).alias("available"))
+    if species is not None:
+        present = species.select("species").distinct().join(present, "species", "left")
+        present = present.withColumn("available", F.coalesce("available", F.array().cast("array<string>")))
     return present.withColumn("missing", F.array_except(F.lit(list(required)), "available"))
 
 

@@ -7,22 +7,39 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from scholia import fixed
 from scholia.operators.skew import top_k
 
 BLOCK_BYTES = 64 << 20
+SCORE_CELLS = 4_000_000  # scores that a task holds at a time
 
 
-def to_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """List column to a matrix of unit rows (a zero row stays zero)."""
+def common_size(column: pa.Array | pa.ChunkedArray) -> int:
+    """The length that most lists of a column have."""
+    sizes = pc.list_value_length(column).drop_null().to_numpy()
+    return int(np.bincount(sizes).argmax()) if len(sizes) else 0
+
+
+def to_matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """List column to a matrix of unit rows, and which rows are vectors.
+
+    Null lists, lists of another length than ``dim`` (the most common one by default) and lists with null
+    or non-finite numbers are no vectors; their rows are zero, as is the row of a zero vector.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    m = flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+    dim = common_size(column) if dim is None else dim
+    ok = pc.list_value_length(column).fill_null(-1).to_numpy(zero_copy_only=False) == dim
+    m = np.zeros((len(column), dim))
+    if dim:
+        m[ok] = column.filter(pa.array(ok)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    ok &= np.isfinite(m).all(axis=1)
+    m[~ok] = 0.0
     norms = np.linalg.norm(m, axis=1, keepdims=True)
-    return m / np.where(norms == 0, 1.0, norms)
+    return m / np.where(norms == 0, 1.0, norms), ok
 
 
 def _best(rows, scores, seqs, ids, k):
@@ -53,18 +70,19 @@ class TopK:
             new = tuple(np.concatenate(pair) for pair in zip(self.state, new))
         self.state = _best(*new, self.k)
 
-    def batches(self, qids: np.ndarray):
+    def batches(self, qids: pa.Array):
         if self.state is not None and len(self.state[0]):
             rows, scores, seqs, ids = self.state
             yield pa.RecordBatch.from_pydict(
                 {
-                    "query_id": pa.array(qids[rows], pa.int64()), "chunk_id": pa.array(ids.tolist(), pa.string()),
+                    "query_id": qids.take(pa.array(rows)), "chunk_id": pa.array(ids.tolist(), pa.string()),
                     "seq": pa.array(seqs, pa.int64()), "score": pa.array(scores, pa.float64()),
                 }
             )
 
 
-HITS = "query_id bigint, chunk_id string, seq bigint, score double"
+def hits_schema(queries: DataFrame) -> str:
+    return f"query_id {queries.schema['query_id'].dataType.simpleString()}, chunk_id string, seq bigint, score double"
 
 
 def _search_task(query_block, k, metric):
@@ -73,12 +91,15 @@ def _search_task(query_block, k, metric):
     def run(batches):
         qids, q = query_block.value
         top = TopK(k)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cos = q @ to_matrix(batch.column("embedding")).T
-            sim = (cos + 1.0) / 2.0 if metric == "cosine" else 1.0 / (1.0 + (2.0 - 2.0 * cos))
-            top.add(np.round(sim, 9), batch.column("seq").to_numpy(zero_copy_only=False), batch.column("chunk_id"))
+        step = max(1, SCORE_CELLS // max(1, len(qids)))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                m, ok = to_matrix(batch.column("embedding"), q.shape[1])
+                cos = q @ m.T
+                sim = np.round((cos + 1.0) / 2.0 if metric == "cosine" else 1.0 / (1.0 + (2.0 - 2.0 * cos)), 9)
+                sim[:, ~ok] = -np.inf  # never above the floor
+                top.add(sim, batch.column("seq").to_numpy(zero_copy_only=False), batch.column("chunk_id"))
         yield from top.batches(qids)
 
     return run
@@ -89,15 +110,16 @@ def vector_search(
 ) -> DataFrame:
     """Exact top ``k`` chunks per question: ``query_id, chunk_id, seq, score, rank``.
 
-    ``chunks(chunk_id, seq, embedding)`` is scanned where it lies; every task multiplies its Arrow
+    Chunks and questions without a vector of the questions' common length (null, ragged, not finite) have
+    no hits. ``chunks(chunk_id, seq, embedding)`` is scanned where it lies; every task multiplies its Arrow
     batches with the question matrix and keeps its own k best, so only k rows per question and task
     are shuffled and no pair table ever exists. The matrix is sent to the tasks in blocks of at
     most ``block_bytes``; a batch beyond that takes one scan per block.
     """
     spark = chunks.sparkSession
-    size = queries.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    per_block = max(1, block_bytes // (8 * max(size["dim"] or 1, 1)))
-    n_blocks = max(1, math.ceil(size["n"] / per_block))
+    sizes = queries.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).where("dim > 0").collect()
+    dim = max(sizes, key=lambda r: (r["n"], -r["dim"]))["dim"] if sizes else 0  # a row per length
+    n_blocks = max(1, math.ceil(sum(r["n"] for r in sizes) * 8 * dim / block_bytes))
     corpus = chunks.select("chunk_id", F.col("seq").cast("bigint").alias("seq"), "embedding")
     found = []
     for block in range(n_blocks):
@@ -105,15 +127,10 @@ def vector_search(
         if n_blocks > 1:
             part = part.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == block)
         table = part.toArrow()
-        if not table.num_rows:
-            continue
-        qids = table.column("query_id").to_numpy().astype(np.int64)
-        matrix = spark.sparkContext.broadcast((qids, to_matrix(table.column("embedding"))))
-        found.append(corpus.mapInArrow(_search_task(matrix, k, metric), HITS))
-    if not found:
-        return corpus.limit(0).select(
-            F.lit(0).cast("bigint").alias("query_id"), "chunk_id", "seq", F.lit(0.0).alias("score"), F.lit(0).alias("rank")
-        )
+        m, ok = to_matrix(table.column("embedding"), dim)
+        qids = table.column("query_id").combine_chunks().filter(pa.array(ok))
+        block_ = spark.sparkContext.broadcast((qids, m[ok]))
+        found.append(corpus.mapInArrow(_search_task(block_, k, metric), hits_schema(queries)))
     hits = reduce(DataFrame.unionByName, found)
     return top_k(hits, ["query_id"], [F.desc("score"), F.asc("seq")], k)
 

@@ -6,11 +6,11 @@ CTES: dict[str, str] = {
     "docs": "SELECT 'doc_' || doc_id AS paper_id, * FROM documents",
     "chunk_lists": r"""
 SELECT doc_id, 'doc_' || doc_id AS paper_id, lang, source,
-       list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) >= 20) AS ls
+       list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')) AS ls
 FROM documents""",
     "chunks": r"""
 SELECT doc_id, paper_id, lang, source, text, total_chunks, i AS chunk_index,
-       paper_id || '_chunk_' || printf('%03d', i) AS chunk_id, doc_id * 1048576 + i AS seq,
+       paper_id || '_chunk_' || printf('%03d', i) AS chunk_id, doc_id * 2147483648 + i AS seq,
        i // 10 + 1 AS page_number, paper_id || '.pdf' AS source_pdf
 FROM (SELECT doc_id, paper_id, lang, source, len(ls)::BIGINT AS total_chunks, unnest(ls) AS text,
              (generate_subscripts(ls, 1) - 1)::BIGINT AS i FROM chunk_lists)""",
@@ -29,7 +29,7 @@ SELECT pos, item_id, species, lang, title, abstract, year, doi, source, source_p
 FROM (
   SELECT doc_id AS pos, item_id, species, lang,
     CASE WHEN doc_id % 3 = 0 THEN species || ': ' || sentence ELSE sentence END AS title,
-    nullif(array_to_string(ls[2:], chr(10)), '') AS abstract,
+    nullif(trim(regexp_replace(substr(text, length(regexp_extract(ls[1], '^[^.]*\.?')) + 1), '^\n', '')), '') AS abstract,
     CASE WHEN doc_id % 11 <> 0 THEN (1990 + doc_id % 35)::INTEGER END AS year,
     CASE WHEN doc_id % 5 <> 0 THEN '10.1000/' || doc_id END AS doi,
     (['PubMed', 'CrossRef', 'Scopus', 'ScienceDirect', 'ArXiv', 'PLOS'])[num % 6 + 1] AS source,
@@ -49,7 +49,7 @@ FROM turns""",
     "vectors": "SELECT vec_id AS seq, 'v' || vec_id AS chunk_id, 'paper_' || label AS paper_id, embedding FROM embeddings",
     "questions": "SELECT item_id AS query_id, text AS question FROM benchmark",
     "question_vectors": """
-SELECT item_id AS query_id, text AS question, embedding FROM benchmark JOIN embeddings ON vec_id = item_id""",
+SELECT item_id AS query_id, text AS question, embedding FROM benchmark JOIN embeddings ON vec_id = item_id % (SELECT count(*) FROM embeddings)""",
     "hybrid_chunks": """
 SELECT c.*, embedding FROM chunks c JOIN embeddings ON vec_id = seq % (SELECT count(*) FROM embeddings)""",
     "habitats": """
@@ -112,11 +112,15 @@ GROUP BY l_orderkey, l_partkey, l_linenumber, n_name""",
 SELECT l_partkey AS SpecCode, max(l_tax) AS a, 2.5 + max(l_discount) AS b, max(l_quantity)::BIGINT AS N, l_orderkey, l_linenumber
 FROM lineitem GROUP BY l_orderkey, l_partkey, l_linenumber""",
     "parameters": """
-SELECT SpecCode, 'growth' AS src, 'K' AS parameter, K AS value, 'yr⁻¹' AS unit, NULL AS method, locality, sex, N AS n_samples, l_orderkey, l_linenumber, n_name FROM growth
-UNION ALL SELECT SpecCode, 'growth', 'Linf', Loo, 'cm', NULL, locality, sex, N, l_orderkey, l_linenumber, n_name FROM growth WHERE Loo <> -999
-UNION ALL SELECT SpecCode, 'growth', 't0', t_o, 'yr', NULL, locality, sex, N, l_orderkey, l_linenumber, n_name FROM growth
-UNION ALL SELECT SpecCode, 'length_weight', 'a', a, 'g·cm⁻ᵇ', 'Length type: TL', NULL, 'combined', N, l_orderkey, l_linenumber, '' FROM length_weight
-UNION ALL SELECT SpecCode, 'length_weight', 'b', b, 'dimensionless', 'Length type: TL', NULL, 'combined', N, l_orderkey, l_linenumber, '' FROM length_weight""",
+SELECT SpecCode, 'growth' AS src, 'K' AS parameter, K AS value, 'yr⁻¹' AS unit, NULL AS method, locality, upper(n_name) AS country, sex, N AS n_samples, l_orderkey AS data_ref, l_orderkey, l_linenumber, n_name FROM growth
+UNION ALL SELECT SpecCode, 'growth', 'Linf', Loo, 'cm', NULL, locality, upper(n_name), sex, N, l_orderkey, l_orderkey, l_linenumber, n_name FROM growth WHERE Loo <> -999
+UNION ALL SELECT SpecCode, 'growth', 't0', t_o, 'yr', NULL, locality, upper(n_name), sex, N, l_orderkey, l_orderkey, l_linenumber, n_name FROM growth
+UNION ALL SELECT SpecCode, 'length_weight', 'a', a, 'g·cm⁻ᵇ', 'Length type: TL', NULL, NULL, 'combined', N, NULL, l_orderkey, l_linenumber, '' FROM length_weight
+UNION ALL SELECT SpecCode, 'length_weight', 'b', b, 'dimensionless', 'Length type: TL', NULL, NULL, 'combined', N, NULL, l_orderkey, l_linenumber, '' FROM length_weight
+UNION ALL SELECT p_partkey, 'ecology', 'TrophicLevel', 2 + p_size / 25, 'dimensionless', 'FishBase ecology table', NULL, NULL, NULL, NULL, p_size, p_partkey, 0, '' FROM part WHERE p_size % 4 <> 0
+UNION ALL SELECT p_partkey, 'maturity', 'Lmat', p_size * 1.5, 'cm', p_type, p_brand, p_type, 'male', p_size, p_partkey % 97, p_partkey, 0, '' FROM part WHERE p_size % 3 = 0
+UNION ALL SELECT p_partkey, 'maturity', 'Amat', p_size / 10, 'yr', p_type, p_brand, p_type, 'male', p_size, p_partkey % 97, p_partkey, 0, '' FROM part WHERE p_size % 3 = 0 AND p_size % 2 <> 0
+UNION ALL SELECT p_partkey, 'qb', 'QB', p_retailprice / 100, 'yr⁻¹', p_brand, p_type, NULL, NULL, NULL, NULL, p_partkey, 0, '' FROM part WHERE p_partkey % 5 = 0""",
     "spec_names": """
 SELECT p_partkey AS SpecCode, upper(left(p_name, 1)) || substr(split_part(p_name, ' ', 1), 2) AS Genus,
        split_part(p_name, ' ', 2) || (p_partkey % 50) AS Species FROM part""",

@@ -231,7 +231,7 @@ def k02(t: Tables) -> DataFrame:
     return A.head_fraction(fx.species(t), 0.13).select("species", "pos")
 
 
-@query("k03_sample_n")
+@query("k03_sample_n", "SELECT doc_id, n_chars FROM documents ORDER BY md5(doc_id || ':42'), doc_id LIMIT 20")
 def k03(t: Tables) -> DataFrame:
     return A.sample_n(t.documents.select("doc_id", "n_chars"), 20, "doc_id")
 
@@ -243,7 +243,7 @@ def k04(t: Tables) -> DataFrame:
 
 @query("k07_distinct_sorted", "SELECT DISTINCT source, lang FROM documents")
 def k07(t: Tables) -> DataFrame:
-    return t.documents.select("source", "lang").distinct().orderBy("source", "lang")
+    return A.distinct_sorted(t.documents, "source", "lang")
 
 
 CITED = "coalesce(try_cast(CASE WHEN pos % 4 = 0 THEN 'n/a' ELSE (pos * 37 % 101)::VARCHAR END AS INTEGER), 0)"
@@ -279,7 +279,7 @@ def u01(t: Tables) -> DataFrame:
 
 @query("u03_distinct_species", sql("articles", "SELECT DISTINCT species FROM articles WHERE trim(species) <> ''"))
 def u03(t: Tables) -> DataFrame:
-    return fx.articles(t).select(X.strip("species").alias("species")).where(F.col("species") != "").distinct()
+    return A.distinct_species(fx.articles(t))
 
 
 @query("w14_shard", sql("articles", """

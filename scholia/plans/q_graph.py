@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from scholia.operators import graph as G
+from scholia.operators.hybrid import hydrate
 from scholia.operators.vector import min_score, vector_search
 from scholia.plans import fixtures as fx
 from scholia.plans.oracle_fx import fx as sql
 from scholia.registry import Tables, query
-from scholia.session import cut_lineage
+from scholia.session import cut_lineage, work_path
+from scholia.sources.tables import read_graph, write_graph
 
 
 def aliases(t: Tables) -> DataFrame:
-    return fx.entities(t).select("entity_id", F.posexplode("aliases").alias("pos", "alias"))
+    listed = fx.entities(t).select("entity_id", F.posexplode("aliases").alias("pos", "alias"))
+    return listed.select("entity_id", "alias", F.array(F.col("pos").cast("bigint")).alias("place"))
 
 
 def edges(t: Tables) -> DataFrame:
@@ -197,7 +200,8 @@ def g06_relations(t: Tables) -> DataFrame:
 @query("f35_entity_context", sql("entities relations mentions", """
 SELECT entity_id AS seed, 0 AS part, '' AS pos, '### Entidad: ' || name || ' (' || entity_type || ')' AS line FROM entities WHERE entity_type IN ('Location', 'Method')
 UNION ALL SELECT entity_id, 1, paper_id, 'Mencionada en: ' || paper_id FROM mentions WHERE entity_id LIKE 'method::%'
-UNION ALL SELECT seed, 2, relation_id, '  - [' || relation_type || '] ' || CASE WHEN object_id = seed THEN object_id ELSE name END || ' (' || upper(left(object_id, 1)) || substr(split_part(object_id, '::', 1), 2) || ')  [conf=' || printf('%.2f', confidence) || ']'
+UNION ALL SELECT DISTINCT v.seed, 2, '', 'Relaciones:' FROM relations r JOIN v ON v.node = subject_id JOIN v w ON w.seed = v.seed AND w.node = object_id
+UNION ALL SELECT seed, 3, relation_id, '  - [' || relation_type || '] ' || CASE WHEN object_id = seed THEN object_id ELSE name END || ' (' || upper(left(object_id, 1)) || substr(split_part(object_id, '::', 1), 2) || ')  [conf=' || printf('%.2f', confidence) || ']'
 FROM (SELECT v.seed, r.* FROM relations r JOIN v ON v.node = subject_id JOIN v w ON w.seed = v.seed AND w.node = object_id) JOIN entities ON entity_id = object_id""",
     both_ways=BOTH, v="SELECT entity_id AS seed, entity_id AS node FROM entities WHERE entity_type IN ('Location', 'Method') UNION SELECT a, b FROM both_ways JOIN entities ON entity_id = a WHERE entity_type IN ('Location', 'Method')"))
 def f35(t: Tables) -> DataFrame:
@@ -233,5 +237,13 @@ def g04(t: Tables) -> DataFrame:
 
 @query("g07_graph_search")
 def g07(t: Tables) -> DataFrame:
-    hits = min_score(vector_search(fx.vectors(t), fx.question_vectors(t), 5))
-    return G.graph_search(named_questions(t), fx.entities(t), aliases(t), fx.mentions(t), edges(t), hits)
+    """A graph built from answers, written and read back; questions that name one of its customers."""
+    path = work_path(t.spark, "graph")
+    write_graph(G.build_graph(cut_lineage(fx.extractions(t))), path)
+    g = read_graph(t.spark, path)
+    who = F.concat(F.lit("What does Customer "), (F.col("query_id") * 3 + 1).cast("string"), F.lit(" study? "))
+    q = fx.question_vectors(t).withColumn("question", F.concat(who, "question"))
+    chunks = cut_lineage(fx.hybrid_chunks(t))
+    hits = hydrate(min_score(vector_search(chunks, q, 5), 0.6), chunks.drop("embedding", "seq").withColumns({
+        "title": F.concat(F.lit("On "), "lang"), "authors": F.array("source"), "year": F.lit(2001)}))
+    return G.graph_search(q.select("query_id", "question"), g.entities, g.aliases, g.mentions, g.relations, hits)

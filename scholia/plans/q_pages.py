@@ -7,8 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from scholia.operators import articles as A, chunking as C, pages as P, stats as S
 from scholia.plans import fixtures as fx
 from scholia.plans.oracle_fx import fx as sql
+from scholia.operators.bm25 import bm25_index
+from scholia.operators.hybrid import hybrid_search
 from scholia.plans.q_stats import rounded
 from scholia.registry import Tables, query
+from scholia.session import work_path
+from scholia.sources.tables import read_index, read_postings, write_index, write_postings
 
 OFFSETS = """
 SELECT paper_id, page_number, coalesce(sum(length(text) + 2) OVER (PARTITION BY paper_id ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS char_start,
@@ -128,9 +132,17 @@ def x06(t: Tables) -> DataFrame:
 
 @query("x07_index_documents")
 def x07(t: Tables) -> DataFrame:
-    chunks, failed = C.index_documents(html_documents(t), size=800, overlap=80)
-    ok = chunks.groupBy("paper_id").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"))
-    return ok.unionByName(failed, allowMissingColumns=True)
+    """Build, save, read back, search: per document its chunks and how often they answer a question."""
+    chunks, failed, _ = C.index_documents(html_documents(t), size=800, overlap=80)
+    path = work_path(t.spark, "index")
+    write_index(chunks, path)
+    stored, _ = read_index(t.spark, path)
+    write_postings(bm25_index(stored), path)
+    questions = C.embed(fx.questions(t), "question").select("query_id", "question", "embedding")
+    hits = hybrid_search(stored, read_postings(t.spark, path), questions)
+    answers = hits.join(stored.select("chunk_id", "paper_id"), "chunk_id").groupBy("paper_id").agg(F.count("*").alias("answers"))
+    ok = stored.groupBy("paper_id").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"), F.min("seq").alias("first_seq"))
+    return ok.join(answers, "paper_id", "left").unionByName(failed, allowMissingColumns=True)
 
 
 @query("a22_compare_chunkers")

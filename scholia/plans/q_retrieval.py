@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scholia.operators import hybrid as H, index as I, neardup as N
 from scholia.operators.bm25 import bm25_index, bm25_search, query_terms
-from scholia.operators.skew import join_checked, top_k
+from scholia.operators.skew import top_k
 from scholia.operators.vector import min_score, vector_search
 from scholia.plans import fixtures as fx
 from scholia.plans.oracle_fx import bm25, fx as sql, vector
@@ -33,8 +33,7 @@ def r02(t: Tables) -> DataFrame:
 SELECT query_id, count(*) AS matches, sum(tf)::BIGINT AS tf, round(sum(qtf * idf), 6) AS weight FROM query_terms JOIN postings USING (term) JOIN term_stats USING (term) GROUP BY query_id"""))
 def j08(t: Tables) -> DataFrame:
     index = bm25_index(fx.chunks(t))
-    weights = join_checked(index.terms, query_terms(fx.questions(t)), ["term"])
-    hits = join_checked(index.postings, weights, ["term"], salt=["seq"], bound=query_terms(fx.questions(t)))
+    hits = index.postings.join(index.terms.join(query_terms(fx.questions(t)), "term"), "term")
     return rounded(hits.groupBy("query_id").agg(F.count("*").alias("matches"), F.sum("tf").alias("tf"), F.sum(F.col("qtf") * F.col("idf")).alias("weight")))
 
 
@@ -131,8 +130,7 @@ def r04(t: Tables) -> DataFrame:
 SELECT s.query_id, s.chunk_id, s.rank FROM tv_ranked s SEMI JOIN (SELECT query_id, chunk_id FROM tk_ranked WHERE rank <= 80 AND score >= 5) g ON s.query_id = g.query_id AND s.chunk_id = g.chunk_id WHERE s.rank <= 80""", marked=MARKED, **CHANNEL))
 def j10(t: Tables) -> DataFrame:
     tables, q = cut_lineage(H.filter_table_chunks(marked_hybrid(t))), fx.question_vectors(t)
-    gate = min_score(bm25_search(bm25_index(tables), q, 80), 5.0)
-    return ranked(vector_search(tables, q, 80).join(gate, ["query_id", "chunk_id"], "left_semi"), "query_id", "chunk_id", "rank")
+    return ranked(H.semantic_gate(vector_search(tables, q, 80), bm25_search(bm25_index(tables), q, 80), 5.0), "query_id", "chunk_id", "rank")
 
 
 THREE_LISTS = TWO_LISTS + " UNION ALL SELECT query_id, chunk_id, seq, 0.5::DOUBLE / (60 + rank) FROM channel"

@@ -47,10 +47,13 @@ def s02(t: Tables) -> DataFrame:
     return S.read_species(t.spark, path).select("species")
 
 
-@query("s03_scan_documents")
+@query("s03_scan_documents", "SELECT page_id % 20 AS shelf, sum(octet_length(encode(html)) + 1)::BIGINT AS bytes FROM pages GROUP BY ALL")
 def s03(t: Tables) -> DataFrame:
-    """The data folder itself, scanned as documents (contents are not read for this)."""
-    return S.scan_documents(t.spark, t.path, "*.parquet").select("name", "stem", "length")
+    """Pages written to files on twenty shelves, scanned as documents (contents are not read for this)."""
+    path = work_path(t.spark, "shelves")
+    t.pages.select((F.col("page_id") % 20).alias("shelf"), "html").repartition("shelf").write.partitionBy("shelf").text(path)
+    found = S.scan_documents(t.spark, path, "*.txt").withColumn("shelf", F.regexp_extract("path", "shelf=([0-9]+)", 1).cast("bigint"))
+    return found.where(F.col("stem") != "").groupBy("shelf").agg(F.sum("length").alias("bytes"))
 
 
 @query("s04_valid_documents", """

@@ -10,6 +10,8 @@ from scholia.operators.graph import extraction_prompt
 from scholia.plans import fixtures as fx
 from scholia.plans.oracle_fx import fx as sql
 from scholia.registry import Tables, query
+from scholia.session import work_path
+from scholia.sources.files import CSV, fix_linebreaks
 
 CLEAN = r"""
 regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(
@@ -391,7 +393,10 @@ def f36(t: Tables) -> DataFrame:
 
 @query("f37_fix_linebreaks", r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS title FROM documents")
 def f37(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.squeeze("text").alias("title"))
+    """Titles with line ends inside, through a CSV file."""
+    path = work_path(t.spark, "titles")
+    t.documents.select("doc_id", F.col("text").alias("title")).write.options(**CSV).csv(path)
+    return fix_linebreaks(t.spark.read.options(**CSV).schema("doc_id bigint, title string").csv(path))
 
 
 @query("f39_build_search_queries", sql("species_base", """

@@ -54,6 +54,9 @@ def work_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_STAGED: list[str] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -61,10 +64,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     them, its plan stays short, and later readers prune columns.
     """
     path = work_path(df.sparkSession, "stage")
+    _STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables that ``cut_lineage`` has written so far; call it when no result needs them any more."""
+    n = len(_STAGED)
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def parallelism(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
@@ -72,7 +85,8 @@ def parallelism(spark: SparkSession) -> int:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give Python-heavy stages at least one partition per core.
 
-    A scan of large files already has enough partitions and passes through without a shuffle.
+    For plain scans only, where the partitions are known without running anything. A scan of large files
+    has enough of them and passes through without a shuffle.
     """
     n = parallelism(df.sparkSession)
     if df.rdd.getNumPartitions() >= n:

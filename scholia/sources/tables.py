@@ -6,7 +6,7 @@ from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholia.operators.bm25 import Bm25Index, corpus_stats, term_stats
+from scholia.operators.bm25 import Bm25Index
 from scholia.operators.graph import Graph
 
 
@@ -23,23 +23,16 @@ def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def write_postings(index: Bm25Index, path: str) -> None:
-    """Index tables. Postings are laid out by (term, chunk): a lookup reads few row groups, and a
-    term found everywhere is spread over files instead of filling one."""
-    read = index.postings.sparkSession.read.parquet
-    index.ids.write.mode("overwrite").parquet(f"{path}/ids")
-    index.postings.repartitionByRange("term", "seq").sortWithinPartitions("term", "seq").write.mode("overwrite").parquet(f"{path}/postings")
-    corpus_stats(read(f"{path}/ids")).write.mode("overwrite").parquet(f"{path}/corpus")
-    # statistics come from the written tables: the texts are tokenised twice, not four times
-    term_stats(read(f"{path}/postings"), read(f"{path}/corpus")).write.mode("overwrite").parquet(f"{path}/terms")
-
-
-def read_postings(spark: SparkSession, path: str, terms: list[str] | None = None) -> Bm25Index:
-    """Saved index; ``terms`` prunes the postings to what a small batch of questions needs."""
+    """Index tables: the tokens of each chunk by number, so that a search needs no tokenising."""
+    index.bags.repartitionByRange("seq").write.mode("overwrite").parquet(f"{path}/bags")
+    index.corpus.write.mode("overwrite").parquet(f"{path}/corpus")
+    index.terms.write.mode("overwrite").parquet(f"{path}/terms")
+
+
+def read_postings(spark: SparkSession, path: str) -> Bm25Index:
+    """Saved index."""
     read = lambda name: spark.read.parquet(f"{path}/{name}")
-    postings = read("postings")
-    if terms is not None:
-        postings = postings.where(F.col("term").isin(*terms))
-    return Bm25Index(read("ids"), postings, read("terms"), read("corpus"))
+    return Bm25Index(read("bags"), read("terms"), read("corpus"))
 
 
 def write_graph(graph: Graph, path: str) -> None:

@@ -1,7 +1,8 @@
 """Incremental ingest, graph updates and progress with Structured Streaming.
 
-Every micro-batch writes its own folder (``batch=<epoch>``) in overwrite mode. A batch that runs
-again after a lost executor or driver replaces its folder, so nothing is added twice.
+Every micro-batch writes a place of its own, named by the streaming query and the epoch. A batch that
+runs again after a lost executor or driver writes the same place again, so nothing is added twice; a query
+that starts anew without its checkpoint has another name, so it replaces nothing and skips what is done.
 """
 
 from __future__ import annotations
@@ -16,15 +17,20 @@ from scholia.operators.graph import Graph, build_graph, update_graph
 from scholia.operators.pages import clean_pages
 from scholia.operators.skew import first_by, running_total
 from scholia.operators.stats import is_complete
+from scholia.session import cut_lineage
 from scholia.sources.tables import read_graph, write_graph
 
 
-def _batches(spark: SparkSession, path: str, schema, before: int) -> DataFrame:
-    """Rows written by earlier batches; none yet means an empty table."""
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, wherever Spark keeps it."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], schema)
-    return spark.read.option("basePath", path).parquet(path).where(F.col("batch") < before).drop("batch")
+    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in store.listStatus(hadoop)] if store.exists(hadoop) else []
+
+
+def _batch_name(spark: SparkSession, epoch: int) -> str:
+    """Name of a micro-batch: the query that its checkpoint belongs to, and its number in it."""
+    return f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{epoch}"
 
 
 def document_chunks(docs: DataFrame) -> DataFrame:
@@ -38,16 +44,18 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Work on documents not seen before, as files arrive in ``source``; stops when caught up.
 
-    ``sink/chunks`` gets the results, ``sink/done`` the keys. Only keys are read back, never chunks.
+    ``sink/chunks`` gets the results, ``sink/done`` the keys, each by ``batch``. Only keys are read back,
+    never chunks.
     """
 
     def step(batch: DataFrame, epoch: int) -> None:
-        done = _batches(batch.sparkSession, f"{sink}/done", "paper_id string", epoch)
-        fresh = batch.join(done, "paper_id", "left_anti")
-        fresh = first_by(fresh, ["paper_id"], [F.xxhash64("text")]).persist()
-        work(fresh).write.mode("overwrite").parquet(f"{sink}/chunks/batch={epoch}")
-        fresh.select("paper_id").write.mode("overwrite").parquet(f"{sink}/done/batch={epoch}")
-        fresh.unpersist()
+        session = batch.sparkSession
+        own = _batch_name(session, epoch)
+        done = [f"{sink}/done/{name}" for name in _folders(session, f"{sink}/done") if name not in (f"batch={own}",) and name.startswith("batch=")]
+        fresh = batch.join(session.read.parquet(*done), "paper_id", "left_anti") if done else batch
+        fresh = cut_lineage(first_by(fresh, ["paper_id"], [F.xxhash64("text")]))
+        work(fresh).write.mode("overwrite").parquet(f"{sink}/chunks/batch={own}")
+        fresh.select("paper_id").write.mode("overwrite").parquet(f"{sink}/done/batch={own}")
 
     reader = spark.readStream.schema(schema)
     if files_per_batch:
@@ -57,18 +65,34 @@ def ingest_stream(
 
 
 def graph_stream(spark: SparkSession, source: str, schema, path: str, checkpoint: str) -> StreamingQuery:
-    """Merge extraction answers into a stored graph; each batch writes the next version."""
+    """Merge extraction answers into a stored graph; each batch writes the next version and its owner.
+
+    A batch that runs again finds itself the owner of the last version and writes that one anew from the
+    version before; a query without its old checkpoint goes on from the last version.
+    """
 
     def step(batch: DataFrame, epoch: int) -> None:
-        graph = build_graph(batch) if epoch == 0 else update_graph(read_graph(batch.sparkSession, f"{path}/version={epoch - 1}"), batch)
-        write_graph(graph, f"{path}/version={epoch}")
+        session = batch.sparkSession
+        own, last = _batch_name(session, epoch), last_version(session, path)
+        if last is not None and session.read.parquet(f"{path}/version={last}/owner").first()["owner"] == own:
+            last = last - 1 if last else None
+        graph = build_graph(batch) if last is None else update_graph(read_graph(session, f"{path}/version={last}"), batch)
+        target = f"{path}/version={0 if last is None else last + 1}"
+        write_graph(graph, target)
+        session.createDataFrame([(own,)], "owner string").write.mode("overwrite").parquet(f"{target}/owner")
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest_graph(spark: SparkSession, path: str, version: int) -> Graph:
-    return read_graph(spark, f"{path}/version={version}")
+def last_version(spark: SparkSession, path: str) -> int | None:
+    """The last version that is complete: its owner is written after its tables."""
+    whole = [n for n in _folders(spark, path) if n.startswith("version=") and "_SUCCESS" in _folders(spark, f"{path}/{n}/owner")]
+    return max((int(n.partition("=")[2]) for n in whole), default=None)
+
+
+def latest_graph(spark: SparkSession, path: str, version: int | None = None) -> Graph:
+    return read_graph(spark, f"{path}/version={last_version(spark, path) if version is None else version}")
 
 
 def ready_to_index(documents: DataFrame, progress: DataFrame, least: int = 1000) -> DataFrame:
