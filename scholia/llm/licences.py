@@ -174,11 +174,15 @@ def negative_words(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_co
 
     One paragraph of each of the first documents in the order of a hash.
     """
-    one = id_and_text(docs, id_col, text_col).orderBy(F.xxhash64("doc_id", F.lit(s.seed)), "doc_id", F.xxhash64("text")).limit(s.negatives)
+    d = id_and_text(docs, id_col, text_col).withColumn("t", F.xxhash64("text"))
+    keys = d.select(F.col("doc_id").alias("k_id"), F.col("t").alias("k_t")).distinct()
+    keys = keys.orderBy(F.xxhash64("k_id", F.lit(s.seed)), "k_id", "k_t").limit(s.negatives)  # bounded, so it can be sent to every task
+    one = d.join(F.broadcast(keys), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("t") == F.col("k_t")))
     lines = F.filter(F.split("text", "\n"), lambda p: ~p.rlike("(?i)licen[sc]|copyright|permission|redistribut") & (F.trim(p) != ""))
-    picked = one.select(F.get(lines, F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("p")).where("p is not null")
+    picked = one.select("doc_id", "t", F.get(lines, F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("p")).where("p is not null")
     # At most the first 60 words of each: a licence statement isn't longer.
-    return [r.w for r in picked.select(F.slice(words_of(F.col("p")), 1, 60).alias("w")).collect()]
+    words = picked.select("doc_id", "t", F.slice(words_of(F.col("p")), 1, 60).alias("w")).distinct()
+    return [r.w for r in words.orderBy(F.xxhash64("doc_id", F.lit(s.seed)), "doc_id", "t").collect()]
 
 
 def weight_table(spark: SparkSession, model: Model) -> DataFrame:
@@ -200,21 +204,23 @@ def licences(docs: DataFrame, model: Model, s: Settings = Settings(), id_col: st
     an empty table; ids may be null or repeat (repeated rows are reported again); other columns aren't read.
     Long texts are read whole.
 
-    Paragraphs without a mark (``Model.marks``) can't be reported; the others are written, their n-grams
-    meet the weights (a table of a few hundred rows, sent to the tasks) and are summed by paragraph.
+    Paragraphs without a mark (``Model.marks``) can't be reported; the others are written and numbered, their
+    n-grams meet the weights (a table of a few hundred rows, sent to the tasks) and are summed by number; the
+    few numbers that are left meet the paragraphs again.
     """
-    p = paragraphs(docs, id_col, text_col).withColumn("words", words_of(F.col("paragraph")))
-    p = p.where(F.arrays_overlap("words", F.array(*map(F.lit, model.marks)).cast("array<string>")))
-    p = cut_lineage(p.withColumn("nth", F.monotonically_increasing_id())).withColumn("grams", grams_of(F.col("words")))
-    met = p.select("nth", F.explode("grams").alias("gram")).join(F.broadcast(weight_table(docs.sparkSession, model)), "gram")
+    p = paragraphs(docs, id_col, text_col)
+    p = p.where(F.arrays_overlap(words_of(F.col("paragraph")), F.array(*map(F.lit, model.marks)).cast("array<string>")))
+    p = cut_lineage(p.withColumn("nth", F.monotonically_increasing_id()))
+    grams = p.select("nth", F.explode(grams_of(words_of(F.col("paragraph")))).alias("gram"))
+    met = grams.join(F.broadcast(weight_table(docs.sparkSession, model)), "gram")
     families = list(model.weights)
     sums = met.groupBy("nth").agg(*[F.round(F.sum(F.get("w", F.lit(i))), 9).alias(f"z{i}") for i in range(len(families))])
     best = F.array_max(F.array(*[
         F.struct((1 / (1 + F.exp(-(F.col(f"z{i}") + model.constant[f])))).alias("probability"), F.lit(f).alias("family"), F.lit(model.threshold[f]).alias("threshold"))
         for i, f in enumerate(families)
     ]))
-    p = p.join(sums, "nth").withColumn("best", best).where("best.probability >= 0.5")
-    p = p.select("doc_id", "line", "paragraph", "grams", "best.*")
+    found = cut_lineage(sums.select("nth", best.alias("best")).where("best.probability >= 0.5").select("nth", "best.*"))
+    p = p.join(found, "nth").withColumn("grams", grams_of(words_of(F.col("paragraph"))))
     shares = F.lit(0.0)
     for f, ts in TEMPLATES.items():
         shares = F.when(F.col("family") == f, F.greatest(*[share(F.col("grams"), t) for t in ts], F.lit(0.0))).otherwise(shares)
