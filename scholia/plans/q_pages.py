@@ -102,6 +102,11 @@ def x02(t: Tables) -> DataFrame:
     return C.chunk_semantic(fx.docs(t), C.hashing_encoder(64), 0.15, 300, 1000)
 
 
+@query("x02_chunk_semantic_pages")
+def x02_pages(t: Tables) -> DataFrame:
+    return C.chunk_semantic_pages(fx.turns(t), C.hashing_encoder(64))
+
+
 @query("x03_split_sentences")
 def x03(t: Tables) -> DataFrame:
     return C.split_sentences(fx.docs(t), 1000)

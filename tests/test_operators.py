@@ -360,6 +360,20 @@ def test_semantic_chunks_lose_no_sentence(spark):
     assert all(len(r["text"]) >= 99 for r in rows[:-1])
 
 
+def test_semantic_chunks_of_pages_name_their_page(spark):
+    rng = random.Random(3)
+    pages = [("d", i, " ".join(f"{rng.choice(['sea', 'net', 'fish'])} {i}." for _ in range(40))) for i in range(1, 9)]
+    df = spark.createDataFrame(pages, "paper_id string, page_number bigint, text string").repartition(3)
+    rows = C.chunk_semantic_pages(df, C.hashing_encoder(16), 0.3, 100, 250).collect()
+    full = "\n\n".join(t for _, _, t in pages)
+    starts = [sum(len(t) + 2 for _, _, t in pages[:i]) for i in range(8)]
+    for r in rows:
+        inside = [n for (_, n, text), s in zip(pages, starts) if s <= r["char_start"] < s + len(text)]
+        assert r["page_number"] == (inside or [8])[0]  # between two pages: the last one, as for windows
+        assert full[r["char_start"]:].lstrip().startswith(r["text"][:20])
+    assert len({r["page_number"] for r in rows}) > 4
+
+
 def test_semantic_groups_keep_tables_apart():
     parts = [(0, 10, "a" * 120, False), (11, 20, "1" * 50, True), (21, 30, "b" * 120, False), (31, 40, "c" * 10, False)]
     groups = C.group_sentences(parts, np.array([False, False, False]), 100, 300)
