@@ -1,12 +1,16 @@
 """Every registered query against its SQL on the small tables; the others must give rows."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = queries(), oracle_sql()
+SQL = oracle_sql()
+# The training-data queries are tested next to their operators.
+QUERIES = {k: q for k, q in queries().items() if not re.match(r"op\d+_|pipeline$", k)}
 
 
 @pytest.fixture(scope="module")
