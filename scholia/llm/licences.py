@@ -208,10 +208,10 @@ def licences(docs: DataFrame, model: Model, s: Settings = Settings(), id_col: st
     n-grams meet the weights (a table of a few hundred rows, sent to the tasks) and are summed by number; the
     few numbers that are left meet the paragraphs again.
     """
-    p = paragraphs(docs, id_col, text_col)
-    p = p.where(F.arrays_overlap(words_of(F.col("paragraph")), F.array(*map(F.lit, model.marks)).cast("array<string>")))
-    p = cut_lineage(p.withColumn("nth", F.monotonically_increasing_id()))
-    grams = p.select("nth", F.explode(grams_of(words_of(F.col("paragraph")))).alias("gram"))
+    p = paragraphs(docs, id_col, text_col).withColumn("words", words_of(F.col("paragraph")))
+    p = p.where(F.arrays_overlap("words", F.array(*map(F.lit, model.marks)).cast("array<string>")))
+    p = cut_lineage(p.withColumn("nth", F.monotonically_increasing_id()))  # words as a column: n-grams look into them often
+    grams = p.select("nth", F.explode(grams_of(F.col("words"))).alias("gram"))
     met = grams.join(F.broadcast(weight_table(docs.sparkSession, model)), "gram")
     families = list(model.weights)
     sums = met.groupBy("nth").agg(*[F.round(F.sum(F.get("w", F.lit(i))), 9).alias(f"z{i}") for i in range(len(families))])
@@ -220,7 +220,7 @@ def licences(docs: DataFrame, model: Model, s: Settings = Settings(), id_col: st
         for i, f in enumerate(families)
     ]))
     found = cut_lineage(sums.select("nth", best.alias("best")).where("best.probability >= 0.5").select("nth", "best.*"))
-    p = p.join(found, "nth").withColumn("grams", grams_of(words_of(F.col("paragraph"))))
+    p = p.join(found, "nth").withColumn("grams", grams_of(F.col("words")))
     shares = F.lit(0.0)
     for f, ts in TEMPLATES.items():
         shares = F.when(F.col("family") == f, F.greatest(*[share(F.col("grams"), t) for t in ts], F.lit(0.0))).otherwise(shares)
