@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
         rows = []
         for b in batches:
             for d, label, buckets in zip(b["doc_id"].to_pylist(), b["label"].to_pylist(), b["buckets"], strict=True):
-                rows.append((d, label, np.append(buckets.values.to_numpy().astype(np.int64), 1 << BITS)))
+                rows.append((d, label, np.append(buckets.values.to_numpy(), np.int32(1 << BITS))))
         rows.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), r[0], r[1], len(r[2])))
         i, w = ftrl([(x, y) for _, y, x in rows], settings) if rows else (np.empty(0, np.int64), np.empty(0))
         yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(w, pa.float64())], names=["bucket", "weight"])
