@@ -1,4 +1,4 @@
-"""Line dedup: content-defined chunks of lines; chunks that stand elsewhere before are removed."""
+"""Line dedup: runs of lines, or content-defined chunks of them, that stand elsewhere before are removed."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from scholia.llm.common import id_and_text, query, table
 from scholia.session import cut_lineage
@@ -122,6 +123,130 @@ def drop_repeated_chunks(docs: DataFrame, cutting: Cutting = Cutting(), id_col:
     )
 
 
+def filled_lines(lines: list[str]) -> list[int]:
+    """Numbers of the lines with content."""
+    return [i for i, x in enumerate(lines) if x and not x.isspace()]
+
+
+def pairs_of(text: str) -> list[tuple[int, int, int]]:
+    """``pos, h1, h2``: a rolling hash over the hashes of each two neighbouring lines with content, the
+    ``pos``-th of them and the next, and of the blank lines between them."""
+    lines = text.split("\n")
+    filled = filled_lines(lines)
+    digests = [xxhash.xxh3_128_digest(lines[i].encode()) for i in filled]
+    out = []
+    for k in range(len(filled) - 1):
+        between = "\n".join(lines[filled[k] + 1 : filled[k + 1]]) + "\n" * (filled[k + 1] - filled[k] > 1)
+        d = xxhash.xxh3_128_digest(digests[k] + digests[k + 1] + between.encode())
+        out.append((k, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
+    return out
+
+
+def all_pairs(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            found = [pairs_of(t.as_py()) for t in batch["text"]]
+            pick = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            columns = [pa.array([x[i] for f in found for x in f], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pick), batch["t"].take(pick), *columns], names=["doc_id", "t", "pos", "h1", "h2"])
+
+    return docs.mapInArrow(run, "doc_id bigint, t bigint, pos bigint, h1 bigint, h2 bigint")
+
+
+def pair_bytes(met: DataFrame) -> DataFrame:
+    """``doc_id, t, pos, h1, h2, piece``: the text of the pairs in ``spans``."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            pick, rows = [], []
+            for i, (text, spans) in enumerate(zip(batch["text"], batch["spans"], strict=True)):
+                lines = text.as_py().split("\n")
+                filled = filled_lines(lines)
+                for x in spans.as_py():
+                    pick.append(i)
+                    rows.append((x["pos"], x["h1"], x["h2"], "\n".join(lines[filled[x["pos"]] : filled[x["pos"] + 1] + 1])))
+            pick = pa.array(pick, pa.int64())
+            columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(pick), batch["t"].take(pick), *columns, pa.array([r[3] for r in rows], pa.string())],
+                names=["doc_id", "t", "pos", "h1", "h2", "piece"],
+            )
+
+    return met.select("doc_id", "t", "text", "spans").mapInArrow(run, "doc_id bigint, t bigint, pos bigint, h1 bigint, h2 bigint, piece string")
+
+
+def without_pairs(text: str, gone: list[int]) -> tuple[str, int, int]:
+    """The text without the lines of the pairs ``gone`` and the blank lines between them, the number of runs of
+    lines that went, and of lines."""
+    lines = text.split("\n")
+    filled = filled_lines(lines)
+    dead = bytearray(len(lines))
+    for k in gone:
+        dead[filled[k] : filled[k + 1] + 1] = b"\1" * (filled[k + 1] + 1 - filled[k])
+    last = len(lines) - 1
+    kept = "".join(x if i == last else x + "\n" for i, x in enumerate(lines) if not dead[i])
+    return kept, (b"\0" + dead).count(b"\0\1"), sum(dead)
+
+
+def cut_pairs(met: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            text, gone = batch["text"], batch["gone"]
+            has = pc.greater(pc.list_value_length(gone), 0)
+            cut = [without_pairs(t.as_py(), g.as_py()) for t, g in zip(text.filter(has), gone.filter(has), strict=True)]
+            zeros = pa.array(np.zeros(len(text), np.int64))
+            runs, lines = (pc.replace_with_mask(zeros, has, pa.array([x[i] for x in cut], pa.int64())) for i in (1, 2))
+            n_lines = pc.add(pc.count_substring(text, "\n").cast(pa.int64()), 1)
+            text = pc.replace_with_mask(text, has, pa.array([x[0] for x in cut], text.type))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], text, n_lines, runs, lines], names=["doc_id", "text", "n_lines", "removed_chunks", "removed_lines"])
+
+    return met.select("doc_id", "text", "gone").mapInArrow(run, "doc_id bigint, text string, n_lines bigint, removed_chunks bigint, removed_lines bigint")
+
+
+def stood_before(first: Column) -> Column:
+    """Whether the pair of this row repeats ``first``: it stands elsewhere and shares no line with it."""
+    own = F.struct("doc_id", "t") == F.struct(first["doc_id"], first["t"])
+    return ~(own & F.col("pos").between(first["pos"], first["pos"] + 1))
+
+
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, text, n_lines, removed_chunks, removed_lines``.
+
+    Two neighbouring lines with content stay where they stand first (smallest id, null first, then the place
+    in the text) and are removed elsewhere, with the blank lines between them and their line ends. So of every
+    run of lines that stood before in some text, as given, all lines are removed, wherever the run begins and
+    ends; ``removed_chunks`` counts the runs. A copy that shares a line with the first one isn't one: a line
+    three times in a row stays. Blank lines before and after a run stay. Pairs are found by 128-bit hashes and
+    compared by their bytes; different bytes under one hash are told apart. A null text is empty.
+    Rows with one id and one text are one document and get the same result; an empty table gives no
+    rows; other columns aren't read.
+    """
+    d = id_and_text(docs, id_col, text_col).withColumn("t", F.xxhash64("text"))
+    pairs = cut_lineage(all_pairs(d))
+    place = F.struct("doc_id", "t", "pos")
+    # A document that is given twice has equal places, so places are compared and not counted.
+    seen = pairs.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    marks = pairs.join(cut_lineage(seen), ["h1", "h2"]).withColumn("again", stood_before(F.col("first")))
+    same_doc = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("t") == F.col("m_t"))
+    spans = marks.groupBy("doc_id", "t").agg(F.collect_set(F.struct("pos", "h1", "h2", "again")).alias("spans"))
+    spans = cut_lineage(spans.withColumnsRenamed({"doc_id": "m_id", "t": "m_t"}))
+    met = cut_lineage(d.join(spans, same_doc, "left").drop("m_id", "m_t"))
+
+    pieces = pair_bytes(met.where("spans is not null"))
+    # The bytes of a group are equal when the smallest and the largest are; tasks reduce their share first.
+    mixed = pieces.groupBy("h1", "h2").agg(F.min("piece").alias("lo"), F.max("piece").alias("hi")).where("lo <> hi").select("h1", "h2")
+    mixed = cut_lineage(mixed)
+    gone = F.transform(F.filter("spans", lambda x: x["again"]), lambda x: x["pos"])
+    if not mixed.isEmpty():
+        apart = cut_lineage(pieces.join(mixed, ["h1", "h2"]))
+        firsts = cut_lineage(apart.groupBy("h1", "h2", "piece").agg(F.min(place).alias("first")))
+        fixed = apart.join(firsts, ["h1", "h2", "piece"]).withColumn("again", stood_before(F.col("first")))
+        fixed = fixed.groupBy("doc_id", "t").agg(F.collect_set("pos").alias("told"), F.collect_set(F.when(F.col("again"), F.col("pos"))).alias("repeats"))
+        met = met.join(cut_lineage(fixed.withColumnsRenamed({"doc_id": "m_id", "t": "m_t"})), same_doc, "left")
+        gone = F.when(F.col("told").isNull(), gone).otherwise(F.array_union(F.array_except(gone, F.col("told")), F.col("repeats")))
+    return cut_pairs(met.withColumn("gone", F.coalesce(gone, F.array().cast("array<bigint>"))))
+
+
 @query("op1_line_dedup")
 def op1_line_dedup(spark, sf_dir):
-    return drop_repeated_chunks(table(spark, sf_dir, "documents"))
+    return drop_repeated_runs(table(spark, sf_dir, "documents"))
