@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from scholia.llm.common import id_and_text, query, table
 from scholia.session import cut_lineage
@@ -163,10 +163,25 @@ def marks(weights: dict[str, dict[str, float]], constant: dict[str, float], nega
     return tuple(sorted(words - passed))
 
 
+def edge_word(line: Column, last: bool = False) -> Column:
+    """The first or last word of a line, empty if it hasn't any."""
+    word = F.lower(F.regexp_extract(F.reverse(line) if last else line, r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+)", 1))
+    return F.reverse(word) if last else word
+
+
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, line, paragraph``: the lines with content."""
-    d = id_and_text(docs, id_col, text_col)
-    return d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "paragraph")).where(F.trim("paragraph") != "")
+    """``row, doc_id, line, paragraph, words, from_last, to_next``: the lines with content, and the pairs of words
+    that the line ends before and after them part. ``row`` tells documents apart for one reading."""
+    d = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    lines, none = F.split("text", "\n"), F.array(F.lit(""))
+    three = F.arrays_zip(lines.alias("own"), F.concat(none, lines).alias("last"), F.concat(F.slice(lines, F.lit(2), F.size(lines)), none).alias("next"))
+    p = d.select("row", "doc_id", F.posexplode(three).alias("line", "x")).where(F.trim("x.own") != "")
+    p = p.withColumn("words", words_of(F.col("x.own")))
+    return p.select(
+        "row", "doc_id", F.col("line").cast("bigint").alias("line"), F.col("x.own").alias("paragraph"), "words",
+        F.concat(edge_word(F.col("x.last"), True), F.lit(" "), F.get("words", F.lit(0))).alias("from_last"),
+        F.concat(F.get("words", F.size("words") - 1), F.lit(" "), edge_word(F.col("x.next"))).alias("to_next"),
+    )
 
 
 def negative_words(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> list[list[str]]:
@@ -193,41 +208,122 @@ def weight_table(spark: SparkSession, model: Model) -> DataFrame:
     return rows.select(F.split_part("x", F.lit("\t"), F.lit(1)).alias("gram"), F.split(F.split_part("x", F.lit("\t"), F.lit(2)), ",").cast("array<double>").alias("w"))
 
 
+#: All templates: ``family, n-grams`` by number.
+STATED = [(f, plain_grams(plain_words(t))) for f, ts in TEMPLATES.items() for t in ts]
+
+
+def template_table(spark: SparkSession, model: Model) -> DataFrame:
+    """``gram, template, strong``: the n-grams of each template; strong are those of several words with a mark."""
+    marked = set(model.marks)
+    lines = [f"{g}\t{i}\t{int(' ' in g and not marked.isdisjoint(g.split(' ')))}" for i, (_, gs) in enumerate(STATED) for g in gs]
+    rows = spark.range(1).select(F.explode(F.split(F.lit("\n".join(lines)), "\n")).alias("x"))
+    part = lambda i: F.split_part("x", F.lit("\t"), F.lit(i))
+    return rows.select(part(1).alias("gram"), part(2).cast("int").alias("template"), (part(3) == "1").alias("strong"))
+
+
+def marked(words: str, model: Model) -> Column:
+    return F.arrays_overlap(words, F.array(*map(F.lit, model.marks)).cast("array<string>"))
+
+
+def judged(p: DataFrame, model: Model) -> DataFrame:
+    """``nth, probability, family, threshold`` of the rows (``nth, words``) in which a family reaches one half."""
+    grams = p.where(marked("words", model)).select("nth", F.explode(grams_of(F.col("words"))).alias("gram"))
+    met = grams.join(F.broadcast(weight_table(p.sparkSession, model)), "gram")
+    families = list(model.weights)
+    sums = met.groupBy("nth").agg(*[F.round(F.sum(F.get("w", F.lit(i))), 9).alias(f"z{i}") for i in range(len(families))])
+    best = F.array_max(F.array(*[
+        F.struct((1 / (1 + F.exp(-(F.col(f"z{i}") + model.constant[f])))).alias("probability"), F.lit(f).alias("family"), F.lit(model.threshold[f]).alias("threshold"))
+        for i, f in enumerate(families)
+    ]))
+    return cut_lineage(sums.select("nth", best.alias("best")).where("best.probability >= 0.5").select("nth", "best.*"))
+
+
+def joined_lines(p: DataFrame, model: Model) -> DataFrame:
+    """``nth, row, doc_id, line, last, template, most, paragraph, words``: runs of adjacent lines that may be one
+    statement broken into lines, for each template; ``most`` is the most n-grams that one line has of it.
+
+    Neighbours are joined if both have strong n-grams of the template, or their line end parts two words
+    that stand together in it.
+    """
+    kinds = F.concat(
+        F.transform(grams_of(F.col("words")), lambda g: F.struct(F.lit(0).alias("kind"), g.alias("gram"))),
+        F.array(F.struct(F.lit(1).alias("kind"), F.col("to_next").alias("gram")), F.struct(F.lit(2).alias("kind"), F.col("from_last").alias("gram"))),
+    )
+    grams = p.select("row", "line", F.explode(kinds).alias("x")).select("row", "line", "x.kind", "x.gram")
+    met = grams.join(F.broadcast(template_table(p.sparkSession, model)), "gram").groupBy("row", "line", "template").agg(
+        F.count_if(F.col("kind") == 0).alias("n"), F.bool_or((F.col("kind") == 0) & F.col("strong")).alias("strong"),
+        F.bool_or(F.col("kind") == 1).alias("to_next"), F.bool_or(F.col("kind") == 2).alias("from_last"),
+    ).where("strong or to_next or from_last")
+    w = Window.partitionBy("row", "template").orderBy("line")
+    last = lambda c: F.lag(c).over(w)
+    tied = (last("line") == F.col("line") - 1) & ((last("strong") & F.col("strong")) | last("to_next"))
+    met = met.withColumn("new", F.when(tied, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
+    runs = met.groupBy("row", "template", "run").agg(F.min("line").alias("first"), F.max("line").alias("last"), F.max("n").alias("most")).where("first < last")
+    runs = cut_lineage(runs.drop("run").withColumn("nth", F.monotonically_increasing_id()))
+    each = runs.select("nth", "row", F.explode(F.sequence("first", "last")).alias("line"))
+    each = each.join(p.select("row", "line", "doc_id", "paragraph", "words"), ["row", "line"])
+    whole = each.groupBy("nth").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("line", "paragraph", "words"))).alias("x"))
+    whole = whole.select("nth", "doc_id", F.array_join("x.paragraph", "\n").alias("paragraph"), F.flatten("x.words").alias("words"))
+    return cut_lineage(runs.withColumnRenamed("first", "line").join(whole, "nth"))
+
+
 def licences(docs: DataFrame, model: Model, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per paragraph that reads like a licence statement:
     ``doc_id, line, family, probability, template_share, confirmed, paragraph``.
 
-    A paragraph (a line of the text; lines count from 0) is reported if some family's probability reaches
-    one half. Its family is the most probable one, "unknown" if that doesn't reach the family's threshold.
-    ``template_share`` is the largest part of a template's n-grams, of the predicted family, that the
-    paragraph has; from ``alike`` on the prediction is confirmed. Null and empty texts have no rows, nor has
+    A paragraph is a line of the text (lines count from 0), or a run of adjacent lines over which a statement
+    is broken; ``line`` is its first. It is reported if some family's probability reaches one half. Its family is
+    the most probable one, "unknown" if that doesn't reach the family's threshold. ``template_share`` is the largest
+    part of a template's n-grams, of the predicted family, that the paragraph has; from ``alike`` on the prediction
+    is confirmed. A run is reported if it has more of its template than each of its lines; then lines of it
+    are reported again only if they have more of a template of their own family. Equal statements that follow each
+    other broken over lines, with no line between, are one run. Null and empty texts have no rows, nor has
     an empty table; ids may be null or repeat (repeated rows are reported again); other columns aren't read.
     Long texts are read whole.
 
-    Paragraphs without a mark (``Model.marks``) can't be reported; the others are written and numbered, their
-    n-grams meet the weights (a table of a few hundred rows, sent to the tasks) and are summed by number; the
-    few numbers that are left meet the paragraphs again.
+    Lines without a mark (``Model.marks``) can't be reported alone; those with one, and those whose line ends part
+    words that stand together in a template, are written and numbered, their n-grams meet the weights and the
+    templates (tables of a few hundred rows, sent to the tasks) and are summed by number; the few numbers that are left
+    meet the lines again.
     """
-    p = paragraphs(docs, id_col, text_col).withColumn("words", words_of(F.col("paragraph")))
-    p = p.where(F.arrays_overlap("words", F.array(*map(F.lit, model.marks)).cast("array<string>")))
+    p = paragraphs(docs, id_col, text_col)
+    parted = sorted({g for _, gs in STATED for g in gs if g.count(" ") == 1})
+    p = p.where(marked("words", model) | F.col("to_next").isin(parted) | F.col("from_last").isin(parted))
     p = cut_lineage(p.withColumn("nth", F.monotonically_increasing_id()))  # words as a column: n-grams look into them often
-    grams = p.select("nth", F.explode(grams_of(F.col("words"))).alias("gram"))
-    met = grams.join(F.broadcast(weight_table(docs.sparkSession, model)), "gram")
-    families = list(model.weights)
-    sums = met.groupBy("nth").agg(*[F.round(F.sum(F.get("w", F.lit(i))), 9).alias(f"z{i}") for i in range(len(families))])
-    best = F.array_max(F.array(*[
-        F.struct((1 / (1 + F.exp(-(F.col(f"z{i}") + model.constant[f])))).alias("probability"), F.lit(f).alias("family"), F.lit(model.threshold[f]).alias("threshold"))
-        for i, f in enumerate(families)
-    ]))
-    found = cut_lineage(sums.select("nth", best.alias("best")).where("best.probability >= 0.5").select("nth", "best.*"))
-    p = p.join(found, "nth").withColumn("grams", grams_of(F.col("words")))
-    shares = F.lit(0.0)
-    for f, ts in TEMPLATES.items():
-        shares = F.when(F.col("family") == f, F.greatest(*[share(F.col("grams"), t) for t in ts], F.lit(0.0))).otherwise(shares)
-    p = p.withColumn("template_share", shares)
+
+    def with_share(found: DataFrame) -> DataFrame:
+        found = found.withColumn("grams", grams_of(F.col("words")))
+        shares = F.lit(0.0)
+        for f, ts in TEMPLATES.items():
+            shares = F.when(F.col("family") == f, F.greatest(*[share(F.col("grams"), t) for t in ts], F.lit(0.0))).otherwise(shares)
+        return found.withColumn("template_share", shares)
+
+    own = lambda g: F.size(F.array_intersect("grams", F.array(*map(F.lit, g))))
+    lines = with_share(p.join(judged(p, model), "nth"))
+    lines = lines.withColumn("has", F.array(*[own(g) for _, g in STATED])).withColumn("most", F.array_max(F.array(*[
+        F.when(F.col("family") == f, F.get("has", F.lit(i))).otherwise(0) for i, (f, _) in enumerate(STATED)
+    ])))
+    lines = cut_lineage(lines.drop("grams", "words", "from_last", "to_next"))
+    runs = joined_lines(p, model)
+    runs = with_share(runs.join(judged(runs, model), "nth"))
+    runs = runs.withColumn("hits", F.array(*[own(g) for _, g in STATED])).withColumn("has", F.get("hits", F.col("template")))
+    stated = F.get(F.array(*[F.lit(f) for f, _ in STATED]), F.col("template"))
+    runs = runs.where((F.col("family") == stated) & (F.col("has") > F.col("most")))
+    runs = cut_lineage(runs.select("nth", "row", "doc_id", "line", "last", "template", "family", "probability", "threshold", "template_share", "hits", "has", "paragraph"))
+    # Of runs that overlap, the one with the largest part of a template, if they are of one family or the other has no more of its own template.
+    r, q = runs.alias("r"), runs.select("row", "family", "line", "last", "template_share", "has", "template").alias("q")
+    rank = lambda x: F.struct(f"{x}.template_share", f"{x}.has", -F.col(f"{x}.template"))
+    over = [F.col("r.row") == F.col("q.row"), F.col("r.line") <= F.col("q.last"), F.col("q.line") <= F.col("r.last"), rank("q") > rank("r")]
+    alike = (F.col("r.family") == F.col("q.family")) | (F.get("r.hits", F.col("q.template")) >= F.col("r.has"))
+    runs = cut_lineage(r.join(q, [*over, alike], "left_anti"))
+    # A line of a run says something of its own if it has more of a template of its family than of the run's.
+    r, q = lines.alias("r"), runs.select("row", "template", "line", "last").alias("q")
+    inside = [F.col("r.row") == F.col("q.row"), F.col("r.line").between(F.col("q.line"), F.col("q.last"))]
+    lines = r.join(q, [*inside, F.get("r.has", F.col("q.template")) >= F.col("r.most")], "left_anti")
+    columns = ["doc_id", "line", "family", "probability", "threshold", "template_share", "paragraph"]
     believed = F.col("probability") >= F.col("threshold")
-    return p.select(
-        "doc_id", F.col("line").cast("bigint").alias("line"), F.when(believed, F.col("family")).otherwise("unknown").alias("family"),
+    return lines.select(*columns).unionByName(runs.select(*columns)).select(
+        "doc_id", "line", F.when(believed, F.col("family")).otherwise("unknown").alias("family"),
         "probability", "template_share", (believed & (F.col("template_share") >= s.alike)).alias("confirmed"), "paragraph",
     )
 

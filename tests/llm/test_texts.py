@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -141,6 +142,29 @@ def test_licence_templates_and_prose(spark):
     assert licences.licences(frame(spark, []), model).count() == 0
 
 
+def test_wrapped_licences(spark):
+    """Statements broken at some width, also in comments, are read and confirmed as wholes, at their first line."""
+    model = licences.fitted(spark, read(spark, SF, "documents"))
+    rows, want = [], {}
+    for k, (f, ts) in enumerate(licences.TEMPLATES.items()):
+        for j, t in enumerate(ts):
+            for n, (width, mark) in enumerate([(72, ""), (40, " * "), (24, "# "), (1, "")]):
+                wrapped = textwrap.wrap(t, width, break_long_words=False, break_on_hyphens=False)
+                d = 1000 * k + 100 * j + n
+                rows.append((d, "\n".join(["Some prose before.", "", *[mark + x for x in wrapped], "Haanth reoush hewh onon.", "And after."])))
+                want[d] = (f, 2, "\n".join(mark + x for x in wrapped))
+    two = [licences.TEMPLATES[f][1] for f in ("mit", "gpl")]
+    rows.append((90000, "\n".join(x for t in two for x in textwrap.wrap(t, 60))))
+    rows.append((90001, "\n".join([licences.TEMPLATES["gpl"][0], *textwrap.wrap(two[1], 60)])))
+    got = licences.licences(frame(spark, rows), model).collect()
+    sure = [r for r in got if r.confirmed]
+    assert {r.doc_id: (r.family, r.line, r.paragraph) for r in sure if r.doc_id < 90000} == want
+    assert len([r for r in sure if r.doc_id < 90000]) == len(want) and all(r.template_share == 1 for r in sure)
+    assert (licences.TEMPLATES["gpl"][0], "gpl") in {(r.paragraph, r.family) for r in sure if r.doc_id == 90001}
+    assert len([r for r in sure if r.doc_id == 90001]) == 2
+    assert {(r.family, r.line) for r in sure if r.doc_id == 90000} == {("mit", 0), ("gpl", len(textwrap.wrap(two[0], 60)))}
+
+
 def test_licences_run_no_python(spark):
     model = licences.train([["some", "prose", "of", "the", "corpus"]] * 20)
     plan = licences.licences(frame(spark, ODD), model)._jdf.queryExecution().toString()
