@@ -1,6 +1,7 @@
 """Operators on small literal tables, against brute force where SQL cannot say it."""
 
 import random
+import types
 
 import numpy as np
 import pytest
@@ -594,3 +595,12 @@ def test_progress_stream_counts(spark):
     spark.createDataFrame([("a", True), ("a", False), ("b", True)], "event_type string, found boolean").write.parquet(path)
     progress_stream(spark.readStream.schema("event_type string, found boolean").parquet(path), "progress_test").awaitTermination()
     assert {tuple(r) for r in spark.table("progress_test").collect()} == {("a", 2, 1), ("b", 1, 1)}
+
+
+def test_stream_keeps_documents_without_language(spark, monkeypatch):
+    from scholia.plans import q_streaming
+
+    docs = spark.createDataFrame([(p, " ".join(f"Sentence {k} of {p} stands here." for k in range(80)), lang) for p, lang in [("a", "en"), ("b", "fr"), ("c", None)]], "paper_id string, text string, lang string")
+    monkeypatch.setattr(q_streaming.fx, "docs", lambda t: docs)
+    got = q_streaming.t01(types.SimpleNamespace(spark=spark))
+    assert {r.paper_id for r in got.select("paper_id").collect()} == {"a", "b", "c"}
