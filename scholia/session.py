@@ -69,6 +69,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, buckets: int, *keys: str) -> tuple[DataFrame, str]:
+    """Write a table to the shared folder in buckets of ``keys``, and its name (drop it when it isn't needed).
+
+    Joins and groups on the keys then read it where it lies: the other side alone is shuffled.
+    """
+    path, name = work_path(df.sparkSession, "buckets"), f"bucketed_{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    df.write.option("path", path).option("compression", "zstd").bucketBy(buckets, *keys).saveAsTable(name)
+    return df.sparkSession.table(name), name
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables that ``cut_lineage`` has written so far; call it when no result needs them any more."""
     n = len(_STAGED)
