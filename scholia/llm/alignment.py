@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,8 @@ class Pair:
         whole = any(re.search("[^ ] ", x.decode("utf-8", "replace")) for x in self.b_bytes)
         self.segments = (lambda text: [text]) if whole else SEGMENT.findall
         self.keys = self.possible_pairs() if keys is None else keys
+        self.a_names, self.b_names = ({i: str(i).encode() for i in ids} for ids in (self.a_bytes, range(len(self.b_bytes))))
         self.known: dict[str, tuple | None] = {}
-        self.held = 0
 
     def possible_pairs(self) -> np.ndarray:
         a_of: dict[bytes, list[int]] = {}
@@ -67,14 +68,13 @@ class Pair:
         pairs |= {i << 32 | j for x, own in b_of.items() for k in range(1, len(x)) for i in a_of.get(x[k:], ()) for j in own}
         return np.array(sorted(pairs), np.int64)
 
-    def a_tokens(self, segment: str) -> tuple[list[int], list[int]]:
+    def a_tokens(self, segment: str, enc) -> tuple[list[int], list[int]]:
         """Ids, and where they end in bytes. Character offsets give the cuts between characters; tokens that end
         within a character share its offsets, and their own bytes tell where."""
-        enc = self.a.encode(segment, add_special_tokens=False)
         ids, spans = enc.ids, enc.offsets
-        places = range(len(segment) + 1)
-        if not segment.isascii():
-            places = np.concatenate([[0], np.cumsum([len(c.encode()) for c in segment])]).tolist()
+        if segment.isascii():
+            return ids, [end for _, end in spans]
+        places = [0, *accumulate(len(c.encode()) for c in segment)]
         at, ends = 0, []
         for k, i in enumerate(ids):
             inside = k + 1 < len(ids) and spans[k + 1][0] < spans[k][1]
@@ -82,53 +82,68 @@ class Pair:
             ends.append(at)
         return ids, ends
 
-    def b_tokens(self, segment: str) -> tuple[list[int], list[int]]:
+    def b_tokens(self, told) -> tuple[list[int], list[int]]:
         """As ``a_tokens``; the spans are in bytes and leave out the space before the text, and bytes that a
         character falls back to count one each."""
         at, ids, ends = 0, [], []
-        for x in self.b.encode(segment[1:], return_type="proto").pieces:
-            at = at + 1 if self.is_byte[x.id] else x.end + 1
-            ids.append(x.id)
+        for x in told.pieces:
+            i = x.id
+            at = at + 1 if self.is_byte[i] else x.end + 1
+            ids.append(i)
             ends.append(at)
         return ids, ends
 
-    def align(self, segment: str) -> tuple | None:
-        """``n_a, n_b, n_groups, groups, links`` of a segment that begins with a space; none where the tokens' bytes
+    def align(self, segment: str, enc, told) -> tuple[int, int, bytes, list[int]] | None:
+        """``n_a, n_b, groups, links`` (as keys) of a segment that begins with a space; none where the tokens' bytes
         aren't the segment's."""
         data = segment.encode()
-        (a, a_ends), (b, b_ends) = self.a_tokens(segment), self.b_tokens(segment)
+        (a, a_ends), (b, b_ends) = self.a_tokens(segment, enc), self.b_tokens(told)
         if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
             return None
-        both = set(a_ends) & set(b_ends)
-        a_cut = [k + 1 for k, e in enumerate(a_ends) if e in both]
-        b_cut = [k + 1 for k, e in enumerate(b_ends) if e in both]
-        text = lambda ids: ",".join(map(str, ids))
-        groups = ";".join(f"{text(a[i:j])}|{text(b[k:n])}" for i, j, k, n in zip([0, *a_cut], a_cut, [0, *b_cut], b_cut))
-        keys = [a[i - 1] << 32 | b[k - 1] for i, k in zip(a_cut, b_cut, strict=True)]
-        return len(a), len(b), len(a_cut), groups, np.searchsorted(self.keys, keys).tolist()
-
-    def segment(self, s: str) -> tuple | None:
-        if s not in self.known:
-            self.held += len(s)
-            if self.held > KEEP_CHARS:
-                self.forget()
-                self.held = len(s)
-            self.known[s] = self.align(s)
-        return self.known[s]
+        a_names, b_names = [self.a_names[i] for i in a], [self.b_names[i] for i in b]
+        where = {e: i for i, e in enumerate(a_ends)}
+        groups, links, i, j = [], [], 0, 0
+        for k, e in enumerate(b_ends, 1):
+            n = where.get(e)
+            if n is not None:
+                groups.append(b",".join(a_names[i : n + 1]) + b"|" + b",".join(b_names[j:k]))
+                links.append(a[n] << 32 | b[k - 1])
+                i, j = n + 1, k
+        return len(a), len(b), b";".join(groups), links
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Aligns the segments of some texts that aren't known yet, each once. What is remembered stays bounded: beyond, only these
+        texts' segments stay."""
+        met = dict.fromkeys(chain.from_iterable(texts))
+        new = [s for s in met if s not in self.known]
+        encs = self.a.encode_batch(new, add_special_tokens=False)
+        told = self.b.encode([s[1:] for s in new], return_type="proto", num_threads=1)
+        found = list(map(self.align, new, encs, told))
+        numbers = np.searchsorted(self.keys, [k for x in found if x for k in x[3]]).astype(np.int32)
+        at = 0
+        for s, x in zip(new, found, strict=True):
+            if x is not None:
+                x = (*x[:3], numbers[at : (at := at + len(x[3]))].tobytes())
+            self.known[s] = x
+        if sum(map(len, self.known)) > KEEP_CHARS:
+            self.known = {s: self.known[s] for s in met}
+
+    def texts(self, texts: list[str]) -> list[tuple[int, int, str, bytes]]:
+        """``n_a, n_b, groups_sha256, links`` (packed numbers of pairs) of each text."""
+        cut = [self.segments(" " + t) if t else [] for t in texts]
+        self.learn(cut)
+        out = []
+        for segments in cut:
+            rows = list(map(self.known.__getitem__, segments))
+            if not rows or None in rows:
+                out.append((0, 0, "", b""))
+                continue
+            n_a, n_b, groups, links = zip(*rows, strict=True)
+            out.append((sum(n_a), sum(n_b), hashlib.sha256(b";".join(groups)).hexdigest(), b"".join(links)))
+        return out
 
     def forget(self) -> None:
-        self.known, self.held = {}, 0
-
-    def text(self, text: str) -> tuple[int, int, int, str, list[int]]:
-        """``n_a, n_b, n_groups, groups_sha256, links`` (numbers of pairs) of a text."""
-        rows = list(map(self.segment, self.segments(" " + text))) if text else [None]
-        if None in rows:
-            return 0, 0, 0, "", []
-        n_a, n_b, n_groups, groups, links = zip(*rows, strict=True)
-        told = hashlib.sha256()
-        for k, g in enumerate(groups):
-            told.update(g.encode() if k == 0 else b";" + g.encode())
-        return sum(n_a), sum(n_b), sum(n_groups), told.hexdigest(), list(chain.from_iterable(links))
+        self.known = {}
 
 
 _LOADED: dict[str, Pair] = {}
@@ -138,6 +153,7 @@ def load(files: tuple[str, bytes, np.ndarray]) -> Pair:
     """The compiled pair, once a worker; what it remembers of segments is dropped at the end of a task."""
     key = hashlib.md5(files[0].encode() + files[1]).hexdigest()
     if key not in _LOADED:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
         _LOADED[key] = Pair(*files)
     return _LOADED[key]
 
@@ -162,13 +178,12 @@ def align_texts(docs: DataFrame, files, id_col: str = "doc_id", text_col: str =
             for whole in batches:
                 for at in range(0, whole.num_rows, ROWS):
                     batch = whole.slice(at, ROWS)
-                    rows = [pair.text(t.as_py()) for t in batch["text"]]
-                    links = [np.array(r[4], np.int32) for r in rows]
-                    ends = np.concatenate([[0], np.cumsum([len(x) for x in links])])
-                    columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
+                    n_a, n_b, told, links = zip(*pair.texts(batch["text"].to_pylist()), strict=True)
+                    n = np.array([len(x) // 4 for x in links], np.int64)
+                    ends = np.concatenate([[0], np.cumsum(n)])
                     yield pa.RecordBatch.from_arrays([
-                        batch["doc_id"], *columns, pa.array(np.diff(ends)), pa.array([r[3] for r in rows], pa.string()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(links), pa.int32())),
+                        batch["doc_id"], pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(n), pa.array(n), pa.array(told, pa.string()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(links), np.int32))),
                     ], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
         finally:
             pair.forget()

@@ -18,6 +18,9 @@ SPACE = r"\t-\r " + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
+ROWS = 1024  # texts that a task works on at a time
+
+
 def byte_symbols() -> dict[str, int]:
     """The printable character that stands for each byte in a byte-level vocabulary file."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -38,7 +41,7 @@ class Automaton:
     what leaves a state follows from them, and is remembered a pair at a time.
     """
 
-    KEEP = 500_000
+    KEEP = 300_000  # pairs of labels remembered a task
 
     def __init__(self, vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]]):
         n = max(vocab.values(), default=-1) + 1
@@ -57,8 +60,9 @@ class Automaton:
             self.cut[a << 20 | b] = step
         self.last = len(merges)
         self.arcs: dict[int, bool] = {}
-        self.longest = max(map(len, vocab), default=1)
-        self.prefixes = {label[:i] for label in vocab for i in range(1, len(label))}
+        # Twice the number of each label, or one more if longer labels begin with it; -1 for what only begins labels.
+        begins = {label[:i] for label in vocab for i in range(1, len(label))}
+        self.steps = dict.fromkeys(begins, -1) | {label: 2 * token + (label in begins) for label, token in vocab.items()}
 
     def has_arc(self, after: int, label: int) -> bool:
         """Whether ``label`` may follow the label ``after`` (-1: stand first)."""
@@ -86,39 +90,55 @@ class Automaton:
             else:
                 return True
 
+    def labels_at(self, word: bytes, i: int) -> list[tuple[int, int]]:
+        """Where the labels end that begin at ``i``, the shortest first, and their numbers."""
+        steps, out = self.steps.get, []
+        for j in range(i + 1, len(word) + 1):
+            step = steps(word[i:j])
+            if step is None:
+                break
+            if step >= 0:
+                out.append((j, step >> 1))
+                if not step & 1:
+                    break
+        return out
+
     def encode(self, word: bytes) -> list[int]:
-        """The labels of the one path that spells ``word``. Every position has one state at most."""
+        """The labels of the one path that spells ``word``.
+
+        Any part of the word from its start has one path too, so a position has one state at most, however it is
+        reached, and a position that the path doesn't pass is left once. Long arcs are tried first.
+        """
         whole = self.vocab.get(word)
         if whole is not None:
             return [whole]
-        n = len(word)
-        came: list[int | None] = [None] * (n + 1)  # the label that leads to a position, and so its state
-        came[0] = -1
-        vocab, prefixes = self.vocab, self.prefixes
-        for i in range(n):
-            here = came[i]
-            if here is None:
-                continue
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                part = word[i:j]
-                token = vocab.get(part)
-                if token is not None and came[j] is None and self.has_arc(here, token):
-                    came[j] = token
-                if part not in prefixes:
+        n, arcs = len(word), self.arcs.get
+        ends, path, open_, left = [0], [-1], [self.labels_at(word, 0)], set()
+        while ends[-1] < n:
+            here, options = path[-1], open_[-1]
+            while options:
+                j, token = options.pop()
+                if j in left:
+                    continue
+                known = True if here < 0 else arcs(here << 20 | token)
+                if known or known is None and self.has_arc(here, token):
+                    ends.append(j)
+                    path.append(token)
+                    open_.append(self.labels_at(word, j))
                     break
-        out = []
-        while n:
-            if came[n] is None:
-                raise ValueError(f"the vocabulary doesn't cover {word!r}")
-            out.append(came[n])
-            n -= len(self.labels[came[n]])
-        return out[::-1]
+            else:
+                if len(ends) == 1:
+                    raise ValueError(f"the vocabulary doesn't cover {word!r}")
+                left.add(ends.pop())
+                path.pop()
+                open_.pop()
+        return path[1:]
 
 
 class Tokenizer:
     """Cuts a text at the added tokens and into pieces, and runs the automaton over each piece once."""
 
-    KEEP = 400_000  # pieces remembered a task; beyond it they are forgotten and met anew
+    KEEP_CHARS = 2_500_000  # characters of the pieces that a task remembers; beyond it they are forgotten and met anew
 
     def __init__(self, spec: dict):
         byte_of = byte_symbols()
@@ -132,32 +152,49 @@ class Tokenizer:
         special = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.pieces = regex.compile(PIECES).findall
-        self.known: dict[str, list[int]] = {}
+        self.known = _Pieces(self)
 
-    def piece(self, s: str) -> list[int]:
-        ids = self.known.get(s)
-        if ids is None:
-            if len(self.known) >= self.KEEP:
-                self.known.clear()
-            ids = self.known[s] = self.automaton.encode(s.encode())
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def parts(self, text: str) -> list[tuple[int, bytes, bytes]]:
+        """``n_ids, ids, label bytes`` of the pieces and added tokens of a text; ids in decimals with commas between."""
+        out: list[tuple[int, bytes, bytes]] = []
         for i, part in enumerate(self.cut.split(text) if self.cut else [text]):
             if i % 2:
-                out.append(self.added[part])
+                out.append((1, b"%d" % self.added[part], self.labels[self.added[part]]))
             else:
-                get, more, piece = self.known.get, out.extend, self.piece
-                for s in self.pieces(part):
-                    more(get(s) or piece(s))
+                out.extend(map(self.known.__getitem__, self.pieces(part)))
         return out
 
+    def encode(self, text: str) -> list[int]:
+        return [int(i) for _, ids, _ in self.parts(text) for i in ids.split(b",")]
+
+    def forget(self) -> None:
+        """Drops what was remembered of texts; called at the end of a task, since workers are used again."""
+        self.known.clear()
+        self.known.held = 0
+        self.automaton.arcs.clear()
+
     def decode(self, ids: list[int]) -> str:
         """The arc labels in order, as UTF-8; bytes that aren't UTF-8 become U+FFFD."""
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
 
+class _Pieces(dict):
+    """A piece with its ids and the labels of their arcs, worked out when it is first met."""
+
+    def __init__(self, tok: Tokenizer):
+        super().__init__()
+        self.tok, self.held = tok, 0
+
+    def __missing__(self, s: str) -> tuple[int, bytes, bytes]:
+        if self.held > self.tok.KEEP_CHARS:
+            self.clear()
+            self.held = 0
+        self.held += len(s)
+        ids = self.tok.automaton.encode(s.encode())
+        value = self[s] = len(ids), ",".join(map(str, ids)).encode(), b"".join(map(self.tok.labels.__getitem__, ids))
+        return value
+
+
 _LOADED: dict[str, Tokenizer] = {}
 
 
@@ -172,11 +209,17 @@ def load(spec: str) -> Tokenizer:
 def over_batches(spec, per_text: Callable, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = None
-        for batch in batches:
-            tok = tok or load(spec.value)
-            rows = [per_text(tok, text.as_py()) for text in batch["text"]]
-            columns = [batch["doc_id"], *([r[i] for r in rows] for i in range(len(schema) - 1))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) if isinstance(c, list) else c.cast(t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
+        try:
+            for whole in batches:
+                tok = tok or load(spec.value)
+                for at in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(at, ROWS)
+                    rows = [per_text(tok, text.as_py()) for text in batch["text"]]
+                    columns = [batch["doc_id"], *([r[i] for r in rows] for i in range(len(schema) - 1))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) if isinstance(c, list) else c.cast(t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
+        finally:
+            if tok:
+                tok.forget()
 
     return run
 
@@ -215,9 +258,10 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def _digests(tok: Tokenizer, text: str) -> tuple[int, str, str]:
-    ids = tok.encode(text)
-    told = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
-    return len(ids), told, hashlib.sha256(tok.decode(ids).encode()).hexdigest()
+    parts = tok.parts(text)
+    n, ids, labels = zip(*parts, strict=True) if parts else ((), (), ())
+    decoded = b"".join(labels).decode("utf-8", "replace").encode()
+    return sum(n), hashlib.sha256(b",".join(ids)).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
 def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

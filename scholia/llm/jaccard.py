@@ -47,7 +47,7 @@ class Words(dict):
     """Hash of a word, remembered; emptied when it grows large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -75,12 +75,19 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that a task holds the sets of few texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def set_heads(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, n, d1, d2, prefix`` of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         known = Words()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(t.as_py(), rule.words, known) for t in batch["text"]]
             marks = [digest(s) for s in sets]
             heads = [s[: int(rule.prefix(len(s)))] for s in sets]
@@ -237,7 +244,7 @@ def family_sets(docs: DataFrame, alive: DataFrame, rule: Rule) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         known = Words()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(t.as_py(), rule.words, known) for t in batch["text"]]
             marks = [digest(s) for s in sets]
             same = [m == (a, b) for m, a, b in zip(marks, batch["d1"].to_pylist(), batch["d2"].to_pylist(), strict=True)]

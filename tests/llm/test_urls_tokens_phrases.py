@@ -154,9 +154,11 @@ def test_remembered_segments_are_bounded(monkeypatch):
     monkeypatch.setattr(alignment, "KEEP_CHARS", 50)
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
         pair = alignment.Pair(a.read(), b.read())
-    first = pair.text("one two three four five six seven eight nine ten eleven")
+    texts = ["one two three four five six seven", "eight nine ten eleven", "one eight", "", "two nine"]
+    first = pair.texts(texts)
+    pair.texts(["a"])
     assert sum(map(len, pair.known)) <= 50
-    assert pair.text("one two three four five six seven eight nine ten eleven") == first
+    assert [pair.texts([t])[0] for t in texts] == first
 
 
 # ---- collocations
