@@ -132,10 +132,13 @@ def _scan_search(index: Bm25Index, queries: DataFrame, k: int, text: str, per_sc
     return top_k(reduce(DataFrame.unionByName, found), ["query_id"], [F.desc("score"), F.asc("seq")], k)
 
 
-def bm25_search(index: Bm25Index, queries: DataFrame, k: int = 20, text: str = "question", per_scan: int = QUESTIONS_PER_SCAN) -> DataFrame:
+def bm25_search(index, queries: DataFrame, k: int = 20, text: str = "question", per_scan: int = QUESTIONS_PER_SCAN) -> DataFrame:
     """The ``k`` best chunks per question, none without a positive score.
 
-    Every task multiplies its chunks with the weighted questions (sent in blocks of at most ``per_scan``
-    questions) and keeps its own k best; no (question, chunk) table exists, for a saved index neither.
+    Over a ``Bm25Index``, which isn't saved, every task multiplies its chunks with the weighted questions (sent in blocks of at
+    most ``per_scan`` questions) and keeps its own k best; no (question, chunk) table exists. A saved ``PostingIndex``
+    reads the posting blocks that can matter.
     """
+    if not isinstance(index, Bm25Index):
+        return index.search(queries, k, text)
     return _scan_search(index, queries, k, text, per_scan)

@@ -52,23 +52,39 @@ def _best(rows, scores, seqs, ids, k):
     return rows[keep], scores[keep], seqs[keep], ids[keep]
 
 
+def similarity(cos: np.ndarray, metric: str) -> np.ndarray:
+    """Score of a cosine: its place between -1 and 1, or one over one plus the squared distance of the directions."""
+    return (cos + 1.0) / 2.0 if metric == "cosine" else 1.0 / (1.0 + (2.0 - 2.0 * cos))
+
+
 class TopK:
     """The k best (chunk, score) per question over the batches one task has seen."""
 
     def __init__(self, k: int):
-        self.k, self.state = k, None
+        self.k, self.state, self.kth = k, None, None
 
-    def add(self, scores: np.ndarray, seq: np.ndarray, ids: pa.Array, above: float = -np.inf) -> None:
-        """``scores`` has one row per question and one column per chunk."""
+    def add(self, scores: np.ndarray, seq: np.ndarray, ids: pa.Array, above: float = -np.inf, rows: np.ndarray | None = None) -> None:
+        """``scores`` has one row per question (those of ``rows``) and one column per chunk."""
+        which = np.arange(len(scores)) if rows is None else rows
         wanted = scores > above
+        if len(which) and self.kth is not None and which[-1] < len(self.kth):
+            wanted &= scores >= self.kth[which][:, None]  # what k better ones were found for can't come in
         if scores.shape[1] > self.k:
             wanted &= scores >= -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1 : self.k]
-        rows, cols = np.nonzero(wanted)
-        names = np.asarray(ids.to_pylist(), dtype=object)
-        new = (rows, scores[rows, cols], seq[cols], names[cols])
+        found, cols = np.nonzero(wanted)
+        if not len(found):
+            return
+        met, place = np.unique(cols, return_inverse=True)  # names only of the chunks that may stay
+        names = np.asarray(ids.take(pa.array(met)).to_pylist(), dtype=object)[place]
+        new = (which[found], scores[found, cols], seq[cols], names)
         if self.state is not None:
             new = tuple(np.concatenate(pair) for pair in zip(self.state, new))
         self.state = _best(*new, self.k)
+        held = self.state[0]
+        self.kth = np.full(max(int(held[-1]), int(which[-1])) + 1, -np.inf)
+        full = np.bincount(held, minlength=len(self.kth)) == self.k
+        np.minimum.at(lowest := np.full(len(self.kth), np.inf), held, self.state[1])
+        self.kth[full] = lowest[full]
 
     def batches(self, qids: pa.Array):
         if self.state is not None and len(self.state[0]):
@@ -97,7 +113,7 @@ def _search_task(query_block, k, metric):
                 batch = whole.slice(at, step)
                 m, ok = to_matrix(batch.column("embedding"), q.shape[1])
                 cos = q @ m.T
-                sim = np.round((cos + 1.0) / 2.0 if metric == "cosine" else 1.0 / (1.0 + (2.0 - 2.0 * cos)), 9)
+                sim = np.round(similarity(cos, metric), 9)
                 sim[:, ~ok] = -np.inf  # never above the floor
                 top.add(sim, batch.column("seq").to_numpy(zero_copy_only=False), batch.column("chunk_id"))
         yield from top.batches(qids)
@@ -106,16 +122,18 @@ def _search_task(query_block, k, metric):
 
 
 def vector_search(
-    chunks: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine", block_bytes: int = BLOCK_BYTES,
+    chunks, queries: DataFrame, k: int = 5, metric: str = "cosine", block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Exact top ``k`` chunks per question: ``query_id, chunk_id, seq, score, rank``.
 
     Chunks and questions without a vector of the questions' common length (null, ragged, not finite) have
-    no hits. ``chunks(chunk_id, seq, embedding)`` is scanned where it lies; every task multiplies its Arrow
+    no hits. A saved ``BallIndex`` opens the cells that can matter; ``chunks(chunk_id, seq, embedding)`` is scanned where it lies; every task multiplies its Arrow
     batches with the question matrix and keeps its own k best, so only k rows per question and task
     are shuffled and no pair table ever exists. The matrix is sent to the tasks in blocks of at
     most ``block_bytes``; a batch beyond that takes one scan per block.
     """
+    if not isinstance(chunks, DataFrame):
+        return chunks.search(queries, k, metric, block_bytes)
     spark = chunks.sparkSession
     sizes = queries.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).where("dim > 0").collect()
     dim = max(sizes, key=lambda r: (r["n"], -r["dim"]))["dim"] if sizes else 0  # a row per length

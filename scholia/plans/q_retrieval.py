@@ -13,7 +13,8 @@ from scholia.plans.oracle_fx import bm25, fx as sql, vector
 from scholia.plans.q_stats import marked_chunks, rounded
 from scholia.plans.q_text import TABLE_SCORE
 from scholia.registry import Tables, query
-from scholia.session import cut_lineage
+from scholia.session import cut_lineage, work_path
+from scholia.sources.tables import read_balls, read_postings, write_balls, write_postings
 
 MARKED = "SELECT * REPLACE (CASE WHEN seq % 5 = 0 THEN 'Table ' || chunk_index || ' ' || text || ' ' || seq || ' 12.5 7' ELSE text END AS text) FROM hybrid_chunks"
 TABLES_ONLY = f"SELECT * FROM (SELECT *, {TABLE_SCORE} AS table_score FROM marked) WHERE table_score >= 1"
@@ -29,6 +30,28 @@ def r02(t: Tables) -> DataFrame:
     return ranked(bm25_search(bm25_index(fx.chunks(t)), fx.questions(t), 5), "query_id", "chunk_id", "rank", "score")
 
 
+@query("r02_pruned_search", sql("bm25_ranked", "SELECT query_id, chunk_id, rank::BIGINT AS rank, round(score, 6) AS score FROM bm25_ranked WHERE rank <= 5 AND score > 0"))
+def r02_pruned(t: Tables) -> DataFrame:
+    return ranked(bm25_search(saved_postings(t), fx.questions(t), 5), "query_id", "chunk_id", "rank", "score")
+
+
+def saved_postings(t: Tables):
+    path = work_path(t.spark, "postings")
+    write_postings(bm25_index(fx.chunks(t)), path)
+    return read_postings(t.spark, path)
+
+
+@query("j08_saved_join", sql("query_terms postings term_stats", """
+SELECT query_id, count(*) AS matches, sum(tf)::BIGINT AS tf, round(sum(qtf * idf), 6) AS weight FROM query_terms JOIN postings USING (term) JOIN term_stats USING (term) GROUP BY query_id"""))
+def j08_saved(t: Tables) -> DataFrame:
+    """The same join over the saved blocks: only those of the questions' terms are read."""
+    index, terms = saved_postings(t), query_terms(fx.questions(t))
+    asked = index.weighted(fx.questions(t))
+    met = index.reached(asked).select("term", "n", F.aggregate("tfs", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("tf"))
+    hits = met.join(terms, "term").join(index.terms, "term")
+    return rounded(hits.groupBy("query_id").agg(F.sum("n").alias("matches"), F.sum("tf").alias("tf"), F.sum(F.col("qtf") * F.col("idf") * F.col("n")).alias("weight")))
+
+
 @query("j08_bm25_join", sql("query_terms postings term_stats", """
 SELECT query_id, count(*) AS matches, sum(tf)::BIGINT AS tf, round(sum(qtf * idf), 6) AS weight FROM query_terms JOIN postings USING (term) JOIN term_stats USING (term) GROUP BY query_id"""))
 def j08(t: Tables) -> DataFrame:
@@ -49,6 +72,14 @@ def r01_l2(t: Tables) -> DataFrame:
     return ranked(vector_search(fx.vectors(t), fx.question_vectors(t), 5, "l2"), "query_id", "chunk_id", "rank", "score")
 
 
+@query("r01_ball_search", sql("question_vectors vectors", "SELECT query_id, chunk_id, rank, round(score, 6) AS score FROM v_ranked WHERE rank <= 5", **vector("v", "vectors")))
+def r01_balls(t: Tables) -> DataFrame:
+    """The same hits out of a saved index, which opens only cells whose ball can hold them."""
+    path = work_path(t.spark, "balls")
+    write_balls(fx.vectors(t), path)
+    return ranked(vector_search(read_balls(t.spark, path), fx.question_vectors(t), 5), "query_id", "chunk_id", "rank", "score")
+
+
 @query("p12_min_score", sql("question_vectors vectors", "SELECT query_id, chunk_id, rank, round(score, 6) AS score FROM v_ranked WHERE rank <= 20 AND score >= 0.6", **vector("v", "vectors")))
 def p12(t: Tables) -> DataFrame:
     return ranked(min_score(vector_search(fx.vectors(t), fx.question_vectors(t), 20), 0.6), "query_id", "chunk_id", "rank", "score")

@@ -6,8 +6,11 @@ from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from scholia.operators.balls import BallIndex, in_cells
 from scholia.operators.bm25 import Bm25Index
 from scholia.operators.graph import Graph
+from scholia.operators.postings import SPAN, PostingIndex, posting_blocks
+from scholia.session import cut_lineage
 
 
 def write_index(index: DataFrame, path: str, model: str = "unknown") -> None:
@@ -22,17 +25,42 @@ def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/config")
 
 
-def write_postings(index: Bm25Index, path: str) -> None:
-    """Index tables: the tokens of each chunk by number, so that a search needs no tokenising."""
-    index.bags.repartitionByRange("seq").write.mode("overwrite").parquet(f"{path}/bags")
-    index.corpus.write.mode("overwrite").parquet(f"{path}/corpus")
-    index.terms.write.mode("overwrite").parquet(f"{path}/terms")
+def write_balls(chunks: DataFrame, path: str, cells: int | None = None) -> None:
+    """A vector index: chunks in a folder per cell (a large cell in several files), and the cells' centres and radii."""
+    placed, balls = in_cells(chunks, cells)
+    placed.repartitionByRange("cell", "seq").sortWithinPartitions("cell", "seq").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
+    balls.write.mode("overwrite").parquet(f"{path}/balls")
 
 
-def read_postings(spark: SparkSession, path: str) -> Bm25Index:
-    """Saved index."""
-    read = lambda name: spark.read.parquet(f"{path}/{name}")
-    return Bm25Index(read("bags"), read("terms"), read("corpus"))
+def read_balls(spark: SparkSession, path: str) -> BallIndex:
+    """Saved vector index; ``vector_search`` opens the cells it needs."""
+    return BallIndex(spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/balls"))
+
+
+ZONES = 1024  # folders of chunk numbers, at most
+
+
+def write_postings(index: Bm25Index, path: str, span: int = SPAN) -> None:
+    """An inverted index: posting blocks in folders of terms, sorted by term and block, the names of the chunks in
+    folders of numbers, and statistics."""
+    blocks = cut_lineage(posting_blocks(index, span)).repartitionByRange("part", "term", "block").sortWithinPartitions("part", "term", "block")
+    blocks.write.mode("overwrite").partitionBy("part").parquet(f"{path}/blocks")
+    last = index.bags.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("last")).first()["last"]
+    zone_span = max(span, -(-(int(last) + 1) // ZONES))
+    chunks = index.bags.select(F.floor(F.col("seq") / zone_span).cast("int").alias("zone"), F.col("seq").cast("bigint").alias("seq"), "chunk_id")
+    chunks.repartitionByRange("seq").sortWithinPartitions("seq").write.mode("overwrite").partitionBy("zone").parquet(f"{path}/numbers")
+    index.terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
+    facts = {"zone_span": zone_span, "k1": float(index.k1), "b": float(index.b)}
+    index.corpus.select("*", *(F.lit(v).alias(k) for k, v in facts.items())).write.mode("overwrite").parquet(f"{path}/corpus")
+
+
+def read_postings(spark: SparkSession, path: str) -> PostingIndex:
+    """Saved index; ``bm25_search`` and the hybrid search read the blocks they need from it."""
+    blocks = spark.read.schema("term string, block bigint, n bigint, most double, seqs array<bigint>, tfs array<bigint>, dls array<bigint>, part int").parquet(f"{path}/blocks")
+    chunks = spark.read.schema("seq bigint, chunk_id string, zone int").parquet(f"{path}/numbers")
+    corpus = spark.read.parquet(f"{path}/corpus")
+    facts = corpus.first()
+    return PostingIndex(blocks, chunks, spark.read.parquet(f"{path}/terms"), corpus.select("n", "avgdl"), facts["zone_span"], facts["k1"], facts["b"])
 
 
 def write_graph(graph: Graph, path: str) -> None:

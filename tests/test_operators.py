@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from scholia.functions import ids, records as R, text as X, vectors as V
-from scholia.operators import articles as A, chunking as C, graph as G, hybrid as H, neardup as N, pages as P, params as Q, skew as K, stats as S
+from scholia.operators import articles as A, chunking as C, graph as G, hybrid as H, neardup as N, pages as P, params as Q, balls as B2, postings as B, skew as K, stats as S
 from scholia.operators.bm25 import bm25_index, bm25_search
 from scholia.operators.vector import vector_search
 from scholia.session import work_path
-from scholia.sources.tables import read_graph, read_index, read_postings, write_graph, write_index, write_postings
+from scholia.sources.tables import read_balls, read_graph, read_index, read_postings, write_balls, write_graph, write_index, write_postings
 
 
 def one(spark, column, value):
@@ -247,6 +247,100 @@ def test_bm25_like_the_textbook(spark):
     assert counts == {(i, w): (len(d), d.count(w)) for i, d in enumerate(docs) for w in d}
 
 
+def saved_index(spark, texts, span):
+    df = spark.createDataFrame([(f"c{i}", i, x) for i, x in texts], "chunk_id string, seq bigint, text string").repartition(3)
+    index, path = bm25_index(df), work_path(spark, "bm25")
+    write_postings(index, path, span)
+    return index, read_postings(spark, path)
+
+
+@pytest.mark.parametrize("span, k", [(4, 3), (16, 1), (64, 50)])
+def test_pruned_search_equals_the_scan(spark, span, k):
+    rng = random.Random(span)
+    words = [f"w{i}" for i in range(30)]
+    texts = [(i, " ".join(rng.choices(words, [1 / (j + 1) for j in range(30)], k=rng.randint(0, 25)))) for i in rng.sample(range(1000), 300)]
+    index, saved = saved_index(spark, texts, span)
+    asked = [(f"q{i}", " ".join(rng.choices([*words, "unknown"], k=rng.randint(0, 6)))) for i in range(25)] + [("two", "w1 w20"), ("none", "unknown"), ("empty", None)]
+    q = spark.createDataFrame(asked, "query_id string, question string")
+    want = sorted(map(tuple, bm25_search(index, q, k).collect()))
+    assert sorted(map(tuple, bm25_search(saved, q, k).collect())) == want and want
+    assert bm25_search(saved, q.limit(0), k).count() == 0
+    many = saved.postings.count()
+    assert many == sum(len(set(x.split())) for _, x in texts)
+
+
+def test_search_skips_blocks_and_reads_its_terms_alone(spark):
+    # "tide" is everywhere, but thrice as dense in one chunk of a hundred; "net" is rare
+    texts = [(i, "tide " * (9 if i % 100 == 7 else 1) + "net " * (i % 250 == 7) + " ".join(f"x{i}y{j}" for j in range(9))) for i in range(1000)]
+    index, saved = saved_index(spark, texts, 10)
+    q = spark.createDataFrame([("q", "tide net")], "query_id string, question string")
+    asked = saved.weighted(q)
+    bounds = saved.bounds(asked)
+    assert {r["term"] for r in saved.reached(asked).select("term").distinct().collect()} == {"tide", "net"}
+    plan = saved.reached(asked)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part" in plan and "term IN (" in plan.split("PushedFilters")[1].replace("In(term, ", "term IN (")
+    first = B.first_blocks(bounds, 3)
+    left = B.blocks_left(bounds, first, saved.best(asked, first, 3), 3)
+    assert bounds.count() == 100 and 1 <= first.count() <= 3 and left.count() <= 10
+    assert sorted(map(tuple, bm25_search(saved, q, 3).collect())) == sorted(map(tuple, bm25_search(index, q, 3).collect()))
+
+
+def balls_of(spark, rows, cells):
+    df = spark.createDataFrame([(f"c{i}", i, v) for i, v in rows], "chunk_id string, seq bigint, embedding array<double>").repartition(3)
+    path = work_path(spark, "balls")
+    write_balls(df, path, cells)
+    return df, read_balls(spark, path)
+
+
+@pytest.mark.parametrize("metric, k, spread", [("cosine", 3, 0.05), ("l2", 1, 0.3), ("cosine", 40, 9.0)])
+def test_ball_search_equals_the_scan(spark, metric, k, spread):
+    rng = np.random.default_rng(k)
+    middles = rng.normal(size=(12, 6))
+    rows = [(i, (middles[i % 12] * rng.uniform(0.5, 2) + spread * rng.normal(size=6)).tolist()) for i in range(400)]
+    rows += [(500, [0.0] * 6), (501, None), (502, [1.0]), (503, [float("nan")] * 6), (504, rows[0][1]), (505, rows[0][1])]
+    df, saved = balls_of(spark, rows, 12)
+    asked = [(i, (middles[i % 12] + spread * rng.normal(size=6)).tolist()) for i in range(20)] + [(90, None), (91, [0.0] * 6), (92, [1.0])]
+    q = spark.createDataFrame(asked, "query_id bigint, embedding array<double>")
+    want = sorted(map(tuple, vector_search(df, q, k, metric).collect()))
+    assert sorted(map(tuple, vector_search(saved, q, k, metric).collect())) == want and want
+    assert sorted(map(tuple, vector_search(saved, q, k, metric, block_bytes=400).collect())) == want
+    assert vector_search(saved, q.limit(0), k, metric).count() == 0
+
+
+def test_ball_search_opens_few_cells(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    middles = rng.normal(size=(10, 8))
+    rows = [(i, (middles[i % 10] + 0.02 * rng.normal(size=8)).tolist()) for i in range(300)]
+    _, saved = balls_of(spark, rows, 10)
+    opened = []
+    real = B2.BallIndex.reached
+
+    def counted(self, *a):
+        df = real(self, *a)
+        opened.append({r[0] for r in df.select(F.input_file_name()).distinct().collect()})
+        assert not opened[-1] or "PartitionFilters: [cell" in df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    monkeypatch.setattr(B2.BallIndex, "reached", counted)
+    hits = vector_search(saved, spark.createDataFrame([("q", middles[3].tolist())], "query_id string, embedding array<double>"), 5).collect()
+    assert {r["seq"] % 10 for r in hits} == {3}
+    files = {r[0] for r in saved.chunks.select(F.input_file_name()).distinct().collect()}
+    assert len(set.union(*opened)) <= 3 < 10 <= len(files)
+
+
+def test_no_vectors_can_be_saved(spark):
+    q = spark.createDataFrame([("q", [1.0])], "query_id string, embedding array<double>")
+    for rows in ([(1, None)], [(1, [0.0]), (2, [0.0])]):
+        df, saved = balls_of(spark, rows, 3)
+        assert sorted(map(tuple, vector_search(saved, q, 2).collect())) == sorted(map(tuple, vector_search(df, q, 2).collect()))
+
+
+def test_nothing_can_be_saved(spark):
+    _, saved = saved_index(spark, [(1, ""), (2, None)], 8)
+    q = spark.createDataFrame([("q", "tide")], "query_id string, question string")
+    assert bm25_search(saved, q, 3).count() == 0 and saved.postings.count() == 0
+
+
 def test_vectors_that_are_none(spark):
     nan = float("nan")
     rows = [("a", 0, [1.0, 0.0]), ("b", 1, None), ("c", 2, [1.0, 0.0, 0.0]), ("d", 3, [1.0]), ("e", 4, [nan, 1.0]), ("f", 5, [0.0, 1.0]), ("g", 6, [0.0, 0.0])]
