@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -19,11 +20,12 @@ from scholia.llm.bpe import byte_symbols
 from scholia.llm.common import id_and_text, query, table
 from scholia.session import cut_lineage
 
-#: Both tokenizers start anew before a space that follows something else than white space; the space at the
-#: very end of a text stays with what precedes it.
-SEGMENT = re.compile(r" [^ ]*(?:(?:(?<=\s) | \Z)[^ ]*)*")
+#: Both tokenizers start anew before a space that follows something else than white space, and before such a line end if B
+#: has no piece with one; white space at the very end of a text stays with what precedes it.
+SEGMENT = re.compile(r"[ \n][^ \n]*(?:(?:(?<=\s)[ \n]|[ \n]\Z)[^ \n]*)*")
+SPACED = re.compile(r" [^ ]*(?:(?:(?<=\s) | \Z)[^ ]*)*")
 ROWS = 256  # texts that a task works on at a time
-KEEP_CHARS = 4_000_000  # characters of the segments that a task remembers
+KEEP_CHARS = 5_000_000  # characters of the segments that a task remembers
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
@@ -50,9 +52,11 @@ class Pair:
             one = BYTE_PIECE.match(piece)
             self.b_bytes.append(bytes([int(one[1], 16)]) if one else piece.replace("▁", " ").encode())
             self.is_byte.append(bool(one))
+        self.byte_ids = {i for i, one in enumerate(self.is_byte) if one}
         # A piece with a space after something else could reach over two segments: then a text is one segment.
         whole = any(re.search("[^ ] ", x.decode("utf-8", "replace")) for x in self.b_bytes)
-        self.segments = (lambda text: [text]) if whole else SEGMENT.findall
+        lines = any(b"\n" in x for x, one in zip(self.b_bytes, self.is_byte, strict=True) if not one)
+        self.segments = (lambda text: [text]) if whole else (SPACED if lines else SEGMENT).findall
         self.keys = self.possible_pairs() if keys is None else keys
         self.a_names, self.b_names = ({i: str(i).encode() for i in ids} for ids in (self.a_bytes, range(len(self.b_bytes))))
         self.known: dict[str, tuple | None] = {}
@@ -82,25 +86,32 @@ class Pair:
             ends.append(at)
         return ids, ends
 
-    def b_tokens(self, told) -> tuple[list[int], list[int]]:
-        """As ``a_tokens``; the spans are in bytes and leave out the space before the text, and bytes that a
-        character falls back to count one each."""
-        at, ids, ends = 0, [], []
-        for x in told.pieces:
-            i = x.id
-            at = at + 1 if self.is_byte[i] else x.end + 1
-            ids.append(i)
-            ends.append(at)
+    def b_tokens(self, segment: str, told) -> tuple[list[int], list[int]]:
+        """As ``a_tokens``; the spans are in bytes and leave out the space that the model puts before a text, and bytes that a
+        character falls back to count one each. That space is the segment's own, or goes if the segment has none."""
+        own = [(x.id, x.end) for x in told.pieces]
+        shift = 1
+        if segment[0] != " ":
+            own, shift = own[1:], 0
+        ids, ends = [i for i, _ in own], [e + shift for _, e in own]
+        if not self.byte_ids.isdisjoint(ids):
+            at = 0
+            for k, i in enumerate(ids):
+                if self.is_byte[i]:
+                    ends[k] = at + 1
+                at = ends[k]
         return ids, ends
 
     def align(self, segment: str, enc, told) -> tuple[int, int, bytes, list[int]] | None:
-        """``n_a, n_b, groups, links`` (as keys) of a segment that begins with a space; none where the tokens' bytes
+        """``n_a, n_b, groups, links`` (as keys) of a segment; none where the tokens' bytes
         aren't the segment's."""
         data = segment.encode()
-        (a, a_ends), (b, b_ends) = self.a_tokens(segment, enc), self.b_tokens(told)
+        (a, a_ends), (b, b_ends) = self.a_tokens(segment, enc), self.b_tokens(segment, told)
         if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
             return None
         a_names, b_names = [self.a_names[i] for i in a], [self.b_names[i] for i in b]
+        if len(a) == 1 or len(b) == 1:  # one group
+            return len(a), len(b), b",".join(a_names) + b"|" + b",".join(b_names), [a[-1] << 32 | b[-1]]
         where = {e: i for i, e in enumerate(a_ends)}
         groups, links, i, j = [], [], 0, 0
         for k, e in enumerate(b_ends, 1):
@@ -117,7 +128,7 @@ class Pair:
         met = dict.fromkeys(chain.from_iterable(texts))
         new = [s for s in met if s not in self.known]
         encs = self.a.encode_batch(new, add_special_tokens=False)
-        told = self.b.encode([s[1:] for s in new], return_type="proto", num_threads=1)
+        told = self.b.encode([s.removeprefix(" ") for s in new], return_type="proto", num_threads=1)
         found = list(map(self.align, new, encs, told))
         numbers = np.searchsorted(self.keys, [k for x in found if x for k in x[3]]).astype(np.int32)
         at = 0
@@ -174,6 +185,8 @@ def align_texts(docs: DataFrame, files, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]):
         pair = load(files.value)
+        often = gc.get_threshold()
+        gc.set_threshold(500_000, 20, 20)  # what is remembered has no cycles to be looked for
         try:
             for whole in batches:
                 for at in range(0, whole.num_rows, ROWS):
@@ -187,6 +200,7 @@ def align_texts(docs: DataFrame, files, id_col: str = "doc_id", text_col: str =
                     ], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
         finally:
             pair.forget()
+            gc.set_threshold(*often)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, ALIGNED)
 
