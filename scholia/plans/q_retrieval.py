@@ -310,6 +310,11 @@ def j15(t: Tables) -> DataFrame:
     return rounded(N.similar_pairs(fx.vectors(t), 0.35))
 
 
+@query("j15_close_pairs", f"SELECT i AS seq, count(*) AS n_partners, min(j) FILTER (j < i) AS first_partner, round(max(s), 6) AS best_score FROM ({NEAR}) WHERE s >= 0.95 GROUP BY i")
+def j15_close(t: Tables) -> DataFrame:
+    return rounded(N.similar_pairs(fx.vectors(t), 0.95))
+
+
 @query("r09_dedup_groups")
 def r09(t: Tables) -> DataFrame:
     return N.dedup_groups(fx.vectors(t), 0.35)

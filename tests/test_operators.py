@@ -4,12 +4,14 @@ import random
 import types
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from scholia.functions import ids, records as R, text as X, vectors as V
 from scholia.operators import articles as A, chunking as C, graph as G, hybrid as H, neardup as N, pages as P, params as Q, balls as B2, postings as B, skew as K, stats as S
 from scholia.operators.bm25 import bm25_index, bm25_search
+from scholia.operators import vector as V2
 from scholia.operators.vector import vector_search
 from scholia.session import work_path
 from scholia.sources.tables import read_balls, read_graph, read_index, read_postings, write_balls, write_graph, write_index, write_postings
@@ -285,6 +287,31 @@ def test_search_skips_blocks_and_reads_its_terms_alone(spark):
     assert sorted(map(tuple, bm25_search(saved, q, 3).collect())) == sorted(map(tuple, bm25_search(index, q, 3).collect()))
 
 
+@pytest.mark.parametrize("threshold", [0.35, 0.6, 0.95])
+def test_loose_thresholds_leave_out_cells(spark, threshold):
+    rng = np.random.default_rng(8)
+    middles = np.linalg.qr(rng.normal(size=(40, 40)))[0][:6] * 3
+    rows = [(i, (middles[i % 6] + 0.15 * rng.normal(size=40)).astype(np.float32).tolist()) for i in range(240)]
+    df = spark.createDataFrame(rows, "seq bigint, embedding array<float>")
+    m = V2.to_matrix(pa.array([v for _, v in rows], pa.list_(pa.float32())))[0]
+    sim = np.round(m @ m.T, 9)
+    near = (sim >= threshold) & ~np.eye(len(m), dtype=bool)
+    got = {r["seq"]: (r["n_partners"], r["first_partner"], round(r["best_score"], 6)) for r in N.similar_pairs(df, threshold, pivots=12, block=10).collect()}
+    want = {}
+    for i in np.flatnonzero(near.any(axis=1)).tolist():
+        first = np.flatnonzero(near[i])[0]
+        want[i] = (int(near[i].sum()), int(first) if first < i else None, round(float(sim[i][near[i]].max()), 6))
+    assert got == want
+    # a vector visits the cells that its own group lies in, not all twelve
+    reps = N.fold_copies(df).select("rep", "copies", "embedding")
+    visits = N._cells(reps, threshold, 12)
+    assert visits.count() < (0.7 if threshold < 0.5 else 0.4) * 240 * visits.select("cell").distinct().count()
+    assert visits.where("home").count() == 240
+    # and within two blocks the slices leave out rows
+    i, j = N.may_meet(m[:120] @ N.turn_of(m), m[120:] @ N.turn_of(m), 0.999999)
+    assert len(i) < 120 and len(j) < 120
+
+
 def balls_of(spark, rows, cells):
     df = spark.createDataFrame([(f"c{i}", i, v) for i, v in rows], "chunk_id string, seq bigint, embedding array<double>").repartition(3)
     path = work_path(spark, "balls")
