@@ -238,18 +238,47 @@ def expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFra
     return step.join(visited, ["seed", "node"], "left_anti")
 
 
+BITS = 64  # seeds that share a row
+
+
 def neighborhood(relations: DataFrame, seeds: DataFrame, hops: int = 1) -> DataFrame:
     """Breadth-first search from every seed at once, edges taken both ways: ``seed, node, hop``.
 
-    Each hop is materialised through a checkpoint, so the plan stays short.
+    Seeds are numbered, and a row (node, block of ``BITS`` seeds) has a bit for each seed that has reached the node. A hop sends a row's
+    bits along the node's edges and joins what arrives by OR, in each task first, so seeds with common neighbours share rows
+    and edges are read once a hop. When most nodes have been reached from every seed, edges to them are left out. Each hop is
+    written, so the plan stays short.
     """
-    edges = cut_lineage(undirected(relations))
-    frontier = seeds.select(F.col("entity_id").alias("seed"), F.col("entity_id").alias("node")).distinct()
-    visited = frontier.withColumn("hop", F.lit(0))
+    edges = cut_lineage(undirected(relations).withColumnsRenamed({"node": "a", "next": "b"}))
+    named = seeds.select(F.col("entity_id").alias("seed")).distinct()
+    named = cut_lineage(cut_lineage(named).withColumn("sid", F.monotonically_increasing_id()))  # numbers run on within a task
+    block = F.floor(F.col("sid") / BITS)
+    own = F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(sid, {BITS}) as int))"))
+    front = named.groupBy(F.col("seed").alias("node"), block.alias("block")).agg(own.alias("bits"))
+    front = cut_lineage(front)
+    reached, levels = front, [front.withColumn("hop", F.lit(0))]
+    masks = cut_lineage(named.groupBy(block.alias("block")).agg(own.alias("all")))
+    nodes, blocks = edges.select("a").distinct().count() if hops > 1 else 0, masks.count()
     for hop in range(1, hops + 1):
-        frontier = cut_lineage(expand(frontier, edges, visited.select("seed", "node")))
-        visited = visited.unionByName(frontier.withColumn("hop", F.lit(hop)))
-    return visited
+        along = edges
+        if hop > 1:
+            done = reached.join(masks, "block").where(F.col("bits") == F.col("all")).groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") == blocks)
+            done = cut_lineage(done.select(F.col("node").alias("b")))
+            if 2 * done.count() > nodes:
+                along = edges.join(done, "b", "left_anti")
+        met = front.join(along, front["node"] == along["a"]).groupBy(F.col("b").alias("node"), "block").agg(F.bit_or("bits").alias("came"))
+        now = cut_lineage(met.join(reached, ["node", "block"], "full"))
+        fresh = F.col("came").bitwiseAND(F.bitwise_not(F.coalesce("bits", F.lit(0).cast("bigint"))))
+        front = now.where(F.col("came").isNotNull()).select("node", "block", fresh.alias("bits")).where(F.col("bits") != 0)
+        levels.append(front.withColumn("hop", F.lit(hop)))
+        both = F.coalesce("bits", F.lit(0).cast("bigint")).bitwiseOR(F.coalesce("came", F.lit(0).cast("bigint")))
+        reached = now.select("node", "block", both.alias("bits"))
+    rows = levels[0]
+    for level in levels[1:]:
+        rows = rows.unionByName(level)
+    held = F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda i: F.call_function("bit_get", F.col("bits"), i) == 1)
+    rows = rows.select("node", "hop", "block", F.explode(held).alias("bit"))
+    return rows.withColumn("sid", F.col("block") * BITS + F.col("bit")).join(named, "sid").select("seed", "node", "hop")
 
 
 def neighborhood_relations(relations: DataFrame, visited: DataFrame) -> DataFrame:
