@@ -43,10 +43,6 @@ def light_side(df: DataFrame) -> tuple[DataFrame, int]:
     return (F.broadcast(staged) if n <= BROADCAST_ROWS else staged), n
 
 
-def salts_for(rows: int, per_task: int = 20_000) -> int:
-    """Tasks over which a key of so many rows is dealt."""
-    return max(1, -(-rows // per_task))
-
 
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)

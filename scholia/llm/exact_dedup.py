@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scholia.llm.common import id_and_text, light_side, query, salts_for, table
+from scholia.llm.common import id_and_text, light_side, query, table
 from scholia.session import cut_lineage
 
+ROWS_A_TASK = 20_000  # rows of one group that a task compares
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -27,23 +28,31 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, content_hash=md5_1
     return d.select("doc_id", "n_points", "norm", content_hash(F.col("norm")).alias("h"), F.sha2("norm", 256).alias("text_sha256"))
 
 
-def collided(prints: DataFrame, shared: DataFrame, largest: int) -> DataFrame:
-    """Hashes whose group holds different bytes. ``shared`` has the hashes of several rows.
+def collided(prints: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Hashes whose group holds different bytes. ``sizes(h, n)`` has the hashes of several rows.
 
     A group's texts are equal when its smallest and largest text are; both are reduced within each
-    task, and large groups are dealt over several tasks before.
+    task. A group of more rows than a task should read is dealt over as many tasks as it needs, the others aren't.
     """
-    salts = salts_for(largest)
-    own = prints.select("h", "norm", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
-    if salts > 1:
-        shared = shared.select("h", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-        met = own.join(shared, ["h", "salt"])
-    else:
-        met = own.join(shared, "h")
-    parts = met.groupBy("h", "salt").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
+    dealt = salted(prints.select("h", "norm", F.xxhash64("doc_id").alias("place")), sizes)
+    parts = dealt.groupBy("h", "salt").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
     return parts.groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("h")
 
 
+def salts_of(sizes: DataFrame) -> DataFrame:
+    """``h, salts`` of each hash."""
+    return sizes.select("h", F.ceil(F.col("n") / ROWS_A_TASK).alias("salts"))
+
+
+def salted(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The ``rows`` (``h, place``, …) whose hash is in ``sizes``, with a ``salt`` below the number of tasks for its group."""
+    salts = salts_of(sizes)
+    hot, _ = light_side(salts.where("salts > 1"))
+    own = rows.join(hot, "h", "left").withColumn("salt", F.pmod("place", F.coalesce("salts", F.lit(1)))).drop("salts")
+    keys = salts.select("h", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
+    return own.join(keys, ["h", "salt"])
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", content_hash=md5_128) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256, n_points``.
 
@@ -58,10 +67,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints = fingerprints(docs, id_col, text_col, content_hash)
     light = cut_lineage(prints.drop("norm").withColumn("row", F.monotonically_increasing_id()))
     sizes = cut_lineage(light.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
-    largest = sizes.agg(F.max("n")).first()[0]
     key = F.col("h")
-    if largest:
-        mixed, n_mixed = light_side(collided(prints, sizes.select("h"), largest))
+    if not sizes.isEmpty():
+        mixed, n_mixed = light_side(collided(prints, sizes))
         if n_mixed:
             light = light.join(mixed.withColumn("mixed", F.lit(True)), "h", "left")
             light = cut_lineage(light.withColumn("h", F.when(F.col("mixed"), F.concat("h", F.unhex("text_sha256"))).otherwise(key)).drop("mixed"))

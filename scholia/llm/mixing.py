@@ -13,7 +13,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5  # of all words go into the mix
 MOST = 2  # times that a document is taken at most
 BUCKETS = 1024  # ranges of the seeded order within one length; only the last range taken is ranked row by row
-EXACT_WORDS = 1 << 16  # what the dynamic programme fits; more is first taken evenly by length
+TABLE_WORDS = 1 << 17  # words, or 16 of the longest documents, that the dynamic programme's table grows to at most
 
 
 def n_words(text: Column) -> Column:
@@ -41,37 +41,26 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return w.select("source", "source_size", F.least("room", F.coalesce(fits * F.col("weight"), F.col("room"))).alias("target"))
 
 
-def fit(lengths: list[int], counts: list[int], budget: int, exact: int = EXACT_WORDS) -> list[int]:
-    """How many documents of each length to take, so that their words come as near ``budget`` as the
-    programme can, from below or above.
+def evenly(counts: np.ndarray, part: float, start: float) -> np.ndarray:
+    """The same part of every count in whole numbers: along the lengths, one document is taken whenever the running sum of
+    parts (from a seeded start) passes a whole number. So lengths that few documents have get their share too."""
+    passed = np.floor(np.concatenate([[0.0], np.cumsum(counts * part)]) + start)
+    return np.minimum(np.diff(passed).astype(np.int64), counts)
 
-    First the same part of every count, rounded down; then, largest first, what stays above the words
-    that the bounded knapsack can fit exactly. The knapsack marks the sums reachable with the documents
-    left over (counts split into powers of two) and walks back from the sum nearest the rest.
-    """
-    take = [0] * len(lengths)
-    total = sum(n * c for n, c in zip(lengths, counts, strict=True))
-    if budget >= total:
-        return list(counts)
-    rest = budget
-    if rest > exact:
-        part = (rest - exact // 2) / total
-        take = [int(c * part) for c in counts]
-        rest -= sum(n * t for n, t in zip(lengths, take, strict=True))
-        for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-            if rest <= exact:
-                break
-            more = min(counts[i] - take[i], max(0, rest - exact // 2) // lengths[i])
-            take[i] += more
-            rest -= more * lengths[i]
+
+def knapsack(lengths: np.ndarray, free: np.ndarray, rest: int, order: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many of the ``free`` documents of each length to take so that their words come nearest ``rest``, and what is then
+    missing. The programme marks the sums that can be reached (counts split into powers of two), lengths in ``order``,
+    and walks back from the nearest."""
+    take = np.zeros(len(lengths), np.int64)
     reach = np.zeros(2 * rest + 1, bool)  # a sum beyond twice the rest is worse than none
     came, lots = np.zeros(len(reach), np.int64), np.zeros(len(reach), np.int64)
     reach[0] = True
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-        left, lot = min(counts[i] - take[i], 2 * rest // lengths[i]), 1
+    for i in order.tolist():
+        left, lot, n = min(int(free[i]), 2 * rest // int(lengths[i])), 1, int(lengths[i])
         while left > 0 and not reach[rest]:
             lot = min(lot, left)
-            step = lot * lengths[i]
+            step = lot * n
             new = np.flatnonzero(reach[: len(reach) - step] & ~reach[step:]) + step if step < len(reach) else []
             reach[new], came[new], lots[new] = True, i, lot  # each sum is noted when it is first reached
             left -= lot
@@ -80,10 +69,41 @@ def fit(lengths: list[int], counts: list[int], budget: int, exact: int = EXACT_W
             break
     sums = np.flatnonzero(reach)
     at = int(sums[np.argmin(np.abs(sums - rest))])
+    missing = rest - at
     while at:
-        take[came[at]] += int(lots[at])
-        at -= int(lots[at]) * lengths[came[at]]
-    return take
+        take[came[at]] += lots[at]
+        at -= int(lots[at]) * int(lengths[came[at]])
+    return take, missing
+
+
+def fit(lengths: list[int], counts: list[int], budget: int, seed: int = 17) -> list[int]:
+    """How many documents of each length to take, so that their words come as near ``budget`` as the
+    programme can, from below or above.
+
+    All but a few of the longest documents' words are taken evenly from every length; the rest is a bounded knapsack of the
+    documents left over, lengths in a seeded order. Where no sum is exact, the even part gives back words, four times as many each
+    time, until one is, nothing is left to give back, or the programme's table is full.
+    """
+    n, c = np.array(lengths, np.int64), np.array(counts, np.int64)
+    total = int((n * c).sum())
+    if budget >= total:
+        return list(counts)
+    rng = np.random.default_rng(seed)
+    start, order = rng.random(), rng.permutation(len(n))
+    slack, full, best = 4 * int(n.max()), max(TABLE_WORDS, 16 * int(n.max())), None
+    by_length = np.argsort(n, kind="stable")
+    while True:
+        even = max(0, budget - slack)
+        take = np.zeros(len(n), np.int64)
+        take[by_length] = evenly(c[by_length], even / total, start if even else 0.0)
+        rest = budget - int((n * take).sum())
+        if rest >= 0:
+            more, missing = knapsack(n, c - take, rest, order)
+            if best is None or abs(missing) < best[0]:
+                best = abs(missing), take + more
+        if best is not None and best[0] == 0 or even == 0 or slack >= full:
+            return (best[1] if best else take).tolist()
+        slack *= 4
 
 
 def source_key(source: Column) -> Column:
@@ -116,7 +136,7 @@ def mix(docs: DataFrame, seed: int = 17, weights=WEIGHTS, share: float = SHARE,
         size, goal = int(group["source_size"].iloc[0]), float(group["target"].iloc[0])
         full = min(int(goal // size), most) if size else 0
         some = group[group["size"] > 0]
-        extra = dict(zip(some["size"], fit(some["size"].tolist(), some["n"].tolist(), round(goal) - full * size), strict=True)) if full < most and len(some) else {}
+        extra = dict(zip(some["size"], fit(some["size"].tolist(), some["n"].tolist(), round(goal) - full * size, seed), strict=True)) if full < most and len(some) else {}
         return pd.DataFrame({"key": group["key"], "size": group["size"], "full": [full if s else 0 for s in group["size"]], "extra": [int(extra.get(s, 0)) for s in group["size"]]})
 
     # A row per source and length: a few thousand lengths, however many documents a source has.

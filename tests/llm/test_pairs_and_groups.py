@@ -163,6 +163,15 @@ def test_exact_dedup(spark, weak):
     assert all((r.doc_id == r.keep_id) for r in got if r.kept)
 
 
+def test_only_hot_groups_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "ROWS_A_TASK", 50)
+    rows = spark.createDataFrame([("hot", i) for i in range(1000)] + [(f"k{i % 300}", i) for i in range(600)], "h string, place bigint")
+    sizes = rows.groupBy("h").agg(F.count("*").alias("n"))
+    assert exact_dedup.salts_of(sizes).agg(F.sum("salts")).first()[0] == 20 + 300  # not 20 for each hash
+    got = exact_dedup.salted(rows, sizes).groupBy("h", "salt").count().collect()
+    assert sum(r["count"] for r in got) == 1600 and max(r["count"] for r in got) == 50
+
+
 def test_survivors_of_exact_dedup(spark):
     got = exact_dedup.drop_exact_copies(table(spark, ROWS))
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(

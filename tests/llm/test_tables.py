@@ -232,6 +232,17 @@ def test_fit_against_brute_force():
     assert sum(n * t for n, t in zip(lengths, take)) == budget and all(t <= c for t, c in zip(take, counts))
 
 
+@pytest.mark.parametrize("budget", [60_000, 70_000, 1_500_000, 3_000_000])
+def test_short_and_long_documents_are_taken_alike(budget):
+    lengths = sorted(random.Random(budget).sample(range(100, 12_000), 900))  # a document each
+    take = mixing.fit(lengths, [1] * 900, budget)
+    assert sum(n * t for n, t in zip(lengths, take)) == budget
+    part = budget / sum(lengths)
+    for third in (take[:300], take[300:600], take[600:]):
+        assert abs(sum(third) / 300 - part) < 0.03
+    assert mixing.fit(lengths, [1] * 900, budget, seed=5) != take == mixing.fit(lengths, [1] * 900, budget)
+
+
 # ---- pipeline
 
 
