@@ -1,4 +1,4 @@
-"""Line dedup: runs of lines, or content-defined chunks of them, that stand elsewhere before are removed."""
+"""Line dedup: content-defined chunks of lines that stand elsewhere before are removed, with the runs of lines around them."""
 
 from __future__ import annotations
 
@@ -25,17 +25,31 @@ class Cutting:
     mean: int = 3
     most: int = 64  # lines of a chunk, at most
     least: int = 2  # lines with content of a chunk that counts as repeated
+    hashes: int = 1  # parts of the rolling hash, any of which may set a boundary
 
 
-def chunk_ends(line_hashes: np.ndarray, c: Cutting) -> list[int]:
-    """Where chunks end (exclusive line numbers). Only the last ``window`` lines decide, so equal runs of
-    lines are cut alike wherever they stand; a longer chunk is cut every ``most`` lines from its start."""
+def rolled(line_hashes: np.ndarray, window: int) -> np.ndarray:
+    """The rolling hash over each ``window`` line hashes, at the last of them."""
     n = len(line_hashes)
     roll = np.zeros(n, np.uint64)
-    for k in range(min(c.window, n)):
+    for k in range(min(window, n)):
         roll[k:] += line_hashes[: n - k] * BASE ** np.uint64(k + 1)
-    ends, start = [], 0
-    for e in [*(np.flatnonzero((roll >> np.uint64(20)) % np.uint64(c.mean) == 0) + 1).tolist(), n]:
+    return roll
+
+
+def bounds(line_hashes: np.ndarray, c: Cutting) -> np.ndarray:
+    """After which lines a chunk ends: the last ``window`` lines alone decide, so equal runs of lines are cut alike
+    wherever they stand."""
+    roll, out = rolled(line_hashes, c.window), np.zeros(len(line_hashes), bool)
+    for k in range(c.hashes):
+        out |= (roll >> np.uint64(20 + 21 * k)) % np.uint64(c.mean) == 0
+    return out
+
+
+def chunk_ends(line_hashes: np.ndarray, c: Cutting) -> list[int]:
+    """Where chunks end (exclusive line numbers); a longer chunk is cut every ``most`` lines from its start."""
+    ends, start, n = [], 0, len(line_hashes)
+    for e in [*(np.flatnonzero(bounds(line_hashes, c)) + 1).tolist(), n]:
         while e - start > c.most:
             start += c.most
             ends.append(start)
@@ -128,29 +142,30 @@ def filled_lines(lines: list[str]) -> list[int]:
     return [i for i, x in enumerate(lines) if x and not x.isspace()]
 
 
-def pairs_of(text: str) -> list[tuple[int, int, int]]:
-    """``pos, h1, h2``: a rolling hash over the hashes of each two neighbouring lines with content, the
-    ``pos``-th of them and the next, and of the blank lines between them."""
+def pairs_of(text: str, c: Cutting) -> list[tuple[int, int, int, bool]]:
+    """``pos, h1, h2, edge``: a hash of the ``pos``-th line with content, the next one and the blank lines between them, and
+    whether the rolling hash puts a chunk's boundary there."""
     lines = text.split("\n")
     filled = filled_lines(lines)
     digests = [xxhash.xxh3_128_digest(lines[i].encode()) for i in filled]
+    edge = bounds(np.array([int.from_bytes(d[:8], "little") for d in digests], np.uint64), c).tolist()
     out = []
     for k in range(len(filled) - 1):
         between = "\n".join(lines[filled[k] + 1 : filled[k + 1]]) + "\n" * (filled[k + 1] - filled[k] > 1)
         d = xxhash.xxh3_128_digest(digests[k] + digests[k + 1] + between.encode())
-        out.append((k, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
+        out.append((k, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), edge[k + 1]))
     return out
 
 
-def all_pairs(docs: DataFrame) -> DataFrame:
+def all_pairs(docs: DataFrame, c: Cutting) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            found = [pairs_of(t.as_py()) for t in batch["text"]]
+            found = [pairs_of(t.as_py(), c) for t in batch["text"]]
             pick = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-            columns = [pa.array([x[i] for f in found for x in f], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pick), batch["t"].take(pick), *columns], names=["doc_id", "t", "pos", "h1", "h2"])
+            columns = [pa.array([x[i] for f in found for x in f], pa.int64() if i < 3 else pa.bool_()) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pick), batch["t"].take(pick), *columns], names=["doc_id", "t", "pos", "h1", "h2", "edge"])
 
-    return docs.mapInArrow(run, "doc_id bigint, t bigint, pos bigint, h1 bigint, h2 bigint")
+    return docs.mapInArrow(run, "doc_id bigint, t bigint, pos bigint, h1 bigint, h2 bigint, edge boolean")
 
 
 def pair_bytes(met: DataFrame) -> DataFrame:
@@ -175,9 +190,17 @@ def pair_bytes(met: DataFrame) -> DataFrame:
     return met.select("doc_id", "t", "text", "spans").mapInArrow(run, "doc_id bigint, t bigint, pos bigint, h1 bigint, h2 bigint, piece string")
 
 
-def without_pairs(text: str, gone: list[int]) -> tuple[str, int, int]:
-    """The text without the lines of the pairs ``gone`` and the blank lines between them, the number of runs of
-    lines that went, and of lines."""
+def grown(gone: list[int], edges: list[int]) -> list[int]:
+    """What is reached from ``edges`` along neighbouring numbers in ``gone``."""
+    gone, edges = np.unique(gone), np.array(edges, np.int64)
+    run = np.cumsum(np.diff(gone, prepend=gone[:1]) > 1)
+    return gone[np.isin(run, run[np.isin(gone, edges)])].tolist()
+
+
+def without_pairs(text: str, gone: list[int], edges: list[int]) -> tuple[str, int, int]:
+    """The text without the lines of the pairs ``gone`` that lie in a run with an edge, and the blank lines between them, the number
+    of runs of lines that went, and of lines."""
+    gone = grown(gone, edges)
     lines = text.split("\n")
     filled = filled_lines(lines)
     dead = bytearray(len(lines))
@@ -193,14 +216,14 @@ def cut_pairs(met: DataFrame) -> DataFrame:
         for batch in batches:
             text, gone = batch["text"], batch["gone"]
             has = pc.greater(pc.list_value_length(gone), 0)
-            cut = [without_pairs(t.as_py(), g.as_py()) for t, g in zip(text.filter(has), gone.filter(has), strict=True)]
+            cut = [without_pairs(*(x.as_py() for x in row)) for row in zip(text.filter(has), gone.filter(has), batch["edges"].filter(has), strict=True)]
             zeros = pa.array(np.zeros(len(text), np.int64))
             runs, lines = (pc.replace_with_mask(zeros, has, pa.array([x[i] for x in cut], pa.int64())) for i in (1, 2))
             n_lines = pc.add(pc.count_substring(text, "\n").cast(pa.int64()), 1)
             text = pc.replace_with_mask(text, has, pa.array([x[0] for x in cut], text.type))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], text, n_lines, runs, lines], names=["doc_id", "text", "n_lines", "removed_chunks", "removed_lines"])
 
-    return met.select("doc_id", "text", "gone").mapInArrow(run, "doc_id bigint, text string, n_lines bigint, removed_chunks bigint, removed_lines bigint")
+    return met.select("doc_id", "text", "gone", "edges").mapInArrow(run, "doc_id bigint, text string, n_lines bigint, removed_chunks bigint, removed_lines bigint")
 
 
 def stood_before(first: Column) -> Column:
@@ -209,26 +232,38 @@ def stood_before(first: Column) -> Column:
     return ~(own & F.col("pos").between(first["pos"], first["pos"] + 1))
 
 
-def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+#: A boundary after three lines in four or so; the two lines of its window are the smallest chunk.
+EDGES = Cutting(window=2, mean=2, hashes=2)
+
+
+def drop_repeated_runs(docs: DataFrame, cutting: Cutting = EDGES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, text, n_lines, removed_chunks, removed_lines``.
 
-    Two neighbouring lines with content stay where they stand first (smallest id, null first, then the place
-    in the text) and are removed elsewhere, with the blank lines between them and their line ends. So of every
-    run of lines that stood before in some text, as given, all lines are removed, wherever the run begins and
-    ends; ``removed_chunks`` counts the runs. A copy that shares a line with the first one isn't one: a line
-    three times in a row stays. Blank lines before and after a run stay. Pairs are found by 128-bit hashes and
-    compared by their bytes; different bytes under one hash are told apart. A null text is empty.
+    A rolling hash over the hashes of lines with content chooses boundaries. A chunk reaches from one boundary to the next, the lines
+    of both windows included, so whoever repeats a chunk repeats its windows, the smallest chunks. A repeated window is grown line by line,
+    over chunk borders, as long as two neighbouring lines stood before: the whole run goes, with the blank lines in it
+    and its line ends; ``removed_chunks`` counts the runs. A run without a boundary in it stays. Lines stay where
+    they stand first (smallest id, null first, then the place in the text). A copy that shares a line with the first one isn't
+    one: a line three times in a row stays. Blank lines before and after a run stay. Windows and neighbours are found by 128-bit
+    hashes and compared by their bytes; different bytes under one hash are told apart. A null text is empty.
     Rows with one id and one text are one document and get the same result; an empty table gives no
     rows; other columns aren't read.
+
+    Only documents with a window that several places share send their other lines.
     """
     d = id_and_text(docs, id_col, text_col).withColumn("t", F.xxhash64("text"))
-    pairs = cut_lineage(all_pairs(d))
+    every = cut_lineage(all_pairs(d, cutting))
+    same_doc = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("t") == F.col("m_t"))
+    at = F.struct("doc_id", "t", "pos")
+    windows = every.where("edge").groupBy("h1", "h2").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo <> hi").select("h1", "h2")
+    shared = every.where("edge").join(cut_lineage(windows), ["h1", "h2"], "left_semi")
+    shared = cut_lineage(shared.groupBy(F.col("doc_id").alias("m_id"), F.col("t").alias("m_t")).agg(F.lit(1).alias("one")))
+    pairs = cut_lineage(every.join(shared, same_doc, "left_semi"))
     place = F.struct("doc_id", "t", "pos")
     # A document that is given twice has equal places, so places are compared and not counted.
     seen = pairs.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
     marks = pairs.join(cut_lineage(seen), ["h1", "h2"]).withColumn("again", stood_before(F.col("first")))
-    same_doc = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("t") == F.col("m_t"))
-    spans = marks.groupBy("doc_id", "t").agg(F.collect_set(F.struct("pos", "h1", "h2", "again")).alias("spans"))
+    spans = marks.groupBy("doc_id", "t").agg(F.collect_set(F.struct("pos", "h1", "h2", "again", "edge")).alias("spans"))
     spans = cut_lineage(spans.withColumnsRenamed({"doc_id": "m_id", "t": "m_t"}))
     met = cut_lineage(d.join(spans, same_doc, "left").drop("m_id", "m_t"))
 
@@ -244,7 +279,9 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         fixed = fixed.groupBy("doc_id", "t").agg(F.collect_set("pos").alias("told"), F.collect_set(F.when(F.col("again"), F.col("pos"))).alias("repeats"))
         met = met.join(cut_lineage(fixed.withColumnsRenamed({"doc_id": "m_id", "t": "m_t"})), same_doc, "left")
         gone = F.when(F.col("told").isNull(), gone).otherwise(F.array_union(F.array_except(gone, F.col("told")), F.col("repeats")))
-    return cut_pairs(met.withColumn("gone", F.coalesce(gone, F.array().cast("array<bigint>"))))
+    none = F.array().cast("array<bigint>")
+    edges = F.transform(F.filter("spans", lambda x: x["edge"]), lambda x: x["pos"])
+    return cut_pairs(met.select("doc_id", "text", F.coalesce(gone, none).alias("gone"), F.coalesce(edges, none).alias("edges")))
 
 
 @query("op1_line_dedup")

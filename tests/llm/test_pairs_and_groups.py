@@ -227,24 +227,30 @@ def test_chunks_survive_shifts():
     assert len(plain & shifted) >= len(plain) - 2
 
 
-def brute_runs(rows):
-    """Every two neighbouring lines with content that stood before, away from themselves, go."""
+def brute_runs(rows, c):
+    """Every two neighbouring lines with content that stood before, away from themselves, go, if a boundary is among those next to them."""
     first, out = {}, {}
     for d, text in sorted({(d, t or "") for d, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0)):
         lines = text.split("\n")
         filled = [i for i, x in enumerate(lines) if x.strip()]
-        dead = set()
-        for k, (a, b) in enumerate(zip(filled, filled[1:])):
-            at = first.setdefault("\n".join(lines[a : b + 1]), (d, text, k))
-            if at[:2] != (d, text) or k > at[2] + 1:
-                dead |= set(range(a, b + 1))
+        dead, run = set(), []
+        for k, (a, b) in enumerate([*zip(filled, filled[1:]), (None, None)]):
+            piece = None if a is None else "\n".join(lines[a : b + 1])
+            at = (d, text, k) if a is None else first.setdefault(piece, (d, text, k))
+            if a is not None and (at[:2] != (d, text) or k > at[2] + 1):
+                run.append((a, b))
+                continue
+            if any(line_dedup.pairs_of(lines[i] + "\n" + lines[j], c)[0][3] for i, j in run):
+                dead |= {x for i, j in run for x in range(i, j + 1)}
+            run = []
         kept = "".join(x + "\n" * (i < len(lines) - 1) for i, x in enumerate(lines) if i not in dead)
         out[d] = (kept, len(lines), sum(i - 1 not in dead for i in dead), len(dead))
     return out
 
 
-@pytest.mark.parametrize("weak", [False, True])
-def test_repeated_runs_go_whole(spark, monkeypatch, weak):
+@pytest.mark.parametrize("weak, mean", [(False, 1), (True, 1), (False, 2), (True, 2)])
+def test_repeated_runs_go_whole(spark, monkeypatch, weak, mean):
+    c = line_dedup.Cutting(window=2, mean=mean)
     rng = random.Random(7)
     line = lambda: " ".join(rng.choice(["red", "blue", "ünï", "\U0001f600"]) + str(rng.randrange(900)) for _ in range(6))
     passages = [[line() for _ in range(k)] for k in (2, 3, 4, 8, 15)]
@@ -256,10 +262,12 @@ def test_repeated_runs_go_whole(spark, monkeypatch, weak):
     rows += [(50, None), (51, ""), (52, "\n \n"), (53, rows[5][1]), (53, rows[5][1]), (None, "q\nr"), (54, "p\nq\nr"), (55, "q\n\nr\ns"), (56, "z\nz\nz"), (57, "y\ny\ny\ny\ny\n")]
     if weak:  # one hash for all pairs, so only the bytes tell them apart
         real = line_dedup.all_pairs
-        monkeypatch.setattr(line_dedup, "all_pairs", lambda d: real(d).withColumns({"h1": F.lit(1).cast("bigint"), "h2": F.lit(1).cast("bigint")}))
-    got = line_dedup.drop_repeated_runs(table(spark, rows)).collect()
+        monkeypatch.setattr(line_dedup, "all_pairs", lambda d, c: real(d, c).withColumns({"h1": F.lit(1).cast("bigint"), "h2": F.lit(1).cast("bigint")}))
+    got = line_dedup.drop_repeated_runs(table(spark, rows), c).collect()
     assert len(got) == len(rows)
-    assert {r.doc_id: tuple(r)[1:] for r in got} == brute_runs(rows)
-    # Of a passage between foreign lines nothing stays, whatever its length and wherever it begins.
-    assert all(r.text.count("\n") == 3 and r.removed_chunks == 1 for r in got if r.doc_id in range(40))
+    assert {r.doc_id: tuple(r)[1:] for r in got} == brute_runs(rows, c)
+    # Of a passage between foreign lines with a boundary in it nothing stays, whatever its length and wherever it begins.
+    whole = [r.text.count("\n") == 3 and r.removed_chunks == 1 for r in got if r.doc_id in range(40)]
+    assert all(whole) if mean == 1 else sum(whole) > 10
+    assert all(r.removed_chunks in (0, 1) for r in got if r.doc_id in range(40))
     assert line_dedup.drop_repeated_runs(table(spark, [])).count() == 0
