@@ -60,6 +60,7 @@ class Pair:
         self.keys = self.possible_pairs() if keys is None else keys
         self.a_names, self.b_names = ({i: str(i).encode() for i in ids} for ids in (self.a_bytes, range(len(self.b_bytes))))
         self.known: dict[str, tuple | None] = {}
+        self.held = 0  # characters of the segments in it
 
     def possible_pairs(self) -> np.ndarray:
         a_of: dict[bytes, list[int]] = {}
@@ -78,7 +79,7 @@ class Pair:
         ids, spans = enc.ids, enc.offsets
         if segment.isascii():
             return ids, [end for _, end in spans]
-        places = [0, *accumulate(len(c.encode()) for c in segment)]
+        places = [0, *accumulate(map(len, map(str.encode, segment)))]
         at, ends = 0, []
         for k, i in enumerate(ids):
             inside = k + 1 < len(ids) and spans[k + 1][0] < spans[k][1]
@@ -136,8 +137,10 @@ class Pair:
             if x is not None:
                 x = (*x[:3], numbers[at : (at := at + len(x[3]))].tobytes())
             self.known[s] = x
-        if sum(map(len, self.known)) > KEEP_CHARS:
+        self.held += sum(map(len, new))
+        if self.held > KEEP_CHARS:
             self.known = {s: self.known[s] for s in met}
+            self.held = sum(map(len, met))
 
     def texts(self, texts: list[str]) -> list[tuple[int, int, str, bytes]]:
         """``n_a, n_b, groups_sha256, links`` (packed numbers of pairs) of each text."""
@@ -154,7 +157,7 @@ class Pair:
         return out
 
     def forget(self) -> None:
-        self.known = {}
+        self.known, self.held = {}, 0
 
 
 _LOADED: dict[str, Pair] = {}
