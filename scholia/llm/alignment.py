@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from scholia.llm.bpe import byte_symbols
-from scholia.llm.common import id_and_text, query, table
+from scholia.llm.common import id_and_text, query, table, tidied
 from scholia.session import cut_lineage
 
 #: Both tokenizers start anew before a space that follows something else than white space, and before such a line end if B
@@ -205,7 +205,7 @@ def align_texts(docs: DataFrame, files, id_col: str = "doc_id", text_col: str =
             pair.forget()
             gc.set_threshold(*often)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, ALIGNED)
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidied(run), ALIGNED)
 
 
 def link_counts(aligned: DataFrame, n_pairs: int) -> np.ndarray:
@@ -218,7 +218,7 @@ def link_counts(aligned: DataFrame, n_pairs: int) -> np.ndarray:
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], names=["pair", "n"])
 
-    parts = aligned.select("links").mapInArrow(run, "pair bigint, n bigint")
+    parts = aligned.select("links").mapInArrow(tidied(run), "pair bigint, n bigint")
     met = parts.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(n_pairs, np.int64)
     out[met.column("pair").to_numpy()] = met.column("n").to_numpy()
@@ -258,7 +258,7 @@ def cross_alignment(docs: DataFrame, a_path: str, b_path: str, id_col: str = "do
             columns |= {"n_best": pa.array(np.diff(told[0])), "count_sum": pa.array(np.diff(told[1])), "groups_sha256": batch["groups_sha256"]}
             yield pa.RecordBatch.from_pydict(columns)
 
-    return aligned.mapInArrow(run, "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string")
+    return aligned.mapInArrow(tidied(run), "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string")
 
 
 def default_paths() -> tuple[str, str]:

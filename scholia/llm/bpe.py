@@ -11,7 +11,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from scholia.llm.common import id_and_text, query, table
+from scholia.llm.common import id_and_text, query, table, tidied
 
 # How byte-level tokenizers cut a text before the merges; white space as Unicode lists it.
 SPACE = r"\t-\r " + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -239,7 +239,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
     run = over_batches(broadcast_spec(docs, path), lambda tok, text: (tok.encode(text),), schema)
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidied(run), "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -254,7 +254,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             texts = [tok.decode(ids.as_py() or []) for ids in batch["ids"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], schema=schema)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidied(run), "doc_id bigint, text string")
 
 
 def _digests(tok: Tokenizer, text: str) -> tuple[int, str, str]:
@@ -268,7 +268,7 @@ def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: each text encoded and decoded in one pass."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
     run = over_batches(broadcast_spec(docs, path), _digests, schema)
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidied(run), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def default_path() -> str:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from scholia.llm.common import id_and_text, light_side, query, table
+from scholia.llm.common import id_and_text, light_side, query, table, tidied
 from scholia.llm.graph import components
 from scholia.session import cut_lineage
 
@@ -96,7 +96,7 @@ def set_heads(docs: DataFrame, rule: Rule) -> DataFrame:
                 pa.array([m[1] for m in marks], pa.int64()), pa.array(heads, pa.list_(pa.int64())),
             ], names=["doc_id", "n", "d1", "d2", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
+    return docs.mapInArrow(tidied(run), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
 
 
 def shared(posts: DataFrame, rule: Rule, ignore: bool) -> DataFrame:
@@ -236,7 +236,7 @@ def linked(met: DataFrame, rule: Rule, probing: bool) -> DataFrame:
         yield from answered()
 
     dealt = met.select("part", "row", "s", "probe").repartition("part").sortWithinPartitions("part", "row")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(tidied(run), "a bigint, b bigint")
 
 
 def family_sets(docs: DataFrame, alive: DataFrame, rule: Rule) -> DataFrame:
@@ -255,7 +255,7 @@ def family_sets(docs: DataFrame, alive: DataFrame, rule: Rule) -> DataFrame:
 
     names = alive.withColumnRenamed("doc_id", "own_id")
     met = docs.join(names, F.col("doc_id").eqNullSafe(F.col("own_id"))).select("row", "family", "blocks", "d1", "d2", "text")
-    return met.mapInArrow(run, "row bigint, family bigint, blocks bigint, s binary")
+    return met.mapInArrow(tidied(run), "row bigint, family bigint, blocks bigint, s binary")
 
 
 def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scholia.llm.common import id_and_text, query, table
+from scholia.llm.common import id_and_text, query, table, tidied
 
 WORD = re.compile(r"[^\W_]+")
 STEMS = (4, 5, 6, 7)  # letters of the beginnings
@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
         i, w = ftrl([(x, y) for _, y, x in rows], settings) if rows else (np.empty(0, np.int64), np.empty(0))
         yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(w, pa.float64())], names=["bucket", "weight"])
 
-    sets = met.mapInArrow(extract, "doc_id bigint, label double, buckets array<int>")
+    sets = met.mapInArrow(tidied(extract), "doc_id bigint, label double, buckets array<int>")
     model = sets.repartition(1).mapInArrow(learn, "bucket bigint, weight double")
     return [(r.bucket, r.weight) for r in model.collect()]
 
@@ -159,7 +159,7 @@ def score(docs: DataFrame, model: list[tuple[int, float]], id_col: str = "doc_id
         for b in batches:
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([score_text(t.as_py(), weights, words) for t in b["text"]], pa.float64())], names=["doc_id", "score"])
 
-    scored = id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, score double")
+    scored = id_and_text(docs, id_col, text_col).mapInArrow(tidied(run), "doc_id bigint, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -174,7 +174,7 @@ def drop_toxic(docs: DataFrame, model: list[tuple[int, float]], id_col: str = "d
             kept = pa.array([score_text(t.as_py() or "", weights, words) < 0.5 for t in b.column(at)], pa.bool_())
             yield b.filter(kept)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 @query("op7_toxicity")
