@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,11 +44,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
-# A name, an assignment sign, and a quoted or bare value; at the sign, so that plain prose costs little.
-TARGET = re.compile(r"""(?:["']([A-Za-z_][\w.\-]{0,80})["']|([A-Za-z_][\w.\-]{0,80})|\]|["'])[ \t]*\Z""")
-VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([^\s"'`,;(){}\[\]<>#]+))""")
-SIGN = re.compile(r"(?<![=!<>:+\-*/%&|^~])(?::=|=>|=|:)(?![=~:/])")
-INDEXED = re.compile(r"""\[[ \t]*["']([A-Za-z_][\w.\-]{0,80})["'][ \t]*\][ \t]*\Z""")
+# Tokens of source and configuration syntax. Lexing starts at the signs that assign, so that plain prose costs little.
+SIGN = re.compile(r"(?<![=!<>:+\-*/%&|^~])(?:\+=|:=|=>|=(?!~[ \t])|:(?!//))(?![=:])")
+BLANK = re.compile(r"(?:[ \t]|\\\r?\n|/\*[^*]*\*/)*")  # between tokens of a line
+GAP = re.compile(r"(?:\s|\\\r?\n|#[^\n]*|//[^\n]*|/\*[^*]*\*/)*")  # inside brackets, and after a joining sign
+STRING = re.compile(
+    r"""[rRbBfFuU]{0,2}(?:"{3}((?:[^"\\]|\\.|"(?!""))*)"{3}|'{3}((?:[^'\\]|\\.|'(?!''))*)'{3}|"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""", re.S
+)
+JOINED = re.compile(r"""([A-Za-z_][\w.]*)(?=[ \t]*\+[ \t]*(?:\\?\r?\n\s*)?(?:[rRbBfFuU]{0,2}["'`])|[ \t]+\+\s)""")  # a name before a joining sign
+BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>#=]+(?:=+(?![\w"'`=]))?""")
+JOIN = re.compile(r"\+(?![+=])|\.\.|\.(?=[ \t]*[\"'])")
+OPEN = {"(": ")", "[": "]"}
 NAME = re.compile(r"[A-Za-z_][\w.]*\Z")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 PLACEHOLDER = re.compile(r"""^(?:\$[{(\w].*|<.*>|\{\{.*\}\}|%\(.*|x+|\*+|\.+|changeme|example|none|null|true|false|undefined)$""", re.I)
@@ -62,49 +69,211 @@ def name_score(name: str) -> float:
     return best + sum(max(SENSITIVE.get(p, 0), -3) for p in parts[-1:] if SENSITIVE.get(p, 0) < 0)
 
 
-def literal_score(value: str) -> float:
-    """How much a literal looks drawn at random: length, mixture, entropy; prose and place holders get none."""
-    if len(value) < 8 or PLACEHOLDER.match(value):
+def literal_score(value: "Literals") -> float:
+    """How much a value looks drawn at random: length, mixture, entropy; prose and place holders get none."""
+    n = sum(value.letters.values())
+    if n < 8 or value.holder:
         return -10.0
-    counts = Counter(value)
-    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() and not c.isspace() for c in value)
-    return min(bits, 4.5) / 1.5 + 0.5 * (kinds - 1) - 1.5 * value.count(" ")
+    bits = -sum(k / n * math.log2(k / n) for k in value.letters.values())
+    kinds = sum(any(map(f, value.letters)) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() and not c.isspace() for c in value.letters)
+    return min(bits, 4.5) / 1.5 + 0.5 * (kinds - 1) - 1.5 * value.letters[" "]
+
+
+def name_before(text: str, at: int) -> str | None:
+    """The name that the sign at ``at`` assigns to: plain, quoted, or a quoted key in brackets, of any length."""
+    closing = ""
+    for mark in ("]", "\"'", ""):
+        while at and text[at - 1] in " \t":
+            at -= 1
+        if mark and at and text[at - 1] in mark:
+            closing += text[at - 1]
+            at -= 1
+    end = at
+    while at and (text[at - 1] in "_.-" or text[at - 1].isalnum()):
+        at -= 1
+    if closing in ('"', "'", ']"', "]'") and not (at and text[at - 1] == closing[-1]) or closing == "]":
+        return None
+    while at < end and not (text[at] == "_" or text[at].isascii() and text[at].isalpha()):
+        at += 1
+    return text[at:end] or None
+
+
+def values(text: str, at: int) -> tuple[list[list[tuple[int, int, bool]]], int]:
+    """What stands behind an assignment sign: groups of joined terms ``start, end, quoted``, and where it ends.
+
+    Terms are joined by ``+``, ``.`` or ``..``, or by standing next to each other; a list has a group a member.
+    A value goes on over line ends inside brackets, after a joining sign and after a backslash. A call, or
+    anything else that isn't a literal or a name, ends it.
+    """
+    groups, terms, inside, joining = [], [], [], False
+    while True:
+        end = at
+        at = (GAP if inside or joining else BLANK).match(text, at).end()
+        c = text[at:at + 1]
+        wanted = joining or not terms
+        m = STRING.match(text, at) if wanted or terms[-1][2] else None
+        if m:
+            terms.append((m.start(m.lastindex), m.end(m.lastindex), True))
+        elif wanted and c in OPEN:
+            inside.append(OPEN[c])
+            at += 1
+            continue
+        elif inside and c == inside[-1]:
+            inside.pop()
+            at += 1
+            continue
+        elif inside and c == "," and not joining:
+            groups.append(terms)
+            terms = []
+            at += 1
+            continue
+        elif terms and not joining and (m := JOIN.match(text, at)):
+            at, joining = m.end(), True
+            continue
+        elif wanted and (m := JOINED.match(text, at) or BARE.match(text, at)):
+            if text[m.end():m.end() + 1] == "(":
+                break
+            terms.append((m.start(), m.end(), False))
+        else:
+            break
+        at, joining = m.end(), False
+    groups.append(terms)
+    return [g for g in groups if g], end
+
 
+def assignments(text: str) -> Iterator[tuple[int, str, bool, list]]:
+    """``place, name, adds, groups`` of every assignment of the text, in order.
 
-def pairs(text: str) -> Iterator[tuple[str, int, int, bool]]:
-    """``name, start, end, quoted`` of every value that the text assigns to a name, in order."""
+    In ``name: type = value`` the name is the one before its type. A colon inside a bare value is part of it.
+    """
+    typed, ended, bare = None, -1, -1
     for sign in SIGN.finditer(text):
-        before = text[max(0, sign.start() - 100):sign.start()].rpartition("\n")[2]
-        m = INDEXED.search(before) or TARGET.search(before)
-        if not m:
+        at = sign.start()
+        if at < bare:
             continue
-        name = m.group(1) or (m.group(2) if m.re is TARGET else None)
-        value = VALUE.match(text, sign.end()) if name else None
-        if value:
-            k = value.lastindex
-            yield name, value.start(k), value.end(k), k < 4
+        if typed and ended <= at and not text[ended:at].strip(" \t"):
+            name = typed
+        else:
+            name = name_before(text, at)
+        typed = None
+        if name:
+            groups, ended = values(text, sign.end())
+            bare = max((end for group in groups for _, end, quoted in group if not quoted), default=-1)
+            typed = name if sign[0] == ":" and len(groups) == 1 and len(groups[0]) == 1 and not groups[0][0][2] else None
+            yield at, name, sign[0] == "+=", groups
+
+
+class Literals:
+    """What a value is made of: the places of its literals, their letters, and whether each is a place holder."""
+
+    def __init__(self):
+        self.letters, self.holder, self.any = Counter(), True, False
+
+    def take(self, value: str) -> None:
+        self.letters.update(value)
+        self.holder &= bool(PLACEHOLDER.match(value))
+        self.any = True
+
+    def join(self, other: "Literals") -> None:
+        if other.any:
+            self.letters.update(other.letters)
+            self.holder &= other.holder
+            self.any = True
+
+
+class Program:
+    """The assignments of a text with their names resolved.
+
+    A name means its latest assignment before the use, or else its first one after it; ``+=`` joins to the
+    assignment before. Resolution goes through any number of names in both directions; an assignment that leads
+    back to itself adds nothing there. Every group is resolved once, so work follows the length of the text.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.groups, self.by_name = text, [], {}  # a group is (name, terms, place, adds)
+        for place, name, adds, groups in assignments(text):
+            ids = []
+            for terms in groups:
+                ids.append(len(self.groups))
+                self.groups.append((name, terms, place, adds))
+            if ids:
+                places, members = self.by_name.setdefault(name, ([], []))
+                places.append(place)
+                members.append(ids)
+        self.made: dict[int, Literals] = {}
+        self.linked: dict[int, list[int]] = {}
+
+    def meant(self, name: str, place: int) -> list[int]:
+        """The groups that ``name`` stands for when used by the assignment at ``place``."""
+        places, members = self.by_name.get(name, ((), ()))
+        at = bisect_left(places, place)
+        if at:
+            return members[at - 1]
+        at = bisect_right(places, place)
+        return members[at] if at < len(places) else []
+
+    def links(self, i: int) -> list[int]:
+        """The groups that group ``i`` takes in."""
+        if i not in self.linked:
+            name, terms, place, adds = self.groups[i]
+            out = list(self.meant(name, place)) if adds else []
+            for start, end, quoted in terms:
+                if not quoted and NAME.match(self.text[start:end]):
+                    out += self.meant(self.text[start:end], place)
+            self.linked[i] = out
+        return self.linked[i]
+
+    def own(self, i: int) -> list[tuple[int, int]]:
+        """The literals that stand in group ``i`` itself; a bare word that names nothing counts if it has digits."""
+        _, terms, place, _ = self.groups[i]
+        out = []
+        for start, end, quoted in terms:
+            word = self.text[start:end]
+            if quoted or not NAME.match(word) or any(c.isdigit() for c in word) and not self.meant(word, place):
+                out.append((start, end))
+        return out
+
+    def literals(self, i: int) -> Literals:
+        open_, path = [(i, iter(self.links(i)))], {i}
+        while open_:
+            k, rest = open_[-1]
+            if k in self.made:
+                open_.pop()
+                path.discard(k)
+                continue
+            step = next((j for j in rest if j not in self.made and j not in path), None)
+            if step is not None:
+                open_.append((step, iter(self.links(step))))
+                path.add(step)
+                continue
+            whole = Literals()
+            for start, end in self.own(k):
+                whole.take(self.text[start:end])
+            for j in self.links(k):
+                if j in self.made:
+                    whole.join(self.made[j])
+            self.made[k] = whole
+        return self.made[i]
+
+    def secret(self) -> set[tuple[int, int]]:
+        """The literals that reach a name whose promise and whose whole value make up the least score."""
+        promise = {name: name_score(name) for name in self.by_name}
+        todo = [i for i, g in enumerate(self.groups) if promise[g[0]] > 0 and promise[g[0]] + literal_score(self.literals(i)) >= LEAST]
+        seen, found = set(todo), set()
+        while todo:
+            i = todo.pop()
+            found.update((a, b) for a, b in self.own(i) if any(c.isalnum() for c in self.text[a:b]))
+            fresh = [j for j in self.links(i) if j not in seen]
+            seen.update(fresh)
+            todo += fresh
+        return found
 
 
 def named_spans(text: str) -> list[tuple[int, int, str]]:
-    """Literals that reach a sensitive name, directly or through constants assigned before."""
+    """Literals that reach a sensitive name, directly, joined with others, or through names assigned anywhere in the text."""
     if "=" not in text and ":" not in text:
         return []
-    known: dict[str, tuple[int, int]] = {}
-    score: dict[tuple[int, int], float] = {}
-    for name, start, end, quoted in pairs(text):
-        value = text[start:end]
-        if not quoted and NAME.match(value) and value in known:
-            span = known[value]  # a constant under another name
-        else:
-            span = (start, end)
-            if not quoted and NAME.match(value) and not any(c.isdigit() for c in value):
-                continue  # a word, or a name that nothing was assigned to
-        known[name] = span
-        promise = name_score(name)
-        if promise > 0:
-            score[span] = max(score.get(span, -99.0), promise + literal_score(text[span[0]:span[1]]))
-    return [(a, 3, b) for (a, b), s in score.items() if s >= LEAST]
+    return [(a, 3, b) for a, b in Program(text).secret()]
 
 
 def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

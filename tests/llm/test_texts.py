@@ -72,6 +72,75 @@ def test_secret_patterns_on_random_text():
         assert set(base) <= set(spans)
 
 
+def named(text):
+    return sorted(text[a:b] for a, _, b in secrets.named_spans(text))
+
+
+@pytest.mark.parametrize("text, found", [
+    ("private_key=/9j4AAQSkZJRgABAQEAYABgAAD", ["/9j4AAQSkZJRgABAQEAYABgAAD"]),
+    ('auth = K\nK = "aB3dE5fG7hJ9kL1m"', ["aB3dE5fG7hJ9kL1m"]),
+    ('db_pass = PART_A + "x9Kq2mZ7"\nPART_A = "Qw8rT4yU"', ["Qw8rT4yU", "x9Kq2mZ7"]),
+    ('my_key = (\n  "aB3dE5fG"  # first = half\n  "7hJ9kL1m"\n)', ["7hJ9kL1m", "aB3dE5fG"]),
+    ('my_key = ["aB3dE5fG7hJ9", "short", "pQ3rS5tU7vW9"]', ["aB3dE5fG7hJ9", "pQ3rS5tU7vW9"]),
+    ('auth: str = "zZ9xX8cC7vV6"', ["zZ9xX8cC7vV6"]),
+    ('conn["private_key"] = b"aB3dE5fG7hJ9"', ["aB3dE5fG7hJ9"]),
+    ('auth = """aB3d\nE5fG7hJ9"""', ["aB3d\nE5fG7hJ9"]),
+    ("k" * 300 + "_key = 'aB3dE5fG7hJ9'", ["aB3dE5fG7hJ9"]),
+    ("$auth = 'aB3dE5' . 'fG7hJ9kL';", ["aB3dE5", "fG7hJ9kL"]),
+    ('auth = "aB3dE5"\nauth += "fG7hJ9kL"', ["aB3dE5", "fG7hJ9kL"]),
+    ("auth=abc+def/12G==", ["abc+def/12G=="]),
+    ('auth = read("aB3dE5fG7hJ9kL")', []),  # a call's result isn't its argument
+    ("key: don't look, it's nothing 12345678", []),
+    ("x = a\na = x\nauth = a", []),  # leads back to itself
+    ('auth = "${AUTH_FROM_ENV}"', []),
+    ("auth == 'aB3dE5fG7hJ9' and http://auth.example/aB3dE5fG7hJ9", []),
+])
+def test_named_literals(text, found):
+    assert named(text) == found
+
+
+def test_named_literals_against_plain_evaluation():
+    """Random programs; each sensitive name is evaluated on its own, from the definitions, without memory."""
+    rng = random.Random(4)
+    for _ in range(300):
+        names = [f"{rng.choice(['part', 'my_key', 'auth', 'db_pass', 'label'])}{chr(97 + i)}" for i in range(rng.randrange(1, 8))]
+        names = [n[:-1] + "_" + n[-1] for n in names]
+        body, n_lit = {}, 0
+        for i, name in enumerate(names):  # a name takes in later ones only, so nothing leads back
+            terms = []
+            for _ in range(rng.randrange(1, 4)):
+                if i + 1 < len(names) and rng.random() < 0.5:
+                    terms.append((False, rng.choice(names[i + 1:])))
+                else:
+                    n_lit += 1
+                    terms.append((True, f"L{n_lit}x" + "".join(rng.choices("abcXYZ123/+", k=rng.randrange(1, 12)))))
+            body[name] = terms
+        joins = [" + ", " +\n    ", " + \\\n  "]
+        shuffled = rng.sample(names, len(names))
+        text = "\n".join(f"{n} = " + rng.choice(joins).join(f'"{v}"' if lit else v for lit, v in body[n]) for n in shuffled)
+
+        def parts(name):
+            return [p for lit, v in body[name] for p in ([v] if lit else parts(v))]
+
+        want = set()
+        for name in names:
+            value = secrets.Literals()
+            for p in parts(name):
+                value.take(p)
+            if secrets.name_score(name) > 0 and secrets.name_score(name) + secrets.literal_score(value) >= secrets.LEAST:
+                want.update(parts(name))
+        assert named(text) == sorted(want), text
+
+
+@pytest.mark.parametrize("text", [
+    "auth=" * 20_000 + '"', "auth:" * 20_000, "a=" + "[" * 100_000, 'key="' * 20_001, 'auth += "aB3dE5fG7"\n' * 5_000,
+    "".join(f'auth{i} = auth{i + 1} + "aB3"\n' for i in range(5_000)), "=/*" * 20_000, "auth = (" * 5_000,
+])
+def test_named_literals_of_long_texts(text):
+    """Chains, nesting and open quotes of any length end, in time that follows the text."""
+    assert all(0 <= a < b <= len(text) for a, _, b in secrets.named_spans(text))
+
+
 def test_secrets_odd_rows(spark):
     got = secrets.find_secrets(frame(spark, ODD)).collect()
     assert len(got) == len(ODD) and {r.spans for r in got} == {""}
