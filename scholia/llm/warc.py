@@ -10,6 +10,7 @@ from scholia.session import cut_lineage, work_path
 # The alphabet of base 32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF = "\r\n"
+ROWS_A_TASK = 20_000  # records that one task puts together with one payload
 
 
 def base32_of_hex(digest: Column) -> Column:
@@ -96,29 +97,49 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/headers").select(
         "digest", "warc_head", "http_head", page_of(field("WARC-Record-ID")).alias("page_id"), field("WARC-Type").alias("record_type"),
         page_of(field("WARC-Refers-To")).alias("refers_to"), field("WARC-Target-URI").alias("url"),
+        field("Content-Length").cast("bigint").alias("content_length"), field("WARC-Payload-Digest").alias("told_digest"),
     )
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The original records: ``page_id, url, record_type, refers_to, record, payload``.
+def read_records(spark: SparkSession, path: str, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """The original records: ``page_id, url, record_type, refers_to, record, head_bytes, payload``.
 
-    ``record`` has the bytes as they stand in a WARC file (a revisit without its payload); ``payload``
-    is the page of responses and revisits alike.
+    ``record`` has the bytes as they stand in a WARC file (a revisit without its payload), the first ``head_bytes`` of
+    them before the payload; ``payload`` is the page of responses and revisits alike. A record whose
+    Content-Length or WARC-Payload-Digest isn't that of what was put together ends the job.
+
+    Heads of a payload that more than ``rows_a_task`` records share are dealt over several tasks, each of which gets
+    one copy of it.
     """
-    h = read_headers(spark, path).join(read_payloads(spark, path), "digest")
+    h = read_headers(spark, path)
+    shares = h.groupBy("digest").agg(F.ceil(F.count("*") / rows_a_task).alias("shares")).where("shares > 1")
+    shares = cut_lineage(shares)  # empty, or few rows: of measured size for the joins
+    share = F.pmod(F.xxhash64("warc_head"), F.coalesce("shares", F.lit(1)))
+    h = h.join(shares, "digest", "left").withColumn("share", share).drop("shares")
+    p = read_payloads(spark, path).join(shares, "digest", "left")
+    p = p.select("digest", "payload", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("shares", F.lit(1)) - 1)).alias("share"))
+    p = p.withColumn("payload_digest", base32_of_hex(F.sha1("payload")))
+    r = h.join(p, ["digest", "share"])
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    record = F.concat(F.encode("warc_head", "UTF-8"), F.encode("http_head", "UTF-8"), body, F.lit(b"\r\n\r\n"))
-    return h.select("page_id", "url", "record_type", "refers_to", record.alias("record"), "payload")
+    block = F.concat(F.encode("http_head", "UTF-8"), body)
+    sound = (F.col("content_length") == F.length(block)) & (F.col("told_digest") == F.concat(F.lit("sha1:"), "payload_digest"))
+    fail = F.raise_error(F.concat(F.lit("damaged record "), F.col("warc_head"))).cast("binary")
+    checked = lambda c: F.when(sound, c).otherwise(fail)
+    record = F.concat(F.encode("warc_head", "UTF-8"), block, F.lit(b"\r\n\r\n"))
+    return r.select(
+        "page_id", "url", "record_type", "refers_to", checked(record).alias("record"),
+        (F.octet_length("warc_head") + F.octet_length("http_head")).alias("head_bytes"), checked(F.col("payload")).alias("payload"),
+    )
 
 
 def archive_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Per record what its head says, with length and digest taken from the payload read back."""
-    p = read_payloads(spark, path).select(
-        "digest", F.length("payload").cast("bigint").alias("payload_bytes"), base32_of_hex(F.sha1("payload")).alias("payload_digest")
+    """Per rebuilt record its type and reference, with length and digest of the payload: that inside a response, that restored to a revisit."""
+    r = read_records(spark, path)
+    inside = F.expr("substring(record, head_bytes + 1, length(record) - head_bytes - 4)")
+    r = r.withColumn("body", F.when(F.col("record_type") == "response", inside).otherwise(F.col("payload")))
+    return r.select(
+        "page_id", F.length("body").cast("bigint").alias("payload_bytes"), base32_of_hex(F.sha1("body")).alias("payload_digest"), "record_type", "refers_to"
     )
-    p = cut_lineage(p)  # narrow rows, so that the join can split a digest which many records share
-    h = read_headers(spark, path).drop("warc_head", "http_head", "url")
-    return h.join(p, "digest").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def base32_sql(digest: str) -> str:

@@ -39,9 +39,10 @@ def archive(spark, rows):
     return path
 
 
-def test_archive(spark):
+@pytest.mark.parametrize("rows_a_task", [1, 20_000])
+def test_archive(spark, rows_a_task):
     path = archive(spark, PAGES)
-    rec = warc.read_records(spark, path).collect()
+    rec = warc.read_records(spark, path, rows_a_task).collect()
     assert len(rec) == len(PAGES)
     for r in rec:
         html = next(h for p, _, h in PAGES if p == r.page_id) or ""
@@ -74,6 +75,17 @@ def test_archive_summary_and_damage(spark):
     assert warc.archive_summary(spark, archive(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("was, now", [(r"Content-Length: \d+\r\n\r\n$", "Content-Length: 7\r\n\r\n"), ("sha1:[A-Z0-9]+", "sha1:ABC")])
+@pytest.mark.parametrize("kind", ["response", "revisit"])
+def test_archive_with_wrong_heads(spark, was, now, kind):
+    path = archive(spark, PAGES)
+    wrong = F.when(F.col("warc_head").contains(f"WARC-Type: {kind}"), F.regexp_replace("warc_head", was, now)).otherwise(F.col("warc_head"))
+    heads = spark.read.parquet(f"{path}/headers").withColumn("warc_head", wrong).collect()
+    spark.createDataFrame(heads).write.mode("overwrite").parquet(f"{path}/headers")
+    with pytest.raises(Exception, match="damaged record"):
+        warc.archive_summary(spark, path).collect()
+
+
 # ---- neighbours
 
 
