@@ -24,7 +24,7 @@ from scholia.functions.vectors import dot, norm
 from scholia.operators.articles import enrich_chunks, pending
 from scholia.operators.index import next_seq
 from scholia.operators.pages import assign_pages, clean_pages, page_offsets, strip_repeated_lines
-from scholia.operators.skew import numbered
+from scholia.operators.skew import numbered, running_total
 from scholia.session import cut_lineage
 
 CHUNK = "paper_id string, chunk_index bigint, char_start bigint, char_end bigint, text string"
@@ -154,20 +154,22 @@ def chunk_pages(pages: DataFrame, size: int = 2000, overlap: int = 200, least: i
 SENTENCE_END = re.compile(r"(?<!\.\s)(?<!\betal)(?<!\be\.g)(?<!\bi\.e)(?<!\bvs)([.!?])\s+")
 
 
-def sentences(text: str, cap: int) -> list[tuple[int, int, str, bool]]:
-    """``(start, end, text, table_like)``; longer than ``cap`` means text without punctuation, which
-    is cut at the last space in the second half of the allowed length."""
+def sentence_parts(start: int, end: int, raw: str, cap: int) -> list[tuple[int, int, str, bool]]:
+    """One sentence as it counts: nothing if blank; text without punctuation that is longer than ``cap`` is cut at the last
+    space in the second half of the allowed length."""
+    body = raw.strip()
+    if len(body) <= cap:
+        return [(start, end, body, False)] if body else []
     # A piece is the rest if it fits, else as much as ends before a space past the half, else ``cap`` characters.
     lots = re.compile(rf"(?s)(.{{1,{cap}}}\Z|.{{{int(cap * 0.5) + 1},{max(cap - 1, int(cap * 0.5) + 1)}}}(?= )|.{{1,{cap}}}) *")
+    return [(start + m.start(1), start + m.end(1), m[1].strip(), True) for m in lots.finditer(body) if m[1].strip()]
+
+
+def sentences(text: str, cap: int) -> list[tuple[int, int, str, bool]]:
+    """``(start, end, text, table_like)`` of the sentences of a text."""
     marks = [m.end(1) for m in SENTENCE_END.finditer(text)]
-    out = []
-    for start, end in zip([0, *(e + 1 for e in marks)], [*marks, len(text)]):
-        body = text[start:end].strip()
-        if len(body) > cap:
-            out += [(start + m.start(1), start + m.end(1), m[1].strip(), True) for m in lots.finditer(body) if m[1].strip()]
-        elif body:
-            out.append((start, end, body, False))
-    return out
+    places = zip([0, *(e + 1 for e in marks)], [*marks, len(text)])
+    return [part for start, end in places for part in sentence_parts(start, end, text[start:end], cap)]
 
 
 def split_sentences(docs: DataFrame, cap: int = 1000) -> DataFrame:
@@ -195,29 +197,50 @@ def semantic_breaks(vectors: DataFrame, threshold: float = 0.15, by: str = "pape
     return v.join(following, [by, "__n"]).withColumn("similarity", cos).where(F.col("similarity") < threshold).select(by, pos, "similarity")
 
 
+def next_ends(before: np.ndarray, kind: np.ndarray, breaks: np.ndarray, least: int, most: int) -> np.ndarray:
+    """For every sentence the end of a chunk that starts there: at a break once ``least`` is reached, before ``most``
+    overflows, and always between table-like text and prose. ``before`` counts the characters before each sentence and at the end."""
+    n = len(kind)
+    first = np.arange(n)
+    kind_ends = np.append(np.flatnonzero(kind[1:] != kind[:-1]) + 1, n)
+    break_ends = np.append(np.flatnonzero(breaks) + 1, n)
+    enough = np.maximum(np.searchsorted(before, before[:n] + least), first + 1)  # the first end with ``least`` characters
+    full = np.searchsorted(before, before[:n] + most)  # the first end with ``most``
+    # the last sentence stays out if it would overflow a chunk that is long enough without it
+    over = (full <= n) & (before[np.minimum(full, n)] > before[:n] + most) & (full - 1 >= enough)
+    turn = break_ends[np.minimum(np.searchsorted(break_ends, enough), len(break_ends) - 1)]
+    return np.minimum.reduce([np.full(n, n), full - over, kind_ends[np.searchsorted(kind_ends, first, side="right")], turn])
+
+
+def joins_before(before: np.ndarray, kind: np.ndarray, ends: np.ndarray, least: int) -> np.ndarray:
+    """Sentences from which a short rest goes to the end of the text; it joins the chunk before it, if of its kind."""
+    n = len(kind)
+    same = np.append(False, kind[:-1] == kind[-1])
+    return np.append(same & (ends == n) & (before[n] - before[:n] < least), False)
+
+
 def group_sentences(parts: list, breaks: np.ndarray, least: int, most: int) -> list[tuple[int, int, str]]:
-    """Sentences to chunks: closed at a break once ``least`` is reached, before ``most`` overflows,
-    and always between table-like text and prose; a short rest joins the chunk before it."""
-    n = len(parts)
-    if not n:
+    """Sentences to chunks by ``next_ends``; a short rest joins the chunk before it."""
+    if not parts:
         return []
     kind = np.array([p[3] for p in parts])
-    before = np.concatenate([[0], np.cumsum([len(p[2]) + 1 for p in parts])])  # characters before each sentence
-    kind_ends = np.append(np.flatnonzero(kind[1:] != kind[:-1]) + 1, n)
-    break_ends = np.flatnonzero(breaks) + 1
-    ends, first = [], 0
-    while first < n:
-        enough = np.searchsorted(before, before[first] + least)  # the first end with ``least`` characters
-        full = np.searchsorted(before, before[first] + most)  # the first end with ``most``
-        if full <= n and before[full] > before[first] + most and full - 1 >= max(enough, first + 1):
-            full -= 1  # the last sentence would overflow a chunk that is long enough without it
-        turn = np.searchsorted(break_ends, max(enough, first + 1))
-        candidates = [n, full, kind_ends[np.searchsorted(kind_ends, first, side="right")], *break_ends[turn : turn + 1]]
-        first = int(min(candidates))
-        ends.append(first)
-    if len(ends) > 1 and before[n] - before[ends[-2]] < least and kind[ends[-2] - 1] == kind[n - 1]:
-        del ends[-2]
-    return [(parts[a][0], parts[b - 1][1], " ".join(p[2] for p in parts[a:b]).strip()) for a, b in zip([0, *ends], ends)]
+    before = np.concatenate([[0], np.cumsum([len(p[2]) + 1 for p in parts])])
+    following = next_ends(before, kind, breaks, least, most)
+    short = joins_before(before, kind, following, least)
+    out, first = [], 0
+    while first < len(parts):
+        end = following[first]
+        end = len(parts) if short[end] else int(end)
+        out.append((parts[first][0], parts[end - 1][1], " ".join(p[2] for p in parts[first:end]).strip()))
+        first = end
+    return out
+
+
+def similar_neighbours(encode, texts: list[str], threshold: float) -> np.ndarray:
+    """Whether each text but the last is followed by one of another meaning."""
+    m = np.asarray(encode(texts), dtype=np.float64).reshape(len(texts), -1)
+    m = m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-8)
+    return (m[:-1] * m[1:]).sum(axis=1) < threshold
 
 
 def chunk_semantic(
@@ -234,9 +257,7 @@ def chunk_semantic(
                 if not text or len(text) < least:
                     continue
                 parts = sentences(text, most)
-                m = np.asarray(encode([p[2] for p in parts]), dtype=np.float64).reshape(len(parts), -1)
-                m = m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-8)
-                breaks = (m[:-1] * m[1:]).sum(axis=1) < threshold
+                breaks = similar_neighbours(encode, [p[2] for p in parts], threshold)
                 rows += [(pid, i, *g) for i, g in enumerate(group_sentences(parts, breaks, least, most))]
             yield pd.DataFrame(rows, columns=["paper_id", "chunk_index", "char_start", "char_end", "text"])
 
@@ -244,16 +265,146 @@ def chunk_semantic(
     return chunks.withColumn("chunk_id", chunk_id("paper_id", "chunk_index"))
 
 
-def chunk_semantic_pages(pages: DataFrame, encoder, threshold: float = 0.15, least: int = 300, most: int = 1000) -> DataFrame:
+PART = "paper_id string, char_start bigint, char_end bigint, text string, table_like boolean"
+
+
+def page_sentences(pages: DataFrame, cap: int, least: int = 0) -> DataFrame:
+    """Sentences of documents given by pages (numbers unique in a document), as of the pages joined by blank lines.
+
+    Where sentences end is seen in the page alone. What stands before a page's first end and behind its
+    last one meets the neighbouring pages' rows under the number of the sentence, the count of ends
+    before it; so a task holds a page or a sentence, never a document. Pages without text or document are left
+    out, and documents of fewer than ``least`` characters.
+    """
+    pages = pages.where("paper_id IS NOT NULL AND text IS NOT NULL")
+    lengths = pages.groupBy("paper_id").agg((F.sum(F.length("text") + 2) - 2).alias("n_chars")).where(F.col("n_chars") >= max(least, 1))
+
+    def cut(batches):
+        for pdf in batches:
+            rows = []
+            for pid, number, text, at, n_chars in zip(*(pdf[c] for c in ("paper_id", "page_number", "text", "char_start", "n_chars"))):
+                text += "\n\n"
+                marks = [m.end(1) for m in SENTENCE_END.finditer(text)]
+                for i, (a, b) in enumerate(zip([0, *(e + 1 for e in marks)], [*marks, len(text)])):
+                    rows.append((pid, number, i, len(marks), at + a, min(at + b, n_chars), text[a:b]))
+            yield pd.DataFrame(rows, columns=["paper_id", "page_number", "piece", "n_ends", "char_start", "char_end", "text"])
+
+    def parts(batches):
+        for pdf in batches:
+            rows = [(pid, *part) for pid, a, b, raw in zip(*(pdf[c] for c in ("paper_id", "char_start", "char_end", "text"))) for part in sentence_parts(a, b, raw, cap)]
+            yield pd.DataFrame(rows, columns=["paper_id", "char_start", "char_end", "text", "table_like"])
+
+    placed = page_offsets(pages).drop("char_end").join(lengths, "paper_id")
+    schema = "paper_id string, page_number bigint, piece bigint, n_ends bigint, char_start bigint, char_end bigint, text string"
+    pieces = cut_lineage(placed.mapInPandas(cut, schema))
+    at_edge = (F.col("piece") == 0) | (F.col("piece") == F.col("n_ends"))
+    counted = running_total(pieces.where("piece = 0").select("paper_id", "page_number", "n_ends"), ["paper_id"], "page_number", F.col("n_ends"), "ends_before")
+    edges = pieces.where(at_edge).join(counted.drop("n_ends"), ["paper_id", "page_number"]).withColumn("number", F.col("ends_before") + F.col("piece"))
+    joined = edges.groupBy("paper_id", "number").agg(
+        F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end"), F.sort_array(F.collect_list(F.struct("page_number", "text"))).alias("pieces")
+    )
+    columns = ["paper_id", "char_start", "char_end", "text"]
+    joined = joined.withColumn("text", F.array_join(F.transform("pieces", lambda p: p["text"]), "")).select(*columns)
+    return pieces.where(~at_edge).select(*columns).union(joined).mapInPandas(parts, PART)
+
+
+def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of rows sorted by ``keys``, one at a time."""
+    held, own = [], None
+    for pdf in batches:
+        for key, part in pdf.groupby(keys, sort=False):
+            if held and key != own:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(part)
+            own = key
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def chunk_semantic_pages(
+    pages: DataFrame, encoder, threshold: float = 0.15, least: int = 300, most: int = 1000, block: int = 1_000_000,
+) -> DataFrame:
     """Semantic chunks of documents given by pages, with the page each chunk starts on.
 
-    Unlike windows, semantic chunks need the whole document in one task; documents are put together
-    from their pages first.
+    The rows of ``chunk_semantic`` over the joined pages, with a document cut into ranges of ``block`` characters of its sentences:
+
+    * where a chunk that starts at a sentence ends depends on a bounded stretch behind it, so each range, with
+      that stretch of the next one, gives the end of every possible chunk; neighbours are encoded there;
+    * a chunk that runs over the end of a range ends within that stretch. For each sentence near its beginning a range tells where
+      chunks begun there leave it, and how many they are; a document's ranges are then followed by these few numbers alone;
+    * each range writes the chunks that start in it.
+
+    No task holds more than a range (or one page, or one sentence). Any ``block`` gives the same rows.
     """
+    reach = 3 * (most + 1) + least  # two chunks' ends, and whether a short rest follows
+    block = max(block, reach)
     placed = pages.select(F.col("paper_id").cast("string"), "page_number", "text")
-    ordered = F.sort_array(F.collect_list(F.struct("page_number", "text")))
-    docs = placed.groupBy("paper_id").agg(F.array_join(F.transform(ordered, lambda p: p["text"]), "\n\n").alias("text"))
-    return assign_pages(chunk_semantic(docs, encoder, threshold, least, most), page_offsets(placed))
+    parts = cut_lineage(page_sentences(placed, most, least))
+    width = F.length("text") + 1
+    totals = parts.groupBy("paper_id").agg(F.sum(width).alias("total"))
+    parts = running_total(parts, ["paper_id"], "char_start", width, "before", 1 << 16).join(totals, "paper_id")
+    home = F.floor(F.col("before") / block)
+    ranges = F.when((home > 0) & (F.col("before") - home * block < reach), F.array(home, home - 1)).otherwise(F.array(home))
+    parts = parts.withColumn("home", home).withColumn("range", F.explode(ranges))
+    keys = ["paper_id", "range"]
+
+    def look(batches):
+        encode = encoder()
+        for g in _grouped(batches, keys):
+            texts, kind = g["text"].tolist(), g["table_like"].to_numpy(dtype=bool)
+            before = np.append(g["before"].to_numpy(), g["before"].iloc[-1] + len(texts[-1]) + 1)
+            n, own = len(texts), int((g["home"] == g["range"]).sum())
+            ends = next_ends(before, kind, similar_neighbours(encode, texts, threshold), least, most)
+            if before[n] == g["total"].iloc[0]:
+                ends = np.where(joins_before(before, kind, ends, least)[ends], n, ends)
+            out, count = np.zeros(own, dtype=np.int64), np.ones(own, dtype=np.int64)
+            for i in range(own - 1, -1, -1):
+                if ends[i] < own:
+                    out[i], count[i] = out[ends[i]], count[ends[i]] + 1
+                else:
+                    out[i] = before[ends[i]]
+            start = g["range"].iloc[0] * block
+            near = int(np.searchsorted(before[:own], start + reach)) if start else 1
+            told = [[before[:near].tolist(), out[:near].tolist(), count[:near].tolist()]] + [[None] * 3] * (n - 1)
+            g = g.assign(chunk_end=before[ends], starts=[t[0] for t in told], leaves=[t[1] for t in told], counts=[t[2] for t in told])
+            yield g[[*keys, "before", "char_start", "char_end", "text", "chunk_end", "starts", "leaves", "counts"]]
+
+    def follow(batches):
+        pid, entry, index = None, 0, 0
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples(index=False):
+                if r.paper_id != pid:
+                    pid, entry, index = r.paper_id, 0, 0
+                at = bisect.bisect_left(r.starts, entry)
+                if at < len(r.starts) and r.starts[at] == entry:
+                    rows.append((pid, r.range, entry, index))
+                    entry, index = r.leaves[at], index + r.counts[at]
+            yield pd.DataFrame(rows, columns=[*keys, "entry", "first_index"])
+
+    def write(batches):
+        for g in _grouped(batches, keys):
+            texts, chunk_end = g["text"].tolist(), g["chunk_end"].to_numpy()
+            before = np.append(g["before"].to_numpy(), g["before"].iloc[-1] + len(texts[-1]) + 1)
+            stop = (g["range"].iloc[0] + 1) * block
+            a, index, rows = int(np.searchsorted(before, g["entry"].iloc[0])), int(g["first_index"].iloc[0]), []
+            while a < len(texts) and before[a] < stop:
+                b = int(np.searchsorted(before, chunk_end[a]))
+                rows.append((g["paper_id"].iloc[0], index, g["char_start"].iloc[a], g["char_end"].iloc[b - 1], " ".join(texts[a:b]).strip()))
+                a, index = b, index + 1
+            yield pd.DataFrame(rows, columns=["paper_id", "chunk_index", "char_start", "char_end", "text"])
+
+    lists = "starts array<bigint>, leaves array<bigint>, counts array<bigint>"
+    looked = parts.repartition(*keys).sortWithinPartitions(*keys, "before").mapInPandas(
+        look, f"paper_id string, range bigint, before bigint, char_start bigint, char_end bigint, text string, chunk_end bigint, {lists}"
+    )
+    looked = cut_lineage(looked)
+    told = looked.where("starts IS NOT NULL").select(*keys, "starts", "leaves", "counts")
+    entries = told.repartition("paper_id").sortWithinPartitions(*keys).mapInPandas(follow, "paper_id string, range bigint, entry bigint, first_index bigint")
+    entered = looked.drop("starts", "leaves", "counts").join(cut_lineage(entries), keys)
+    chunks = entered.repartition(*keys).sortWithinPartitions(*keys, "before").mapInPandas(write, CHUNK)
+    return assign_pages(chunks.withColumn("chunk_id", chunk_id("paper_id", "chunk_index")), page_offsets(placed))
 
 
 # ---- user-supplied functions ---------------------------------------------------------------------

@@ -496,6 +496,28 @@ def test_semantic_chunks_of_pages_name_their_page(spark):
     assert len({r["page_number"] for r in rows}) > 4
 
 
+@pytest.mark.parametrize("least, most, block", [(20, 60, 1), (20, 60, 700), (5, 30, 1), (100, 250, 1_000_000)])
+def test_semantic_chunks_of_pages_are_those_of_the_joined_text(spark, least, most, block):
+    rng = random.Random(least + block)
+    words = ["sea", "fish", "net", "etal", "e.g", "vs", "growth", "A.", "B!", "?", "x" * 45, "end.", "end.", "end.", "  ", "\n"]
+    pages = []
+    for d in range(12):
+        dense = rng.choice([0.02, 0.3, 1.0])  # some documents have hardly any end of a sentence
+        for i in range(rng.choice([1, 2, 9, 40])):
+            chosen = [w for w in rng.choices(words, k=rng.choice([0, 1, 5, 60])) if "." not in w or rng.random() < dense]
+            pages.append((f"d{d}", 3 * i + 1, " ".join(chosen) or rng.choice(["", " ", "."])))
+    pages += [("short", 1, "sea"), ("none", 1, None)]
+    df = spark.createDataFrame(pages, "paper_id string, page_number bigint, text string").repartition(4)
+    texts = {}
+    for d, _, text in pages:
+        texts.setdefault(d, []).extend([] if text is None else [text])
+    whole = spark.createDataFrame([(d, "\n\n".join(t)) for d, t in texts.items()], "paper_id string, text string")
+    columns = ["paper_id", "chunk_index", "chunk_id", "char_start", "char_end", "text"]
+    want = C.chunk_semantic(whole, C.hashing_encoder(16), 0.3, least, most).select(*columns).collect()
+    got = C.chunk_semantic_pages(df, C.hashing_encoder(16), 0.3, least, most, block).select(*columns).collect()
+    assert sorted(got) == sorted(want) and len(want) > 50
+
+
 def test_semantic_groups_keep_tables_apart():
     parts = [(0, 10, "a" * 120, False), (11, 20, "1" * 50, True), (21, 30, "b" * 120, False), (31, 40, "c" * 10, False)]
     groups = C.group_sentences(parts, np.array([False, False, False]), 100, 300)
