@@ -13,19 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from scholia.operators.chunking import chunk_sliding
-from scholia.operators.graph import Graph, build_graph, update_graph
 from scholia.operators.pages import clean_pages
 from scholia.operators.skew import first_by, running_total
 from scholia.operators.stats import is_complete
 from scholia.session import cut_lineage
-from scholia.sources.tables import read_graph, write_graph
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in ``path``, wherever Spark keeps it."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [f.getPath().getName() for f in store.listStatus(hadoop)] if store.exists(hadoop) else []
+from scholia.sources.graph_log import append_graph, compact_graph, folders
 
 
 def _batch_name(spark: SparkSession, epoch: int) -> str:
@@ -51,7 +43,7 @@ def ingest_stream(
     def step(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         own = _batch_name(session, epoch)
-        done = [f"{sink}/done/{name}" for name in _folders(session, f"{sink}/done") if name not in (f"batch={own}",) and name.startswith("batch=")]
+        done = [f"{sink}/done/{name}" for name in folders(session, f"{sink}/done") if name not in (f"batch={own}",) and name.startswith("batch=")]
         fresh = batch.join(session.read.parquet(*done), "paper_id", "left_anti") if done else batch
         fresh = cut_lineage(first_by(fresh, ["paper_id"], [F.xxhash64("text")]))
         work(fresh).write.mode("overwrite").parquet(f"{sink}/chunks/batch={own}")
@@ -64,37 +56,23 @@ def ingest_stream(
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def graph_stream(spark: SparkSession, source: str, schema, path: str, checkpoint: str) -> StreamingQuery:
-    """Merge extraction answers into a stored graph; each batch writes the next version and its owner.
+def graph_stream(spark: SparkSession, source: str, schema, path: str, checkpoint: str, fanout: int | None = 8) -> StreamingQuery:
+    """Merge extraction answers into a stored graph; each batch adds a version that holds only what is new.
 
-    A batch that runs again finds itself the owner of the last version and writes that one anew from the
-    version before; a query without its old checkpoint goes on from the last version.
+    A batch that runs again after its version was whole writes nothing; a query without its old checkpoint goes on
+    from the last version. Every ``fanout`` versions are merged into one piece, and so on; None leaves that to ``compact_graph``.
     """
 
     def step(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        own, last = _batch_name(session, epoch), last_version(session, path)
-        if last is not None and session.read.parquet(f"{path}/version={last}/owner").first()["owner"] == own:
-            last = last - 1 if last else None
-        graph = build_graph(batch) if last is None else update_graph(read_graph(session, f"{path}/version={last}"), batch)
-        target = f"{path}/version={0 if last is None else last + 1}"
-        write_graph(graph, target)
-        session.createDataFrame([(own,)], "owner string").write.mode("overwrite").parquet(f"{target}/owner")
+        append_graph(session, path, batch, _batch_name(session, epoch))
+        if fanout:
+            compact_graph(session, path, fanout)
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def last_version(spark: SparkSession, path: str) -> int | None:
-    """The last version that is complete: its owner is written after its tables."""
-    whole = [n for n in _folders(spark, path) if n.startswith("version=") and "_SUCCESS" in _folders(spark, f"{path}/{n}/owner")]
-    return max((int(n.partition("=")[2]) for n in whole), default=None)
-
-
-def latest_graph(spark: SparkSession, path: str, version: int | None = None) -> Graph:
-    return read_graph(spark, f"{path}/version={last_version(spark, path) if version is None else version}")
-
-
 def ready_to_index(documents: DataFrame, progress: DataFrame, least: int = 1000) -> DataFrame:
     """Start building when enough documents are there or every download is complete."""
     n = documents.agg(F.count("*")).scalar()

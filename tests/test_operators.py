@@ -1,5 +1,6 @@
 """Operators on small literal tables, against brute force where SQL cannot say it."""
 
+import json
 import random
 import types
 
@@ -13,7 +14,7 @@ from scholia.operators import articles as A, chunking as C, graph as G, hybrid a
 from scholia.operators.bm25 import bm25_index, bm25_search
 from scholia.operators import vector as V2
 from scholia.operators.vector import vector_search
-from scholia.session import work_path
+from scholia.session import cut_lineage, work_path
 from scholia.sources.tables import read_balls, read_graph, read_index, read_postings, write_balls, write_graph, write_index, write_postings
 
 
@@ -721,22 +722,69 @@ def test_ingest_stream_equals_batch(spark):
     assert sorted(map(tuple, streamed.select(cols).collect())) == sorted(map(tuple, batch.collect()))
 
 
+def same_graph(one, other):
+    for name, table in one.tables().items():
+        columns = [c for c in table.columns if c != "place"]
+        assert sorted(map(repr, other.tables()[name].select(*columns).collect())) == sorted(map(repr, table.select(*columns).collect())), name
+    order = lambda g: [(r["entity_id"], r["alias"]) for r in g.aliases.orderBy("entity_id", "place").collect()]
+    assert order(one) == order(other)
+
+
 def test_graph_stream_versions(spark):
     from scholia.session import work_path
-    from scholia.streaming.ingest import graph_stream, latest_graph
+    from scholia.sources.graph_log import read_graph_log
+    from scholia.streaming.ingest import graph_stream
 
     source, target, checkpoint = (work_path(spark, n) for n in ("answers", "graph", "offsets"))
     schema = "chunk_id string, paper_id string, ord bigint, raw string"
     for i in range(2):
         extractions(spark, *([ANSWER] * (i + 1))).write.mode("append").parquet(source)
         graph_stream(spark, source, schema, target, checkpoint).awaitTermination()
-    g = latest_graph(spark, target, 1)
+    g = read_graph_log(spark, target, 1)
     assert g.processed.count() == 2 and g.entities.count() == 2
-    # A lost checkpoint: everything arrives again, goes on from the last version, and changes nothing.
+    # A lost checkpoint: everything arrives again, goes on from the last version, and adds nothing.
     graph_stream(spark, source, schema, target, checkpoint + "-new").awaitTermination()
-    again = latest_graph(spark, target)
-    for name, table in g.tables().items():
-        assert sorted(map(tuple, again.tables()[name].collect())) == sorted(map(tuple, table.collect())), name
+    same_graph(read_graph_log(spark, target), g)
+
+
+def test_graph_log_is_the_graph_of_all_batches(spark):
+    from scholia.session import work_path
+    from scholia.sources import graph_log as L
+
+    def answer(i):
+        alias, depth = f"a{i % 3}", str(i)
+        entities = [{"name": n, "type": "Species", "aliases": [alias, f"z{i}"], "properties": {"depth": depth}} for n in ("Cod", f"Fish {i % 2}")]
+        relations = [{"subject": "Cod", "relation": "found_in", "object": f"Fish {i % 2}", "confidence": i / 10, "context": f"c{i}"}]
+        return json.dumps({"entities": entities, "relations": relations})
+
+    path, rows = work_path(spark, "graph-log"), [(f"c{i}", f"p{i % 2}", i, answer(i)) for i in range(7)]
+    frame = lambda some: spark.createDataFrame(some, "chunk_id string, paper_id string, ord bigint, raw string")
+    want = None
+    for i in range(5):
+        batch = frame(rows[max(0, i - 1): i + 2])  # repeats chunks of the batches before
+        want = G.build_graph(batch) if want is None else G.update_graph(want, batch)
+        want = G.Graph(**{k: cut_lineage(v) for k, v in want.tables().items()})
+        if i == 3:  # what a lost batch left behind
+            frame(rows).write.parquet(f"{path}/version=3/entities")
+        assert L.append_graph(spark, path, batch, f"b{i}") == i
+        assert L.append_graph(spark, path, batch, f"b{i}") == i  # runs again
+    assert want.entities.count() == 3 and want.relations.count() == 2
+    same_graph(L.read_graph_log(spark, path), want)
+    # A version holds its own chunks only.
+    own = [spark.read.parquet(f"{path}/version={v}/processed").count() for v in range(5)]
+    assert own == [2, 1, 1, 1, 1] and spark.read.parquet(f"{path}/version=4/mentions").count() == 2
+    assert L.compact_graph(spark, path, 5) == [(0, 4)] and L.compact_graph(spark, path, 5) == []
+    same_graph(L.read_graph_log(spark, path), want)
+    assert L.cover(L.pieces(spark, path), 4) == [(0, 4)] and L.read_graph_log(spark, path, 1).processed.count() == 3
+    assert L.append_graph(spark, path, frame(rows), "rest") == 5 and spark.read.parquet(f"{path}/version=5/processed").count() == 1
+    same_graph(L.read_graph_log(spark, path), G.update_graph(want, frame(rows)))
+
+
+def test_graph_pieces_merge_by_size():
+    from scholia.sources.graph_log import cover
+
+    found = [(i, i) for i in range(9)] + [(0, 1), (2, 3), (0, 3), (4, 5), (6, 7), (4, 7), (0, 7)]
+    assert cover(found, 8) == [(0, 7), (8, 8)] and cover(found, 6) == [(0, 3), (4, 5), (6, 6)] and cover(found, 0) == [(0, 0)]
 
 
 def test_ingest_survives_a_lost_checkpoint(spark):
