@@ -67,11 +67,15 @@ def filter_ecosystem(params: DataFrame, ecosystem: str, by: list[str] | None = N
     return params.withColumn("__m", match).join(flags, by).where(F.col("__m") | ~F.col("__any")).drop("__m", "__any")
 
 
+def sample_order() -> list[Column]:
+    """The largest sample first, records without any in their order behind."""
+    return [F.coalesce(-F.col("n_samples").cast("double"), F.lit(float("inf"))), F.col("src_rank"), F.col("pos")]
+
+
 def best_parameter(params: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Largest sample per (species, parameter); without any sample size the first record."""
     by = by or ["SpecCode", "parameter"]
-    negative = F.coalesce(-F.col("n_samples").cast("double"), F.lit(float("inf")))
-    return first_by(params, by, [negative, F.col("src_rank"), F.col("pos")])
+    return first_by(params, by, sample_order())
 
 
 def parameter_summary(params: DataFrame, required: list[str] = fixed.REQUIRED_PARAMETERS, by: str = "SpecCode", species: DataFrame | None = None) -> DataFrame:
@@ -79,15 +83,15 @@ def parameter_summary(params: DataFrame, required: list[str] = fixed.REQUIRED_PA
 
     ``species`` names them all, with those that have no fact; without it only species with facts are known.
     """
-    best = best_parameter(params, [by, "parameter"])
-    wide = best.groupBy(by).pivot("parameter", list(required)).agg(
-        F.first("value").alias("value"), F.first("unit").alias("unit"), F.first("source_db").alias("source"), F.first("confidence").alias("confidence")
-    )
+    record = F.struct("value", "unit", F.col("source_db").alias("source"), "confidence")
+    best = [F.min_by(record, F.when(F.col("parameter") == p, F.struct(*sample_order()))).alias(p) for p in required]
+    wide = params.where(F.col("parameter").isin(*required)).groupBy(by).agg(*best)  # one row a species leaves each task
     if species is not None:
         wide = species.select(by).distinct().join(wide, by, "left")
     cols = [F.col(by)]
     for p in required:
-        cols += [F.col(f"{p}_value").alias(p), F.col(f"{p}_unit"), F.col(f"{p}_source"), F.coalesce(F.col(f"{p}_confidence"), F.lit(fixed.NO_DATA)).alias(f"{p}_confidence")]
+        told = [F.col(f"{p}.{c}").alias(f"{p}_{c}") for c in ("unit", "source")]
+        cols += [F.col(f"{p}.value").alias(p), *told, F.coalesce(f"{p}.confidence", F.lit(fixed.NO_DATA)).alias(f"{p}_confidence")]
     return wide.select(*cols)
 
 

@@ -46,22 +46,21 @@ def summary_sql() -> str:
             f"CASE WHEN count(*) {has} > 0 THEN 'fishbase' END AS \"{p}_source\"",
             f"CASE WHEN count(*) {has} > 0 THEN 'curated' ELSE 'sin datos' END AS \"{p}_confidence\"",
         ]
-    return f"SELECT SpecCode, {', '.join(cols)} FROM (SELECT SpecCode FROM spec_names) LEFT JOIN (SELECT * FROM ({BEST}) WHERE n_samples >= 48) USING (SpecCode) GROUP BY SpecCode"
+    return f"SELECT SpecCode, {', '.join(cols)} FROM (SELECT SpecCode FROM spec_names) LEFT JOIN ({BEST}) USING (SpecCode) GROUP BY SpecCode"
 
 
 @query("r14_parameter_summary", sql("spec_names parameters", summary_sql()))
 def r14(t: Tables) -> DataFrame:
-    """Of the larger studies, so that some species have nothing."""
-    return rounded(P.parameter_summary(P.best_parameter(facts(t)).where("n_samples >= 48"), species=fx.spec_names(t)))
+    return rounded(P.parameter_summary(facts(t), species=fx.spec_names(t)))
 
 
 @query("a23_parameter_gaps", sql("spec_names parameters", """
 SELECT SpecCode, array_to_string(list_sort(ps), ';') AS available,
   array_to_string(list_filter(['K', 'Linf', 't0', 'a', 'b', 'TrophicLevel', 'Lmat', 'Amat', 'QB'], lambda p: NOT list_contains(ps, p)), ';') AS missing
-FROM (SELECT SpecCode, coalesce(ps, []) AS ps FROM spec_names LEFT JOIN (SELECT SpecCode, list_distinct(list(parameter)) AS ps FROM parameters WHERE n_samples >= 48 GROUP BY SpecCode) USING (SpecCode))"""))
+FROM (SELECT SpecCode, coalesce(ps, []) AS ps FROM spec_names LEFT JOIN (SELECT SpecCode, list_distinct(list(parameter)) AS ps FROM parameters GROUP BY SpecCode) USING (SpecCode))"""))
 def a23(t: Tables) -> DataFrame:
-    big = facts(t).where(F.col("n_samples") >= 48).withColumnRenamed("SpecCode", "species")
-    return S.parameter_gaps(big, species=fx.spec_names(t).select(F.col("SpecCode").alias("species"))).select(F.col("species").alias("SpecCode"), F.array_join("available", ";").alias("available"), F.array_join("missing", ";").alias("missing"))
+    known = facts(t).withColumnRenamed("SpecCode", "species")
+    return S.parameter_gaps(known, species=fx.spec_names(t).select(F.col("SpecCode").alias("species"))).select(F.col("species").alias("SpecCode"), F.array_join("available", ";").alias("available"), F.array_join("missing", ";").alias("missing"))
 
 
 RESOLVED = """

@@ -129,12 +129,12 @@ def a17(t: Tables) -> DataFrame:
 
 @query("a18_species_counts", sql("species_base articles", """
 SELECT species, coalesce(a, 0) AS articles, coalesce(f, 0) AS files, coalesce(f, 0) > 0 AS with_files FROM (SELECT DISTINCT species FROM species_base)
-LEFT JOIN (SELECT species, count(*) AS a FROM articles WHERE source <> 'PLOS' GROUP BY species) USING (species)
+LEFT JOIN (SELECT species, count(*) AS a FROM articles GROUP BY species) USING (species)
 LEFT JOIN (SELECT species, count(*) AS f FROM articles JOIN labels ON doc_id = pos WHERE quality = 1 GROUP BY species) USING (species)"""))
 def a18(t: Tables) -> DataFrame:
     a = fx.articles(t)
     files = a.join(t.labels.where("quality = 1"), F.col("pos") == F.col("doc_id"))
-    return S.species_counts(fx.species_base(t), a.where(F.col("source") != "PLOS"), files)
+    return S.species_counts(fx.species_base(t), a, files)
 
 
 @query("a19_status_summary", sql("statuses", """
