@@ -45,6 +45,7 @@ class Settings:
     """``negatives``: paragraphs of the corpus (chosen by a hash) that the model learns as no licence, at most."""
 
     negatives: int = 4_000
+    longest: int = 5_000  # words of a negative, so that the sample is bounded in size too
     variants: int = 40  # versions of each template with words left out or exchanged
     steps: int = 400
     rate: float = 0.5
@@ -187,7 +188,8 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def negative_words(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> list[list[str]]:
     """Words of a bounded sample of paragraphs that name no licence, the same in every run.
 
-    One paragraph of each of the first documents in the order of a hash.
+    One paragraph of each of the first documents in the order of a hash, whole; of one longer than ``longest`` words
+    a stretch of that many from a hashed place.
     """
     d = id_and_text(docs, id_col, text_col).withColumn("t", F.xxhash64("text"))
     keys = d.select(F.col("doc_id").alias("k_id"), F.col("t").alias("k_t")).distinct()
@@ -195,8 +197,9 @@ def negative_words(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_co
     one = d.join(F.broadcast(keys), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("t") == F.col("k_t")))
     lines = F.filter(F.split("text", "\n"), lambda p: ~p.rlike("(?i)licen[sc]|copyright|permission|redistribut") & (F.trim(p) != ""))
     picked = one.select("doc_id", "t", F.get(lines, F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("p")).where("p is not null")
-    # At most the first 60 words of each: a licence statement isn't longer.
-    words = picked.select("doc_id", "t", F.slice(words_of(F.col("p")), 1, 60).alias("w")).distinct()
+    picked = picked.withColumn("w", words_of(F.col("p")))
+    spare = F.greatest(F.size("w") - s.longest, F.lit(0)) + 1
+    words = picked.select("doc_id", "t", F.slice("w", 1 + F.pmod(F.xxhash64("t"), spare).cast("int"), s.longest).alias("w")).distinct()
     return [r.w for r in words.orderBy(F.xxhash64("doc_id", F.lit(s.seed)), "doc_id", "t").collect()]
 
 
