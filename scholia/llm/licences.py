@@ -39,18 +39,58 @@ TEMPLATES = {
     "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."],
 }
 
+# Short identifiers in file headers.
+SHORT = {
+    "agpl": "AGPL-3.0", "apache": "Apache-2.0", "bsd": "BSD-3-Clause", "cc-by": "CC-BY-4.0", "cc-by-nc": "CC-BY-NC-4.0",
+    "cc-by-sa": "CC-BY-SA-4.0", "gpl": "GPL-2.0", "lgpl": "LGPL-2.1", "mit": "MIT", "mpl": "MPL-2.0",
+}
+for _family, _short in SHORT.items():
+    TEMPLATES[_family].append(f"SPDX-License-Identifier: {_short}")
+
+# Statements of licences that are none of the families; they teach what any statement reads like.
+OTHERS = [
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice appears in all copies.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "This is free and unencumbered software released into the public domain.",
+    "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability and fitness for a particular purpose.",
+    "Licensed under the Academic Free License version 3.0.",
+    "This file is released under the terms of the Microsoft Public License.",
+    "SPDX-License-Identifier: ISC",
+]
+
+# Prose with the words of licences that grants nothing.
+PROSE = [
+    "She renewed her driving licence and paid the fee at the public office.",
+    "The council may not grant permission to build without the terms being met.",
+    "He asked for permission to use the library and was refused without a reason.",
+    "Free software has changed how a person works with source files and documentation.",
+    "The copyright of the photograph was sold to a publisher, and the dispute went to court.",
+    "A new version of the program is released every year under the general manager.",
+    "The licensed restaurant serves the public from noon, subject to the following conditions.",
+    "You can use the following forms to modify the work, but not without the source file.",
+    "The redistribution of wealth was the subject of the public debate.",
+    "They obtained a fishing licence, version two of the form, under the law of the state.",
+    "Which licence should I choose for my project, and does it matter to the people who use it?",
+    "The program was provided free of charge to any person who attended the course.",
+]
+
 
 @dataclass(frozen=True)
 class Settings:
-    """``negatives``: paragraphs of the corpus (chosen by a hash) that the model learns as no licence, at most."""
+    """``negatives``: paragraphs of the corpus (chosen by a hash) that the model learns as no licence, at most; ``hard``:
+    of those that speak of licences, at most."""
 
     negatives: int = 4_000
+    hard: int = 500
     longest: int = 5_000  # words of a negative, so that the sample is bounded in size too
     variants: int = 40  # versions of each template with words left out or exchanged
     steps: int = 400
     rate: float = 0.5
     l1: float = 0.0006
-    sure: float = 0.9  # part of the held-out statements that the family threshold must accept
+    sure: float = 0.9  # part of the held-out statements that a threshold must accept
+    foreign: float = 0.95  # part of the statements of a left-out family that a family threshold is to refuse
+    few: float = 0.25  # part of any template's n-grams that a paragraph speaking of licences has less of, to be a negative
     alike: float = 0.5  # part of a template's n-grams that confirms a prediction
     seed: int = 5
 
@@ -80,71 +120,129 @@ def plain_grams(words: list[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """One sparse weight table a family, its constant, and the probability from which it is believed.
+    """One sparse weight table a family, its constant, and the probability from which it is believed; ``UNKNOWN`` is the
+    class of all statements, whatever their family.
 
-    ``marks`` are words one of which a paragraph must have: of the other words no n-grams together lift any
-    family to one half.
+    ``telling`` n-grams with a weight stand in statements of one family only. A family is believed only if the paragraph has one:
+    wording that families share doesn't tell which it is. ``marks`` are words one of which a paragraph must have: of the other words no n-grams together lift any
+    class to one half.
     """
 
     weights: dict[str, dict[str, float]]
     constant: dict[str, float]
     threshold: dict[str, float]
+    telling: dict[str, set[str]]
     marks: tuple[str, ...] = ()
 
 
-def train(negatives: list[list[str]], s: Settings = Settings()) -> Model:
-    """One-against-rest logistic regression with an L1 penalty by proximal gradient steps.
+UNKNOWN = "unknown"
 
-    Learns from the templates in versions with words left out or exchanged for words of the negatives,
-    and from the negatives (word lists). Every fourth version is held out and sets the threshold of its
-    family: believed are probabilities that ``sure`` of the held-out statements reach, and no held-out
-    statement of another family or negative does. What no family is believed for is unknown.
-    """
-    rng = np.random.default_rng(s.seed)
-    spare = sorted({w for n in negatives[:500] for w in n}) or ["thing"]
-    texts, family, held = [], [], []
-    for name, templates in TEMPLATES.items():
-        for template in templates:
-            words = plain_words(template)
-            for v in range(s.variants):
-                drop = rng.random(len(words)) < (0.0 if v == 0 else 0.08)
-                swap = rng.random(len(words)) < (0.0 if v == 0 else 0.04)
-                kept = [spare[rng.integers(len(spare))] if x else w for w, d, x in zip(words, drop, swap, strict=True) if not d]
-                around = [spare[i] for i in rng.integers(len(spare), size=0 if v % 2 == 0 else int(rng.integers(1, 6)))]
-                texts.append(kept + around)
-                family.append(name)
-                held.append(v % 4 == 3)
-    texts += negatives
-    family += [""] * len(negatives)
-    held += [i % 4 == 3 for i in range(len(negatives))]
-    told = {}
-    for t in texts[: len(texts) - len(negatives)]:
-        for g in plain_grams(t):
-            told[g] = told.get(g, 0) + 1
-    vocab = {g: i for i, g in enumerate(sorted(g for g, n in told.items() if n >= 5))}
-    rows = [[vocab[g] for g in plain_grams(t) if g in vocab] for t in texts]
-    x = np.zeros((len(rows), len(vocab)), np.float32)
-    for r, cols in enumerate(rows):
-        x[r, cols] = 1
-    names, fam, out = list(TEMPLATES), np.array(family), np.array(held)
-    y = np.stack([fam == f for f in names], 1).astype(np.float32)
-    w, b = np.zeros((len(vocab), len(names)), np.float32), np.full(len(names), -2.0, np.float32)
-    xt, yt = x[~out], y[~out]
-    balance = np.where(yt > 0, 0.5 / np.maximum(yt.sum(0), 1), 0.5 / np.maximum((1 - yt).sum(0), 1)).astype(np.float32)
+
+def versions(text: str, s: Settings, spare: list[str], rng: np.random.Generator) -> list[list[str]]:
+    """The words of a statement, then versions with words left out, exchanged or put behind; every second one has none behind."""
+    words, out = plain_words(text), []
+    for v in range(s.variants):
+        drop = rng.random(len(words)) < (0.0 if v == 0 else 0.08)
+        swap = rng.random(len(words)) < (0.0 if v == 0 else 0.04)
+        kept = [spare[rng.integers(len(spare))] if x else w for w, d, x in zip(words, drop, swap, strict=True) if not d]
+        out.append(kept + [spare[i] for i in rng.integers(len(spare), size=0 if v % 2 == 0 else int(rng.integers(1, 6)))])
+    return out
+
+
+def fit(x: np.ndarray, y: np.ndarray, use: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and constants of a class a column by proximal gradient steps; ``use`` tells the rows that a class learns from.
+    Both sides of a class weigh the same."""
+    yes, no = y * use, (1 - y) * use
+    balance = (yes * (0.5 / np.maximum(yes.sum(0), 1)) + no * (0.5 / np.maximum(no.sum(0), 1))).astype(np.float32)
+    w, b = np.zeros((x.shape[1], y.shape[1]), np.float32), np.full(y.shape[1], -2.0, np.float32)
     for _ in range(s.steps):
-        g = (1 / (1 + np.exp(-np.clip(xt @ w + b, -30, 30))) - yt) * balance
-        w -= s.rate * (xt.T @ g)
+        g = (probability(x, w, b) - y) * balance
+        w -= s.rate * (x.T @ g)
         w = np.sign(w) * np.maximum(np.abs(w) - s.rate * s.l1, 0)
         b -= s.rate * g.sum(0)
-    p = 1 / (1 + np.exp(-np.clip(x[out] @ w + b, -30, 30)))
+    return w, b
+
+
+def exclusive(templates: dict[str, list[str]]) -> dict[str, set[str]]:
+    """The n-grams that only one family's statements have."""
+    grams = {f: {g for t in ts for g in plain_grams(plain_words(t))} for f, ts in {**templates, UNKNOWN: OTHERS}.items()}
+    return {f: gs.difference(*[o for g, o in grams.items() if g != f]) for f, gs in grams.items()}
+
+
+def told(x: np.ndarray, w: np.ndarray, vocab: dict[str, int], templates: dict[str, list[str]], names: list[str]) -> np.ndarray:
+    """Whether a row has a telling n-gram of a family; the class of all statements needs none."""
+    own = np.zeros(w.shape, np.float32)
+    for f, grams in exclusive(templates).items():
+        own[[vocab[g] for g in grams if g in vocab], names.index(f)] = 1
+    own[:, names.index(UNKNOWN)] = 0
+    has = x @ (own * (w > 0)) > 0
+    has[:, names.index(UNKNOWN)] = True
+    return has
+
+
+def probability(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
+
+
+def train(negatives: list[list[str]], s: Settings = Settings(), hard: list[list[str]] = (), templates: dict[str, list[str]] = TEMPLATES) -> Model:
+    """One-against-rest logistic regression with an L1 penalty, for each family and for statements of any licence.
+
+    Learns from versions of the templates, of other licences' statements and of prose about licences, and from paragraphs of the corpus:
+    ``negatives`` name no licence; ``hard`` ones speak of licences and may be statements of a licence that is no
+    family, so the class of all statements doesn't learn from them. Every fourth row is held out.
+
+    Thresholds are calibrated on statements that no model has seen. Each family is left out in turn, and what
+    the others' models say of it is what they say of an unknown licence: a family is believed from the probability on that
+    ``foreign`` of the left-out statements and all held-out negatives miss. A statement without a believed
+    family is unknown from the probability on that all held-out negatives miss. No threshold refuses more than
+    ``1 - sure`` of the held-out statements of its own family, or of the left-out statements.
+    """
+    rng = np.random.default_rng(s.seed)
+    spare = sorted({w for n in negatives[:500] for w in n}) or ["thing"]
+    texts: list[list[str]] = []
+    family: list[str] = []
+    for name, statement in [*((f, t) for f, ts in templates.items() for t in ts), *((UNKNOWN, t) for t in OTHERS), *(("", t) for t in PROSE)]:
+        texts += versions(statement, s, spare, rng)
+        family += [name] * s.variants
+    made = len(texts)
+    texts += [*negatives, *hard]
+    family += [""] * len(negatives) + ["hard"] * len(hard)
+    out = np.r_[np.arange(made) % s.variants, np.arange(len(negatives) + len(hard))] % 4 == 3
+    seen: dict[str, int] = {}
+    for t, f in zip(texts[:made], family, strict=False):
+        for g in plain_grams(t) if f else ():
+            seen[g] = seen.get(g, 0) + 1
+    vocab = {g: i for i, g in enumerate(sorted(g for g, n in seen.items() if n >= 5))}
+    x = np.zeros((len(texts), len(vocab)), np.float32)
+    for r, t in enumerate(texts):
+        x[r, [vocab[g] for g in plain_grams(t) if g in vocab]] = 1
+    fam, names = np.array(family), [*templates, UNKNOWN]
+    statement = ~np.isin(fam, ["", "hard"])
+    y = np.stack([*(fam == f for f in templates), statement], 1).astype(np.float32)
+    use = np.ones_like(y)
+    use[fam == "hard", -1] = 0
+    w, b = fit(x[~out], y[~out], use[~out], s)
+    p = probability(x, w, b) * told(x, w, vocab, templates, names)
+    left = np.zeros_like(p)  # of each statement, what models say that know nothing of its family
+    for f in templates:
+        kept = ~out & (fam != f)
+        w_f, b_f = fit(x[kept], y[kept], use[kept], s)
+        rest = {g: ts for g, ts in templates.items() if g != f}
+        left[fam == f] = probability(x[fam == f], w_f, b_f) * told(x[fam == f], w_f, vocab, rest, names)
+    known = np.isin(fam, list(templates))
     threshold = {}
     for i, f in enumerate(names):
-        mine, other = p[y[out][:, i] > 0, i], p[y[out][:, i] == 0, i]
-        threshold[f] = float(max(0.5, min(np.quantile(mine, 1 - s.sure), 0.95), other.max() + 1e-6 if len(other) and other.max() < 0.95 else 0.5))
+        none = out & (fam == "") if f == UNKNOWN else out & ~known
+        own = left[known, i] if f == UNKNOWN else p[out & (fam == f), i]
+        lowest = max(0.5, float(p[none, i].max(initial=0)) + 1e-6)
+        if f != UNKNOWN:
+            lowest = max(lowest, float(np.quantile(left[known & (fam != f), i], s.foreign)) if len(templates) > 1 else 0)
+        threshold[f] = max(0.5, min(lowest, float(np.quantile(own, 1 - s.sure))))
     grams = list(vocab)
     weights = {f: {grams[j]: float(w[j, i]) for j in np.flatnonzero(w[:, i])} for i, f in enumerate(names)}
     constant = {f: float(b[i]) for i, f in enumerate(names)}
-    return Model(weights, constant, threshold, marks(weights, constant, negatives))
+    telling = {f: {g for g in gs if weights[f].get(g, 0) > 0} for f, gs in exclusive(templates).items() if f != UNKNOWN}
+    return Model(weights, constant, threshold, telling, marks(weights, constant, negatives))
 
 
 def marks(weights: dict[str, dict[str, float]], constant: dict[str, float], negatives: list[list[str]]) -> tuple[str, ...]:
@@ -185,28 +283,43 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def negative_words(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> list[list[str]]:
-    """Words of a bounded sample of paragraphs that name no licence, the same in every run.
+SPEAKS = r"(?i)licen[sc]|copyright|permission|redistribut"
+
+
+def negative_words(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[list[str]], list[list[str]]]:
+    """Words of bounded samples of paragraphs, the same in every run: of those that name no licence, and of those that speak
+    of licences but have less than ``few`` of every template.
 
     One paragraph of each of the first documents in the order of a hash, whole; of one longer than ``longest`` words
     a stretch of that many from a hashed place.
     """
     d = id_and_text(docs, id_col, text_col).withColumn("t", F.xxhash64("text"))
-    keys = d.select(F.col("doc_id").alias("k_id"), F.col("t").alias("k_t")).distinct()
-    keys = keys.orderBy(F.xxhash64("k_id", F.lit(s.seed)), "k_id", "k_t").limit(s.negatives)  # bounded, so it can be sent to every task
-    one = d.join(F.broadcast(keys), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("t") == F.col("k_t")))
-    lines = F.filter(F.split("text", "\n"), lambda p: ~p.rlike("(?i)licen[sc]|copyright|permission|redistribut") & (F.trim(p) != ""))
-    picked = one.select("doc_id", "t", F.get(lines, F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("p")).where("p is not null")
-    picked = picked.withColumn("w", words_of(F.col("p")))
-    spare = F.greatest(F.size("w") - s.longest, F.lit(0)) + 1
-    words = picked.select("doc_id", "t", F.slice("w", 1 + F.pmod(F.xxhash64("t"), spare).cast("int"), s.longest).alias("w")).distinct()
-    return [r.w for r in words.orderBy(F.xxhash64("doc_id", F.lit(s.seed)), "doc_id", "t").collect()]
+
+    def sample(some: DataFrame, lines: Column, most: int) -> DataFrame:
+        """One such line of each of the first ``most`` documents; their number is bounded, so their keys can be sent to every task."""
+        keys = some.select(F.col("doc_id").alias("k_id"), F.col("t").alias("k_t")).distinct()
+        keys = keys.orderBy(F.xxhash64("k_id", F.lit(s.seed)), "k_id", "k_t").limit(most)
+        one = some.join(F.broadcast(keys), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("t") == F.col("k_t")))
+        picked = one.select("doc_id", "t", F.get(lines, F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("p")).where("p is not null")
+        return picked.withColumn("w", words_of(F.col("p")))
+
+    def words(picked: DataFrame) -> list[list[str]]:
+        spare = F.greatest(F.size("w") - s.longest, F.lit(0)) + 1
+        cut = picked.select("doc_id", "t", F.slice("w", 1 + F.pmod(F.xxhash64("t"), spare).cast("int"), s.longest).alias("w")).distinct()
+        return [r.w for r in cut.orderBy(F.xxhash64("doc_id", F.lit(s.seed)), "doc_id", "t").collect()]
+
+    lines = F.split("text", "\n")
+    plain = sample(d, F.filter(lines, lambda p: ~p.rlike(SPEAKS) & (F.trim(p) != "")), s.negatives)
+    speaking = sample(d.where(F.col("text").rlike(SPEAKS)), F.filter(lines, lambda p: p.rlike(SPEAKS)), s.hard)
+    has = F.greatest(*[F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) / F.lit(float(len(g))) for _, g in STATED])
+    return words(plain), words(speaking.withColumn("grams", grams_of(F.col("w"))).where(has < s.few))
 
 
 def weight_table(spark: SparkSession, model: Model) -> DataFrame:
-    """``gram, w``: a row per n-gram with its weight for each family; a few hundred rows."""
+    """``gram, w``: a row per n-gram with its weight for each class, and then 1 for each class it is telling of; a few hundred rows."""
     grams = sorted({g for ws in model.weights.values() for g in ws})
-    lines = [g + "\t" + ",".join(repr(ws.get(g, 0.0)) for ws in model.weights.values()) for g in grams]
+    tells = lambda g: [float(g in model.telling.get(f, ())) for f in model.weights]
+    lines = [g + "\t" + ",".join(map(repr, [*(ws.get(g, 0.0) for ws in model.weights.values()), *tells(g)])) for g in grams]
     rows = spark.range(1).select(F.explode(F.split(F.lit("\n".join(lines)), "\n")).alias("x"))
     return rows.select(F.split_part("x", F.lit("\t"), F.lit(1)).alias("gram"), F.split(F.split_part("x", F.lit("\t"), F.lit(2)), ",").cast("array<double>").alias("w"))
 
@@ -229,16 +342,21 @@ def marked(words: str, model: Model) -> Column:
 
 
 def judged(p: DataFrame, model: Model) -> DataFrame:
-    """``nth, probability, family, threshold`` of the rows (``nth, words``) in which a family reaches one half."""
+    """``nth, probability, family, stated, believed`` of the rows (``nth, words``) that reach the threshold of their most
+    probable family, or that of statements of any licence (``stated`` is its probability)."""
     grams = p.where(marked("words", model)).select("nth", F.explode(grams_of(F.col("words"))).alias("gram"))
     met = grams.join(F.broadcast(weight_table(p.sparkSession, model)), "gram")
-    families = list(model.weights)
-    sums = met.groupBy("nth").agg(*[F.round(F.sum(F.get("w", F.lit(i))), 9).alias(f"z{i}") for i in range(len(families))])
+    classes = list(model.weights)
+    sums = met.groupBy("nth").agg(*[F.round(F.sum(F.get("w", F.lit(i))), 9).alias(f"z{i}") for i in range(2 * len(classes))])
+    p = {f: 1 / (1 + F.exp(-(F.col(f"z{i}") + model.constant[f]))) for i, f in enumerate(classes)}
+    told = {f: F.col(f"z{len(classes) + i}") > 0 for i, f in enumerate(classes)}
     best = F.array_max(F.array(*[
-        F.struct((1 / (1 + F.exp(-(F.col(f"z{i}") + model.constant[f])))).alias("probability"), F.lit(f).alias("family"), F.lit(model.threshold[f]).alias("threshold"))
-        for i, f in enumerate(families)
+        F.struct(F.when(told[f], p[f]).otherwise(0.0).alias("probability"), p[f].alias("p"), F.lit(f).alias("family"), F.lit(model.threshold[f]).alias("threshold"))
+        for f in classes if f != UNKNOWN
     ]))
-    return cut_lineage(sums.select("nth", best.alias("best")).where("best.probability >= 0.5").select("nth", "best.*"))
+    found = sums.select("nth", best.alias("best"), p[UNKNOWN].alias("stated")).select("nth", "best.*", "stated")
+    found = found.withColumn("believed", F.col("probability") >= F.col("threshold")).drop("threshold", "p")
+    return cut_lineage(found.where(F.col("believed") | (F.col("stated") >= model.threshold[UNKNOWN])))
 
 
 def joined_lines(p: DataFrame, model: Model) -> DataFrame:
@@ -275,11 +393,11 @@ def licences(docs: DataFrame, model: Model, s: Settings = Settings(), id_col: st
     ``doc_id, line, family, probability, template_share, confirmed, paragraph``.
 
     A paragraph is a line of the text (lines count from 0), or a run of adjacent lines over which a statement
-    is broken; ``line`` is its first. It is reported if some family's probability reaches one half. Its family is
-    the most probable one, "unknown" if that doesn't reach the family's threshold. ``template_share`` is the largest
-    part of a template's n-grams, of the predicted family, that the paragraph has; from ``alike`` on the prediction
+    is broken; ``line`` is its first. Its family is the most probable one with a telling n-gram if that reaches the family's threshold,
+    else "unknown" if it reads like a statement of any licence; else it isn't reported. ``template_share`` is the largest
+    part of a template's n-grams, of the most probable family, that the paragraph has; from ``alike`` on the prediction
     is confirmed. A run is reported if it has more of its template than each of its lines; then lines of it
-    are reported again only if they have more of a template of their own family. Equal statements that follow each
+    are reported again only if they have more of a template of their own family; an unknown statement broken over lines has a row a line. Equal statements that follow each
     other broken over lines, with no line between, are one run. Null and empty texts have no rows, nor has
     an empty table; ids may be null or repeat (repeated rows are reported again); other columns aren't read.
     Long texts are read whole.
@@ -312,22 +430,22 @@ def licences(docs: DataFrame, model: Model, s: Settings = Settings(), id_col: st
     runs = runs.withColumn("hits", F.array(*[own(g) for _, g in STATED])).withColumn("has", F.get("hits", F.col("template")))
     stated = F.get(F.array(*[F.lit(f) for f, _ in STATED]), F.col("template"))
     runs = runs.where((F.col("family") == stated) & (F.col("has") > F.col("most")))
-    runs = cut_lineage(runs.select("nth", "row", "doc_id", "line", "last", "template", "family", "probability", "threshold", "template_share", "hits", "has", "paragraph"))
+    runs = cut_lineage(runs.select("nth", "row", "doc_id", "line", "last", "template", "family", "probability", "stated", "believed", "template_share", "hits", "has", "paragraph"))
     # Of runs that overlap, the one with the largest part of a template, if they are of one family or the other has no more of its own template.
     r, q = runs.alias("r"), runs.select("row", "family", "line", "last", "template_share", "has", "template").alias("q")
     rank = lambda x: F.struct(f"{x}.template_share", f"{x}.has", -F.col(f"{x}.template"))
     over = [F.col("r.row") == F.col("q.row"), F.col("r.line") <= F.col("q.last"), F.col("q.line") <= F.col("r.last"), rank("q") > rank("r")]
     alike = (F.col("r.family") == F.col("q.family")) | (F.get("r.hits", F.col("q.template")) >= F.col("r.has"))
     runs = cut_lineage(r.join(q, [*over, alike], "left_anti"))
-    # A line of a run says something of its own if it has more of a template of its family than of the run's.
+    # A line of a run says something of its own if its family is believed and it has more of a template of that than of the run's.
     r, q = lines.alias("r"), runs.select("row", "template", "line", "last").alias("q")
     inside = [F.col("r.row") == F.col("q.row"), F.col("r.line").between(F.col("q.line"), F.col("q.last"))]
-    lines = r.join(q, [*inside, F.get("r.has", F.col("q.template")) >= F.col("r.most")], "left_anti")
-    columns = ["doc_id", "line", "family", "probability", "threshold", "template_share", "paragraph"]
-    believed = F.col("probability") >= F.col("threshold")
+    lines = r.join(q, [*inside, ~F.col("r.believed") | (F.get("r.has", F.col("q.template")) >= F.col("r.most"))], "left_anti")
+    columns = ["doc_id", "line", "family", "probability", "stated", "believed", "template_share", "paragraph"]
+    believed = F.col("believed")
     return lines.select(*columns).unionByName(runs.select(*columns)).select(
-        "doc_id", "line", F.when(believed, F.col("family")).otherwise("unknown").alias("family"),
-        "probability", "template_share", (believed & (F.col("template_share") >= s.alike)).alias("confirmed"), "paragraph",
+        "doc_id", "line", F.when(believed, F.col("family")).otherwise(UNKNOWN).alias("family"),
+        F.when(believed, F.col("probability")).otherwise(F.col("stated")).alias("probability"), "template_share", (believed & (F.col("template_share") >= s.alike)).alias("confirmed"), "paragraph",
     )
 
 
@@ -337,7 +455,8 @@ def share(grams: Column, template: str) -> Column:
 
 
 def fitted(spark: SparkSession, docs: DataFrame, s: Settings = Settings()) -> Model:
-    return train(negative_words(docs, s), s)
+    plain, hard = negative_words(docs, s)
+    return train(plain, s, hard)
 
 
 @query("op3_licences")

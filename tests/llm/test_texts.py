@@ -1,6 +1,7 @@
 """Secrets, toxicity, licences and tokens, against brute force, held-out rows and the tokenizers library."""
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -187,6 +188,11 @@ def test_toxicity_uses_the_text_alone(spark):
 # ---- licences
 
 
+@pytest.fixture(scope="module")
+def licence_model(spark):
+    return licences.fitted(spark, read(spark, SF, "documents"))
+
+
 def test_licences_are_found(spark):
     docs = read(spark, SF, "documents")
     model = licences.fitted(spark, docs)
@@ -197,23 +203,89 @@ def test_licences_are_found(spark):
     assert want and {(r.doc_id, r.line, r.family) for r in got if r.confirmed} == want
 
 
-def test_licence_templates_and_prose(spark):
-    model = licences.fitted(spark, read(spark, SF, "documents"))
+def test_licence_templates_and_prose(spark, licence_model):
     rows, want = [], {}
     for k, (f, ts) in enumerate(licences.TEMPLATES.items()):
         for j, t in enumerate(ts):
             rows.append((100 * k + j, "Some prose before.\n\n" + t.upper() + "\nAnd after."))
             want[100 * k + j] = f
-    got = licences.licences(frame(spark, rows + [(9999, "I like the taste of free software and the public library, version of it.")]), model).collect()
+    got = licences.licences(frame(spark, rows + [(9999, "I like the taste of free software and the public library, version of it.")]), licence_model).collect()
     assert {r.doc_id: r.family for r in got if r.confirmed} == want
     assert all(r.line == 2 for r in got if r.confirmed)
-    assert licences.licences(frame(spark, ODD), model).count() == 0
-    assert licences.licences(frame(spark, []), model).count() == 0
-
-
-def test_wrapped_licences(spark):
+    assert licences.licences(frame(spark, ODD), licence_model).count() == 0
+    assert licences.licences(frame(spark, []), licence_model).count() == 0
+
+
+UNSEEN = [  # statements of licences that no template names
+    "Permission to use, copy, modify, and distribute this software for any purpose is hereby granted, without fee.",
+    "This program is made available under the terms of the Eclipse Public License v2.0",
+    "Use of this file is governed by the Boost Software License version 1.0",
+    "Licensed under the EUPL, version 1.2 or later.",
+    "The contents of this file are subject to the terms of the Common Development and Distribution License.",
+    "This package is released under the Artistic License 2.0.",
+    "This software is provided 'as-is', without any express or implied warranty.",
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.",
+    "SPDX-License-Identifier: EUPL-1.2",
+]
+NAMED = {
+    "This program is licensed under the GNU General Public License, version 2.": "gpl",
+    "// SPDX-License-Identifier: GPL-3.0-or-later": "gpl",
+    "SPDX-License-Identifier: Apache-2.0": "apache",
+}
+CLEAN = ["The driver was licensed to use the work vehicle under the new terms.", "You may not copy the text without permission of the author.", "The library lends books to the public free of charge."]
+
+
+def test_unknown_licences(spark, licence_model):
+    """Statements of no family are unknown, those of a family in other words are its, and prose with such words is nothing."""
+    texts = [*UNSEEN, *NAMED, *CLEAN]
+    got = {r.doc_id: r for r in licences.licences(frame(spark, list(enumerate(texts))), licence_model).collect()}
+    assert [got[i].family if i in got else None for i in range(len(texts))] == ["unknown"] * len(UNSEEN) + list(NAMED.values()) + [None] * len(CLEAN)
+    assert not any(got[i].confirmed for i in range(len(UNSEEN))) and all(r.probability >= 0.5 for r in got.values())
+
+
+def plain_judgement(model, text):
+    grams = licences.plain_grams(licences.plain_words(text))
+    p = {f: 1 / (1 + math.exp(-model.constant[f] - sum(w.get(g, 0) for g in grams))) for f, w in model.weights.items()}
+    stated = p.pop(licences.UNKNOWN)
+    best = max((p[f], f) if model.telling[f] & set(grams) else (0.0, f) for f in p)
+    if best[0] >= model.threshold[best[1]]:
+        return best[1], best[0]
+    return (licences.UNKNOWN, stated) if stated >= model.threshold[licences.UNKNOWN] else None
+
+
+def test_licence_scores_match_plain_sums(spark, licence_model):
+    """Every line by itself against sums in plain Python: same family, same probability."""
+    rng = random.Random(4)
+    words = [w for ts in licences.TEMPLATES.values() for t in ts for w in t.split()] + ["haanth", "reoush", "the", "of"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(300)] + [t[: rng.randint(5, 90)] for ts in licences.TEMPLATES.values() for t in ts]
+    got = {r.doc_id: (r.family, round(r.probability, 6)) for r in licences.licences(frame(spark, list(enumerate(texts))), licence_model).collect()}
+    want = {i: (j[0], round(j[1], 6)) for i, t in enumerate(texts) if (j := plain_judgement(licence_model, t))}
+    assert len(want) > 50 and got == want
+
+
+def test_left_out_families_are_unknown(spark):
+    """Of the statements of families that a model doesn't know, nearly all are unknown to it, few are another family's."""
+    plain, hard = licences.negative_words(read(spark, SF, "documents"), licences.Settings())
+    verdicts = []
+    for f in ("apache", "bsd", "cc-by-sa", "gpl", "mit"):
+        model = licences.train(plain, hard=hard, templates={g: ts for g, ts in licences.TEMPLATES.items() if g != f})
+        verdicts += [plain_judgement(model, t) for t in licences.TEMPLATES[f]]
+    families = [v and v[0] for v in verdicts]
+    assert families.count("unknown") >= 0.6 * len(families) and sum(v not in ("unknown", None) for v in families) <= 0.2 * len(families)
+
+
+def test_hard_negatives(spark):
+    """Paragraphs that speak of licences are sampled unless they have much of a template."""
+    rows = [(1, "The licence of the old boat ran out.\nPlain words."), (2, licences.TEMPLATES["mit"][1]), (3, "Only plain words."), (4, None), (None, "")]
+    plain, hard = licences.negative_words(frame(spark, rows), licences.Settings())
+    assert hard == [["the", "licence", "of", "the", "old", "boat", "ran", "out"]]
+    assert sorted(plain) == [["only", "plain", "words"], ["plain", "words"]]
+    assert licences.negative_words(frame(spark, []), licences.Settings()) == ([], [])
+    assert licences.train([]).weights["mit"]
+
+
+def test_wrapped_licences(spark, licence_model):
     """Statements broken at some width, also in comments, are read and confirmed as wholes, at their first line."""
-    model = licences.fitted(spark, read(spark, SF, "documents"))
     rows, want = [], {}
     for k, (f, ts) in enumerate(licences.TEMPLATES.items()):
         for j, t in enumerate(ts):
@@ -225,7 +297,7 @@ def test_wrapped_licences(spark):
     two = [licences.TEMPLATES[f][1] for f in ("mit", "gpl")]
     rows.append((90000, "\n".join(x for t in two for x in textwrap.wrap(t, 60))))
     rows.append((90001, "\n".join([licences.TEMPLATES["gpl"][0], *textwrap.wrap(two[1], 60)])))
-    got = licences.licences(frame(spark, rows), model).collect()
+    got = licences.licences(frame(spark, rows), licence_model).collect()
     sure = [r for r in got if r.confirmed]
     assert {r.doc_id: (r.family, r.line, r.paragraph) for r in sure if r.doc_id < 90000} == want
     assert len([r for r in sure if r.doc_id < 90000]) == len(want) and all(r.template_share == 1 for r in sure)
