@@ -150,7 +150,7 @@ def versions(text: str, s: Settings, spare: list[str], rng: np.random.Generator)
 
 
 def fit(x: np.ndarray, y: np.ndarray, use: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and constants of a class a column by proximal gradient steps; ``use`` tells the rows that a class learns from.
+    """Weights and constants of a class a column by proximal gradient steps; ``use`` tells how often a class learns from a row.
     Both sides of a class weigh the same."""
     yes, no = y * use, (1 - y) * use
     balance = (yes * (0.5 / np.maximum(yes.sum(0), 1)) + no * (0.5 / np.maximum(no.sum(0), 1))).astype(np.float32)
@@ -213,20 +213,28 @@ def train(negatives: list[list[str]], s: Settings = Settings(), hard: list[list[
         for g in plain_grams(t) if f else ():
             seen[g] = seen.get(g, 0) + 1
     vocab = {g: i for i, g in enumerate(sorted(g for g, n in seen.items() if n >= 5))}
-    x = np.zeros((len(texts), len(vocab)), np.float32)
-    for r, t in enumerate(texts):
-        x[r, [vocab[g] for g in plain_grams(t) if g in vocab]] = 1
-    fam, names = np.array(family), [*templates, UNKNOWN]
+    # Paragraphs of the corpus that have the same n-grams of the vocabulary are one row that counts as often.
+    rows: dict[tuple, int] = {}
+    for r, (t, f, o) in enumerate(zip(texts, family, out.tolist(), strict=True)):
+        key = (f, o, r if r < made else -1, tuple(sorted(vocab[g] for g in plain_grams(t) if g in vocab)))
+        rows[key] = rows.get(key, 0) + 1
+    x = np.zeros((len(rows), len(vocab)), np.float32)
+    for r, key in enumerate(rows):
+        x[r, list(key[3])] = 1
+    fam, out, names = np.array([k[0] for k in rows]), np.array([k[1] for k in rows]), [*templates, UNKNOWN]
     statement = ~np.isin(fam, ["", "hard"])
     y = np.stack([*(fam == f for f in templates), statement], 1).astype(np.float32)
-    use = np.ones_like(y)
+    use = np.repeat(np.array(list(rows.values()), np.float32)[:, None], len(names), 1)
     use[fam == "hard", -1] = 0
-    w, b = fit(x[~out], y[~out], use[~out], s)
+    # All models at once, so that the rows are gone through once a step: the one of all families, then those without one.
+    left_out = [None, *templates]
+    uses = np.concatenate([use * (fam != f)[:, None] for f in left_out], 1)
+    fits = fit(x[~out], np.tile(y[~out], len(left_out)), uses[~out], s)
+    models = list(zip(np.split(fits[0], len(left_out), 1), np.split(fits[1], len(left_out)), strict=True))
+    w, b = models[0]
     p = probability(x, w, b) * told(x, w, vocab, templates, names)
     left = np.zeros_like(p)  # of each statement, what models say that know nothing of its family
-    for f in templates:
-        kept = ~out & (fam != f)
-        w_f, b_f = fit(x[kept], y[kept], use[kept], s)
+    for f, (w_f, b_f) in zip(templates, models[1:], strict=True):
         rest = {g: ts for g, ts in templates.items() if g != f}
         left[fam == f] = probability(x[fam == f], w_f, b_f) * told(x[fam == f], w_f, vocab, rest, names)
     known = np.isin(fam, list(templates))
