@@ -71,6 +71,9 @@ PROSE = [
     "You can use the following forms to modify the work, but not without the source file.",
     "The redistribution of wealth was the subject of the public debate.",
     "They obtained a fishing licence, version two of the form, under the law of the state.",
+    "It was cold or warm, early or late, and nobody knew whether to stay or to go.",
+    "Call before noon or after six, or write to the office in any month or year.",
+    "Is it red or blue, or and this is more likely, green or grey with or without a stripe?",
     "Which licence should I choose for my project, and does it matter to the people who use it?",
     "The program was provided free of charge to any person who attended the course.",
 ]
