@@ -216,7 +216,7 @@ def test_licence_templates_and_prose(spark, licence_model):
     assert licences.licences(frame(spark, []), licence_model).count() == 0
 
 
-UNSEEN = [  # statements of licences that no template names
+UNSEEN = [  # statements of licences of no family; the first three and the warranties are near to statements the model learns from
     "Permission to use, copy, modify, and distribute this software for any purpose is hereby granted, without fee.",
     "This program is made available under the terms of the Eclipse Public License v2.0",
     "Use of this file is governed by the Boost Software License version 1.0",
