@@ -335,12 +335,13 @@ def search_entities(
     listed = cut_lineage(listed.join(pieces.select("gram").distinct(), "gram", "left_semi"))
     rarity = listed.groupBy("gram").agg(F.count("*").alias("df"))
     rare = pieces.join(rarity, "gram", "left").groupBy("term").agg(F.min_by("gram", F.struct(F.coalesce("df", F.lit(0)), "gram")).alias("gram"))
-    hits = listed.join(rare, "gram").where(F.col("text").contains(F.col("term")))
+    # Written text columns are small on disk and tens of times larger as rows: the list is never a side that is sent whole.
+    hits = listed.hint("merge").join(rare, "gram").where(F.col("text").contains(F.col("term")))
     hits = hits.select("entity_id", "place", "text", "term")
     if not short_terms.isEmpty():
         tiny = names.select("entity_id", "place", "text", F.array_distinct(F.concat(F.coalesce(grams(F.col("text"), 1), F.array().cast("array<string>")), F.coalesce(grams(F.col("text"), 2), F.array().cast("array<string>")))).alias("g"))
         tiny = exploded(tiny, ["entity_id", "place", "text"], "g", "term")
-        hits = hits.unionByName(tiny.join(short_terms.select("term").distinct(), "term"))
+        hits = hits.unionByName(tiny.join(F.broadcast(short_terms.select("term").distinct()), "term"))  # one or two letters each
     equal = F.col("text") == F.col("term")
     by_name = F.max(F.when(F.col("place").isNull(), F.when(equal, 1.0).otherwise(0.8)))
     by_alias = F.min_by(F.when(equal, 0.9).otherwise(0.7), F.col("place"))

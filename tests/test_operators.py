@@ -818,3 +818,16 @@ def test_stream_keeps_documents_without_language(spark, monkeypatch):
     monkeypatch.setattr(q_streaming.fx, "docs", lambda t: docs)
     got = q_streaming.t01(types.SimpleNamespace(spark=spark))
     assert {r.paper_id for r in got.select("paper_id").collect()} == {"a", "b", "c"}
+
+
+# ---- bounded memory and moved bytes --------------------------------------------------------------
+
+
+def test_names_listed_under_pieces_are_never_sent_whole(spark):
+    # on disk the list is tens of times smaller than as rows, so its size on disk must not make it a broadcast
+    e = spark.createDataFrame([("a", "Location", "Golfo Nuevo"), ("b", "Location", "Nuevo")], "entity_id string, entity_type string, name string")
+    none = spark.createDataFrame([], "entity_id string, alias string, place array<bigint>")
+    degrees = spark.createDataFrame([("a", 2)], "entity_id string, degree bigint")
+    found = G.search_entities(spark.createDataFrame([("t", "nuevo"), ("u", "go")], "term_id string, term string"), e, none, degrees)
+    assert "strategy=merge" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["term_id"], r["entity_id"], r["rank"]) for r in found.collect()) == [("t", "a", 2), ("t", "b", 1), ("u", "a", 1)]
