@@ -38,13 +38,17 @@ def read_balls(spark: SparkSession, path: str) -> BallIndex:
 
 
 ZONES = 1024  # folders of chunk numbers, at most
+LOT = 2_000_000  # chunks whose postings make a file in each folder of terms
 
 
 def write_postings(index: Bm25Index, path: str, span: int = SPAN) -> None:
     """An inverted index: posting blocks in folders of terms, sorted by term and block, the names of the chunks in
     folders of numbers, and statistics."""
-    blocks = cut_lineage(posting_blocks(index, span)).repartitionByRange("part", "term", "block").sortWithinPartitions("part", "term", "block")
-    blocks.write.mode("overwrite").partitionBy("part").parquet(f"{path}/blocks")
+    # Few files a folder: chunks in lots, the postings of a folder's terms and a lot of blocks go to one task. Short numbers on the way.
+    lots = max(1, index.bags.count() // LOT)
+    blocks = posting_blocks(index, span).repartition("part", F.pmod("block", F.lit(lots))).sortWithinPartitions("part", "term", "block")
+    blocks = blocks.withColumns({c: F.col(c).cast("array<bigint>") for c in ("tfs", "dls")})
+    blocks.select("part", "term", "block", "n", "most", "seqs", "tfs", "dls").write.mode("overwrite").partitionBy("part").parquet(f"{path}/blocks")
     last = index.bags.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("last")).first()["last"]
     zone_span = max(span, -(-(int(last) + 1) // ZONES))
     chunks = index.bags.select(F.floor(F.col("seq") / zone_span).cast("int").alias("zone"), F.col("seq").cast("bigint").alias("seq"), "chunk_id")

@@ -831,3 +831,19 @@ def test_names_listed_under_pieces_are_never_sent_whole(spark):
     found = G.search_entities(spark.createDataFrame([("t", "nuevo"), ("u", "go")], "term_id string, term string"), e, none, degrees)
     assert "strategy=merge" in found._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r["term_id"], r["entity_id"], r["rank"]) for r in found.collect()) == [("t", "a", 2), ("t", "b", 1), ("u", "a", 1)]
+
+
+def test_postings_move_as_words_and_once_for_all_questions(spark):
+    # all numbers but one lie close together, so nearly all chunks are one block; some numbers come twice
+    texts = [(i // 2 if i < 20 else i, f"sea w{i % 7} w{i % 3} sea") for i in range(100)] + [(10**9, "sea far")]
+    index, saved = saved_index(spark, texts, 4)
+    parts = B.posting_blocks(index, 4, most=10)
+    assert max(r["n"] for r in parts.collect()) <= 10 and sum(r["n"] for r in parts.collect()) == saved.postings.count()
+    assert "collect_list" not in parts._jdf.queryExecution().optimizedPlan().toString()
+    q = spark.createDataFrame([(i, f"sea w{i % 7} far") for i in range(20)], "query_id bigint, question string")
+    asked = saved.weighted(q)
+    plan = saved.best(asked, B.first_blocks(saved.bounds(asked), 3), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan.split("CoGroup")[0] and "CoGroup" in plan
+    alone = [(i, x) for i, x in texts if i >= 20]
+    index, saved = saved_index(spark, alone, 4)
+    assert sorted(map(tuple, bm25_search(saved, q, 3).collect())) == sorted(map(tuple, bm25_search(index, q, 3).collect()))
