@@ -847,3 +847,9 @@ def test_postings_move_as_words_and_once_for_all_questions(spark):
     alone = [(i, x) for i, x in texts if i >= 20]
     index, saved = saved_index(spark, alone, 4)
     assert sorted(map(tuple, bm25_search(saved, q, 3).collect())) == sorted(map(tuple, bm25_search(index, q, 3).collect()))
+
+
+def test_cells_are_placed_in_slices():
+    batch = pa.RecordBatch.from_pydict({"rep": list(range(10_000))})
+    parts = list(N.slices([batch, batch.slice(0, 0)], 256))
+    assert sum(p.num_rows for p in parts) == 10_000 and max(p.num_rows for p in parts) * 256 * N.LEAD <= N.CELLS
