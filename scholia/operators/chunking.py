@@ -15,9 +15,11 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from scholia.functions.batches import text_rows, tidied, to_batch
 from scholia.functions.ids import chunk_id
 from scholia.functions.text import strip
 from scholia.functions.vectors import dot, norm
@@ -175,13 +177,14 @@ def sentences(text: str, cap: int) -> list[tuple[int, int, str, bool]]:
 def split_sentences(docs: DataFrame, cap: int = 1000) -> DataFrame:
     """Sentences of each document with their offsets."""
 
+    types = {"paper_id": pa.string(), "pos": pa.int64(), "char_start": pa.int64(), "char_end": pa.int64(), "text": pa.string(), "table_like": pa.bool_()}
+
     def run(batches):
-        for pdf in batches:
-            rows = [(p, i, *s) for p, text in zip(pdf["paper_id"], pdf["text"]) for i, s in enumerate(sentences(text or "", cap))]
-            yield pd.DataFrame(rows, columns=["paper_id", "pos", "char_start", "char_end", "text", "table_like"])
+        for texts in text_rows(batches):
+            yield to_batch([(p, i, *s) for p, text in texts for i, s in enumerate(sentences(text or "", cap))], **types)
 
-    return docs.select("paper_id", "text").mapInPandas(
-        run, "paper_id string, pos bigint, char_start bigint, char_end bigint, text string, table_like boolean"
+    return docs.select("paper_id", "text").mapInArrow(
+        tidied(run), "paper_id string, pos bigint, char_start bigint, char_end bigint, text string, table_like boolean"
     )
 
 

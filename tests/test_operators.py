@@ -853,3 +853,28 @@ def test_cells_are_placed_in_slices():
     batch = pa.RecordBatch.from_pydict({"rep": list(range(10_000))})
     parts = list(N.slices([batch, batch.slice(0, 0)], 256))
     assert sum(p.num_rows for p in parts) == 10_000 and max(p.num_rows for p in parts) * 256 * N.LEAD <= N.CELLS
+
+
+class Held:
+    """Stands for a table of documents and keeps the function that runs over its batches."""
+
+    def select(self, *_):
+        return self
+
+    def withColumn(self, *_):  # noqa: N802
+        return self
+
+    def mapInArrow(self, run, _):  # noqa: N802
+        self.run = run
+        return self
+
+
+@pytest.mark.parametrize("cut", [
+    C.split_sentences,
+])
+def test_documents_of_a_batch_are_cut_in_slices(spark, cut):
+    text = "The tide came in over the flats. Nets were set at dawn near the reef. " * 70
+    batch = pa.RecordBatch.from_pydict({"paper_id": [f"p{i}" for i in range(1500)], "text": [text if i % 7 else None for i in range(1500)]})
+    out = list(cut(Held()).run([batch]))
+    assert batch.nbytes > 6_000_000 and max(b.nbytes for b in out) < 5_000_000
+    assert len({p for b in out for p in b.column("paper_id").to_pylist()}) == sum(i % 7 > 0 for i in range(1500))
