@@ -110,15 +110,15 @@ def chunk_sliding(docs: DataFrame, size: int = 2000, overlap: int = 200, least:
     _check_sizes(size, overlap)
 
     def run(batches):
-        for pdf in batches:
+        for texts in text_rows(batches):
             rows = [
                 (pid, i, *w)
-                for pid, text in zip(pdf["paper_id"], pdf["text"])
+                for pid, text in texts
                 for i, w in enumerate(sliding_windows([text or ""], size, overlap, least, on_paragraph))
             ]
-            yield pd.DataFrame(rows, columns=["paper_id", "chunk_index", "char_start", "char_end", "text"])
+            yield to_batch(rows, **CHUNK_TYPES)
 
-    chunks = docs.select("paper_id", "text").mapInPandas(run, CHUNK)
+    chunks = docs.select("paper_id", "text").mapInArrow(tidied(run), CHUNK)
     return chunks.withColumn("chunk_id", chunk_id("paper_id", "chunk_index"))
 
 

@@ -870,7 +870,7 @@ class Held:
 
 
 @pytest.mark.parametrize("cut", [
-    C.split_sentences, lambda d: C.chunk_semantic(d, C.hashing_encoder(8)),
+    C.split_sentences, lambda d: C.chunk_semantic(d, C.hashing_encoder(8)), C.chunk_sliding,
 ])
 def test_documents_of_a_batch_are_cut_in_slices(spark, cut):
     text = "The tide came in over the flats. Nets were set at dawn near the reef. " * 70
