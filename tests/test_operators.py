@@ -878,3 +878,14 @@ def test_documents_of_a_batch_are_cut_in_slices(spark, cut):
     out = list(cut(Held()).run([batch]))
     assert batch.nbytes > 6_000_000 and max(b.nbytes for b in out) < 5_000_000
     assert len({p for b in out for p in b.column("paper_id").to_pylist()}) == sum(i % 7 > 0 for i in range(1500))
+
+
+def test_ascii_form_holds_a_slice_of_strings(spark):
+    import tracemalloc
+
+    column = pa.array(["Bahía de La Paz " * 500, None, "plain " * 1000, ""] * 1000)
+    tracemalloc.start()
+    out = X.to_ascii.func(column)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert column.nbytes > 13_000_000 > most and out.take(pa.array([0, 1, 2, 3])).to_pylist() == ["Bahia de La Paz " * 500, None, "plain " * 1000, ""]
