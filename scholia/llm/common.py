@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from scholia.functions.batches import tidied  # noqa: F401
 from scholia.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,21 +44,5 @@ def light_side(df: DataFrame) -> tuple[DataFrame, int]:
     return (F.broadcast(staged) if n <= BROADCAST_ROWS else staged), n
 
 
-def tidied(run: Callable) -> Callable:
-    """``run`` over the batches of a task; what it freed then goes back to the system. Python workers are used again by other
-    stages, and what they keep adds up in an executor's memory."""
-
-    def whole_task(batches):
-        try:
-            yield from run(batches)
-        finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
-
-    return whole_task
-
-
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
