@@ -833,6 +833,29 @@ def test_names_listed_under_pieces_are_never_sent_whole(spark):
     assert sorted((r["term_id"], r["entity_id"], r["rank"]) for r in found.collect()) == [("t", "a", 2), ("t", "b", 1), ("u", "a", 1)]
 
 
+def test_tables_that_are_larger_as_rows_are_never_sent_whole(spark):
+    from scholia.plans import fixtures as fx
+
+    rows = lambda data, schema: cut_lineage(spark.createDataFrame(data, schema))
+    t = types.SimpleNamespace(
+        orders=rows([(1, 7), (2, None), (2, None)], "o_orderkey bigint, o_custkey bigint"), part=rows([(5, "red", "BOX")], "p_partkey bigint, p_name string, p_type string"),
+        lineitem=rows([(1, 5, 3, 0.1), (1, 5, 3, 0.2), (2, None, 3, 0.1), (9, 5, 3, 0.1)], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_discount double"),
+    )
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    m, x = fx.mentions(t), fx.extractions(t)
+    wanted = [(None, "paper_2"), ("author::7", "paper_1"), ("method::3", "paper_1"), ("method::3", "paper_2"), ("species::5", "paper_1")]
+    assert sorted(map(tuple, m.collect()), key=repr) == sorted(wanted, key=repr)
+    assert [(r["chunk_id"], r["raw"].count("P5")) for r in x.collect()] == [("chunk_1", 2)]
+    e = rows([("species::5", "Species", "red"), ("author::7", "Author", "Ann")], "entity_id string, entity_type string, name string")
+    held = G.paper_entities(cut_lineage(m), e)
+    assert {(r["paper_id"], r["name"]) for r in held.collect()} == {("paper_1", "red"), ("paper_1", "Ann")}
+    assert not any("Broadcast" in plan(df) for df in (m, x, held))
+    r = rows([("r1", "author::7", "studies", "species::5", 0.5)], "relation_id string, subject_id string, relation_type string, object_id string, confidence double")
+    lines = G.entity_context(e.where("name = 'Ann'"), e, cut_lineage(m), r)
+    assert "SortMergeJoin [object_id" in plan(lines)
+    assert "  - [studies] red (Species)  [conf=0.50]" in {x["line"] for x in lines.collect()}
+
+
 def test_postings_move_as_words_and_once_for_all_questions(spark):
     # all numbers but one lie close together, so nearly all chunks are one block; some numbers come twice
     texts = [(i // 2 if i < 20 else i, f"sea w{i % 7} w{i % 3} sea") for i in range(100)] + [(10**9, "sea far")]
