@@ -13,6 +13,14 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2 << 20  # text that a step of a task turns into Python objects
 
 
+def give_back() -> None:
+    """What this process has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tidied(run: Callable) -> Callable:
     """``run`` over the batches of a task; what it freed then goes back to the system. Python workers are used again by other
     stages, and what they keep adds up in an executor's memory."""
@@ -21,14 +29,23 @@ def tidied(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
 
     return whole_task
 
 
+def tidied_group(run: Callable) -> Callable:
+    """As ``tidied``, for a function of the two tables of a cogroup."""
+
+    def whole_group(left, right):
+        try:
+            return run(left, right)
+        finally:
+            give_back()
+
+    return whole_group
+
+
 def bounds(texts: pa.Array, most: int = SLICE_BYTES) -> list[tuple[int, int]]:
     """Where slices of a text column begin and end: less than ``most`` bytes and one more text each."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from scholia.llm.common import query, table
+from scholia.llm.common import query, table, tidied, tidied_group
 from scholia.session import cut_lineage, write_bucketed
 
 CUT = re.compile(rb"[.,;:!?\n-\r]+")
@@ -132,7 +132,7 @@ def shards(docs: DataFrame, s: Settings) -> DataFrame:
             if open_[key].parts:
                 yield closed(key)
 
-    return docs.mapInArrow(run, SHARDS)
+    return docs.mapInArrow(tidied(run), SHARDS)
 
 
 # ---- the index of a shard
@@ -288,9 +288,9 @@ def phrase_counts(docs: DataFrame, s: Settings = Settings(), text_col: str = "te
     if s.longest > 1:
         live = own.select("shard", "lang", "word", "local").join(words.select("lang", "word", "id"), ["lang", "word"]).select("shard", "local", "id")
         index = cut.select("shard", "sign", "seq").groupBy("shard").cogroup(live.groupBy("shard"))
-        index, name = write_bucketed(index.applyInArrow(indexing(s.longest), INDEX), buckets, "shard")
+        index, name = write_bucketed(index.applyInArrow(tidied_group(indexing(s.longest)), INDEX), buckets, "shard")
         held.append(name)
-        found = cut_lineage(index.select("shard", "sign", "ids", "rev").mapInArrow(pairs_of, FOUND))
+        found = cut_lineage(index.select("shard", "sign", "ids", "rev").mapInArrow(tidied(pairs_of), FOUND))
         for k in range(2, s.longest + 1):
             sums = frequent(found, ["parent", "word"], s.least)
             grown = phrases.select(F.col("id").alias("parent"), "lang", "words").join(sums, "parent").join(names, "word")
@@ -303,7 +303,7 @@ def phrase_counts(docs: DataFrame, s: Settings = Settings(), text_col: str = "te
             backwards = k % 2 == 0
             side = index.select("shard", "sign", "ids", "fwd" if backwards else "rev")
             step = side.groupBy("shard").cogroup(live.groupBy("shard"))
-            found = cut_lineage(step.applyInArrow(lengthening(backwards), FOUND))
+            found = cut_lineage(step.applyInArrow(tidied_group(lengthening(backwards)), FOUND))
     out = done[0]
     for level in done[1:]:
         out = out.unionByName(level)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from scholia.functions.batches import tidied  # noqa: F401
+from scholia.functions.batches import tidied, tidied_group  # noqa: F401
 from scholia.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -208,6 +208,16 @@ def test_collocations(spark, settings):
     assert any(r[7] >= 0 for r in got)
 
 
+def test_phrase_tasks_give_back_memory(spark, monkeypatch):
+    from scholia.functions import batches
+
+    docs = spark.createDataFrame([("en", "one two")], "lang string, text string")
+    assert "whole_task" in collocations.shards(docs, collocations.Settings())._jdf.queryExecution().analyzed().toString()
+    given = []
+    monkeypatch.setattr(batches, "give_back", lambda: given.append(1))
+    assert batches.tidied_group(lambda left, right: left + right)(1, 2) == 3 and given == [1]
+
+
 def test_collocations_of_nothing(spark):
     assert collocations.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
     assert collocations.collocations(spark.createDataFrame([("en", "a b c")], "lang string, text string")).count() == 0
