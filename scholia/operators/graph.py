@@ -336,8 +336,11 @@ def search_entities(
     listed = cut_lineage(listed.join(pieces.select("gram").distinct(), "gram", "left_semi"))
     rarity = listed.groupBy("gram").agg(F.count("*").alias("df"))
     rare = pieces.join(rarity, "gram", "left").groupBy("term").agg(F.min_by("gram", F.struct(F.coalesce("df", F.lit(0)), "gram")).alias("gram"))
+    rare = cut_lineage(rare)
     # Written text columns are small on disk and tens of times larger as rows: the list is never a side that is sent whole.
-    hits = listed.hint("merge").join(rare, "gram").where(F.col("text").contains(F.col("term")))
+    # Pieces that most names have are nobody's rarest one: their lists stay behind.
+    asked = listed.join(rare.select("gram").distinct(), "gram", "left_semi")
+    hits = asked.hint("merge").join(rare, "gram").where(F.col("text").contains(F.col("term")))
     hits = hits.select("entity_id", "place", "text", "term")
     if not short_terms.isEmpty():
         tiny = names.select("entity_id", "place", "text", F.array_distinct(F.concat(F.coalesce(grams(F.col("text"), 1), F.array().cast("array<string>")), F.coalesce(grams(F.col("text"), 2), F.array().cast("array<string>")))).alias("g"))

@@ -833,6 +833,15 @@ def test_names_listed_under_pieces_are_never_sent_whole(spark):
     assert sorted((r["term_id"], r["entity_id"], r["rank"]) for r in found.collect()) == [("t", "a", 2), ("t", "b", 1), ("u", "a", 1)]
 
 
+def test_lists_of_pieces_that_no_term_looks_up_stay_behind(spark):
+    e = spark.createDataFrame([(f"e{i}", "Method", f"r#00{i}") for i in range(30)], "entity_id string, entity_type string, name string")
+    none = spark.createDataFrame([], "entity_id string, alias string, place array<bigint>")
+    found = G.search_entities(spark.createDataFrame([("t", "R#0017"), ("u", "r#00")], "term_id string, term string"), e, none, spark.createDataFrame([], "entity_id string, degree bigint"))
+    assert "LeftSemi, (gram" in found._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r["term_id"], r["rank"], r["entity_id"], r["score"]) for r in found.collect())
+    assert got == [("t", 1, "e17", 1.0), *(("u", k, f"e{i}", 0.8) for k, i in enumerate([0, 1, 10, 11, 12], 1))]
+
+
 def test_tables_that_are_larger_as_rows_are_never_sent_whole(spark):
     from scholia.plans import fixtures as fx
 
