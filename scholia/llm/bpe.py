@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -60,9 +61,13 @@ class Automaton:
             self.cut[a << 20 | b] = step
         self.last = len(merges)
         self.arcs: dict[int, bool] = {}
-        # Twice the number of each label, or one more if longer labels begin with it; -1 for what only begins labels.
-        begins = {label[:i] for label in vocab for i in range(1, len(label))}
-        self.steps = dict.fromkeys(begins, -1) | {label: 2 * token + (label in begins) for label, token in vocab.items()}
+        # The labels that begin whatever labels begin with, the longest first; none where only longer labels follow.
+        begins = {label[:i] for label in vocab for i in range(1, len(label) + 1)}
+        self.begun: dict[bytes, tuple[int, ...]] = {}
+        for label in sorted(begins, key=len):
+            shorter = self.begun.get(label[:-1], ())
+            self.begun[label] = (vocab[label], *shorter) if label in vocab else shorter
+        self.size = list(map(len, self.labels))
 
     def has_arc(self, after: int, label: int) -> bool:
         """Whether ``label`` may follow the label ``after`` (-1: stand first)."""
@@ -90,19 +95,6 @@ class Automaton:
             else:
                 return True
 
-    def labels_at(self, word: bytes, i: int) -> list[tuple[int, int]]:
-        """Where the labels end that begin at ``i``, the shortest first, and their numbers."""
-        steps, out = self.steps.get, []
-        for j in range(i + 1, len(word) + 1):
-            step = steps(word[i:j])
-            if step is None:
-                break
-            if step >= 0:
-                out.append((j, step >> 1))
-                if not step & 1:
-                    break
-        return out
-
     def encode(self, word: bytes) -> list[int]:
         """The labels of the one path that spells ``word``.
 
@@ -112,33 +104,43 @@ class Automaton:
         whole = self.vocab.get(word)
         if whole is not None:
             return [whole]
-        n, arcs = len(word), self.arcs.get
-        ends, path, open_, left = [0], [-1], [self.labels_at(word, 0)], set()
-        while ends[-1] < n:
-            here, options = path[-1], open_[-1]
-            while options:
-                j, token = options.pop()
-                if j in left:
-                    continue
-                known = True if here < 0 else arcs(here << 20 | token)
-                if known or known is None and self.has_arc(here, token):
-                    ends.append(j)
-                    path.append(token)
-                    open_.append(self.labels_at(word, j))
-                    break
+        n, arcs, size, begun = len(word), self.arcs.get, self.size, self.begun.get
+        at, here, path, open_, left = 0, -1, [], [], set()
+        while at < n:
+            # labels that begin here; what begins labels has all its own beginnings, and three bytes nearly always begin one
+            j = at + 3
+            options = begun(word[at:j])
+            if options is None:
+                options = begun(word[at : at + 2]) or begun(word[at : at + 1], ())
             else:
-                if len(ends) == 1:
-                    raise ValueError(f"the vocabulary doesn't cover {word!r}")
-                left.add(ends.pop())
-                path.pop()
-                open_.pop()
-        return path[1:]
+                while j < n and (more := begun(word[at : j + 1])) is not None:
+                    options, j = more, j + 1
+            options = iter(options)
+            while True:
+                for token in options:
+                    if at + size[token] in left:
+                        continue
+                    known = True if here < 0 else arcs(here << 20 | token)
+                    if known or known is None and self.has_arc(here, token):
+                        break
+                else:
+                    if not path:
+                        raise ValueError(f"the vocabulary doesn't cover {word!r}")
+                    left.add(at)
+                    at -= size[path.pop()]
+                    here, options = path[-1] if path else -1, open_.pop()
+                    continue
+                path.append(token)
+                open_.append(options)
+                at, here = at + size[token], token
+                break
+        return path
 
 
 class Tokenizer:
     """Cuts a text at the added tokens and into pieces, and runs the automaton over each piece once."""
 
-    KEEP_CHARS = 2_500_000  # characters of the pieces that a task remembers; beyond it they are forgotten and met anew
+    KEEP_CHARS = 4_000_000  # characters of the pieces that a task remembers; beyond it the older ones are forgotten and met anew
 
     def __init__(self, spec: dict):
         byte_of = byte_symbols()
@@ -169,8 +171,7 @@ class Tokenizer:
 
     def forget(self) -> None:
         """Drops what was remembered of texts; called at the end of a task, since workers are used again."""
-        self.known.clear()
-        self.known.held = 0
+        self.known.forget()
         self.automaton.arcs.clear()
 
     def decode(self, ids: list[int]) -> str:
@@ -179,21 +180,33 @@ class Tokenizer:
 
 
 class _Pieces(dict):
-    """A piece with its ids and the labels of their arcs, worked out when it is first met."""
+    """A piece with its ids and the labels of their arcs, worked out when it is first met.
+
+    When half of what may be remembered has been met, it grows old; once as much has been met again, what
+    wasn't asked for meanwhile is forgotten, so frequent pieces stay."""
 
     def __init__(self, tok: Tokenizer):
         super().__init__()
-        self.tok, self.held = tok, 0
+        self.tok, self.held, self.older = tok, 0, {}
+        self.names = [b"%d" % i for i in range(len(tok.automaton.labels))]
 
     def __missing__(self, s: str) -> tuple[int, bytes, bytes]:
-        if self.held > self.tok.KEEP_CHARS:
+        if 2 * self.held > self.tok.KEEP_CHARS:
+            self.older = dict(self)
             self.clear()
             self.held = 0
         self.held += len(s)
-        ids = self.tok.automaton.encode(s.encode())
-        value = self[s] = len(ids), ",".join(map(str, ids)).encode(), b"".join(map(self.tok.labels.__getitem__, ids))
+        value = self.older.pop(s, None)
+        if value is None:
+            ids = self.tok.automaton.encode(s.encode())
+            value = len(ids), b",".join(map(self.names.__getitem__, ids)), b"".join(map(self.tok.automaton.labels.__getitem__, ids))
+        self[s] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.held, self.older = 0, {}
+
 
 _LOADED: dict[str, Tokenizer] = {}
 
@@ -208,7 +221,8 @@ def load(spec: str) -> Tokenizer:
 
 def over_batches(spec, per_text: Callable, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = None
+        tok, often = None, gc.get_threshold()
+        gc.set_threshold(500_000, 20, 20)  # what is remembered has no cycles to be looked for
         try:
             for whole in batches:
                 tok = tok or load(spec.value)
@@ -220,6 +234,7 @@ def over_batches(spec, per_text: Callable, schema: pa.Schema):
         finally:
             if tok:
                 tok.forget()
+            gc.set_threshold(*often)
 
     return run
 

@@ -1,6 +1,7 @@
 """Secrets, toxicity, licences and tokens, against brute force, held-out rows and the tokenizers library."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -371,3 +372,19 @@ def test_automaton_of_few_merges():
                     parts[i : i + 2] = [parts[i] + parts[i + 1]]
                 i += 1
         assert [machine.labels[t] for t in machine.encode(word)] == parts
+
+
+def test_frequent_pieces_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(bpe.Tokenizer, "KEEP_CHARS", 400)
+    with open(bpe.default_path(), encoding="utf-8") as f:
+        tok = bpe.Tokenizer(json.load(f))
+    met, encode = [], tok.automaton.encode
+    monkeypatch.setattr(tok.automaton, "encode", lambda word: met.append(word) or encode(word))
+    rng = random.Random(5)
+    for _ in range(300):
+        word = "".join(rng.choices("qxzvkw", k=12))
+        assert tok.decode(tok.encode(f" frequently {word}")) == f" frequently {word}"
+        assert sum(map(len, {**tok.known, **tok.known.older})) <= 440
+    assert met.count(b" frequently") == 1 and len(met) == 301
+    tok.forget()
+    assert not tok.known and not tok.known.older and not tok.known.held
