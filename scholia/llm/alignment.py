@@ -8,7 +8,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ SEGMENT = re.compile(r"[ \n][^ \n]*(?:(?:(?<=\s)[ \n]|[ \n]\Z)[^ \n]*)*")
 SPACED = re.compile(r" [^ ]*(?:(?:(?<=\s) | \Z)[^ ]*)*")
 ROWS = 256  # texts that a task works on at a time
 KEEP_CHARS = 5_000_000  # characters of the segments that a task remembers
+SIGNS = (b",", b"|", b";", b"")  # what follows an id: its group goes on, A's part ends, the group ends, the segment ends
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
@@ -46,19 +47,21 @@ class Pair:
         byte_of = byte_symbols()
         added = {t["id"]: t["content"].encode() for t in json.loads(spec).get("added_tokens", [])}
         self.a_bytes = {i: bytes(byte_of[c] for c in s) for s, i in self.a.get_vocab(with_added_tokens=False).items() if i not in added} | added
-        self.b_bytes, self.is_byte = [], []
+        self.b_bytes, is_byte = [], []
         for i in range(self.b.vocab_size()):
             piece = self.b.IdToPiece(i)
             one = BYTE_PIECE.match(piece)
             self.b_bytes.append(bytes([int(one[1], 16)]) if one else piece.replace("▁", " ").encode())
-            self.is_byte.append(bool(one))
-        self.byte_ids = {i for i, one in enumerate(self.is_byte) if one}
+            is_byte.append(bool(one))
         # A piece with a space after something else could reach over two segments: then a text is one segment.
         whole = any(re.search("[^ ] ", x.decode("utf-8", "replace")) for x in self.b_bytes)
-        lines = any(b"\n" in x for x, one in zip(self.b_bytes, self.is_byte, strict=True) if not one)
+        lines = any(b"\n" in x for x, one in zip(self.b_bytes, is_byte, strict=True) if not one)
         self.segments = (lambda text: [text]) if whole else (SPACED if lines else SEGMENT).findall
         self.keys = self.possible_pairs() if keys is None else keys
-        self.a_names, self.b_names = ({i: str(i).encode() for i in ids} for ids in (self.a_bytes, range(len(self.b_bytes))))
+        self.a_size = np.zeros(1 + max(self.a_bytes, default=-1), np.int64)
+        self.a_size[list(self.a_bytes)] = list(map(len, self.a_bytes.values()))
+        self.b_size = np.array(list(map(len, self.b_bytes)), np.int64)
+        self.names = [b"%d%s" % (i, sign) for n in (len(self.a_size), len(self.b_size)) for i in range(n) for sign in SIGNS]
         self.known: dict[str, tuple | None] = {}
         self.held = 0  # characters of the segments in it
 
@@ -73,70 +76,52 @@ class Pair:
         pairs |= {i << 32 | j for x, own in b_of.items() for k in range(1, len(x)) for i in a_of.get(x[k:], ()) for j in own}
         return np.array(sorted(pairs), np.int64)
 
-    def a_tokens(self, segment: str, enc) -> tuple[list[int], list[int]]:
-        """Ids, and where they end in bytes. Character offsets give the cuts between characters; tokens that end
-        within a character share its offsets, and their own bytes tell where."""
-        ids, spans = enc.ids, enc.offsets
-        if segment.isascii():
-            return ids, [end for _, end in spans]
-        places = [0, *accumulate(map(len, map(str.encode, segment)))]
-        at, ends = 0, []
-        for k, i in enumerate(ids):
-            inside = k + 1 < len(ids) and spans[k + 1][0] < spans[k][1]
-            at = at + len(self.a_bytes[i]) if inside else places[spans[k][1]]
-            ends.append(at)
-        return ids, ends
-
-    def b_tokens(self, segment: str, told) -> tuple[list[int], list[int]]:
-        """As ``a_tokens``; the spans are in bytes and leave out the space that the model puts before a text, and bytes that a
-        character falls back to count one each. That space is the segment's own, or goes if the segment has none."""
-        own = [(x.id, x.end) for x in told.pieces]
-        shift = 1
-        if segment[0] != " ":
-            own, shift = own[1:], 0
-        ids, ends = [i for i, _ in own], [e + shift for _, e in own]
-        if not self.byte_ids.isdisjoint(ids):
-            at = 0
-            for k, i in enumerate(ids):
-                if self.is_byte[i]:
-                    ends[k] = at + 1
-                at = ends[k]
-        return ids, ends
-
-    def align(self, segment: str, enc, told) -> tuple[int, int, bytes, list[int]] | None:
-        """``n_a, n_b, groups, links`` (as keys) of a segment; none where the tokens' bytes
-        aren't the segment's."""
-        data = segment.encode()
-        (a, a_ends), (b, b_ends) = self.a_tokens(segment, enc), self.b_tokens(segment, told)
-        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
-            return None
-        a_names, b_names = [self.a_names[i] for i in a], [self.b_names[i] for i in b]
-        if len(a) == 1 or len(b) == 1:  # one group
-            return len(a), len(b), b",".join(a_names) + b"|" + b",".join(b_names), [a[-1] << 32 | b[-1]]
-        where = {e: i for i, e in enumerate(a_ends)}
-        groups, links, i, j = [], [], 0, 0
-        for k, e in enumerate(b_ends, 1):
-            n = where.get(e)
-            if n is not None:
-                groups.append(b",".join(a_names[i : n + 1]) + b"|" + b",".join(b_names[j:k]))
-                links.append(a[n] << 32 | b[k - 1])
-                i, j = n + 1, k
-        return len(a), len(b), b";".join(groups), links
+    def a_tokens(self, segments: list[str]) -> list[list[int]]:
+        """Ids of the tokens of each segment."""
+        return [x.ids for x in self.a.encode_batch_fast(segments, add_special_tokens=False)]
+
+    def b_tokens(self, segments: list[str]) -> list[list[int]]:
+        """As ``a_tokens``. The space that the model puts before a text is the segment's own, or goes if the segment has none."""
+        told = self.b.encode([s.removeprefix(" ") for s in segments], out_type=int, num_threads=1)
+        return [ids if s[0] == " " else ids[1:] for s, ids in zip(segments, told, strict=True)]
+
+    def align(self, segments: list[str]) -> list[tuple[int, int, bytes, bytes] | None]:
+        """``n_a, n_b, groups, links`` (packed numbers of pairs) of each segment; none where the tokens' bytes aren't the
+        segment's. Where they are, a token ends at the sum of the lengths up to it, so the ends of all segments, laid one
+        behind the other, are compared at once; every segment ends a group."""
+        spell_a, spell_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        found: list = [
+            (a, b) if a and b and b"".join(map(spell_a, a)) == (data := s.encode()) and b"".join(map(spell_b, b)) == data else None
+            for s, a, b in zip(segments, self.a_tokens(segments), self.b_tokens(segments), strict=True)
+        ]
+        rows = [x for x in found if x]
+        n_a, n_b = (np.array([len(x[i]) for x in rows], np.int64) for i in (0, 1))
+        a, b = (np.fromiter(chain.from_iterable(x[i] for x in rows), np.int64, n.sum()) for i, n in enumerate((n_a, n_b)))
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        place = np.searchsorted(a_ends, b_ends)
+        last_b = np.flatnonzero(a_ends[place] == b_ends) if len(rows) else np.zeros(0, np.int64)
+        last_a = place[last_b]
+        links = np.searchsorted(self.keys, a[last_a] << 32 | b[last_b]).astype(np.int32).tobytes()
+        # the tokens of a group, those of A before those of B, each with the sign that follows it
+        many_a, many_b = (np.diff(x, prepend=-1) for x in (last_a, last_b))
+        signs = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        signs[0][last_a], signs[1][last_b], signs[1][np.cumsum(n_b) - 1] = 1, 2, 3
+        told = np.empty(len(a) + len(b), np.int64)
+        told[np.arange(len(a)) + np.repeat(np.cumsum(many_b) - many_b, many_a)] = a * len(SIGNS) + signs[0]
+        told[np.arange(len(b)) + np.repeat(np.cumsum(many_a), many_b)] = (b + len(self.a_size)) * len(SIGNS) + signs[1]
+        names = list(map(self.names.__getitem__, told.tolist()))
+        cuts = np.cumsum(n_a + n_b).tolist()
+        n_links = (4 * np.searchsorted(last_b, np.cumsum(n_b) - 1, "right")).tolist()
+        done = zip(n_a.tolist(), n_b.tolist(), [0, *cuts], cuts, [0, *n_links], n_links)
+        parts = iter([(one, other, b"".join(names[i:j]), links[k:m]) for one, other, i, j, k, m in done])
+        return [x and next(parts) for x in found]
 
     def learn(self, texts: list[list[str]]) -> None:
         """Aligns the segments of some texts that aren't known yet, each once. What is remembered stays bounded: beyond, only these
         texts' segments stay."""
         met = dict.fromkeys(chain.from_iterable(texts))
         new = [s for s in met if s not in self.known]
-        encs = self.a.encode_batch(new, add_special_tokens=False)
-        told = self.b.encode([s.removeprefix(" ") for s in new], return_type="proto", num_threads=1)
-        found = list(map(self.align, new, encs, told))
-        numbers = np.searchsorted(self.keys, [k for x in found if x for k in x[3]]).astype(np.int32)
-        at = 0
-        for s, x in zip(new, found, strict=True):
-            if x is not None:
-                x = (*x[:3], numbers[at : (at := at + len(x[3]))].tobytes())
-            self.known[s] = x
+        self.known.update(zip(new, self.align(new), strict=True))
         self.held += sum(map(len, new))
         if self.held > KEEP_CHARS:
             self.known = {s: self.known[s] for s in met}

@@ -161,6 +161,20 @@ def test_remembered_segments_are_bounded(monkeypatch):
     assert [pair.texts([t])[0] for t in texts] == first
 
 
+def test_segments_are_aligned_together():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
+        pair = alignment.Pair(a.read(), b.read())
+    parts = [" naïve", " x<s>", "\nqzxvw", "  ", " 日本🎉", " the", " zzqqkx"]
+    odd = [" \u2581under"]  # B spells it with spaces: no tokens
+    together = pair.align(odd + parts + odd)
+    assert together[0] is None and together[-1] is None and None not in together[1:-1]
+    assert together[1:-1] == [pair.align([s])[0] for s in parts]
+    want = brute_alignment([s.removeprefix(" ") for s in parts if s[0] == " "])
+    got = [(x[0], x[1], len(x[3]) // 4, hashlib.sha256(x[2]).hexdigest()) for s, x in zip(parts, together[1:-1]) if s[0] == " "]
+    assert got == [(w[0], w[1], w[3], w[6]) for w in want]
+    assert pair.align([]) == []
+
+
 # ---- collocations
 
 
