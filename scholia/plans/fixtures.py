@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scholia.fixed import SOURCES
 from scholia.registry import Tables
+from scholia.session import parallelism
 
 SEQ_STRIDE = 1 << 31  # positions reserved per document: a text has fewer characters, so fewer lines
 
@@ -260,11 +261,22 @@ def extractions(t: Tables) -> DataFrame:
     )
 
 
+LINES_A_TASK = 250_000  # order lines that a task turns into facts: these are sorted there, without spilling
+SPREAD = 4  # tasks over which the lines of one part are dealt
+
+
+def by_part(t: Tables, lines: DataFrame) -> DataFrame:
+    """Order lines with ``lot``, those of a part in few tasks: of a species a task then keeps one row, however many studies there are."""
+    n = max(parallelism(t.spark), -(-t.lineitem.count() // LINES_A_TASK))
+    lot = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(SPREAD))
+    return lines.withColumn("lot", lot).repartition(n, "l_partkey", "lot")
+
+
 def growth(t: Tables) -> DataFrame:
     """Wide growth table: one study per order line."""
     li = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     li = li.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    study = li.groupBy("l_orderkey", "l_partkey", "l_linenumber", "n_name").agg(
+    study = by_part(t, li).groupBy("l_orderkey", "l_partkey", "l_linenumber", "n_name", "lot").agg(
         F.max("l_discount").alias("K"), F.max("l_extendedprice").alias("price"), F.max("l_tax").alias("tax"),
         F.max("l_quantity").alias("qty"), F.max("l_returnflag").alias("flag"),
     )
@@ -281,7 +293,7 @@ def growth(t: Tables) -> DataFrame:
 
 
 def length_weight(t: Tables) -> DataFrame:
-    study = t.lineitem.groupBy("l_orderkey", "l_partkey", "l_linenumber").agg(
+    study = by_part(t, t.lineitem).groupBy("l_orderkey", "l_partkey", "l_linenumber", "lot").agg(
         F.max("l_tax").alias("a"), (2.5 + F.max("l_discount")).alias("b"), F.max("l_quantity").alias("qty")
     )
     return study.select(

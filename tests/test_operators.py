@@ -14,6 +14,8 @@ from scholia.operators import articles as A, chunking as C, graph as G, hybrid a
 from scholia.operators.bm25 import bm25_index, bm25_search
 from scholia.operators import vector as V2
 from scholia.operators.vector import vector_search
+from scholia.plans import fixtures
+from scholia.registry import Tables
 from scholia.session import cut_lineage, work_path
 from scholia.sources.tables import read_balls, read_graph, read_index, read_postings, write_balls, write_graph, write_index, write_postings
 
@@ -921,3 +923,19 @@ def test_ascii_form_holds_a_slice_of_strings(spark):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert column.nbytes > 13_000_000 > most and out.take(pa.array([0, 1, 2, 3])).to_pylist() == ["Bahia de La Paz " * 500, None, "plain " * 1000, ""]
+
+
+def test_studies_of_a_species_meet_in_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixtures, "LINES_A_TASK", 25)
+    lines = [(i, i % 2, i % 3, i % 7, i % 50 + 1.0, 10.0 * i, i % 10 / 100, 0.02, "A") for i in range(600)]
+    lines += lines[:5] + [(None, 1, 0, None, None, None, 0.03, None, None)] * 2 + [(7, None, 0, 1, 1.0, 1.0, 0.01, 0.01, "N")]
+    names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, i) for i in range(3)], "s_suppkey bigint, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(i, f"N{i}") for i in range(3)], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    t = Tables(spark, str(tmp_path))
+    for table, n in ((fixtures.growth(t), 602), (fixtures.length_weight(t), 602)):
+        assert table.count() == n
+        tasks = table.select("SpecCode", F.spark_partition_id().alias("task")).distinct()
+        assert tasks.select("task").distinct().count() > 4
+        assert tasks.groupBy("SpecCode").count().agg(F.max("count")).first()[0] <= fixtures.SPREAD
