@@ -38,7 +38,7 @@ UNION ALL SELECT DISTINCT entity_id, 'alias', alias FROM raw_entities
 UNION ALL SELECT DISTINCT entity_id, 'chunk', chunk_id FROM raw_entities UNION ALL SELECT DISTINCT entity_id, 'paper', paper_id FROM raw_entities
 UNION ALL SELECT entity_id, 'kind', kind FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY ord DESC, pos DESC) AS rn FROM raw_entities) WHERE rn = 1"""))
 def a12(t: Tables) -> DataFrame:
-    m = G.merge_entities(cut_lineage(G.raw_entities(fx.extractions(t))))
+    m = G.merge_entities(G.raw_entities(cut_lineage(G.read_answers(fx.extractions(t)))))
     row = lambda df, kind, value: df.select("entity_id", F.lit(kind).alias("kind"), F.col(value).alias("value"))
     return (
         row(m["entities"], "name", "name").union(row(m["aliases"], "alias", "alias"))
@@ -53,17 +53,15 @@ FIRST_RELATION = "SELECT relation_id, subject_id, relation_type, object_id, roun
 
 @query("a13_merge_relations", sql("raw_relations", f"SELECT r.*, n_chunks, n_papers FROM ({FIRST_RELATION}) r JOIN (SELECT relation_id, count(DISTINCT chunk_id) AS n_chunks, count(DISTINCT paper_id) AS n_papers FROM raw_relations GROUP BY relation_id) USING (relation_id)"))
 def a13(t: Tables) -> DataFrame:
-    x = cut_lineage(fx.extractions(t))
-    m = G.merge_relations(cut_lineage(G.raw_relations(x, G.raw_entities(x))))
-    n = m["evidence"].groupBy("relation_id").agg(F.count("*").alias("n_chunks"))
-    p = m["evidence"].select("relation_id", "paper_id").distinct().groupBy("relation_id").agg(F.count("*").alias("n_papers"))
-    return m["relations"].withColumn("confidence", F.round("confidence", 6)).join(n, "relation_id").join(p, "relation_id")
+    m = G.merge_relations(cut_lineage(G.raw_relations(cut_lineage(G.read_answers(fx.extractions(t))))))
+    by_paper = m["evidence"].groupBy("relation_id", "paper_id").agg(F.count("*").alias("n"))
+    n = by_paper.groupBy("relation_id").agg(F.sum("n").alias("n_chunks"), F.count("*").alias("n_papers"))
+    return m["relations"].withColumn("confidence", F.round("confidence", 6)).join(n, "relation_id")
 
 
 @query("j11_resolve_relations", sql("raw_relations", "SELECT chunk_id, relation_id, round(confidence, 6) AS confidence, snippet FROM raw_relations"))
 def j11(t: Tables) -> DataFrame:
-    x = cut_lineage(fx.extractions(t))
-    return G.raw_relations(x, G.raw_entities(x)).select("chunk_id", "relation_id", F.round("confidence", 6).alias("confidence"), "snippet")
+    return G.raw_relations(cut_lineage(G.read_answers(fx.extractions(t)))).select("chunk_id", "relation_id", F.round("confidence", 6).alias("confidence"), "snippet")
 
 
 @query("w04_dedup_last", sql("raw_entities", """

@@ -3,6 +3,7 @@
 import json
 import random
 import types
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -585,6 +586,41 @@ def test_build_graph_follows_the_rules(spark):
     assert g.properties.first()["value"] == "2"
 
 
+NAMED_TWICE = """{"entities": [{"name": " Peru\\u00e1\\t", "type": "Species ", "aliases": ["gulf", null, "Peru\\u00e1"]}, null, {"name": "Gulf", "type": "Location"}, {"name": "GULF", "type": "Concept"}],
+  "relations": [{"subject": "PERU\\u00c1", "relation": "found_in", "object": "gulf"}, null, {"subject": null, "relation": "studies", "object": "gulf"}]}"""
+
+
+def test_relations_of_a_lone_answer_are_resolved_in_its_row(spark):
+    x = extractions(spark, ANSWER, "not json", NAMED_TWICE, None, "{}", '{"entities": []} {}')
+    answers = cut_lineage(G.read_answers(x))
+    found = G.raw_relations(answers)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "from_json" not in plan
+    by_name = G.raw_relations(x, G.raw_entities(x))
+    assert found.columns == by_name.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, by_name.collect()))
+    assert {(r["chunk_id"], r["pos"], r["relation_id"]) for r in found.collect()} == {
+        ("c0", 0, "species::lutjanus_peru::found_in::location::gulf"), ("c2", 0, "species::perua::found_in::concept::gulf")}
+
+
+def test_answers_of_one_chunk_share_their_names(spark):
+    rows = [("c", "p", 0, ANSWER.replace('"relations"', '"others"')), ("c", "p", 1, ANSWER.replace('"entities"', '"others"')), (None, "p", 2, ANSWER), ("d", "q", 3, ANSWER)]
+    x = spark.createDataFrame(rows, "chunk_id string, paper_id string, ord bigint, raw string")
+    found = sorted(map(tuple, G.raw_relations(x).collect()))
+    assert found == sorted(map(tuple, G.raw_relations(x, G.raw_entities(x)).collect()))
+    assert [(r[0], r[2]) for r in found] == [("c", 1), ("d", 3)]
+
+
+def test_strip_and_ascii_of_all_kinds_of_text(spark):
+    texts = [None, "", " plain ", "\u3000\u00a0\tx\u2003y\u0085\r\n", "\u200bz", "\u00c1 \ufb01", "\u4e2d"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", X.strip("t").alias("s"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("w"), X.to_ascii("t").alias("a"), X.to_ascii_each(F.array("t", F.lit("\u00e9"))).alias("l"),
+                    X.to_ascii_each(F.when(F.col("i") > 0, F.array().cast("array<string>"))).alias("e")).orderBy("i").collect()
+    assert [r["s"] for r in got] == [r["w"] for r in got] and got[3]["s"] == "x\u2003y"
+    assert [r["a"] for r in got] == [None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode() for t in texts]
+    assert [r["l"] for r in got] == [[r["a"], "e"] for r in got] and [r["e"] for r in got] == [None] + [[]] * 6
+
+
 def test_update_skips_processed_chunks_and_equals_one_build(spark):
     first, both = extractions(spark, ANSWER), extractions(spark, ANSWER, ANSWER.replace("Gulf", "Bay").replace("gulf", "bay"))
     updated, whole = G.update_graph(G.build_graph(first), both), G.build_graph(both)
