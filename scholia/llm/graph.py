@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from scholia.session import cut_lineage
+from scholia.session import cut_lineage, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,8 +23,10 @@ def components(links: DataFrame) -> DataFrame:
         told = met.select(F.explode(F.array("a", "own")).alias("node"), "near").groupBy("node").agg(F.min("near").alias("near"))
         told = cut_lineage(told)
         if told.isEmpty():
+            release(both, told)
             return labels
         new = labels.join(told, "node", "left").select("node", F.least("label", F.coalesce("near", "label")).alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
         new = new.join(jump, "label", "left").select("node", F.least("label", F.coalesce("next", "label")).alias("label"))
-        labels = cut_lineage(new)
+        old, labels = labels, cut_lineage(new)
+        release(old, told)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from scholia.llm.common import id_and_text, light_side, query, table, tidied
 from scholia.llm.graph import components
-from scholia.session import cut_lineage
+from scholia.session import cut_lineage, release
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9)]
 BLOCK_SHINGLES = 2_000_000  # shingles that a task holds of one family at a time
@@ -110,7 +110,9 @@ def shared(posts: DataFrame, rule: Rule, ignore: bool) -> DataFrame:
     met = posts.join(df, "s").groupBy("row", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("own"))
     met = met.where(F.size("own") >= must)
     left = F.slice("own", F.lit(1), F.size("own") - must + 1) if ignore else F.col("own")
-    return cut_lineage(met.select("row", "n", F.explode(left).alias("x")).select("row", "n", F.col("x.s").alias("s")))
+    kept = cut_lineage(met.select("row", "n", F.explode(left).alias("x")).select("row", "n", F.col("x.s").alias("s")))
+    release(df)
+    return kept
 
 
 def block_links(sets: list[np.ndarray], rule: Rule, probes: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -239,8 +241,26 @@ def linked(met: DataFrame, rule: Rule, probing: bool) -> DataFrame:
     return dealt.mapInArrow(tidied(run), "a bigint, b bigint")
 
 
+PLACE = ["row", "family", "block", "several"]
+
+
+def in_blocks(own: DataFrame, rule: Rule) -> DataFrame:
+    """``own`` with ``block`` and ``several``, whether its family has several blocks.
+
+    A family of bounded size is one block. A larger one is cut by the sizes of its sets, each class reaching from a size to the largest
+    that can link with it, so what links lies in one class or in two neighbouring ones; a class of any size is dealt out over blocks.
+    """
+    large = cut_lineage(own.groupBy("family").agg((F.sum("n") > BLOCK_SHINGLES).alias("several")).where("several"))
+    kind = F.floor(F.log(F.col("n").cast("double")) / float(np.log(rule.den / rule.num))).cast("bigint")
+    placed = own.join(large, "family", "left").withColumn("several", F.coalesce("several", F.lit(False)))
+    placed = placed.withColumn("kind", F.when(F.col("several"), kind).otherwise(F.lit(0).cast("bigint")))
+    cuts = placed.where("several").groupBy("family", "kind").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("cuts"))
+    placed = placed.join(cut_lineage(cuts), ["family", "kind"], "left")
+    return placed.withColumn("block", F.col("kind") * (1 << 32) + F.pmod(F.xxhash64("row"), F.coalesce("cuts", F.lit(1)))).drop("kind", "cuts")
+
+
 def family_sets(docs: DataFrame, alive: DataFrame, rule: Rule) -> DataFrame:
-    """``row, family, blocks, s`` with the whole set (packed) of each row of ``alive``, cut from the texts again."""
+    """``row, family, block, several, n, s`` with the whole set (packed) of each row of ``alive``, cut from the texts again."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         known = Words()
@@ -249,13 +269,13 @@ def family_sets(docs: DataFrame, alive: DataFrame, rule: Rule) -> DataFrame:
             marks = [digest(s) for s in sets]
             same = [m == (a, b) for m, a, b in zip(marks, batch["d1"].to_pylist(), batch["d2"].to_pylist(), strict=True)]
             out = pa.RecordBatch.from_arrays([
-                batch["row"], batch["family"], batch["blocks"], pa.array([s.tobytes() for s in sets], pa.binary()),
-            ], names=["row", "family", "blocks", "s"])
+                *(batch[c] for c in PLACE), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
+            ], names=[*PLACE, "n", "s"])
             yield out.filter(pa.array(same, pa.bool_()))
 
     names = alive.withColumnRenamed("doc_id", "own_id")
-    met = docs.join(names, F.col("doc_id").eqNullSafe(F.col("own_id"))).select("row", "family", "blocks", "d1", "d2", "text")
-    return met.mapInArrow(tidied(run), "row bigint, family bigint, blocks bigint, s binary")
+    met = docs.join(names, F.col("doc_id").eqNullSafe(F.col("own_id"))).select(*PLACE, "d1", "d2", "text")
+    return met.mapInArrow(tidied(run), "row bigint, family bigint, block bigint, several boolean, n bigint, s binary")
 
 
 def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,36 +291,40 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     2. Shingles in the prefixes of the sets are counted and sent back; sets that can meet no other one
        drop out, twice (``shared``). Every pair that links keeps a common shingle.
     3. Sets joined by kept shingles are a family. The whole sets of a family are compared in blocks of
-       bounded size, a task each (``block_links``). In a family of several blocks, what is then not in
-       the family's largest group is compared with all its blocks; so nothing is compared twice within
-       a group that is already known.
+       bounded size, a task each (``block_links``). In a family of several blocks some sets of its largest groups are
+       then compared with the blocks that hold sets of their size, which links groups across blocks; at last
+       all that is still not in the family's largest group is. So nothing is compared twice within a group that is already known.
     """
     docs = id_and_text(docs, id_col, text_col)
     heads = cut_lineage(set_heads(docs, rule).withColumn("row", F.monotonically_increasing_id()))
     folds = cut_lineage(heads.where("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("row")))
-    first = cut_lineage(heads.join(folds.select("row"), "row").select("row", "n", "prefix")).select("row", "n", F.explode("prefix").alias("s"))
-    posts = shared(shared(first, rule, ignore=False), rule, ignore=True)
+    first = cut_lineage(heads.join(folds.select("row"), "row").select("row", "n", "prefix"))
+    met = shared(first.select("row", "n", F.explode("prefix").alias("s")), rule, ignore=False)
+    posts = shared(met, rule, ignore=True)
 
     # Families: each kept shingle joins its sets to the first of them.
     least = cut_lineage(posts.groupBy("s").agg(F.min("row").alias("a"), F.count("*").alias("k")).where("k > 1").select("s", "a"))
     kin = components(posts.join(least, "s").select("a", F.col("row").alias("b")))
     own = heads.select("row", "doc_id", "n", "d1", "d2").join(kin.withColumnRenamed("node", "row"), "row").withColumnRenamed("label", "family")
     own = cut_lineage(own)
-    blocks = own.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    alive, _ = light_side(own.join(blocks, "family").drop("n"))
-    sets = cut_lineage(family_sets(docs, alive, rule).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))))
-    inside = linked(sets.select(F.struct("family", "block").alias("g"), "row", "s").select(F.xxhash64("g.family", "g.block").alias("part"), "row", "s", F.lit(False).alias("probe")), rule, False)
-    inside = cut_lineage(inside)
-    large = sets.where("blocks > 1")
+    release(first, met, posts, least, kin)
+    alive, _ = light_side(in_blocks(own, rule).drop("n"))
+    sets = cut_lineage(family_sets(docs, alive, rule))
+    inside = cut_lineage(linked(sets.select(F.xxhash64("family", "block").alias("part"), "row", "s", F.lit(False).alias("probe")), rule, False))
+    large = sets.where("several")
     links = inside
     if not large.isEmpty():
-        links = inside.union(cut_lineage(across(large, inside, rule)))
+        near = cut_lineage(across(large, inside, rule, leading))
+        links = inside.union(near)
+        links = links.union(cut_lineage(across(large, links, rule, straying)))
+    release(sets, own)
     groups = components(links)
 
     # Every row takes its set's group, and groups that share a document are one.
     rows = heads.select("row", "doc_id", "n", "d1", "d2").join(folds.withColumnRenamed("row", "fold"), ["d1", "d2"], "left")
     rows = rows.join(groups.withColumnRenamed("node", "fold"), "fold", "left")
     rows = cut_lineage(rows.select("row", "doc_id", "n", F.coalesce("label", "fold", "row").alias("grp")))
+    release(heads, folds, groups)
     twice = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("grp").alias("a"), F.max("grp").alias("z")).where("a <> z")
     twice = cut_lineage(twice)
     if not twice.isEmpty():
@@ -311,24 +335,47 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     return rows.join(named, "grp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
-def across(large: DataFrame, inside: DataFrame, rule: Rule) -> DataFrame:
-    """Links between the blocks of families that have several."""
-    groups = components(inside)
-    known = large.join(groups.withColumnRenamed("node", "row"), "row", "left").select("row", "family", "blocks", "block", "s", F.coalesce("label", "row").alias("grp"))
-    known = cut_lineage(known)
-    sizes = known.groupBy("family", "grp").agg(F.count("*").alias("k"))
+LEADERS = 4  # sets of a group that stand for it
+
+
+def leading(names: DataFrame) -> DataFrame:
+    """Some sets of a family's largest groups, a block's worth of shingles a family."""
+    w = Window.partitionBy("family", "grp").orderBy(F.xxhash64("row"), "row")
+    first = names.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= LEADERS)
+    sizes = names.groupBy("family", "grp").agg(F.count("*").alias("k")).where("k > 1")
+    largest = sizes.withColumn("place", F.row_number().over(Window.partitionBy("family").orderBy(F.desc("k"), "grp"))).where(F.col("place") <= 10_000)
+    first = first.join(largest, ["family", "grp"])
+    sofar = F.sum("n").over(Window.partitionBy("family").orderBy("nth", "place"))
+    return first.withColumn("sofar", sofar).where(F.col("sofar") <= BLOCK_SHINGLES).select("family", "row", "n")
+
+
+def straying(names: DataFrame) -> DataFrame:
+    """All sets outside the largest group of their family."""
+    sizes = names.groupBy("family", "grp").agg(F.count("*").alias("k"))
     main = sizes.withColumn("nth", F.row_number().over(Window.partitionBy("family").orderBy(F.desc("k"), "grp"))).where("nth = 1")
     main = cut_lineage(main.select("family", F.col("grp").alias("main")))
-    stray = known.join(main, "family").where("grp <> main")
-    # Stray sets go to every block of their family, in lots of bounded size.
-    lots = stray.groupBy("family").agg(F.ceil(F.sum(F.length("s") / 8) / BLOCK_SHINGLES).alias("lots"))
-    stray = stray.join(cut_lineage(lots), "family").withColumn("lot", F.pmod(F.xxhash64("row", F.lit(1)), F.col("lots")))
-    stray = cut_lineage(stray.select("family", "blocks", "lots", "lot", "row", "s"))
-    probes = stray.select("family", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), "lot", "row", "s", F.lit(True).alias("probe"))
-    lots = stray.select("family", "lots").distinct()
-    held = known.join(lots, "family").select("family", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("lots") - 1)).alias("lot"), "row", "s", F.lit(False).alias("probe"))
-    met = probes.unionByName(held)
-    return linked(met.select(F.xxhash64("family", "block", "lot").alias("part"), "row", "s", "probe"), rule, True)
+    return names.join(main, "family").where("grp <> main").select("family", "row", "n")
+
+
+def across(large: DataFrame, links: DataFrame, rule: Rule, chosen) -> DataFrame:
+    """Links of some sets (``chosen`` from ``family, row, n, grp``) with the other blocks of their families."""
+    groups = components(links)
+    names = large.select("family", "block", "row", "n").join(groups.withColumnRenamed("node", "row"), "row", "left")
+    names = cut_lineage(names.select("family", "block", "row", "n", F.coalesce("label", "row").alias("grp")))
+    # A set goes to the blocks that hold sets of a size it can link with: a short list a family.
+    spans = names.groupBy("family", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    spans = cut_lineage(spans.groupBy("family").agg(F.collect_list(F.struct("block", "low", "high")).alias("spans")))
+    aims = chosen(names).join(F.broadcast(spans), "family")
+    met = F.filter("spans", lambda x: (x["high"] * rule.den >= F.col("n") * rule.num) & (x["low"] * rule.num <= F.col("n") * rule.den))
+    aims = cut_lineage(aims.select("family", "row", "n", F.explode(F.transform(met, lambda x: x["block"])).alias("block")))
+    # Sets that come to a block come in lots of bounded size, and a block is sent to its own lots only.
+    lots = aims.groupBy("family", "block").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("lots"))
+    lots = F.broadcast(cut_lineage(lots))
+    probes = large.select("row", "s").join(aims.join(lots, ["family", "block"]), "row")
+    probes = probes.select("family", "block", F.pmod(F.xxhash64("row", F.lit(1)), F.col("lots")).alias("lot"), "row", "s", F.lit(True).alias("probe"))
+    held = large.select("family", "block", "row", "s").join(lots, ["family", "block"])
+    held = held.select("family", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("lots") - 1)).alias("lot"), "row", "s", F.lit(False).alias("probe"))
+    return linked(probes.unionByName(held).select(F.xxhash64("family", "block", "lot").alias("part"), "row", "s", "probe"), rule, True)
 
 
 def one_of_each_group(docs: DataFrame, rule: Rule = Rule(5, 8, 10), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

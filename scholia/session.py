@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,21 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 _STAGED: list[str] = []
+SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files behind: a written table is read from its own files."""
+    before = spark.conf.get(SWEEP, None)
+    spark.conf.set(SWEEP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SWEEP)
+        else:
+            spark.conf.set(SWEEP, before)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -65,8 +82,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = work_path(df.sparkSession, "stage")
     _STAGED.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with swept(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` has written, once no result reads them any more; others stay."""
+    for table in tables:
+        path = getattr(table, "_staged", None)
+        if path in _STAGED:
+            _STAGED.remove(path)
+            _delete(table.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_bucketed(df: DataFrame, buckets: int, *keys: str) -> tuple[DataFrame, str]:
@@ -76,7 +110,8 @@ def write_bucketed(df: DataFrame, buckets: int, *keys: str) -> tuple[DataFrame,
     """
     path, name = work_path(df.sparkSession, "buckets"), f"bucketed_{uuid.uuid4().hex}"
     _STAGED.append(path)
-    df.write.option("path", path).option("compression", "zstd").bucketBy(buckets, *keys).saveAsTable(name)
+    with swept(df.sparkSession):
+        df.write.option("path", path).option("compression", "zstd").bucketBy(buckets, *keys).saveAsTable(name)
     return df.sparkSession.table(name), name
 
 
@@ -84,8 +119,7 @@ def drop_staged(spark: SparkSession) -> int:
     """Delete the tables that ``cut_lineage`` has written so far; call it when no result needs them any more."""
     n = len(_STAGED)
     while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _STAGED.pop())
     return n
 
 

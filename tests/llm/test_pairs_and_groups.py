@@ -2,6 +2,8 @@
 
 import random
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -75,6 +77,40 @@ def test_groups_equal_brute_force(spark, monkeypatch, rule, block):
     assert sorted(got, key=repr) == brute_groups(rows, rule.words, rule.num, rule.den)
 
 
+def test_family_of_many_blocks_moves_little(spark, monkeypatch):
+    """Near copies in many blocks: groups meet through some of their sets, not all of them in every block."""
+    rng = random.Random(5)
+    base = [f"v{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        t = list(base)
+        t[rng.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(t)))
+    moved, linked = [], jaccard.linked
+    monkeypatch.setattr(jaccard, "linked", lambda met, *a: moved.append(met.count()) or linked(met, *a))
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 2000)
+    got = [tuple(r) for r in jaccard.jaccard_groups(table(spark, rows)).collect()]
+    assert sorted(got, key=repr) == brute_groups(rows, 3, 9, 10)
+    assert len(moved) == 3 and sum(moved) < 5 * len(rows)  # each set in its block, each block with some sets, and what is left
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    from scholia.session import cut_lineage, release
+
+    local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    files = lambda: {p.name for p in local.rglob("shuffle_*.data")}
+    before = files()
+    kept = cut_lineage(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and kept.count() == 100
+    path = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+    release(kept)
+    assert not path.exists()
+
+
 def test_block_links_connect_what_is_linked(monkeypatch):
     rule = jaccard.Rule()
     rng = np.random.default_rng(1)
