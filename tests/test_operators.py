@@ -316,6 +316,33 @@ def test_loose_thresholds_leave_out_cells(spark, threshold):
     assert len(i) < 120 and len(j) < 120
 
 
+def test_near_vectors_are_not_shuffled(spark, monkeypatch):
+    """At a loose threshold every vector meets every cell: lots are sent, and a row of numbers a vector and lot is what is written."""
+    rng = np.random.default_rng(4)
+    m = rng.normal(size=(150, 24)).astype(np.float32)
+    m[70:75] = m[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "seq bigint, embedding array<float>")
+    written, cut = [], N.cut_lineage
+    monkeypatch.setattr(N, "cut_lineage", lambda t: written.append((t.columns, t.count())) or cut(t))
+    monkeypatch.setattr(N, "LOT_BYTES", 24 * 4 * 20)  # twenty vectors
+    monkeypatch.setattr(N, "PARTS", 3)
+    reps = N.fold_copies(df)
+    near = N.partners(reps, 0.2, pivots=4, block=16)
+    got = {r["rep"]: (r["weight"], r["first"], round(r["best"], 6)) for r in near.collect()}
+    unit = N.to_matrix(pa.array(m.tolist(), pa.list_(pa.float32())))[0]
+    sim = np.round(unit @ unit.T, 9)
+    kept = [i for i in range(150) if not 70 <= i < 75]
+    want = {}
+    for i in kept:
+        js = [j for j in range(150) if sim[i, j] >= 0.2 and j != i and not (i == 0 and 70 <= j < 75)]
+        if js:
+            want[i] = (len(js), min(j if not 70 <= j < 75 else 0 for j in js), round(float(max(sim[i, js])), 6))
+    assert got == want
+    wide = [n for columns, n in written if "embedding" in columns]
+    assert wide == [len(kept)] and len(written) > 8  # vectors are written once, where they lie
+    assert "embedding" not in near._jdf.queryExecution().executedPlan().toString()
+
+
 def balls_of(spark, rows, cells):
     df = spark.createDataFrame([(f"c{i}", i, v) for i, v in rows], "chunk_id string, seq bigint, embedding array<double>").repartition(3)
     path = work_path(spark, "balls")
