@@ -343,6 +343,18 @@ def test_near_vectors_are_not_shuffled(spark, monkeypatch):
     assert "embedding" not in near._jdf.queryExecution().executedPlan().toString()
 
 
+def test_close_vectors_are_not_shuffled(spark):
+    """At a tight threshold, too: what follows the comparison has no vectors, and copies and near copies are found."""
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(60, 24)).astype(np.float32)
+    m[40] = m[3]
+    m[50] = m[3] * 1.5 + 0.01
+    reps = N.fold_copies(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "seq bigint, embedding array<float>"))
+    near = N.partners(reps, 0.95, pivots=6, block=10)
+    assert {r["rep"]: (r["weight"], r["first"]) for r in near.collect()} == {3: (1, 50), 50: (2, 3)}
+    assert "embedding" not in near._jdf.queryExecution().executedPlan().toString()
+
+
 def balls_of(spark, rows, cells):
     df = spark.createDataFrame([(f"c{i}", i, v) for i, v in rows], "chunk_id string, seq bigint, embedding array<double>").repartition(3)
     path = work_path(spark, "balls")
