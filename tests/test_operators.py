@@ -732,6 +732,22 @@ def test_neighborhood_of_many_seeds(spark, hops):
     assert len(got) == len(want) and set(map(tuple, got)) == want
 
 
+@pytest.mark.parametrize("hops", [0, 1, 2])
+def test_inside_relations_equal_both_lookups(spark, monkeypatch, hops):
+    """Relations with repeats, loops, nulls and triangles; none but names of ends is looked up among the farthest nodes."""
+    rng = np.random.default_rng(3)
+    rows = [(f"n{a}", f"n{b}", k % 3) for k, (a, b) in enumerate(rng.integers(0, 25, (45, 2)).tolist())]
+    rows += [("n1", "n1", 7), ("n2", None, 8), (None, "n2", 9), rows[0], (rows[0][0], rows[0][1], 5)]
+    r = spark.createDataFrame(rows, "subject_id string, object_id string, confidence int")
+    seeds = spark.createDataFrame([(f"n{i}",) for i in (1, 2, 3, 9, 99)], "entity_id string")
+    want = G.neighborhood_relations(r, G.neighborhood(r, seeds, hops)).select("seed", *r.columns).collect()
+    looked, lookup = [], G.neighborhood_relations
+    monkeypatch.setattr(G, "neighborhood_relations", lambda relations, visited: looked.append(relations.columns) or lookup(relations, visited))
+    got = G.inside_relations(r, seeds, hops).select("seed", *r.columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr) and (hops == 0 or len(want) > 10)
+    assert looked == [["subject_id", "object_id"]]
+
+
 def test_neighborhood_by_hops(spark):
     _, _, r = star(spark)
     seeds = spark.createDataFrame([("a",)], "entity_id string")
