@@ -10,7 +10,7 @@ from scholia.operators.balls import BallIndex, in_cells
 from scholia.operators.bm25 import Bm25Index
 from scholia.operators.graph import Graph
 from scholia.operators.postings import SPAN, PostingIndex, posting_blocks
-from scholia.session import cut_lineage
+from scholia.session import swept
 
 
 def write_index(index: DataFrame, path: str, model: str = "unknown") -> None:
@@ -68,8 +68,9 @@ def read_postings(spark: SparkSession, path: str) -> PostingIndex:
 
 
 def write_graph(graph: Graph, path: str) -> None:
-    for name, table in graph.tables().items():
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
+    with swept(graph.entities.sparkSession):
+        for name, table in graph.tables().items():
+            table.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
 
 
 def read_graph(spark: SparkSession, path: str) -> Graph:

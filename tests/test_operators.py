@@ -840,6 +840,40 @@ def test_graph_stream_versions(spark):
     same_graph(read_graph_log(spark, target), g)
 
 
+def answers_of(spark, keys):
+    raw = '{"entities":[{"name":"A%d","type":"Species"},{"name":"B","type":"Author"}],"relations":[{"subject":"B","relation":"studies","object":"a%d"}]}'
+    return spark.createDataFrame([(f"c{i}", "p", i, raw % (i, i)) for i in keys], "chunk_id string, paper_id string, ord bigint, raw string")
+
+
+def test_batches_leave_no_staged_tables(spark):
+    """Raw answers are read once and never written again, and what a version was made from goes when it is whole."""
+    from scholia import session
+    from scholia.sources import graph_log as L
+
+    path = session.work_path(spark, "log")
+    before = list(session._STAGED)
+    L.append_graph(spark, path, answers_of(spark, range(4)), "a")
+    L.append_graph(spark, path, answers_of(spark, range(9)), "b")
+    left = [spark.read.parquet(p).columns for p in session._STAGED if p not in before]
+    assert all(columns == ["chunk_id"] for columns in left)  # chunks with several answers: none here
+    g = L.read_graph_log(spark, path)
+    assert g.entities.count() == 10 and g.relations.count() == 9 and g.processed.count() == 9
+
+
+def test_graph_search_stages_neither_answers_nor_chunks(spark, monkeypatch):
+    from scholia import session
+    from scholia.plans import q_graph
+    from scholia.registry import Tables
+
+    written, cut = [], session.cut_lineage
+    monkeypatch.setattr(q_graph, "cut_lineage", lambda df: written.append(df.columns) or cut(df))
+    before = list(session._STAGED)
+    assert q_graph.g07(Tables(spark, "/root/testdata/sf0.001")).columns
+    assert not any({"raw", "text", "embedding"} & set(columns) for columns in written)
+    left = [set(spark.read.parquet(p).columns) for p in session._STAGED if p not in before]
+    assert not any({"entities", "snippet"} & columns for columns in left)
+
+
 def test_graph_log_is_the_graph_of_all_batches(spark):
     from scholia.session import work_path
     from scholia.sources import graph_log as L
