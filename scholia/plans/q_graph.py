@@ -10,7 +10,7 @@ from scholia.operators.vector import min_score, vector_search
 from scholia.plans import fixtures as fx
 from scholia.plans.oracle_fx import fx as sql
 from scholia.registry import Tables, query
-from scholia.session import cut_lineage, work_path
+from scholia.session import cut_lineage, release, work_path
 from scholia.sources.tables import read_graph, write_graph
 
 
@@ -237,11 +237,15 @@ def g04(t: Tables) -> DataFrame:
 def g07(t: Tables) -> DataFrame:
     """A graph built from answers, written and read back; questions that name one of its customers."""
     path = work_path(t.spark, "graph")
-    write_graph(G.build_graph(cut_lineage(fx.extractions(t))), path)
+    built = G.build_graph(fx.extractions(t))
+    write_graph(built, path)
+    release(*built.staged)
     g = read_graph(t.spark, path)
     who = F.concat(F.lit("What does Customer "), (F.col("query_id") * 3 + 1).cast("string"), F.lit(" study? "))
     q = fx.question_vectors(t).withColumn("question", F.concat(who, "question"))
-    chunks = cut_lineage(fx.hybrid_chunks(t))
-    hits = hydrate(min_score(vector_search(chunks, q, 5), 0.6), chunks.drop("embedding", "seq").withColumns({
+    # vectors are searched where they are made, and texts fetched of the chunks that are hits
+    near = cut_lineage(min_score(vector_search(fx.hybrid_chunks(t), q, 5), 0.6))
+    found = fx.hybrid_chunks(t, near.select("chunk_id"))
+    hits = hydrate(near, found.drop("embedding", "seq").withColumns({
         "title": F.concat(F.lit("On "), "lang"), "authors": F.array("source"), "year": F.lit(2001)}))
     return G.graph_search(q.select("query_id", "question"), g.entities, g.aliases, g.mentions, g.relations, hits)
