@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from scholia.llm.common import query, table, tidied, tidied_group
-from scholia.session import cut_lineage, write_bucketed
+from scholia.session import cut_lineage, release, write_bucketed
 
 CUT = re.compile(rb"[.,;:!?\n-\r]+")
 SPLIT = [bytes([c]) for c in b".,;:!?\n\x0b\x0c\r"]
@@ -262,7 +262,10 @@ def longer(index: pa.Table, live: pa.Table, backwards: bool) -> pa.Table:
 def frequent(counts: DataFrame, keys: list[str], least: int) -> DataFrame:
     """Sums of ``n`` by ``keys`` that reach ``least``, each with a number of its own."""
     sums = counts.groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return cut_lineage(cut_lineage(sums).withColumn("id", F.monotonically_increasing_id()))
+    sums = cut_lineage(sums)
+    numbered = cut_lineage(sums.withColumn("id", F.monotonically_increasing_id()))
+    release(sums)
+    return numbered
 
 
 def phrase_counts(docs: DataFrame, s: Settings = Settings(), text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
@@ -277,13 +280,13 @@ def phrase_counts(docs: DataFrame, s: Settings = Settings(), text_col: str = "te
     texts = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     buckets = max(1, min(100_000, texts.rdd.getNumPartitions()))
     cut, name = write_bucketed(shards(texts, s), buckets, "shard")
-    held = [name]
+    held, index = [name], None
     totals = cut_lineage(cut.groupBy("lang").agg(F.sum(F.col("n") * F.col("sign")).alias("n")))
     own = spark.table(name).select(F.col("shard").alias("shard"), "lang", "sign", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "x"))
     own = own.select("shard", "lang", F.col("x.words").alias("word"), (F.col("x.counts").cast("bigint") * F.col("sign")).alias("n"), (F.col("i") + 1).alias("local"))
     words = frequent(own, ["lang", "word"], s.least)
     phrases = words.select("lang", F.array("word").alias("words"), "f", "id")
-    done = [phrases.drop("id")]
+    done, made = [phrases.drop("id")], []
     names = words.select(F.col("id").alias("word"), F.col("word").alias("name"))
     if s.longest > 1:
         live = own.select("shard", "lang", "word", "local").join(words.select("lang", "word", "id"), ["lang", "word"]).select("shard", "local", "id")
@@ -297,19 +300,24 @@ def phrase_counts(docs: DataFrame, s: Settings = Settings(), text_col: str = "te
             after = F.concat("words", F.array("name")) if k % 2 == 0 else F.concat(F.array("name"), "words")
             phrases = cut_lineage(grown.select("lang", after.alias("words"), "f", "id"))
             done.append(phrases.drop("id"))
+            made.append(phrases)
             if k == s.longest:
+                release(found, sums)
                 break
             live = found.join(sums.select("parent", "word", "id"), ["parent", "word"]).select("shard", "lo", "other", "size", "id")
             backwards = k % 2 == 0
             side = index.select("shard", "sign", "ids", "fwd" if backwards else "rev")
             step = side.groupBy("shard").cogroup(live.groupBy("shard"))
-            found = cut_lineage(step.applyInArrow(tidied_group(lengthening(backwards)), FOUND))
+            old, found = found, cut_lineage(step.applyInArrow(tidied_group(lengthening(backwards)), FOUND))
+            release(old, sums)  # counts of pairs in shards are what takes most of the disk
     out = done[0]
     for level in done[1:]:
         out = out.unionByName(level)
     out = cut_lineage(out)
+    release(words, *made)
     for name in held:
         spark.sql(f"DROP TABLE {name}")
+    release(cut, *([] if index is None else [index]))
     return out, totals
 
 

@@ -112,7 +112,9 @@ def write_bucketed(df: DataFrame, buckets: int, *keys: str) -> tuple[DataFrame,
     _STAGED.append(path)
     with swept(df.sparkSession):
         df.write.option("path", path).option("compression", "zstd").bucketBy(buckets, *keys).saveAsTable(name)
-    return df.sparkSession.table(name), name
+    out = df.sparkSession.table(name)
+    out._staged = path
+    return out, name
 
 
 def drop_staged(spark: SparkSession) -> int:

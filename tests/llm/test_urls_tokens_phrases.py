@@ -232,6 +232,18 @@ def test_phrase_tasks_give_back_memory(spark, monkeypatch):
     assert batches.tidied_group(lambda left, right: left + right)(1, 2) == 3 and given == [1]
 
 
+def test_counts_in_shards_go_when_they_are_summed(spark):
+    from scholia import session
+
+    before = list(session._STAGED)
+    rows = [(i, "en", "the red fox ran home . the red fox ran off") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    counted, totals = collocations.phrase_counts(docs, collocations.Settings(least=5))
+    assert {tuple(r["words"]) for r in counted.collect()} >= {("red", "fox"), ("the", "red", "fox", "ran", "home")} and totals.count() == 1
+    left = [p for p in session._STAGED if p not in before]
+    assert sorted(left) == sorted([counted._staged, totals._staged])
+
+
 def test_collocations_of_nothing(spark):
     assert collocations.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
     assert collocations.collocations(spark.createDataFrame([("en", "a b c")], "lang string, text string")).count() == 0
